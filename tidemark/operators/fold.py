@@ -28,7 +28,7 @@ from tidemark.functions import payload
 
 # Internal column names of the "event form" both the lake and a prior
 # warehouse snapshot are brought into before folding.
-PK, SEQ, ORD, UP, DEL, BASE = "_pk", "_seq", "_ord", "_up", "_del", "_base"
+PK, SEQ, RNO, ORD, UP, DEL, BASE = "_pk", "_seq", "_rno", "_ord", "_up", "_del", "_base"
 
 
 def has(name: str) -> str:
@@ -46,11 +46,15 @@ def value_columns(table: TableContract) -> list[str]:
     return [c for c in table.column_names if c not in table.pk]
 
 
-def event_form(events: DataFrame, table: TableContract) -> DataFrame:
-    """Lake rows of one table -> typed values plus key-presence flags."""
+def event_form(events: DataFrame, table: TableContract, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Lake rows of one table -> typed values plus key-presence flags.
+    ``keep`` names lake columns to carry along unchanged."""
+    restore = F.col(RESTORE_NO) if RESTORE_NO in events.columns else F.lit(0)
     parsed = events.select(
+        *[F.col(c) for c in keep],
         F.col("primary_key").alias(PK),
         F.col("sequence").alias(SEQ),
+        restore.cast("int").alias(RNO),
         order_key(events).alias(ORD),
         (F.col("operation") != "delete").alias(UP),
         (F.col("operation") == "delete").alias(DEL),
@@ -58,7 +62,7 @@ def event_form(events: DataFrame, table: TableContract) -> DataFrame:
         payload.typed("data", table).alias("_p"),
         payload.keys("data").alias("_k"),
     )
-    cols = [PK, SEQ, ORD, UP, DEL, BASE]
+    cols = [*keep, PK, SEQ, RNO, ORD, UP, DEL, BASE]
     for name in value_columns(table):
         cols.append(payload.value_of(F.col("_p"), table, name).alias(name))
         cols.append(payload.has_key(F.col("_k"), name).alias(has(name)))
@@ -72,6 +76,7 @@ def snapshot_event_form(snapshot: DataFrame, table: TableContract) -> DataFrame:
     cols = [
         F.col(pk).cast("string").alias(PK),
         F.col(CDC_SEQ).alias(SEQ),
+        F.lit(-1).alias(RNO),
         F.struct(F.col(CDC_SEQ).alias("s"), F.lit(-1).alias("r")).alias(ORD),
         F.lit(True).alias(UP),
         F.col(DELETED).alias(DEL),

@@ -103,11 +103,10 @@ def require_clean_door(stats: dict) -> None:
         raise LakeDoorError(f"lake columns must not be NULL: {nulls}")
 
 
-def dedup_batch(batch: DataFrame) -> DataFrame:
-    """One row per sequence (and restore number), deterministic winner."""
-    keys = ["sequence", RESTORE_NO] if RESTORE_NO in batch.columns else ["sequence"]
-    if RESTORE_NO in batch.columns:
-        keys = keys + ["table_name", "primary_key"]
+def dedup_batch(batch: DataFrame, restore: bool = False) -> DataFrame:
+    """One row per sequence, deterministic winner.  Restore rows share one
+    sequence, so they are unique per (sequence, restore no, table, key)."""
+    keys = ["sequence", RESTORE_NO, "table_name", "primary_key"] if restore else ["sequence"]
     w = Window.partitionBy(*keys).orderBy(F.col("captured_at"), content_hash(batch))
     return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
@@ -161,7 +160,7 @@ def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None
     require_clean_door(stats)
     batch = (batch.withColumn(INGEST_BATCH, F.lit(batch_id).cast("long"))
              .withColumn(RESTORE_NO, F.lit(restore_no).cast("int")))
-    unique = dedup_batch(batch).persist()
+    unique = dedup_batch(batch, restore=bool(restore_no)).persist()
     try:
         n_unique = unique.count()
         lake = read_lake(spark, path)
@@ -202,3 +201,9 @@ def sequence_health(feed: DataFrame) -> DataFrame:
         "duplicate_sequences", "conflicting_sequences",
         (F.col("max_sequence") - F.col("min_sequence") + 1 - F.col("distinct_sequences")).alias("missing_sequences"),
     )
+
+
+def append_restore(spark: SparkSession, path: str, rows: DataFrame, restore_no: int) -> AppendResult:
+    """Append compensating rows of one restore (deduplicated per key, never
+    against source sequences, which they share on purpose)."""
+    return append(spark, path, rows, restore_no=restore_no)

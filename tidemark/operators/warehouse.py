@@ -129,8 +129,16 @@ class Warehouse:
             snapshot = self.merge(table, self.read(table), t_delta, lake, fast)
             version = self.publish(table, snapshot, max(hwm, st["hi"]), batch_id)
             reports.append(ApplyReport(table.name, "fast" if fast else "general", version, st["n"]))
+        if batch_id not in self.applied_batches():
+            fs.write_json_atomic(self.spark, f"{self.root}/_cursor/{batch_id:020d}.json",
+                                 {"batch": int(batch_id)})
         return reports
 
+    def applied_batches(self) -> list[int]:
+        """Warehouse cursor: lake ingest batches fully applied."""
+        return sorted(int(n.split(".")[0]) for n in fs.list_names(self.spark, f"{self.root}/_cursor")
+                      if n.endswith(".json") and not n.startswith("."))
+
     def rebuild(self, lake: DataFrame) -> dict[str, int]:
         """K7: fold the whole lake into fresh versions of every table."""
         out = {}

@@ -86,3 +86,109 @@ def warehouse_patch_fold(spark, sf_dir):
 @query("warehouse_active", f"WITH {O.FEED} {O.fold_select('patch', keep_deleted=False)}")
 def warehouse_active(spark, sf_dir):
     return fold_mod.active(fold_feed(td.events_feed(spark, sf_dir, "patch")))
+
+
+# --- helpers for bindings that write a lake and a warehouse -----------------
+def _store(spark, name: str):
+    from tidemark.operators.warehouse import Warehouse
+    from tidemark.session import new_work_dir
+    root = new_work_dir(spark, name)
+    return f"{root}/lake", Warehouse(spark, f"{root}/warehouse", FEED)
+
+
+def quarter_bounds(feed: DataFrame, parts: int = 4) -> list[tuple[int, int]]:
+    """Contiguous sequence ranges (lo, hi] cutting the feed into ``parts``
+    micro-batches of equal sequence span, as a stream would deliver them."""
+    top = int(feed.agg(F.max("sequence")).first()[0] or 0)
+    cuts = [top * i // parts for i in range(parts + 1)]
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+def _slice(feed: DataFrame, lo: int, hi: int) -> DataFrame:
+    return feed.where((F.col("sequence") > lo) & (F.col("sequence") <= hi))
+
+
+def _run_batches(spark, name: str, feed: DataFrame, order: list[int]):
+    from tidemark.operators.ingest import ingest
+    lake_path, wh = _store(spark, name)
+    bounds = quarter_bounds(feed)
+    for i in order:
+        ingest(spark, lake_path, wh, _slice(feed, *bounds[i]))
+    return lake_path, wh, bounds
+
+
+def _wh_union(wh) -> DataFrame:
+    return wh_mod.union_tables({t.name: wh.read(t) for t in FEED.tables})
+
+
+# --- A7/J4, L6: lake ---------------------------------------------------------
+@query("lake_append_dedup", f"""
+WITH {O.FEED}
+SELECT sequence, operation, table_name, primary_key, {O.json_payload('image')} AS data, captured_at
+FROM feed""")
+def lake_append_dedup(spark, sf_dir):
+    """Append the feed, then a full replay of it, then its second half again
+    in one batch with every row twice: the lake holds each event once."""
+    lake_path, _ = _store(spark, "lake_append_dedup")
+    feed = td.events_feed(spark, sf_dir)
+    lake_mod.append(spark, lake_path, feed)
+    lake_mod.append(spark, lake_path, feed)
+    late = lake_mod.since(feed, half_sequence(feed))
+    lake_mod.append(spark, lake_path, late.unionByName(late))
+    return lake_mod.read_lake(spark, lake_path).select(*lake_mod.LAKE_COLUMNS)
+
+
+@query("lake_sequence_health", f"""
+WITH {O.FEED}, deliveries AS (
+  SELECT sequence, {O.json_payload('image')} AS data FROM feed
+  UNION ALL SELECT sequence, {O.json_payload('patch')} AS data FROM feed),
+per_seq AS (SELECT sequence, count(*) AS copies, count(DISTINCT data) AS versions FROM deliveries GROUP BY sequence)
+SELECT CAST(sum(copies) AS BIGINT) AS events, count(*) AS distinct_sequences,
+       min(sequence) AS min_sequence, max(sequence) AS max_sequence,
+       count(*) FILTER (WHERE copies > 1) AS duplicate_sequences,
+       count(*) FILTER (WHERE versions > 1) AS conflicting_sequences,
+       max(sequence) - min(sequence) + 1 - count(*) AS missing_sequences
+FROM per_seq""")
+def lake_sequence_health(spark, sf_dir):
+    """Health of a feed delivered twice, once as full images and once as
+    patches: every sequence is duplicated, patched ones conflict."""
+    both = td.events_feed(spark, sf_dir, "image").unionByName(td.events_feed(spark, sf_dir, "patch"))
+    return lake_mod.sequence_health(both)
+
+
+# --- J5, J2, K7, K8: warehouse over several micro-batches -------------------
+@query("warehouse_apply_out_of_order", f"WITH {O.FEED} {O.fold_select('patch')}")
+def warehouse_apply_out_of_order(spark, sf_dir):
+    """Four micro-batches arriving newest first: every later batch is late."""
+    feed = td.events_feed(spark, sf_dir, "patch")
+    _, wh, _ = _run_batches(spark, "out_of_order", feed, [3, 2, 1, 0])
+    return _wh_union(wh)
+
+
+@query("warehouse_replay_old_batch", f"WITH {O.FEED} {O.fold_select('patch')}")
+def warehouse_replay_old_batch(spark, sf_dir):
+    """All batches in order, then the first and second batches again."""
+    from tidemark.operators.ingest import ingest
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, wh, bounds = _run_batches(spark, "replay", feed, [0, 1, 2, 3])
+    ingest(spark, lake_path, wh, _slice(feed, bounds[0][0], bounds[1][1]))
+    return _wh_union(wh)
+
+
+@query("warehouse_rebuild", f"WITH {O.FEED} {O.fold_select('patch')}")
+def warehouse_rebuild(spark, sf_dir):
+    """K7: lake written, warehouse rebuilt from the whole lake in one fold."""
+    lake_path, wh = _store(spark, "rebuild")
+    lake_mod.append(spark, lake_path, td.events_feed(spark, sf_dir, "patch"))
+    wh.rebuild(lake_mod.read_lake(spark, lake_path))
+    return _wh_union(wh)
+
+
+@query("snapshot_version_read", f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE sequence <= (SELECT max(sequence) * 2 // 4 FROM feed))
+{O.fold_select('patch', source='cut')}""")
+def snapshot_version_read(spark, sf_dir):
+    """K8: four in-order micro-batches; read each table's version 2."""
+    feed = td.events_feed(spark, sf_dir, "patch")
+    _, wh, _ = _run_batches(spark, "versions", feed, [0, 1, 2, 3])
+    return wh_mod.union_tables({t.name: wh.read(t, version=2) for t in FEED.tables})
