@@ -153,3 +153,13 @@ def restore(spark: SparkSession, lake_path: str, warehouse, target_sequence: int
     reports = warehouse.apply(lake_path, lm.batch_rows(lm.read_lake(spark, lake_path), res.batch_id),
                               res.batch_id)
     return {"restore_no": restore_no, "sequence": at_seq, "events": res.written, "reports": reports}
+
+
+def star_view(fact: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """K9: current-state fact view: the fact joined (left) to each dimension's
+    active rows.  ``dims``: (active dimension rows, fact column, dim column).
+    Each dimension join is an equi join that AQE plans by runtime size."""
+    out = fact
+    for dim, fact_col, dim_col in dims:
+        out = out.join(dim, out[fact_col] == dim[dim_col], "left")
+    return out

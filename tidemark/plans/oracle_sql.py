@@ -66,3 +66,26 @@ def fold_select(variant: str = "patch", source: str = "feed", keep_deleted: bool
 def half_sequence(source: str = "feed") -> str:
     """Scalar: half of the highest sequence (integer)."""
     return f"(SELECT CAST(floor(max(sequence) / 2) AS BIGINT) FROM {source})"
+
+
+def states_cte(variant: str = "patch", source: str = "feed") -> str:
+    """Per event: row state right after it (running last present value)."""
+    cols = []
+    for name, (present, value) in FIELDS[variant].items():
+        cols.append(f"(last_value(CASE WHEN {present} THEN {{'v': {value}}} END IGNORE NULLS) OVER w).v AS s_{name}")
+    return f"""st AS (
+  SELECT table_name, primary_key, user_id, sequence, operation, captured_at, {', '.join(cols)},
+         lead(sequence) OVER w2 AS next_seq, lead(captured_at) OVER w2 AS next_ts
+  FROM {source}
+  WINDOW w AS (PARTITION BY table_name, primary_key ORDER BY sequence
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         w2 AS (PARTITION BY table_name, primary_key ORDER BY sequence))"""
+
+
+def image_json(prefix: str = "") -> str:
+    """Full image JSON (explicit nulls) of user_id, event_type, value, k."""
+    p = prefix
+    return ("'{\"user_id\":' || CAST(" + p + "user_id AS VARCHAR) || ',\"event_type\":' || "
+            "coalesce('\"' || " + p + "event_type || '\"', 'null') || ',\"value\":' || "
+            "coalesce(CAST(" + p + "value AS VARCHAR), 'null') || ',\"k\":' || "
+            "coalesce(CAST(" + p + "k AS VARCHAR), 'null') || '}'")

@@ -192,3 +192,197 @@ def snapshot_version_read(spark, sf_dir):
     feed = td.events_feed(spark, sf_dir, "patch")
     _, wh, _ = _run_batches(spark, "versions", feed, [0, 1, 2, 3])
     return wh_mod.union_tables({t.name: wh.read(t, version=2) for t in FEED.tables})
+
+
+# --- K1-K6, K9, D7: history ----------------------------------------------------
+def _per_feed_table(feed: DataFrame, fn) -> DataFrame:
+    return wh_mod.union_tables({t.name: fn(feed.where(F.col("table_name") == t.name), t)
+                                for t in FEED.tables})
+
+
+_ASOF_COLS = "table_name, user_id, event_type, value, k, _cdc_seq"
+
+
+@query("asof_sequence", f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE sequence <= {O.half_sequence()})
+SELECT {_ASOF_COLS} FROM ({O.fold_select('image', source='cut', keep_deleted=False)}) AS x""")
+def asof_sequence(spark, sf_dir):
+    """K1: state at the middle of history, whole-image replay."""
+    from tidemark.operators import history
+    feed = td.events_feed(spark, sf_dir, "image")
+    target = half_sequence(feed)
+    return _per_feed_table(feed, lambda ev, t: history.asof_sequence(ev, t, target, "image"))
+
+
+@query("asof_timestamp", f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE captured_at <=
+   (SELECT captured_at FROM feed WHERE sequence = {O.half_sequence()}))
+SELECT {_ASOF_COLS} FROM ({O.fold_select('patch', source='cut', keep_deleted=False)}) AS x""")
+def asof_timestamp(spark, sf_dir):
+    """K2: state as known at the capture time of the middle event."""
+    from tidemark.operators import history
+    feed = td.events_feed(spark, sf_dir, "patch")
+    half = half_sequence(feed)
+    ts = feed.where(F.col("sequence") == half).select("captured_at").first()[0]
+    return _per_feed_table(feed, lambda ev, t: history.asof_time(ev, t, F.lit(ts), "patch"))
+
+
+@query("key_history", f"""
+WITH {O.FEED}
+SELECT table_name, primary_key, sequence, operation, captured_at,
+       row_number() OVER (PARTITION BY table_name, primary_key ORDER BY sequence) AS version_no
+FROM feed""")
+def key_history(spark, sf_dir):
+    from tidemark.operators import history
+    return history.key_history(td.events_feed(spark, sf_dir, "patch"))
+
+
+@query("scd2_history", f"""
+WITH {O.FEED}, {O.states_cte('patch')}
+SELECT table_name, user_id, s_event_type AS event_type, s_value AS value, s_k AS k,
+       sequence AS valid_from_seq, next_seq AS valid_to_seq,
+       captured_at AS valid_from_ts, next_ts AS valid_to_ts, next_seq IS NULL AS is_current
+FROM st WHERE operation <> 'delete'""")
+def scd2_history(spark, sf_dir):
+    from tidemark.operators import history
+    return _per_feed_table(td.events_feed(spark, sf_dir, "patch"), history.scd2)
+
+
+@query("asof_join", f"""
+WITH {O.FEED}, {O.states_cte('patch')},
+facts AS (SELECT sequence AS fact_sequence, table_name, primary_key FROM feed WHERE event_type = 'purchase')
+SELECT f.fact_sequence, f.table_name, f.primary_key,
+       CASE WHEN s.operation <> 'delete' THEN s.sequence END AS asof_sequence,
+       CASE WHEN s.operation <> 'delete' THEN s.s_event_type END AS asof_event_type,
+       CASE WHEN s.operation <> 'delete' THEN s.s_value END AS asof_value,
+       CASE WHEN s.operation <> 'delete' THEN s.s_k END AS asof_k
+FROM facts f ASOF LEFT JOIN st s
+  ON f.table_name = s.table_name AND f.primary_key = s.primary_key AND f.fact_sequence > s.sequence""")
+def asof_join(spark, sf_dir):
+    """Every purchase with the state of its key just before it
+    (NULL when the key did not exist or was deleted at that point)."""
+    from tidemark.operators import fold as fm
+    from tidemark.operators import history
+    feed = td.events_feed(spark, sf_dir, "patch")
+    facts = (td.feed_columns(td.read(spark, sf_dir, "events")).where(F.col("event_type") == "purchase")
+             .select(F.col("sequence").alias("fact_sequence"), "table_name", "primary_key"))
+    states = _per_feed_table(feed, lambda ev, t: history.event_states(ev, t)).withColumnRenamed(
+        fm.PK, "primary_key")
+    j = history.asof_join(facts, states, ["table_name", "primary_key"], "fact_sequence", fm.SEQ,
+                          [fm.SEQ, fm.UP, "event_type", "value", "k"])
+    alive = F.col("asof_" + fm.UP)
+    return j.select("fact_sequence", "table_name", "primary_key",
+                    F.when(alive, F.col("asof_" + fm.SEQ)).alias("asof_sequence"),
+                    *[F.when(alive, F.col("asof_" + c)).alias("asof_" + c) for c in ("event_type", "value", "k")])
+
+
+_CUR = O.fold_select("patch", keep_deleted=False)
+_TGT = O.fold_select("patch", source="cut", keep_deleted=False)
+_DIFF = f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE sequence <= {O.half_sequence()}),
+cur AS ({_CUR}), tgt AS ({_TGT}),
+d AS (
+  SELECT coalesce(c.table_name, t.table_name) AS table_name, coalesce(c.user_id, t.user_id) AS user_id,
+         CASE WHEN c.user_id IS NULL THEN 'added' WHEN t.user_id IS NULL THEN 'removed' ELSE 'changed' END AS change_type,
+         t.event_type, t.value, t.k
+  FROM {{before}} c FULL OUTER JOIN {{after}} t ON c.table_name = t.table_name AND c.user_id = t.user_id
+  WHERE c.user_id IS NULL OR t.user_id IS NULL OR c.event_type IS DISTINCT FROM t.event_type
+     OR c.value IS DISTINCT FROM t.value OR c.k IS DISTINCT FROM t.k)"""
+
+
+def _feed_states(spark, sf_dir):
+    """(as-of middle, current) active states of the patch feed, with keys."""
+    from tidemark.operators import history
+    feed = td.events_feed(spark, sf_dir, "patch")
+    half = half_sequence(feed)
+    tgt = _per_feed_table(feed, lambda ev, t: history.asof_sequence(ev, t, half, "patch"))
+    cur = fold_mod.active(fold_feed(feed))
+    return feed, tgt.drop("_cdc_seq"), cur.drop("_cdc_seq", "_deleted")
+
+
+@query("snapshot_diff", _DIFF.format(before="tgt", after="cur") +
+       " SELECT table_name, user_id, change_type FROM d")
+def snapshot_diff(spark, sf_dir):
+    """K5: keys added, removed or changed between the middle and the end."""
+    from tidemark.operators import history
+    _, tgt, cur = _feed_states(spark, sf_dir)
+    return history.diff(tgt, cur, ["table_name", "user_id"], ["event_type", "value", "k"]).select(
+        "table_name", "user_id", "change_type")
+
+
+@query("restore_events", _DIFF.format(before="cur", after="tgt") + f"""
+SELECT table_name, CAST(user_id AS VARCHAR) AS primary_key,
+       CASE change_type WHEN 'removed' THEN 'delete' WHEN 'added' THEN 'insert' ELSE 'update' END AS operation,
+       (SELECT max(sequence) FROM feed) AS sequence, CAST(1 AS INTEGER) AS _restore_no,
+       CASE WHEN change_type = 'removed' THEN '{{}}' ELSE {O.image_json()} END AS data
+FROM d""")
+def restore_events(spark, sf_dir):
+    """K6: compensating events taking the current state back to the middle."""
+    from tidemark.contracts import FEED as C
+    from tidemark.operators import history
+    feed, tgt, cur = _feed_states(spark, sf_dir)
+    top = int(feed.agg(F.max("sequence")).first()[0])
+    out = None
+    for t in C.tables:
+        ev = history.restore_events(cur.where(F.col("table_name") == t.name).drop("table_name"),
+                                    tgt.where(F.col("table_name") == t.name).drop("table_name"),
+                                    t, top, 1)
+        out = ev if out is None else out.unionByName(ev)
+    return out.drop("captured_at")
+
+
+@query("current_facts", """
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, CAST(o.o_totalprice AS DECIMAL(18,2)) AS o_totalprice,
+       c.c_name, n.n_name, r.r_name
+FROM orders o
+LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def current_facts(spark, sf_dir):
+    """K9: orders with their customer's current (active) dimension rows;
+    customers of the BUILDING segment stand for soft-deleted rows."""
+    from tidemark.operators import history
+    orders = td.read(spark, sf_dir, "orders")
+    cust = td.read(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING")
+    view = history.star_view(orders, [
+        (cust.select("c_custkey", "c_name", "c_nationkey"), "o_custkey", "c_custkey"),
+        (td.read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), "c_nationkey", "n_nationkey"),
+        (td.read(spark, sf_dir, "region").select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey"),
+    ])
+    return view.select("o_orderkey", "o_custkey", "o_orderstatus",
+                       F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+                       "c_name", "n_name", "r_name")
+
+
+# --- B1, B2, B4: capture -------------------------------------------------------
+@query("capture_diff", _DIFF.format(before="tgt", after="cur") + f"""
+SELECT CAST(row_number() OVER (ORDER BY table_name, CAST(user_id AS VARCHAR)) AS BIGINT) AS sequence,
+       CASE change_type WHEN 'removed' THEN 'delete' WHEN 'added' THEN 'insert' ELSE 'update' END AS operation,
+       table_name, CAST(user_id AS VARCHAR) AS primary_key,
+       CASE WHEN change_type = 'removed' THEN '{{}}' ELSE {O.image_json()} END AS data
+FROM d""")
+def capture_diff(spark, sf_dir):
+    """B1+B2: events that turn the middle-of-history snapshot into the
+    current one, numbered 1.. with no gaps by (table, key)."""
+    from tidemark.contracts import FEED as C
+    from tidemark.operators import capture
+    _, tgt, cur = _feed_states(spark, sf_dir)
+    ev = None
+    for t in C.tables:
+        e = capture.capture_diff(tgt.where(F.col("table_name") == t.name).drop("table_name"),
+                                 cur.where(F.col("table_name") == t.name).drop("table_name"), t)
+        ev = e if ev is None else ev.unionByName(e)
+    return capture.to_feed(ev).drop("captured_at")
+
+
+@query("capture_incremental", """
+SELECT o_orderkey, o_orderstatus, o_orderdate,
+       max(o_orderdate) OVER () AS new_watermark
+FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) - INTERVAL 365 DAY FROM orders)""")
+def capture_incremental(spark, sf_dir):
+    """Orders changed in the last year before the newest order date."""
+    from tidemark.operators import capture
+    orders = td.read(spark, sf_dir, "orders")
+    watermark = orders.select(F.max("o_orderdate") - F.expr("INTERVAL 365 DAYS")).scalar()
+    return capture.incremental_extract(orders, "o_orderdate", watermark).select(
+        "o_orderkey", "o_orderstatus", "o_orderdate", "new_watermark")
