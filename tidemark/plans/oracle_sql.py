@@ -89,3 +89,59 @@ def image_json(prefix: str = "") -> str:
             "coalesce('\"' || " + p + "event_type || '\"', 'null') || ',\"value\":' || "
             "coalesce(CAST(" + p + "value AS VARCHAR), 'null') || ',\"k\":' || "
             "coalesce(CAST(" + p + "k AS VARCHAR), 'null') || '}'")
+
+
+# --- data-quality rules -------------------------------------------------------
+RULE_COLS = "rule_id, layer, table_name, column_name, rule_type, violations, status"
+
+
+def _rule_row(rule_id, layer, table, column, rule_type, count_sql) -> str:
+    col = "NULL" if column is None else f"'{column}'"
+    return (f"SELECT '{rule_id}' AS rule_id, '{layer}' AS layer, '{table}' AS table_name, "
+            f"CAST({col} AS VARCHAR) AS column_name, '{rule_type}' AS rule_type, "
+            f"CAST(n AS BIGINT) AS violations, CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END AS status "
+            f"FROM ({count_sql}) AS c(n)")
+
+
+def pk_sql(rule_id, table, keys, layer="source", rule_type="pk_unique", source=None, where="TRUE") -> str:
+    k = ", ".join(keys)
+    src = source or table
+    return _rule_row(rule_id, layer, table, "+".join(keys), rule_type,
+                     f"SELECT count(*) FROM (SELECT {k} FROM {src} WHERE {where} GROUP BY {k} HAVING count(*) > 1) d")
+
+
+def fk_sql(rule_id, table, col, parent, parent_col, layer="source", rule_type="fk",
+           child_src=None, parent_src=None) -> str:
+    c, p = child_src or table, parent_src or parent
+    return _rule_row(rule_id, layer, table, col, rule_type,
+                     f"SELECT count(*) FROM {c} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+                     f"(SELECT 1 FROM {p} pa WHERE pa.{parent_col} = ch.{col})")
+
+
+def row_sql(rule_id, table, column, rule_type, predicate, layer="source", source=None) -> str:
+    return _rule_row(rule_id, layer, table, column, rule_type,
+                     f"SELECT count(*) FILTER (WHERE {predicate}) FROM {source or table}")
+
+
+def contract_rules_sql(contract, rule_types=None) -> str:
+    """Every source-layer rule a contract implies, as UNION ALL of counts."""
+    parts = []
+    for t in contract.tables:
+        def want(rt):
+            return rule_types is None or rt in rule_types
+        if want("pk_unique"):
+            parts.append(pk_sql(f"{t.name}:pk_unique:{'+'.join(t.pk)}", t.name, t.pk))
+        for fk in t.fks:
+            if want("fk"):
+                parts.append(fk_sql(f"{t.name}:fk:{fk.column}", t.name, fk.column, fk.parent, fk.parent_column))
+        for c in t.columns:
+            if not c.nullable and c.name not in t.pk and want("not_null"):
+                parts.append(row_sql(f"{t.name}:not_null:{c.name}", t.name, c.name, "not_null", f"{c.name} IS NULL"))
+            if c.domain and want("enum"):
+                dom = ", ".join("'" + v + "'" for v in c.domain)
+                parts.append(row_sql(f"{t.name}:enum:{c.name}", t.name, c.name, "enum", f"{c.name} NOT IN ({dom})"))
+        for ck in t.checks:
+            if want(ck.rule_type):
+                parts.append(row_sql(f"{t.name}:{ck.rule_type}:{ck.rule_id}", t.name, ck.column, ck.rule_type,
+                                     ck.violation))
+    return "\nUNION ALL\n".join(parts)

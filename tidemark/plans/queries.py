@@ -386,3 +386,108 @@ def capture_incremental(spark, sf_dir):
     watermark = orders.select(F.max("o_orderdate") - F.expr("INTERVAL 365 DAYS")).scalar()
     return capture.incremental_extract(orders, "o_orderdate", watermark).select(
         "o_orderkey", "o_orderstatus", "o_orderdate", "new_watermark")
+
+
+# --- V01-V49 families, L1, L8: rules over the driver's tables ----------------------
+def _testdata_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    from tidemark.contracts import TESTDATA
+    return {t.name: td.read(spark, sf_dir, t.name) for t in TESTDATA.tables}
+
+
+def _run_rules(spark, sf_dir, rule_types):
+    from tidemark.contracts import TESTDATA
+    from tidemark.operators import rules as R
+    picked = [r for r in R.contract_rules(TESTDATA) if r.rule_type in rule_types]
+    return R.evaluate(spark, picked, _testdata_tables(spark, sf_dir)).select(
+        *O.RULE_COLS.split(", "))
+
+
+def _contract_sql(types):
+    from tidemark.contracts import TESTDATA
+    return O.contract_rules_sql(TESTDATA, types)
+
+
+@query("check_pk_unique", _contract_sql({"pk_unique"}))
+def check_pk_unique(spark, sf_dir):
+    return _run_rules(spark, sf_dir, {"pk_unique"})
+
+
+@query("check_fk", _contract_sql({"fk"}))
+def check_fk(spark, sf_dir):
+    return _run_rules(spark, sf_dir, {"fk"})
+
+
+@query("check_not_null", _contract_sql({"not_null"}))
+def check_not_null(spark, sf_dir):
+    return _run_rules(spark, sf_dir, {"not_null"})
+
+
+@query("check_nonnegative", _contract_sql({"nonnegative"}))
+def check_nonnegative(spark, sf_dir):
+    return _run_rules(spark, sf_dir, {"nonnegative"})
+
+
+@query("check_amount_fee", _contract_sql({"amount_fee", "positive"}))
+def check_amount_fee(spark, sf_dir):
+    return _run_rules(spark, sf_dir, {"amount_fee", "positive"})
+
+
+@query("check_enum", _contract_sql({"enum"}))
+def check_enum(spark, sf_dir):
+    return _run_rules(spark, sf_dir, {"enum"})
+
+
+@query("check_suite", _contract_sql(None))
+def check_suite(spark, sf_dir):
+    """Every rule the contract implies, fused per table."""
+    from tidemark.contracts import TESTDATA
+    from tidemark.operators import rules as R
+    return R.evaluate(spark, R.contract_rules(TESTDATA), _testdata_tables(spark, sf_dir)).select(
+        *O.RULE_COLS.split(", "))
+
+
+@query("check_pk_unique_active", O.pk_sql(
+    "lineitem:pk_unique_active:l_orderkey+l_linenumber", "lineitem", ["l_orderkey", "l_linenumber"],
+    layer="warehouse", rule_type="pk_unique_active", where="l_returnflag <> 'R'"))
+def check_pk_unique_active(spark, sf_dir):
+    """V06-V10 shape: duplicate keys among active rows; returned lines
+    (flag R) stand for soft-deleted rows."""
+    from tidemark.operators import rules as R
+    li = td.read(spark, sf_dir, "lineitem").withColumn("_deleted", F.col("l_returnflag") == "R")
+    rule = R.Rule("lineitem:pk_unique_active:l_orderkey+l_linenumber", "warehouse", "lineitem",
+                  "l_orderkey+l_linenumber", "pk_unique_active", "pk",
+                  "{table}: primary key {column} non-uniqueness detected in active warehouse rows",
+                  keys=("l_orderkey", "l_linenumber"), active_only=True)
+    return R.evaluate(spark, [rule], {"lineitem": li}).select(*O.RULE_COLS.split(", "))
+
+
+@query("check_fk_active", O.fk_sql(
+    "orders:fk_active:o_custkey", "orders", "o_custkey", "customer", "c_custkey", layer="warehouse",
+    rule_type="fk_active", parent_src="(SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING')"))
+def check_fk_active(spark, sf_dir):
+    """V16-V18 shape: active children whose parent is missing or deleted;
+    BUILDING customers stand for soft-deleted parents."""
+    from tidemark.operators import rules as R
+    orders = td.read(spark, sf_dir, "orders").withColumn("_deleted", F.lit(False))
+    cust = td.read(spark, sf_dir, "customer").withColumn("_deleted", F.col("c_mktsegment") == "BUILDING")
+    rule = R.Rule("orders:fk_active:o_custkey", "warehouse", "orders", "o_custkey", "fk_active", "fk",
+                  "{table}.{column} -> customer.c_custkey: {n} active warehouse row(s) violate referential integrity",
+                  keys=("o_custkey",), parent="customer", parent_key="c_custkey",
+                  active_only=True, parent_active_only=True)
+    return R.evaluate(spark, [rule], {"orders": orders, "customer": cust}).select(*O.RULE_COLS.split(", "))
+
+
+@query("check_time_order", O.row_sql(
+    "lineitem_orders:time_order:l_shipdate", "lineitem_orders", "l_shipdate", "time_order",
+    "l_shipdate < o_orderdate",
+    source="(SELECT l.l_shipdate, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"))
+def check_time_order(spark, sf_dir):
+    """V43/V44 shape: a line shipped before its order was placed."""
+    from tidemark.operators import rules as R
+    li = td.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate")
+    orders = td.read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    view = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    rule = R.Rule("lineitem_orders:time_order:l_shipdate", "source", "lineitem_orders", "l_shipdate",
+                  "time_order", "row", "{table}: {n} row(s) have a ship date before the order date",
+                  predicate="l_shipdate < o_orderdate")
+    return R.evaluate(spark, [rule], {"lineitem_orders": view}).select(*O.RULE_COLS.split(", "))
