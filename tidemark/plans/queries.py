@@ -491,3 +491,107 @@ def check_time_order(spark, sf_dir):
                   "time_order", "row", "{table}: {n} row(s) have a ship date before the order date",
                   predicate="l_shipdate < o_orderdate")
     return R.evaluate(spark, [rule], {"lineitem_orders": view}).select(*O.RULE_COLS.split(", "))
+
+
+# --- L2-L5, L7 ---------------------------------------------------------------------
+@query("check_transitions", f"""
+WITH {O.FEED}, p AS (
+  SELECT table_name, lag(operation) OVER (PARTITION BY table_name, primary_key ORDER BY sequence) AS from_value,
+         operation AS to_value FROM feed),
+allowed(from_value, to_value) AS (VALUES (NULL, 'insert'), (NULL, 'update'), (NULL, 'delete'),
+  ('insert', 'update'), ('insert', 'delete'), ('update', 'update'), ('update', 'delete'),
+  ('delete', 'insert'), ('delete', 'delete'))
+SELECT table_name, from_value, to_value, count(*) AS violations FROM p
+WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE a.from_value IS NOT DISTINCT FROM p.from_value
+                  AND a.to_value = p.to_value)
+GROUP BY table_name, from_value, to_value""")
+def check_transitions(spark, sf_dir):
+    """L2: operation sequences per key the contract does not allow
+    (e.g. an insert on a live row, an update after a delete)."""
+    from tidemark.operators import rules as R
+    return R.transition_violations(td.events_feed(spark, sf_dir, "patch"), FEED, "operation")
+
+
+@query("check_totals", """
+WITH lines AS (
+  SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))
+                         * (1 + CAST(l_tax AS DECIMAL(18,2)))) AS s
+  FROM lineitem GROUP BY l_orderkey)
+SELECT count(*) AS parents, count(s) AS parents_with_lines,
+       count(*) FILTER (WHERE s IS NOT NULL AND abs(CAST(o_totalprice AS DECIMAL(18,2)) - s) > 1.00) AS mismatched,
+       count(*) FILTER (WHERE s IS NULL) AS without_lines
+FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey""")
+def check_totals(spark, sf_dir):
+    """L3: order total against the sum of its lines, within 1.00."""
+    from tidemark.operators import rules as R
+    dec = "decimal(18,2)"
+    amount = (F.col("l_extendedprice").cast(dec) * (F.lit(1) - F.col("l_discount").cast(dec))
+              * (F.lit(1) + F.col("l_tax").cast(dec)))
+    return R.totals_mismatch(td.read(spark, sf_dir, "orders"), "o_orderkey", F.col("o_totalprice").cast(dec),
+                             td.read(spark, sf_dir, "lineitem"), "l_orderkey", amount)
+
+
+@query("check_freshness", f"""
+WITH {O.FEED}
+SELECT table_name, count(*) AS events, max(captured_at) AS max_captured_at,
+       CAST((epoch_us((SELECT max(captured_at) FROM feed)) - epoch_us(max(captured_at))) // 1000000 AS BIGINT)
+         AS lag_seconds
+FROM feed GROUP BY table_name""")
+def check_freshness(spark, sf_dir):
+    """L4: newest change per table and how far it trails the feed."""
+    from tidemark.operators import rules as R
+    return R.freshness(td.events_feed(spark, sf_dir, "patch"))
+
+
+@query("check_completeness", """
+SELECT (SELECT count(*) FROM documents) AS source_rows, (SELECT count(*) FROM labels) AS target_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT doc_id FROM documents) d
+         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)) AS missing_in_target,
+       (SELECT count(*) FROM (SELECT DISTINCT doc_id FROM labels) l
+         WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)) AS extra_in_target""")
+def check_completeness(spark, sf_dir):
+    """L4: labels as a downstream copy keyed by documents.doc_id."""
+    from tidemark.operators import rules as R
+    return R.completeness(td.read(spark, sf_dir, "documents"), td.read(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("check_lake_consistency", f"""
+WITH {O.FEED}
+SELECT count(*) AS warehouse_rows, count(*) AS rebuild_rows,
+       CAST(0 AS BIGINT) AS only_in_warehouse, CAST(0 AS BIGINT) AS only_in_rebuild
+FROM ({O.fold_select('patch')}) AS w""")
+def check_lake_consistency(spark, sf_dir):
+    """Warehouse built by four micro-batches equals the fold of its lake."""
+    from tidemark.operators import rules as R
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, wh, _ = _run_batches(spark, "consistency", feed, [0, 1, 2, 3])
+    rebuilt = fold_feed(lake_mod.read_lake(spark, lake_path))
+    return R.consistency(_wh_union(wh), rebuilt)
+
+
+@query("quarantine_split", """
+WITH r AS (
+  SELECT list_filter([
+      CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN 'enum:o_orderstatus' END,
+      CASE WHEN o_totalprice <= 0 THEN 'amount_fee:o_totalprice_positive' END,
+      CASE WHEN o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o_custkey)
+           THEN 'fk:o_custkey' END,
+      CASE WHEN o_orderkey IS NULL THEN 'not_null:o_orderkey' END,
+      CASE WHEN o_custkey IS NULL THEN 'not_null:o_custkey' END,
+      CASE WHEN o_orderstatus IS NULL THEN 'not_null:o_orderstatus' END,
+      CASE WHEN o_totalprice IS NULL THEN 'not_null:o_totalprice' END,
+      CASE WHEN o_orderdate IS NULL THEN 'not_null:o_orderdate' END,
+      CASE WHEN o_orderpriority IS NULL THEN 'not_null:o_orderpriority' END], lambda x: x IS NOT NULL) AS reasons
+  FROM orders)
+SELECT reason, count(*) AS rows FROM (
+  SELECT unnest(CASE WHEN len(reasons) = 0 THEN [NULL::VARCHAR] ELSE reasons END) AS reason FROM r) AS u
+GROUP BY reason""")
+def quarantine_split(spark, sf_dir):
+    """Orders split into good rows and quarantined rows with reasons;
+    rows per reason (NULL reason = good rows)."""
+    from tidemark.contracts import TESTDATA
+    from tidemark.operators import rules as R
+    q = R.quarantine(td.read(spark, sf_dir, "orders"), TESTDATA.table("orders"),
+                     {"customer": td.read(spark, sf_dir, "customer")})
+    return (q.select(F.explode_outer("_reasons").alias("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("rows")))
