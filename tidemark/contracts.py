@@ -318,3 +318,32 @@ TESTDATA = Contract(name="testdata", tables=(
                       "l_extendedprice <= 0 OR l_discount < 0",
                       "row(s) have invalid line amount or discount"),)),
 ))
+
+
+def retyped(contract: Contract, column: str, dtype: T.DataType, name: str | None = None) -> Contract:
+    """The same contract with ``column`` declared as ``dtype`` in every table
+    that has it (models a contract revision the upstream does not follow)."""
+    tables = []
+    for t in contract.tables:
+        cols = tuple(Column(c.name, dtype, c.nullable, c.domain, c.default) if c.name == column else c
+                     for c in t.columns)
+        tables.append(TableContract(t.name, cols, t.pk, t.fks, t.checks, t.transitions, t.description))
+    return Contract(tuple(tables), name or f"{contract.name}_retyped")
+
+
+def extended(contract: Contract, extra: dict[str, tuple[Column, ...]], name: str | None = None) -> Contract:
+    """The same contract expecting more columns in some tables."""
+    tables = []
+    for t in contract.tables:
+        cols = t.columns + tuple(extra.get(t.name, ()))
+        tables.append(TableContract(t.name, cols, t.pk, t.fks, t.checks, t.transitions, t.description))
+    return Contract(tuple(tables), name or f"{contract.name}_extended")
+
+
+# The standard TPC-H columns of lineitem and orders that the
+# driver's trimmed tables do not ship (a source that dropped columns).
+TPCH_STANDARD = extended(TESTDATA, {
+    "lineitem": (_c("l_commitdate", TS, False), _c("l_receiptdate", TS, False),
+                 _c("l_shipinstruct", STR, False), _c("l_shipmode", STR, False), _c("l_comment", STR, False)),
+    "orders": (_c("o_clerk", STR, False), _c("o_shippriority", INT, False), _c("o_comment", STR, False)),
+}, name="tpch_standard")

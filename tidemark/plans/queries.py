@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contracts import FEED
 from tidemark.operators import fold as fold_mod
@@ -595,3 +596,77 @@ def quarantine_split(spark, sf_dir):
                      {"customer": td.read(spark, sf_dir, "customer")})
     return (q.select(F.explode_outer("_reasons").alias("reason"))
             .groupBy("reason").agg(F.count(F.lit(1)).alias("rows")))
+
+
+# --- G1-G6: schema gate ----------------------------------------------------------------
+def _contract_check_sql() -> str:
+    from tidemark.contracts import TPCH_STANDARD
+    vals = ", ".join(f"('{t.name}', '{c.name}', '{c.dtype.simpleString()}')"
+                     for t in TPCH_STANDARD.tables for c in t.columns)
+    parts = [f"""SELECT e.table_name, e.column_name, 'missing_column' AS problem, e.expected,
+       CAST(NULL AS VARCHAR) AS actual, CAST(NULL AS BIGINT) AS rows
+FROM (VALUES {vals}) AS e(table_name, column_name, expected)
+WHERE NOT EXISTS (SELECT 1 FROM information_schema.columns c
+                  WHERE c.table_name = e.table_name AND c.column_name = e.column_name)"""]
+    for t in TPCH_STANDARD.tables:
+        for c in t.columns:
+            if c.domain:
+                dom = ", ".join(f"'{v}'" for v in c.domain)
+                parts.append(f"SELECT '{t.name}', '{c.name}', 'outside_domain', '{','.join(c.domain)}', "
+                             f"CAST(NULL AS VARCHAR), count(*) FILTER (WHERE {c.name} NOT IN ({dom})) FROM {t.name}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("contract_check", _contract_check_sql())
+def contract_check(spark, sf_dir):
+    """G1+G3: the driver's tables against the standard TPC-H column set:
+    dropped columns, type changes and values outside declared domains."""
+    from tidemark.contracts import TPCH_STANDARD
+    from tidemark.operators import schema_gate
+    return schema_gate.schema_report(_testdata_tables(spark, sf_dir), TPCH_STANDARD)
+
+
+@query("payload_key_drift", f"""
+WITH {O.FEED}
+SELECT table_name, operation, 'value' AS key_name, 'missing_key' AS drift, count(*) AS events,
+       min(sequence) AS first_sequence
+FROM feed WHERE operation <> 'delete' AND event_type = 'view' GROUP BY table_name, operation""")
+def payload_key_drift(spark, sf_dir):
+    """Keys sent vs keys declared, on the partial-row feed."""
+    from tidemark.operators import schema_gate
+    return schema_gate.payload_key_drift(td.events_feed(spark, sf_dir, "patch"), FEED)
+
+
+def _type_drift_sql() -> str:
+    cond = "operation <> 'delete' AND event_type <> 'view' AND value >= 100"
+    parts = []
+    for t in ("accounts", "devices"):
+        for c in ("user_id", "event_type", "value", "k"):
+            if c == "value":
+                parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                             f"count(*) FILTER (WHERE {cond}) AS bad_values, "
+                             f"min(sequence) FILTER (WHERE {cond}) AS first_sequence FROM feed WHERE table_name = '{t}'")
+            else:
+                parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(0 AS BIGINT) AS bad_values, "
+                             "CAST(NULL AS BIGINT) AS first_sequence")
+    return f"WITH {O.FEED} " + "\nUNION ALL\n".join(parts)
+
+
+@query("payload_type_drift", _type_drift_sql())
+def payload_type_drift(spark, sf_dir):
+    """The feed checked against a contract revision that narrowed
+    ``value`` to decimal(4,2): every value from 100.00 up no longer fits."""
+    from tidemark.contracts import retyped
+    from tidemark.operators import schema_gate
+    narrow = retyped(FEED, "value", T.DecimalType(4, 2))
+    return schema_gate.payload_type_drift(td.events_feed(spark, sf_dir, "patch"), narrow)
+
+
+@query("key_agreement", f"""
+WITH {O.FEED}
+SELECT table_name, count(*) AS upserts, CAST(0 AS BIGINT) AS mismatches, CAST(0 AS BIGINT) AS missing_key
+FROM feed WHERE operation <> 'delete' GROUP BY table_name""")
+def key_agreement(spark, sf_dir):
+    """Payload key equals the event's primary_key on every upsert."""
+    from tidemark.operators import schema_gate
+    return schema_gate.key_agreement(td.events_feed(spark, sf_dir, "image"), FEED)
