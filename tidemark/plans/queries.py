@@ -670,3 +670,45 @@ def key_agreement(spark, sf_dir):
     """Payload key equals the event's primary_key on every upsert."""
     from tidemark.operators import schema_gate
     return schema_gate.key_agreement(td.events_feed(spark, sf_dir, "image"), FEED)
+
+
+# --- J1-J9: streaming ------------------------------------------------------------------
+def _landing(spark, feed: DataFrame, root: str, order: list[int], replay: int | None = None) -> str:
+    """Drop the feed into a landing folder as files, one write per
+    micro-batch range in ``order`` (plus an optional replayed range)."""
+    landing = f"{root}/landing"
+    bounds = quarter_bounds(feed)
+    for i in order + ([replay] if replay is not None else []):
+        _slice(feed, *bounds[i]).write.mode("append").parquet(landing)
+    return landing
+
+
+@query("stream_lake_append", f"""
+WITH {O.FEED}
+SELECT sequence, operation, table_name, primary_key, {O.json_payload('image')} AS data, captured_at
+FROM feed""")
+def stream_lake_append(spark, sf_dir):
+    """A file stream (newest range first, one range replayed)
+    appended to the lake in several micro-batches: each event stored once."""
+    from tidemark.session import new_work_dir
+    from tidemark.streaming import pipeline
+    root = new_work_dir(spark, "stream_lake")
+    landing = _landing(spark, td.events_feed(spark, sf_dir, "image"), root, [3, 1, 2, 0], replay=1)
+    feed = pipeline.read_feed_files(spark, landing, max_files_per_trigger=4)
+    pipeline.run_available(feed, f"{root}/lake", None, f"{root}/checkpoint")
+    return lake_mod.read_lake(spark, f"{root}/lake").select(*lake_mod.LAKE_COLUMNS)
+
+
+@query("stream_warehouse", f"WITH {O.FEED} {O.fold_select('patch')}")
+def stream_warehouse(spark, sf_dir):
+    """Gate -> lake -> warehouse inside foreachBatch, late and
+    replayed micro-batches included; ends equal to the fold of the feed."""
+    from tidemark.operators.warehouse import Warehouse
+    from tidemark.session import new_work_dir
+    from tidemark.streaming import pipeline
+    root = new_work_dir(spark, "stream_wh")
+    landing = _landing(spark, td.events_feed(spark, sf_dir, "patch"), root, [2, 3, 0, 1], replay=0)
+    wh = Warehouse(spark, f"{root}/warehouse", FEED)
+    feed = pipeline.read_feed_files(spark, landing, max_files_per_trigger=4)
+    pipeline.run_available(feed, f"{root}/lake", wh, f"{root}/checkpoint")
+    return _wh_union(wh)
