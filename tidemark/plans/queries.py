@@ -712,3 +712,57 @@ def stream_warehouse(spark, sf_dir):
     feed = pipeline.read_feed_files(spark, landing, max_files_per_trigger=4)
     pipeline.run_available(feed, f"{root}/lake", wh, f"{root}/checkpoint")
     return _wh_union(wh)
+
+
+# --- M4, M6: catalog ---------------------------------------------------------------------
+def _catalog_drift_sql() -> str:
+    from tidemark.contracts import TESTDATA, TPCH_STANDARD
+    pub = ", ".join(f"('{t.name}', '{c.name}', '{c.dtype.simpleString()}', {str(c.nullable).lower()})"
+                    for t in TPCH_STANDARD.tables for c in t.columns)
+    nulls = "\nUNION ALL\n".join(
+        f"SELECT '{t.name}' AS dataset, '{c.name}' AS column_name, "
+        f"count(*) FILTER (WHERE {c.name} IS NULL) AS null_rows FROM {t.name}"
+        for t in TESTDATA.tables for c in t.columns if not c.nullable)
+    return f"""
+WITH pub(dataset, column_name, published_type, published_nullable) AS (VALUES {pub}),
+act AS (SELECT table_name AS dataset, column_name,
+               CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+                              WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                              ELSE lower(data_type) END AS actual_type
+        FROM information_schema.columns),
+nulls AS ({nulls})
+SELECT p.dataset, p.column_name, p.published_type, a.actual_type, p.published_nullable, n.null_rows,
+       CASE WHEN a.actual_type IS NULL THEN 'missing' WHEN p.published_type <> a.actual_type THEN 'type'
+            WHEN coalesce(n.null_rows, 0) > 0 THEN 'nulls' ELSE 'ok' END AS drift
+FROM pub p LEFT JOIN act a ON p.dataset = a.dataset AND p.column_name = a.column_name
+LEFT JOIN nulls n ON p.dataset = n.dataset AND p.column_name = n.column_name"""
+
+
+@query("catalog_drift", _catalog_drift_sql())
+def catalog_drift(spark, sf_dir):
+    """M4: the standard TPC-H column set published as the catalog of the
+    driver's tables, checked against the data (types, missing columns and a
+    NULL scan of every column published as not nullable)."""
+    from tidemark.contracts import TPCH_STANDARD
+    from tidemark.operators import catalog
+    published = spark.createDataFrame(
+        [(t.name, c.name, c.dtype.simpleString(), c.nullable) for t in TPCH_STANDARD.tables for c in t.columns],
+        "dataset string, column_name string, published_type string, published_nullable boolean")
+    return catalog.drift(published, _testdata_tables(spark, sf_dir))
+
+
+@query("catalog_profile", f"""
+WITH {O.FEED}, w AS ({O.fold_select('patch')})
+SELECT 'lake_cdc_events' AS dataset, 'lake' AS layer, count(*) AS rows, CAST(NULL AS BIGINT) AS active_rows,
+       max(sequence) AS max_sequence, max(captured_at) AS max_captured_at FROM feed
+UNION ALL
+SELECT 'wh_' || table_name, 'warehouse', count(*), count(*) FILTER (WHERE NOT _deleted), max(_cdc_seq),
+       CAST(NULL AS TIMESTAMP) FROM w GROUP BY table_name""")
+def catalog_profile(spark, sf_dir):
+    """M6: published profile of the lake and the warehouse tables."""
+    from tidemark.operators import catalog
+    feed = td.events_feed(spark, sf_dir, "patch")
+    folded = wh_mod.fold_tables(feed, FEED)
+    datasets = {"lake_cdc_events": ("lake", feed)}
+    datasets.update({FEED.table(n).wh_name: ("warehouse", df) for n, df in folded.items()})
+    return catalog.profile(datasets)
