@@ -58,3 +58,17 @@ def raw_text(data: Column | str, name: str) -> Column:
     """Raw JSON text of one top-level field (for drift checks only: a lossy
     path for big decimals, never used for values)."""
     return F.get_json_object(data, f"$.{name}")
+
+
+NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
+def bad_value(parsed_field: Column, key_array: Column, raw: Column, dtype: T.DataType, name: str) -> Column:
+    """Value present and not null in the JSON, but unusable as ``dtype``:
+    the typed parse gave NULL, or a numeric field was not plain number
+    text (Spark's JSON reader would read "12,5" as 125 for a decimal)."""
+    present = has_key(key_array, name) & raw.isNotNull()
+    bad = parsed_field.isNull()
+    if isinstance(dtype, T.NumericType):
+        bad = bad | ~raw.rlike(NUMBER_TEXT)
+    return present & bad

@@ -143,10 +143,9 @@ def payload_key_drift(feed: DataFrame, contract: Contract) -> DataFrame:
 
 
 def _bad_value(t: TableContract, name: str) -> Column:
-    """Key present, raw JSON value not null, typed value NULL."""
-    typed = payload.typed("data", t).getField(name)
-    return payload.has_key(payload.keys("data"), name) & payload.raw_text("data", name).isNotNull() \
-        & typed.isNull()
+    """Key present, raw JSON value not null, value unusable as the contract type."""
+    return payload.bad_value(payload.typed("data", t).getField(name), payload.keys("data"),
+                             payload.raw_text("data", name), t.column(name).dtype, name)
 
 
 def payload_type_drift(feed: DataFrame, contract: Contract) -> DataFrame:
@@ -159,7 +158,7 @@ def payload_type_drift(feed: DataFrame, contract: Contract) -> DataFrame:
                            *[payload.raw_text("data", c).alias(f"_r_{c}") for c in t.column_names])
         aggs = []
         for c in t.column_names:
-            bad = payload.has_key(F.col("_k"), c) & F.col(f"_r_{c}").isNotNull() & F.col("_p").getField(c).isNull()
+            bad = payload.bad_value(F.col("_p").getField(c), F.col("_k"), F.col(f"_r_{c}"), t.column(c).dtype, c)
             aggs.append(F.struct(F.lit(c).alias("column_name"), F.count_if(bad).alias("bad_values"),
                                  F.min(F.when(bad, F.col("sequence"))).alias("first_sequence")))
         parts.append(parsed.agg(F.array(*aggs).alias("a")).select(

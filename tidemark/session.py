@@ -80,4 +80,5 @@ def work_root(spark: SparkSession) -> str:
 
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the work root for one run of ``name``."""
-    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    safe = "".join(ch if ch.isalnum() or ch in "-_" else "_" for ch in name)
+    return f"{work_root(spark)}/{safe}-{uuid.uuid4().hex[:12]}"
