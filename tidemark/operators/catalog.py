@@ -278,8 +278,11 @@ def register(spark: SparkSession, doc: dict, locations: dict[str, str], database
         part = " PARTITIONED BY (`table_name`)" if d["layer"] == "lake" else ""
         if part:
             cols += ", `table_name` string COMMENT 'source table'"
-        props = ", ".join(f"{json.dumps(k)} = {json.dumps(str(d[k]))}"
-                          for k in ("layer", "owner", "intended_audience", "update_cadence"))
+        # "owner" is a reserved Spark table property, so the catalog owner is
+        # stored as data_owner.
+        props = ", ".join(f"{json.dumps(prop)} = {json.dumps(str(d[k]))}" for prop, k in (
+            ("layer", "layer"), ("data_owner", "owner"), ("intended_audience", "intended_audience"),
+            ("update_cadence", "update_cadence")))
         table = f"`{database}`.`{d['name']}`"
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{part} LOCATION '{loc}' "
@@ -288,3 +291,9 @@ def register(spark: SparkSession, doc: dict, locations: dict[str, str], database
             spark.sql(f"MSCK REPAIR TABLE {table}")
         made.append(table)
     return made
+
+
+def shipped_catalog_path() -> str:
+    """The catalog document shipped for the payments contract."""
+    from pathlib import Path
+    return str(Path(__file__).resolve().parents[1] / "catalog" / "payments_catalog.json")
