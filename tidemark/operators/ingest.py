@@ -29,12 +29,16 @@ def pending_batches(spark: SparkSession, lake_path: str, warehouse: Warehouse) -
 
 def ingest(spark: SparkSession, lake_path: str, warehouse: Warehouse, feed: DataFrame,
            batch_id: int | None = None, gate: bool = True) -> IngestReport:
+    from tidemark.operators import schema_gate
+    batch = feed.select(*lm.LAKE_COLUMNS)
+    # One pass over the input: lake door checks and the payload gate together.
+    stats = lm.door_stats(batch, schema_gate.gate_aggs(warehouse.contract) if gate else [])
     if gate:
-        from tidemark.operators import schema_gate
-        schema_gate.assert_payloads_compatible(feed, warehouse.contract)
-    res = lm.append(spark, lake_path, feed, batch_id)
+        schema_gate.raise_if_gate_failed(stats.extra)
+    res = lm.append(spark, lake_path, batch, batch_id, stats=stats)
     report = IngestReport(res)
     lake = lm.read_lake(spark, lake_path)
     for b in pending_batches(spark, lake_path, warehouse):
-        report.applied += warehouse.apply(lake_path, lm.batch_rows(lake, b), b)
+        known = res.tables if (b == res.batch_id and res.tables is not None) else None
+        report.applied += warehouse.apply(lake_path, lm.batch_rows(lake, b), b, known)
     return report

@@ -51,6 +51,7 @@ class AppendResult:
     duplicates_in_batch: int
     already_in_lake: int
     conflicts: int
+    tables: dict = None  # table -> (rows, min seq, max seq) written
 
 
 def content_hash(df: DataFrame) -> F.Column:
@@ -59,7 +60,7 @@ def content_hash(df: DataFrame) -> F.Column:
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """The lake as a DataFrame (empty, typed, if nothing was written yet)."""
-    if not fs.has_data(spark, path):
+    if not fs.exists(spark, path):
         return spark.createDataFrame([], STORED_SCHEMA)
     return spark.read.schema(STORED_SCHEMA).parquet(path).select(*STORED_COLUMNS)
 
@@ -85,20 +86,43 @@ def operation_check(feed: DataFrame) -> DataFrame:
             .withColumn("is_valid", F.col("operation").isin(*OPERATIONS)))
 
 
-def door_stats(batch: DataFrame) -> dict:
-    """One pass over the batch: size, sequence bounds, NULLs and bad ops."""
+@dataclass
+class DoorStats:
+    """Result of the one pass over an incoming batch."""
+    n: int
+    lo: int | None
+    hi: int | None
+    bad_ops: int
+    nulls: dict[str, int]
+    tables: dict[str | None, tuple[int, int, int]]  # table -> (rows, min seq, max seq)
+    extra: dict[str, int]  # sums of caller-supplied count aggregates (e.g. the payload gate)
+
+
+def door_stats(batch: DataFrame, extra: list[F.Column] = ()) -> DoorStats:
+    """One aggregate over the batch, grouped by table (few groups, partial
+    aggregation): size, sequence bounds, NULL lake columns, bad operation
+    codes, plus any extra count aggregates the caller wants in the same scan."""
     aggs = [F.count(F.lit(1)).alias("n"), F.min("sequence").alias("lo"), F.max("sequence").alias("hi"),
             F.count_if(~F.col("operation").isin(*OPERATIONS)).alias("bad_ops")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_COLUMNS]
-    row = batch.agg(*aggs).first()
-    return row.asDict()
-
-
-def require_clean_door(stats: dict) -> None:
-    if stats["bad_ops"]:
+    rows = batch.groupBy("table_name").agg(*aggs, *extra).collect()
+    extra_names = [f for f in (rows[0].asDict().keys() if rows else []) if f not in
+                   {"table_name", "n", "lo", "hi", "bad_ops"} and not f.startswith("null_")]
+    los = [r["lo"] for r in rows if r["lo"] is not None]
+    his = [r["hi"] for r in rows if r["hi"] is not None]
+    return DoorStats(
+        n=sum(r["n"] for r in rows), lo=min(los) if los else None, hi=max(his) if his else None,
+        bad_ops=sum(r["bad_ops"] for r in rows),
+        nulls={c: sum(r[f"null_{c}"] for r in rows) for c in LAKE_COLUMNS},
+        tables={r["table_name"]: (r["n"], r["lo"], r["hi"]) for r in rows},
+        extra={k: sum(r[k] or 0 for r in rows) for k in extra_names})
+
+
+def require_clean_door(stats: DoorStats) -> None:
+    if stats.bad_ops:
         raise InvalidOperationError(
-            f"Invalid CDC operation in {stats['bad_ops']} event(s). Must be one of: {sorted(OPERATIONS)}")
-    nulls = {c: stats[f"null_{c}"] for c in LAKE_COLUMNS if stats[f"null_{c}"]}
+            f"Invalid CDC operation in {stats.bad_ops} event(s). Must be one of: {sorted(OPERATIONS)}")
+    nulls = {c: n for c, n in stats.nulls.items() if n}
     if nulls:
         raise LakeDoorError(f"lake columns must not be NULL: {nulls}")
 
@@ -111,20 +135,22 @@ def dedup_batch(batch: DataFrame, restore: bool = False) -> DataFrame:
     return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def _stored_range(lake: DataFrame, lo, hi) -> DataFrame:
+    """(sequence, content hash) of source rows already in the lake within
+    [lo, hi]: the range filter is pushed into the Parquet scan."""
+    return (lake.where((F.col(RESTORE_NO) == 0) & F.col("sequence").between(lo, hi))
+            .select("sequence", content_hash(lake).alias("_h_lake")))
+
+
 def new_rows(batch: DataFrame, lake: DataFrame, lo, hi) -> DataFrame:
-    """Batch rows whose sequence is not in the lake yet (source rows only).
-    The lake side is cut to the batch's sequence range before the join."""
-    seen = (lake.where((F.col(RESTORE_NO) == 0) & F.col("sequence").between(lo, hi))
-            .select("sequence"))
-    return batch.join(seen, "sequence", "left_anti")
+    """Batch rows whose sequence is not in the lake yet (source rows only)."""
+    return batch.join(_stored_range(lake, lo, hi).select("sequence"), "sequence", "left_anti")
 
 
 def conflicts(batch: DataFrame, lake: DataFrame, lo, hi) -> DataFrame:
     """Batch rows whose sequence is already stored with different content."""
-    stored = (lake.where((F.col(RESTORE_NO) == 0) & F.col("sequence").between(lo, hi))
-              .select("sequence", content_hash(lake).alias("_h_lake")))
     return (batch.select("sequence", content_hash(batch).alias("_h"))
-            .join(stored, "sequence").where(F.col("_h") != F.col("_h_lake")))
+            .join(_stored_range(lake, lo, hi), "sequence").where(F.col("_h") != F.col("_h_lake")))
 
 
 def committed_batches(spark: SparkSession, path: str) -> list[int]:
@@ -137,47 +163,66 @@ def next_batch_id(spark: SparkSession, path: str) -> int:
     return (done[-1] + 1) if done else 1
 
 
-def write_rows(rows: DataFrame, path: str) -> int:
-    """Append stored-schema rows, files sorted by sequence; returns rows written."""
+def write_rows(rows: DataFrame, path: str, tables: list[str] = ()) -> tuple[int, dict]:
+    """Append stored-schema rows, files sorted by sequence.  Returns rows
+    written and, per table in ``tables``, (rows, min seq, max seq) written,
+    all observed during the write itself (no extra pass)."""
     obs = Observation("lake_write")
-    out = rows.select(*STORED_COLUMNS).observe(obs, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for i, t in enumerate(tables):
+        mine = F.col("table_name") == t
+        metrics += [F.count_if(mine).alias(f"n{i}"), F.min(F.when(mine, F.col("sequence"))).alias(f"lo{i}"),
+                    F.max(F.when(mine, F.col("sequence"))).alias(f"hi{i}")]
+    out = rows.select(*STORED_COLUMNS).observe(obs, *metrics)
     # No repartition by table: one hot table would become one task.  Each
     # task writes its rows per table, sorted by sequence (tight min/max).
     (out.sortWithinPartitions("table_name", "sequence")
         .write.mode("append").partitionBy("table_name").parquet(path))
-    return int(obs.get["rows"])
+    got = obs.get
+    per = {t: (int(got[f"n{i}"]), got[f"lo{i}"], got[f"hi{i}"]) for i, t in enumerate(tables)
+           if got[f"n{i}"]}
+    return int(got["rows"]), per
 
 
 def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None = None,
-           restore_no: int = 0) -> AppendResult:
-    """Idempotent append of change events; returns what was written."""
+           restore_no: int = 0, stats: DoorStats | None = None) -> AppendResult:
+    """Idempotent append of change events; returns what was written.
+
+    Jobs: the door pass (skipped when ``stats`` is given) and one write job
+    (dedup window, left join with the lake's sequence range, filter, write),
+    whose counts come from observations on the way."""
     if batch_id is None:
         batch_id = next_batch_id(spark, path)
     batch = feed.select(*LAKE_COLUMNS)
-    stats = door_stats(batch)
-    if not stats["n"]:
+    stats = stats or door_stats(batch)
+    if not stats.n:
         return AppendResult(batch_id, 0, 0, 0, 0, 0)
     require_clean_door(stats)
     batch = (batch.withColumn(INGEST_BATCH, F.lit(batch_id).cast("long"))
              .withColumn(RESTORE_NO, F.lit(restore_no).cast("int")))
-    unique = dedup_batch(batch, restore=bool(restore_no)).persist()
-    try:
-        n_unique = unique.count()
-        lake = read_lake(spark, path)
-        if restore_no:
-            fresh = unique
-            n_conflicts = 0
-        else:
-            fresh = new_rows(unique, lake, stats["lo"], stats["hi"])
-            n_conflicts = conflicts(unique, lake, stats["lo"], stats["hi"]).count()
-        written = write_rows(fresh, path)
-    finally:
-        unique.unpersist()
+    unique = dedup_batch(batch, restore=bool(restore_no))
+    seen = Observation("lake_dedup")
+    if restore_no:
+        fresh = unique.observe(seen, F.count(F.lit(1)).alias("unique"), F.lit(0).alias("already"),
+                               F.lit(0).alias("conflicts"))
+    else:
+        j = unique.withColumn("_h", content_hash(unique)).join(
+            _stored_range(read_lake(spark, path), stats.lo, stats.hi), "sequence", "left")
+        fresh = (j.observe(seen, F.count(F.lit(1)).alias("unique"),
+                           F.count_if(F.col("_h_lake").isNotNull()).alias("already"),
+                           F.count_if(F.col("_h_lake").isNotNull() & (F.col("_h") != F.col("_h_lake")))
+                           .alias("conflicts"))
+                 .where(F.col("_h_lake").isNull()))
+    written, per_table = write_rows(fresh, path, [t for t in stats.tables if t is not None])
+    s = seen.get
     fs.write_json_atomic(spark, f"{path}/{COMMITS}/{batch_id:020d}.json",
-                         {"batch_id": batch_id, "written": written, "received": stats["n"],
-                          "lo": stats["lo"], "hi": stats["hi"], "restore_no": restore_no})
-    return AppendResult(batch_id, stats["n"], written, stats["n"] - n_unique,
-                        n_unique - written, n_conflicts)
+                         {"batch_id": batch_id, "written": written, "received": stats.n,
+                          "lo": stats.lo, "hi": stats.hi, "restore_no": restore_no,
+                          "tables": {t: list(v) for t, v in per_table.items()}})
+    res = AppendResult(batch_id, stats.n, written, stats.n - int(s["unique"]), int(s["already"]),
+                       int(s["conflicts"]))
+    res.tables = per_table
+    return res
 
 
 def batch_rows(lake: DataFrame, batch_id: int) -> DataFrame:

@@ -182,9 +182,12 @@ def key_agreement(feed: DataFrame, contract: Contract) -> DataFrame:
         F.count_if(payload_pk.isNull()).alias("missing_key"))
 
 
-def assert_payloads_compatible(feed: DataFrame, contract: Contract) -> None:
-    """Stop-the-line gate for a batch: unknown payload keys, values of the
-    wrong type, or payload key != primary_key.  One aggregate, no write."""
+GATE_CHECKS = ("gate_unknown_keys", "gate_bad_types", "gate_pk_mismatch")
+
+
+def gate_aggs(contract: Contract) -> list[Column]:
+    """G4-G6 as count aggregates (unknown payload keys, values of the wrong
+    type, payload key != primary_key), to run inside another pass."""
     keys = payload.keys("data")
 
     def unknown(t):
@@ -200,13 +203,18 @@ def assert_payloads_compatible(feed: DataFrame, contract: Contract) -> None:
         v = payload.typed("data", t).getField(t.single_pk).cast("string")
         return (F.col("operation") != "delete") & v.isNotNull() & (v != F.col("primary_key"))
 
-    row = feed.agg(
-        F.count_if(F.coalesce(_per_table(contract, unknown), F.lit(False))).alias("unknown_keys"),
-        F.count_if(F.coalesce(_per_table(contract, bad_type), F.lit(False))).alias("bad_types"),
-        F.count_if(F.coalesce(_per_table(contract, pk_mismatch), F.lit(False))).alias("pk_mismatch"),
-    ).first()
-    problems = [f"{k}: {row[k]} event(s)" for k in ("unknown_keys", "bad_types", "pk_mismatch") if row[k]]
+    return [F.count_if(F.coalesce(_per_table(contract, fn), F.lit(False))).alias(name)
+            for name, fn in zip(GATE_CHECKS, (unknown, bad_type, pk_mismatch))]
+
+
+def raise_if_gate_failed(counts: dict[str, int]) -> None:
+    problems = [f"{k.removeprefix('gate_')}: {counts[k]} event(s)" for k in GATE_CHECKS if counts.get(k)]
     if problems:
         msg = stop_message([f"payload {p}" for p in problems])
         logger.error(msg)
         raise SchemaIncompatibilityError(msg)
+
+
+def assert_payloads_compatible(feed: DataFrame, contract: Contract) -> None:
+    """Stop-the-line gate for a batch: one aggregate, no write."""
+    raise_if_gate_failed(feed.agg(*gate_aggs(contract)).first().asDict())

@@ -60,8 +60,10 @@ class Warehouse:
         return sorted(out, key=lambda m: m["version"])
 
     def current_meta(self, table: TableContract) -> dict | None:
-        c = self.commits(table)
-        return c[-1] if c else None
+        """Newest commit marker (names are zero-padded: the max name wins)."""
+        d = f"{self.table_dir(table)}/_commits"
+        names = [n for n in fs.list_names(self.spark, d) if n.endswith(".json") and not n.startswith(".")]
+        return fs.read_json(self.spark, f"{d}/{max(names)}") if names else None
 
     def read(self, table: TableContract | str, version: int | None = None) -> DataFrame:
         """K8: the snapshot at ``version`` (default: latest committed)."""
@@ -105,12 +107,18 @@ class Warehouse:
             changed = fold_mod.fold(history, table)
         return untouched.unionByName(changed)
 
-    def apply(self, lake_path: str, delta: DataFrame, batch_id: int) -> list[ApplyReport]:
-        """Apply the lake rows of one ingest batch (``delta``: stored lake rows)."""
-        stats = {r["table_name"]: r for r in
-                 delta.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"),
-                                                 F.min("sequence").alias("lo"),
-                                                 F.max("sequence").alias("hi")).collect()}
+    def apply(self, lake_path: str, delta: DataFrame, batch_id: int,
+              table_stats: dict | None = None) -> list[ApplyReport]:
+        """Apply the lake rows of one ingest batch (``delta``: stored lake rows).
+        ``table_stats`` (table -> (rows, min seq, max seq)), when the caller
+        observed them while writing the batch, saves one pass over it."""
+        if table_stats is None:
+            stats = {r["table_name"]: r for r in
+                     delta.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"),
+                                                     F.min("sequence").alias("lo"),
+                                                     F.max("sequence").alias("hi")).collect()}
+        else:
+            stats = {t: {"n": v[0], "lo": v[1], "hi": v[2]} for t, v in table_stats.items()}
         reports = []
         lake = None
         for table in self.contract.tables:

@@ -48,17 +48,20 @@ def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool =
         batch_id = int(epoch_id) + 1
         feed = batch.select(*LAKE_COLUMNS).persist()
         try:
-            if gate and warehouse is not None:
-                schema_gate.assert_payloads_compatible(feed, warehouse.contract)
+            check = gate and warehouse is not None
+            stats = lm.door_stats(feed, schema_gate.gate_aggs(warehouse.contract) if check else [])
+            if check:
+                schema_gate.raise_if_gate_failed(stats.extra)
             if batch_id in lm.committed_batches(spark, lake_path):
                 res = None  # replayed epoch: its lake write is complete
             else:
-                res = lm.append(spark, lake_path, feed, batch_id)
+                res = lm.append(spark, lake_path, feed, batch_id, stats=stats)
             reports = []
             if warehouse is not None:
                 lake = lm.read_lake(spark, lake_path)
                 for b in pending_batches(spark, lake_path, warehouse):
-                    reports += warehouse.apply(lake_path, lm.batch_rows(lake, b), b)
+                    known = res.tables if (res is not None and b == res.batch_id) else None
+                    reports += warehouse.apply(lake_path, lm.batch_rows(lake, b), b, known)
             if metrics is not None:
                 metrics.append({"epoch": int(epoch_id), "append": res, "apply": reports})
         finally:
