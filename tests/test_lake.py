@@ -69,3 +69,24 @@ def test_sequence_health(spark):
     h = lm.sequence_health(ev).first().asDict()
     assert h == {"events": 5, "distinct_sequences": 3, "min_sequence": 1, "max_sequence": 5,
                  "duplicate_sequences": 2, "conflicting_sequences": 1, "missing_sequences": 2}
+
+
+def test_register_lake_table(spark, work):
+    path = f"{work}/lake"
+    lm.append(spark, path, events(spark, [(1, "insert", "customers", "c1", {"customer_id": "c1"}),
+                                          (2, "insert", "wallets", "w1", {"wallet_id": "w1"})]))
+    name = lm.register_table(spark, path, "lake_reg_test")
+    assert spark.sql(f"SELECT count(*) FROM {name} WHERE table_name = 'wallets'").first()[0] == 1
+
+
+def test_source_conform_applies_defaults_only_when_absent(spark):
+    from decimal import Decimal
+    from tidemark.contracts import PAYMENTS
+    from tidemark.sources.source_tables import conform
+    df = spark.createDataFrame([("tx1", "w1", Decimal("5.00"), "debit", "pending")],
+                               "transaction_id string, wallet_id string, amount decimal(18,2), direction string, "
+                               "status string")
+    row = conform(df, PAYMENTS.table("transactions")).first()
+    assert row.fee == Decimal("0.00") and row.merchant_id is None
+    df2 = df.withColumn("fee", df.amount.cast("decimal(18,2)") * None)
+    assert conform(df2, PAYMENTS.table("transactions")).first().fee is None

@@ -84,7 +84,7 @@ def test_late_event_patch_merged(spark, work):
     ingest(spark, lake, wh, _items(spark, [(1, "insert", 1, {"id": 1, "a": 1, "b": "x"}),
                                            (3, "update", 1, {"id": 1, "a": 3})]))
     rep = ingest(spark, lake, wh, _items(spark, [(2, "update", 1, {"id": 1, "b": "y"})]))
-    assert rep.applied[0].path == "general"
+    assert rep.applied[0].path == "general" and rep.applied[0].late == 1
     row = _state(wh)[1]
     assert (row["a"], row["b"], row["_cdc_seq"], row["_deleted"]) == (3, "y", 3, False)
 

@@ -252,3 +252,13 @@ def append_restore(spark: SparkSession, path: str, rows: DataFrame, restore_no:
     """Append compensating rows of one restore (deduplicated per key, never
     against source sequences, which they share on purpose)."""
     return append(spark, path, rows, restore_no=restore_no)
+
+
+def register_table(spark: SparkSession, path: str, name: str = "lake_cdc_events") -> str:
+    """Idempotent catalog table over the lake folder, partitioned by table."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STORED_SCHEMA.fields
+                     if f.name != "table_name")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}, `table_name` string) USING parquet "
+              f"PARTITIONED BY (`table_name`) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE `{name}`")
+    return name

@@ -41,6 +41,7 @@ class ApplyReport:
     path: str  # "fast", "general", "skipped"
     version: int | None
     events: int
+    late: int = 0  # J9: events at or below the table's applied high-water mark
 
 
 class Warehouse:
@@ -134,9 +135,10 @@ class Warehouse:
             if not fast and lake is None:
                 lake = lake_mod.read_lake(self.spark, lake_path)
             t_delta = delta.where(F.col("table_name") == table.name)
+            late = 0 if fast else t_delta.where(F.col("sequence") <= hwm).count()
             snapshot = self.merge(table, self.read(table), t_delta, lake, fast)
             version = self.publish(table, snapshot, max(hwm, st["hi"]), batch_id)
-            reports.append(ApplyReport(table.name, "fast" if fast else "general", version, st["n"]))
+            reports.append(ApplyReport(table.name, "fast" if fast else "general", version, st["n"], late))
         if batch_id not in self.applied_batches():
             fs.write_json_atomic(self.spark, f"{self.root}/_cursor/{batch_id:020d}.json",
                                  {"batch": int(batch_id)})
