@@ -52,3 +52,20 @@ def test_capture_diff_ops(spark):
                   "4": ("insert", '{"id":4,"a":"n"}'), "5": ("insert", '{"id":5,"a":null}')}
     feed = capture.to_feed(capture.capture_diff(before, after, t))
     assert sorted(r.sequence for r in feed.collect()) == [1, 2, 3, 4]
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key with most of the rows must not land in one reduce task."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(0 if i % 4 else i, i) for i in range(1, 4001)]  # key 0: 75% of rows
+        df = spark.createDataFrame(rows, "k long, seq long")
+        out = scan.row_number(df, ["k"], ["seq"], span=100).withColumn("_task", F.spark_partition_id())
+        hot = out.where("k = 0").groupBy("_task").count().collect()
+        total = sum(r["count"] for r in hot)
+        assert total == 3000
+        assert len(hot) >= 3 and max(r["count"] for r in hot) < total * 0.6
+        # and the numbering is still exact for the hot key
+        assert sorted(r.version_no for r in out.where("k = 0").collect()) == list(range(1, 3001))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
