@@ -35,7 +35,7 @@ def ingest(spark: SparkSession, lake_path: str, warehouse: Warehouse, feed: Data
     stats = lm.door_stats(batch, schema_gate.gate_aggs(warehouse.contract) if gate else [])
     if gate:
         schema_gate.raise_if_gate_failed(stats.extra)
-    res = lm.append(spark, lake_path, batch, batch_id, stats=stats)
+    res = lm.append(spark, lake_path, batch, batch_id, stats=stats, marks=warehouse.marks())
     report = IngestReport(res)
     lake = lm.read_lake(spark, lake_path)
     for b in pending_batches(spark, lake_path, warehouse):

@@ -163,29 +163,34 @@ def next_batch_id(spark: SparkSession, path: str) -> int:
     return (done[-1] + 1) if done else 1
 
 
-def write_rows(rows: DataFrame, path: str, tables: list[str] = ()) -> tuple[int, dict]:
+def write_rows(rows: DataFrame, path: str, tables: list[str] = (),
+               marks: dict[str, int] | None = None) -> tuple[int, dict]:
     """Append stored-schema rows, files sorted by sequence.  Returns rows
-    written and, per table in ``tables``, (rows, min seq, max seq) written,
-    all observed during the write itself (no extra pass)."""
+    written and, per table in ``tables``, (rows, min seq, max seq, late)
+    written, all observed during the write itself (no extra pass).  ``late``
+    counts rows at or below the table's high-water mark in ``marks``."""
     obs = Observation("lake_write")
+    marks = marks or {}
     metrics = [F.count(F.lit(1)).alias("rows")]
     for i, t in enumerate(tables):
         mine = F.col("table_name") == t
         metrics += [F.count_if(mine).alias(f"n{i}"), F.min(F.when(mine, F.col("sequence"))).alias(f"lo{i}"),
-                    F.max(F.when(mine, F.col("sequence"))).alias(f"hi{i}")]
+                    F.max(F.when(mine, F.col("sequence"))).alias(f"hi{i}"),
+                    F.count_if(mine & (F.col("sequence") <= F.lit(marks.get(t, 0)))).alias(f"late{i}")]
     out = rows.select(*STORED_COLUMNS).observe(obs, *metrics)
     # No repartition by table: one hot table would become one task.  Each
     # task writes its rows per table, sorted by sequence (tight min/max).
     (out.sortWithinPartitions("table_name", "sequence")
         .write.mode("append").partitionBy("table_name").parquet(path))
     got = obs.get
-    per = {t: (int(got[f"n{i}"]), got[f"lo{i}"], got[f"hi{i}"]) for i, t in enumerate(tables)
-           if got[f"n{i}"]}
+    per = {t: (int(got[f"n{i}"]), got[f"lo{i}"], got[f"hi{i}"], int(got[f"late{i}"]))
+           for i, t in enumerate(tables) if got[f"n{i}"]}
     return int(got["rows"]), per
 
 
 def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None = None,
-           restore_no: int = 0, stats: DoorStats | None = None) -> AppendResult:
+           restore_no: int = 0, stats: DoorStats | None = None,
+           marks: dict[str, int] | None = None) -> AppendResult:
     """Idempotent append of change events; returns what was written.
 
     Jobs: the door pass (skipped when ``stats`` is given) and one write job
@@ -213,7 +218,7 @@ def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None
                            F.count_if(F.col("_h_lake").isNotNull() & (F.col("_h") != F.col("_h_lake")))
                            .alias("conflicts"))
                  .where(F.col("_h_lake").isNull()))
-    written, per_table = write_rows(fresh, path, [t for t in stats.tables if t is not None])
+    written, per_table = write_rows(fresh, path, [t for t in stats.tables if t is not None], marks)
     s = seen.get
     fs.write_json_atomic(spark, f"{path}/{COMMITS}/{batch_id:020d}.json",
                          {"batch_id": batch_id, "written": written, "received": stats.n,

@@ -114,12 +114,13 @@ class Warehouse:
         ``table_stats`` (table -> (rows, min seq, max seq)), when the caller
         observed them while writing the batch, saves one pass over it."""
         if table_stats is None:
-            stats = {r["table_name"]: r for r in
+            stats = {r["table_name"]: r.asDict() for r in
                      delta.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"),
                                                      F.min("sequence").alias("lo"),
                                                      F.max("sequence").alias("hi")).collect()}
         else:
-            stats = {t: {"n": v[0], "lo": v[1], "hi": v[2]} for t, v in table_stats.items()}
+            stats = {t: {"n": v[0], "lo": v[1], "hi": v[2], "late": v[3] if len(v) > 3 else None}
+                     for t, v in table_stats.items()}
         reports = []
         lake = None
         for table in self.contract.tables:
@@ -135,7 +136,9 @@ class Warehouse:
             if not fast and lake is None:
                 lake = lake_mod.read_lake(self.spark, lake_path)
             t_delta = delta.where(F.col("table_name") == table.name)
-            late = 0 if fast else t_delta.where(F.col("sequence") <= hwm).count()
+            late = 0 if fast else st.get("late")
+            if late is None:
+                late = t_delta.where(F.col("sequence") <= hwm).count()
             snapshot = self.merge(table, self.read(table), t_delta, lake, fast)
             version = self.publish(table, snapshot, max(hwm, st["hi"]), batch_id)
             reports.append(ApplyReport(table.name, "fast" if fast else "general", version, st["n"], late))
@@ -144,6 +147,14 @@ class Warehouse:
                                  {"batch": int(batch_id)})
         return reports
 
+    def marks(self) -> dict[str, int]:
+        """High-water mark (highest applied sequence) per table."""
+        out = {}
+        for t in self.contract.tables:
+            m = self.current_meta(t)
+            out[t.name] = m["hwm"] if m else 0
+        return out
+
     def applied_batches(self) -> list[int]:
         """Warehouse cursor: lake ingest batches fully applied."""
         return sorted(int(n.split(".")[0]) for n in fs.list_names(self.spark, f"{self.root}/_cursor")

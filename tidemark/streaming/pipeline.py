@@ -55,7 +55,8 @@ def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool =
             if batch_id in lm.committed_batches(spark, lake_path):
                 res = None  # replayed epoch: its lake write is complete
             else:
-                res = lm.append(spark, lake_path, feed, batch_id, stats=stats)
+                res = lm.append(spark, lake_path, feed, batch_id, stats=stats,
+                                marks=warehouse.marks() if warehouse is not None else None)
             reports = []
             if warehouse is not None:
                 lake = lm.read_lake(spark, lake_path)
