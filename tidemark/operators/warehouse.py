@@ -24,6 +24,7 @@ Apply paths, one result (property-tested against the full rebuild):
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,9 @@ class ApplyReport:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, contract: Contract):
+    def __init__(self, spark: SparkSession, root: str, contract: Contract, parallel_tables: int = 4):
         self.spark, self.root, self.contract = spark, root.rstrip("/"), contract
+        self.parallel_tables = max(1, parallel_tables)
 
     # -- storage -----------------------------------------------------------
     def table_dir(self, table: TableContract) -> str:
@@ -121,8 +123,8 @@ class Warehouse:
         else:
             stats = {t: {"n": v[0], "lo": v[1], "hi": v[2], "late": v[3] if len(v) > 3 else None}
                      for t, v in table_stats.items()}
-        reports = []
-        lake = None
+        todo = []
+        reports: list[ApplyReport] = []
         for table in self.contract.tables:
             st = stats.get(table.name)
             if st is None:
@@ -131,17 +133,29 @@ class Warehouse:
             if meta is not None and meta["batch"] >= batch_id:
                 reports.append(ApplyReport(table.name, "skipped", meta["version"], st["n"]))
                 continue
+            todo.append((table, st, meta))
+        lake = None
+        if any(st["lo"] <= (meta["hwm"] if meta else 0) for _, st, meta in todo):
+            lake = lake_mod.read_lake(self.spark, lake_path)
+
+        def one(item) -> ApplyReport:
+            table, st, meta = item
             hwm = meta["hwm"] if meta else 0
             fast = st["lo"] > hwm
-            if not fast and lake is None:
-                lake = lake_mod.read_lake(self.spark, lake_path)
             t_delta = delta.where(F.col("table_name") == table.name)
             late = 0 if fast else st.get("late")
             if late is None:
                 late = t_delta.where(F.col("sequence") <= hwm).count()
             snapshot = self.merge(table, self.read(table), t_delta, lake, fast)
             version = self.publish(table, snapshot, max(hwm, st["hi"]), batch_id)
-            reports.append(ApplyReport(table.name, "fast" if fast else "general", version, st["n"], late))
+            return ApplyReport(table.name, "fast" if fast else "general", version, st["n"], late)
+
+        # Tables are independent: their merges run as concurrent Spark jobs.
+        if len(todo) > 1:
+            with ThreadPoolExecutor(max_workers=min(len(todo), self.parallel_tables)) as pool:
+                reports += list(pool.map(one, todo))
+        else:
+            reports += [one(x) for x in todo]
         if batch_id not in self.applied_batches():
             fs.write_json_atomic(self.spark, f"{self.root}/_cursor/{batch_id:020d}.json",
                                  {"batch": int(batch_id)})
@@ -162,14 +176,16 @@ class Warehouse:
 
     def rebuild(self, lake: DataFrame) -> dict[str, int]:
         """K7: fold the whole lake into fresh versions of every table."""
-        out = {}
-        for table in self.contract.tables:
+        bounds = {r["table_name"]: r for r in lake.groupBy("table_name").agg(
+            F.max("sequence").alias("hi"), F.max(lake_mod.INGEST_BATCH).alias("b")).collect()}
+
+        def one(table):
+            b = bounds.get(table.name)
             events = lake.where(F.col("table_name") == table.name)
-            bounds = events.agg(F.max("sequence").alias("hi"),
-                                F.max(lake_mod.INGEST_BATCH).alias("b")).first()
-            out[table.name] = self.publish(table, fold_mod.fold(events, table),
-                                           bounds["hi"] or 0, bounds["b"] or 0)
-        return out
+            return table.name, self.publish(table, fold_mod.fold(events, table),
+                                            b["hi"] if b else 0, b["b"] if b else 0)
+        with ThreadPoolExecutor(max_workers=min(len(self.contract.tables), self.parallel_tables)) as pool:
+            return dict(pool.map(one, self.contract.tables))
 
 
 def fold_tables(lake: DataFrame, contract: Contract, mode: str = "patch") -> dict[str, DataFrame]:
