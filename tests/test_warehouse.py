@@ -89,6 +89,20 @@ def test_late_event_patch_merged(spark, work):
     assert (row["a"], row["b"], row["_cdc_seq"], row["_deleted"]) == (3, "y", 3, False)
 
 
+def test_mixed_batch_routes_late_keys_only(spark, work):
+    lake, wh = _wh(spark, work)
+    ingest(spark, lake, wh, _items(spark, [(1, "insert", 1, {"id": 1, "a": 1, "b": "x"}),
+                                           (3, "insert", 2, {"id": 2, "a": 2}),
+                                           (5, "update", 1, {"id": 1, "a": 5})]))
+    rep = ingest(spark, lake, wh, _items(spark, [(4, "update", 1, {"id": 1, "b": "late"}),
+                                                 (6, "update", 2, {"id": 2, "b": "new"}),
+                                                 (7, "insert", 3, {"id": 3, "a": 3})]))
+    assert (rep.applied[0].path, rep.applied[0].late) == ("mixed", 1)
+    s = _state(wh)
+    assert {k: (v["a"], v["b"], v["_cdc_seq"]) for k, v in s.items()} == {
+        1: (5, "late", 5), 2: (2, "new", 6), 3: (3, None, 7)}
+
+
 def test_delete_before_insert(spark, work):
     lake, wh = _wh(spark, work)
     ingest(spark, lake, wh, _items(spark, [(2, "delete", 1, {})]))

@@ -39,7 +39,7 @@ from tidemark.sources import fs
 @dataclass
 class ApplyReport:
     table: str
-    path: str  # "fast", "general", "skipped"
+    path: str  # "fast", "general", "mixed", "skipped"
     version: int | None
     events: int
     late: int = 0  # J9: events at or below the table's applied high-water mark
@@ -93,22 +93,41 @@ class Warehouse:
 
     # -- apply -------------------------------------------------------------
     def merge(self, table: TableContract, prior: DataFrame, delta: DataFrame, lake: DataFrame | None,
-              fast: bool) -> DataFrame:
-        """New snapshot = untouched prior rows + re-folded touched keys."""
+              path: str, hwm: int = 0) -> DataFrame:
+        """New snapshot = untouched prior rows + re-folded touched keys.
+
+        ``path``: "fast" (no event is late: fold each touched key's prior
+        row with its new events), "general" (every event is late: re-fold
+        touched keys from their lake history) or "mixed" (routed per key by
+        the key's earliest new sequence against the high-water mark)."""
         pk = table.single_pk
         pk_type = table.column(pk).dtype
-        touched = delta.select(F.col("primary_key")).distinct()
-        touched_typed = touched.select(F.col("primary_key").cast(pk_type).alias(pk))
-        untouched = prior.join(touched_typed, pk, "left_anti")
-        if fast:
-            base = fold_mod.snapshot_event_form(prior.join(touched_typed, pk, "left_semi"), table)
-            changed = fold_mod.fold_event_form(
-                base.unionByName(fold_mod.event_form(delta, table)), table)
-        else:
+
+        def typed(keys: DataFrame) -> DataFrame:
+            return keys.select(F.col("primary_key").cast(pk_type).alias(pk))
+
+        def fold_fresh(keys: DataFrame, events: DataFrame) -> DataFrame:
+            base = fold_mod.snapshot_event_form(prior.join(typed(keys), pk, "left_semi"), table)
+            return fold_mod.fold_event_form(base.unionByName(fold_mod.event_form(events, table)), table)
+
+        if path == "fast":
+            touched = delta.select("primary_key").distinct()
+            changed = fold_fresh(touched, delta)
+        elif path == "general":
+            touched = delta.select("primary_key").distinct()
             history = (lake.where(F.col("table_name") == table.name)
                        .join(touched, "primary_key", "left_semi"))
             changed = fold_mod.fold(history, table)
-        return untouched.unionByName(changed)
+        else:
+            per_key = delta.groupBy("primary_key").agg(F.min("sequence").alias("_lo"))
+            touched = per_key.select("primary_key")
+            late = per_key.where(F.col("_lo") <= hwm).select("primary_key")
+            fresh = per_key.where(F.col("_lo") > hwm).select("primary_key")
+            history = (lake.where(F.col("table_name") == table.name)
+                       .join(late, "primary_key", "left_semi"))
+            changed = fold_fresh(fresh, delta.join(fresh, "primary_key", "left_semi")).unionByName(
+                fold_mod.fold(history, table))
+        return prior.join(typed(touched), pk, "left_anti").unionByName(changed)
 
     def apply(self, lake_path: str, delta: DataFrame, batch_id: int,
               table_stats: dict | None = None) -> list[ApplyReport]:
@@ -146,9 +165,10 @@ class Warehouse:
             late = 0 if fast else st.get("late")
             if late is None:
                 late = t_delta.where(F.col("sequence") <= hwm).count()
-            snapshot = self.merge(table, self.read(table), t_delta, lake, fast)
+            path = "fast" if late == 0 else ("general" if late == st["n"] else "mixed")
+            snapshot = self.merge(table, self.read(table), t_delta, lake, path, hwm)
             version = self.publish(table, snapshot, max(hwm, st["hi"]), batch_id)
-            return ApplyReport(table.name, "fast" if fast else "general", version, st["n"], late)
+            return ApplyReport(table.name, path, version, st["n"], late)
 
         # Tables are independent: their merges run as concurrent Spark jobs.
         if len(todo) > 1:
