@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,11 +128,16 @@ def require_clean_door(stats: DoorStats) -> None:
 
 
 def dedup_batch(batch: DataFrame, restore: bool = False) -> DataFrame:
-    """One row per sequence, deterministic winner.  Restore rows share one
-    sequence, so they are unique per (sequence, restore no, table, key)."""
+    """One row per sequence, deterministic winner (earliest capture time,
+    then smallest content hash).  Restore rows share one sequence, so they
+    are unique per (sequence, restore no, table, key).  An aggregation, not a
+    window: partial aggregation collapses a heavily replayed event inside
+    each map task, so its copies never pile up in one task."""
     keys = ["sequence", RESTORE_NO, "table_name", "primary_key"] if restore else ["sequence"]
-    w = Window.partitionBy(*keys).orderBy(F.col("captured_at"), content_hash(batch))
-    return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    others = [c for c in batch.columns if c not in keys]
+    winner = F.min_by(F.struct(*[F.col(c) for c in others]),
+                      F.struct(F.col("captured_at"), content_hash(batch)))
+    return batch.groupBy(*keys).agg(winner.alias("_w")).select(*keys, *[F.col(f"_w.{c}") for c in others])
 
 
 def _stored_range(lake: DataFrame, lo, hi) -> DataFrame:
