@@ -60,3 +60,15 @@ def test_stop_the_line_fails_before_any_write(spark, work):
     assert lm.read_lake(spark, lake).count() == 0
     assert wh.read("accounts").count() == 0
     assert issubclass(G.SchemaIncompatibilityError, Exception)
+
+
+def test_watermark_prefilter_then_exact_dedup(spark, work):
+    landing, lake, ckpt = f"{work}/landing", f"{work}/lake", f"{work}/ckpt"
+    row = (1, "insert", 1, {"user_id": 1, "event_type": "signup", "value": 1.0, "k": 1})
+    _drop(spark, landing, [row, row])
+    _drop(spark, landing, [row, (2, "update", 1, {"user_id": 1, "event_type": "view", "k": 2})])
+    metrics = []
+    pipeline.run_available(pipeline.read_feed_files(spark, landing, max_files_per_trigger=1), lake, None, ckpt,
+                           metrics=metrics, dedup_watermark="1 hour")
+    assert lm.read_lake(spark, lake).count() == 2
+    assert sum(m["append"].written for m in metrics if m["append"] is not None) == 2

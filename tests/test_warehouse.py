@@ -67,6 +67,18 @@ def test_time_travel(spark, work):
     assert at(4) == {"c20": "Pim"}
 
 
+def test_asof_capture_time_folds_by_sequence(spark):
+    from datetime import datetime as dt
+    ev = events(spark, [(1, "insert", "items", "1", {"id": 1, "a": 1}, dt(2025, 1, 1, 10)),
+                        (3, "update", "items", "1", {"id": 1, "a": 3}, dt(2025, 1, 1, 11)),
+                        (2, "update", "items", "1", {"id": 1, "a": 2}, dt(2025, 1, 1, 12))])
+    t = ITEMS.table("items")
+    at = {r.id: r.a for r in history.asof_time(ev, t, F.lit(dt(2025, 1, 1, 11)).cast("timestamp_ntz")).collect()}
+    assert at == {1: 3}  # known at 11:00: events 1 and 3; folded by sequence
+    at = {r.id: r.a for r in history.asof_time(ev, t, F.lit(dt(2025, 1, 1, 12)).cast("timestamp_ntz")).collect()}
+    assert at == {1: 3}  # the late event 2 arrives at 12:00 but is older than 3
+
+
 def _items(spark, rows):
     return events(spark, [(s, op, "items", str(k), d) for s, op, k, d in rows])
 

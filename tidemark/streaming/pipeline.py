@@ -21,6 +21,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contracts import LAKE_COLUMNS, LAKE_SCHEMA
@@ -77,7 +78,12 @@ def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoi
     adds ``dropDuplicatesWithinWatermark`` on sequence as a cheap pre-filter;
     exact dedup always happens against the lake."""
     if dedup_watermark:
-        feed = feed.withWatermark("captured_at", dedup_watermark).dropDuplicatesWithinWatermark(["sequence"])
+        # Watermarks need a zoned TIMESTAMP; captured_at is UTC wall clock (NTZ)
+        # and the session zone is UTC, so the cast keeps the instant.
+        feed = (feed.withColumn("_event_time", F.col("captured_at").cast("timestamp"))
+                .withWatermark("_event_time", dedup_watermark)
+                .dropDuplicatesWithinWatermark(["sequence"])
+                .drop("_event_time"))
     writer = (feed.writeStream.foreachBatch(make_batch_handler(lake_path, warehouse, gate, metrics))
               .option("checkpointLocation", checkpoint))
     if available_now:
@@ -88,9 +94,10 @@ def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoi
 
 
 def run_available(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoint: str,
-                  gate: bool = True, metrics: list | None = None) -> None:
+                  gate: bool = True, metrics: list | None = None, dedup_watermark: str | None = None) -> None:
     """Process everything available now, then stop (batch-style stream run)."""
-    q = start(feed, lake_path, warehouse, checkpoint, available_now=True, gate=gate, metrics=metrics)
+    q = start(feed, lake_path, warehouse, checkpoint, available_now=True, gate=gate, metrics=metrics,
+              dedup_watermark=dedup_watermark)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
