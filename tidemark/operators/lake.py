@@ -98,10 +98,13 @@ class DoorStats:
     extra: dict[str, int]  # sums of caller-supplied count aggregates (e.g. the payload gate)
 
 
-def door_stats(batch: DataFrame, extra: list[F.Column] = ()) -> DoorStats:
+def door_stats(batch: DataFrame, extra: list[F.Column] = (), prepare=None) -> DoorStats:
     """One aggregate over the batch, grouped by table (few groups, partial
     aggregation): size, sequence bounds, NULL lake columns, bad operation
-    codes, plus any extra count aggregates the caller wants in the same scan."""
+    codes, plus any extra count aggregates the caller wants in the same scan
+    (``prepare`` adds the columns those aggregates read)."""
+    if prepare is not None:
+        batch = prepare(batch)
     aggs = [F.count(F.lit(1)).alias("n"), F.min("sequence").alias("lo"), F.max("sequence").alias("hi"),
             F.count_if(~F.col("operation").isin(*OPERATIONS)).alias("bad_ops")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_COLUMNS]

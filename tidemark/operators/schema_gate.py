@@ -183,12 +183,30 @@ def key_agreement(feed: DataFrame, contract: Contract) -> DataFrame:
 
 
 GATE_CHECKS = ("gate_unknown_keys", "gate_bad_types", "gate_pk_mismatch")
+RAW_MAP = "map<string,string>"
+
+
+def gate_prepare(contract: Contract):
+    """Projection the gate aggregates read: each payload parsed once as a
+    text map (key presence and raw text of every field) and once typed with
+    its own table's schema (only that CASE branch is evaluated)."""
+    def prepare(df: DataFrame) -> DataFrame:
+        typed = [F.when(F.col("table_name") == t.name, payload.typed("data", t)).alias(f"_gt{i}")
+                 for i, t in enumerate(contract.tables)]
+        return df.select("*", F.from_json("data", RAW_MAP).alias("_gm"), *typed)
+    return prepare
 
 
 def gate_aggs(contract: Contract) -> list[Column]:
-    """G4-G6 as count aggregates (unknown payload keys, values of the wrong
-    type, payload key != primary_key), to run inside another pass."""
-    keys = payload.keys("data")
+    """G4-G6 as count aggregates over ``gate_prepare`` output: unknown
+    payload keys, values unusable as the contract type, payload key !=
+    primary_key.  The raw-text map is lossy for big numbers, which does not
+    matter here: it is only used for presence and number-format checks."""
+    keys = F.map_keys("_gm")
+    by_table = {t.name: i for i, t in enumerate(contract.tables)}
+
+    def typed(t: TableContract) -> Column:
+        return F.col(f"_gt{by_table[t.name]}")
 
     def unknown(t):
         return F.size(F.array_except(keys, F.array(*[F.lit(c) for c in t.column_names]))) > 0
@@ -196,11 +214,12 @@ def gate_aggs(contract: Contract) -> list[Column]:
     def bad_type(t):
         cond = F.lit(False)
         for c in t.column_names:
-            cond = cond | _bad_value(t, c)
+            cond = cond | payload.bad_value(typed(t).getField(c), keys, F.col("_gm").getItem(c),
+                                            t.column(c).dtype, c)
         return cond
 
     def pk_mismatch(t):
-        v = payload.typed("data", t).getField(t.single_pk).cast("string")
+        v = typed(t).getField(t.single_pk).cast("string")
         return (F.col("operation") != "delete") & v.isNotNull() & (v != F.col("primary_key"))
 
     return [F.count_if(F.coalesce(_per_table(contract, fn), F.lit(False))).alias(name)
@@ -217,4 +236,4 @@ def raise_if_gate_failed(counts: dict[str, int]) -> None:
 
 def assert_payloads_compatible(feed: DataFrame, contract: Contract) -> None:
     """Stop-the-line gate for a batch: one aggregate, no write."""
-    raise_if_gate_failed(feed.agg(*gate_aggs(contract)).first().asDict())
+    raise_if_gate_failed(gate_prepare(contract)(feed).agg(*gate_aggs(contract)).first().asDict())

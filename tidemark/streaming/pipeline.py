@@ -50,7 +50,8 @@ def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool =
         feed = batch.select(*LAKE_COLUMNS).persist()
         try:
             check = gate and warehouse is not None
-            stats = lm.door_stats(feed, schema_gate.gate_aggs(warehouse.contract) if check else [])
+            stats = lm.door_stats(feed, schema_gate.gate_aggs(warehouse.contract) if check else [],
+                                  schema_gate.gate_prepare(warehouse.contract) if check else None)
             if check:
                 schema_gate.raise_if_gate_failed(stats.extra)
             if batch_id in lm.committed_batches(spark, lake_path):
