@@ -154,8 +154,10 @@ def payload_type_drift(feed: DataFrame, contract: Contract) -> DataFrame:
     parts = []
     for t in contract.tables:
         ev = feed.where(F.col("table_name") == t.name)
-        parsed = ev.select("sequence", payload.typed("data", t).alias("_p"), payload.keys("data").alias("_k"),
-                           *[payload.raw_text("data", c).alias(f"_r_{c}") for c in t.column_names])
+        parsed = ev.select("sequence", payload.typed("data", t).alias("_p"),
+                           F.from_json("data", RAW_MAP).alias("_m")).select(
+            "sequence", "_p", F.map_keys("_m").alias("_k"),
+            *[F.col("_m").getItem(c).alias(f"_r_{c}") for c in t.column_names])
         aggs = []
         for c in t.column_names:
             bad = payload.bad_value(F.col("_p").getField(c), F.col("_k"), F.col(f"_r_{c}"), t.column(c).dtype, c)
