@@ -261,3 +261,14 @@ def test_batches_equal_python_fold_and_rebuild(spark, evs, rnd):
     assert _state(wh) == expected
     rebuilt = fm.fold(lm.read_lake(spark, lake), ITEMS.table("items"))
     assert rows_by_key(rebuilt, "id") == expected
+
+
+def test_asof_raw_includes_unknown_tables(spark):
+    ev = events(spark, [(1, "insert", "audit", "a1", {"who": "x"}),
+                        (2, "insert", "items", "1", {"id": 1, "a": 1}),
+                        (3, "delete", "items", "1", {}),
+                        (4, "update", "audit", "a1", {"who": "y"})])
+    at3 = {(r.table_name, r.primary_key): r.data for r in history.asof_raw(ev, 3).collect()}
+    assert at3 == {("audit", "a1"): '{"who": "x"}'}
+    at2 = {(r.table_name, r.primary_key) for r in history.asof_raw(ev, 2).collect()}
+    assert at2 == {("audit", "a1"), ("items", "1")}

@@ -54,12 +54,6 @@ def has_key(key_array: Column, name: str) -> Column:
     return F.coalesce(F.array_contains(key_array, name), F.lit(False))
 
 
-def raw_text(data: Column | str, name: str) -> Column:
-    """Raw JSON text of one top-level field (for drift checks only: a lossy
-    path for big decimals, never used for values)."""
-    return F.get_json_object(data, f"$.{name}")
-
-
 NUMBER_TEXT = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 
 

@@ -31,6 +31,19 @@ def asof_sequence(events: DataFrame, table: TableContract, target, mode: str = "
     return fm.active(folded).drop(DELETED)
 
 
+def asof_raw(lake: DataFrame, target) -> DataFrame:
+    """K1 for every table in the lake, including tables outside any contract:
+    the last event per (table, key) at or before ``target``, deletes
+    dropped, the payload as stored JSON text (what a reader replaying whole
+    payloads sees).  One aggregation, partial per map task."""
+    ev = before_point(lake, target)
+    last = F.max_by(F.struct("operation", "data"), fm.order_key(ev))
+    return (ev.groupBy("table_name", "primary_key")
+            .agg(last.alias("_l"), F.max("sequence").alias(CDC_SEQ))
+            .where(F.col("_l.operation") != "delete")
+            .select("table_name", "primary_key", F.col("_l.data").alias("data"), CDC_SEQ))
+
+
 def asof_time(events: DataFrame, table: TableContract, ts, mode: str = "patch") -> DataFrame:
     """K2: state as known at capture time ``ts``; still folded by sequence."""
     return fm.active(fm.fold(events.where(F.col("captured_at") <= ts), table, mode)).drop(DELETED)

@@ -150,17 +150,6 @@ def _stored_range(lake: DataFrame, lo, hi) -> DataFrame:
             .select("sequence", content_hash(lake).alias("_h_lake")))
 
 
-def new_rows(batch: DataFrame, lake: DataFrame, lo, hi) -> DataFrame:
-    """Batch rows whose sequence is not in the lake yet (source rows only)."""
-    return batch.join(_stored_range(lake, lo, hi).select("sequence"), "sequence", "left_anti")
-
-
-def conflicts(batch: DataFrame, lake: DataFrame, lo, hi) -> DataFrame:
-    """Batch rows whose sequence is already stored with different content."""
-    return (batch.select("sequence", content_hash(batch).alias("_h"))
-            .join(_stored_range(lake, lo, hi), "sequence").where(F.col("_h") != F.col("_h_lake")))
-
-
 def committed_batches(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.split(".")[0]) for n in fs.list_names(spark, f"{path}/{COMMITS}")
                   if n.endswith(".json") and not n.startswith("."))

@@ -142,12 +142,6 @@ def payload_key_drift(feed: DataFrame, contract: Contract) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("events"), F.min("sequence").alias("first_sequence")))
 
 
-def _bad_value(t: TableContract, name: str) -> Column:
-    """Key present, raw JSON value not null, value unusable as the contract type."""
-    return payload.bad_value(payload.typed("data", t).getField(name), payload.keys("data"),
-                             payload.raw_text("data", name), t.column(name).dtype, name)
-
-
 def payload_type_drift(feed: DataFrame, contract: Contract) -> DataFrame:
     """Per (table, column) count of values that do not parse as the
     contract type (PERMISSIVE parsing would silently turn them into NULL)."""

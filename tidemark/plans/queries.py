@@ -215,6 +215,18 @@ def asof_sequence(spark, sf_dir):
     return _per_feed_table(feed, lambda ev, t: history.asof_sequence(ev, t, target, "image"))
 
 
+@query("asof_raw", f"""
+WITH {O.FEED}, cut AS (SELECT *, {O.json_payload('image')} AS data FROM feed WHERE sequence <= {O.half_sequence()}),
+last AS (SELECT table_name, primary_key, arg_max(operation, sequence) AS op, arg_max(data, sequence) AS data,
+                max(sequence) AS _cdc_seq FROM cut GROUP BY table_name, primary_key)
+SELECT table_name, primary_key, data, _cdc_seq FROM last WHERE op <> 'delete'""")
+def asof_raw(spark, sf_dir):
+    """K1 over every table in the lake as raw payloads, at the middle of history."""
+    from tidemark.operators import history
+    feed = td.events_feed(spark, sf_dir, "image")
+    return history.asof_raw(feed, half_sequence(feed))
+
+
 @query("asof_timestamp", f"""
 WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE captured_at <=
    (SELECT captured_at FROM feed WHERE sequence = {O.half_sequence()}))

@@ -21,19 +21,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def has_data(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` holds at least one data file (not only markers)."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return False
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        name = it.next().getPath().getName()
-        if not name.startswith(("_", ".")):
-            return True
-    return False
-
-
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
