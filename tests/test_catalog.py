@@ -92,4 +92,7 @@ def test_register_in_spark_catalog(spark, work):
     assert spark.table("tm_test.wh_accounts").count() == 1
     assert spark.table("tm_test.lake_cdc_events").count() == 1
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES tm_test.wh_accounts").collect()}
-    assert props["layer"] == "warehouse"
+    assert props["layer"] == "warehouse" and props["data_owner"] == "data platform"
+    assert {t.name for t in spark.catalog.listTables("tm_test")} == {"wh_accounts", "lake_cdc_events"}
+    by_layer = C.register(spark, doc, {"lake_cdc_events": f"{work}/lake", "wh_accounts": loc})
+    assert sorted(by_layer) == ["`lake`.`lake_cdc_events`", "`warehouse`.`wh_accounts`"]

@@ -263,16 +263,19 @@ def profile(datasets: dict[str, tuple[str, DataFrame]]) -> DataFrame:
     return out
 
 
-def register(spark: SparkSession, doc: dict, locations: dict[str, str], database: str = "tidemark") -> list[str]:
+def register(spark: SparkSession, doc: dict, locations: dict[str, str], database: str | None = None) -> list[str]:
     """Expose datasets in the Spark catalog as external Parquet tables with
     the catalog's descriptions as table/column comments and its metadata as
-    table properties.  ``locations``: dataset name -> current data path."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    table properties.  ``locations``: dataset name -> current data path.
+    Tables go to one database per layer (``lake``, ``warehouse``) unless
+    ``database`` names one for all."""
     made = []
     for d in doc["datasets"]:
         loc = locations.get(d["name"])
         if loc is None:
             continue
+        db = database or d["layer"]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         cols = ", ".join(f"`{c['name']}` {c['type']} COMMENT {json.dumps(c['description'])}"
                          for c in d["schema"] if d["layer"] != "lake" or c["name"] != "table_name")
         part = " PARTITIONED BY (`table_name`)" if d["layer"] == "lake" else ""
@@ -283,7 +286,7 @@ def register(spark: SparkSession, doc: dict, locations: dict[str, str], database
         props = ", ".join(f"{json.dumps(prop)} = {json.dumps(str(d[k]))}" for prop, k in (
             ("layer", "layer"), ("data_owner", "owner"), ("intended_audience", "intended_audience"),
             ("update_cadence", "update_cadence")))
-        table = f"`{database}`.`{d['name']}`"
+        table = f"`{db}`.`{d['name']}`"
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{part} LOCATION '{loc}' "
                   f"COMMENT {json.dumps(d['description'])} TBLPROPERTIES ({props})")
