@@ -42,7 +42,7 @@ def test_assign_sequence_is_gapless_and_ordered(spark):
 
 
 def test_capture_diff_ops(spark):
-    from tidemark.contracts import LONG, STR, Contract, TableContract, _c
+    from tidemark.contracts import LONG, STR, TableContract, _c
     t = TableContract("items", (_c("id", LONG, False), _c("a", STR)), pk=("id",))
     before = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id long, a string")
     after = spark.createDataFrame([(1, "x"), (2, "z"), (3, None), (4, "n")], "id long, a string")

@@ -16,7 +16,6 @@ import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.contracts import Contract, TableContract
 from tidemark.functions import payload
