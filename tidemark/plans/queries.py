@@ -738,9 +738,10 @@ def _catalog_drift_sql() -> str:
     return f"""
 WITH pub(dataset, column_name, published_type, published_nullable) AS (VALUES {pub}),
 act AS (SELECT table_name AS dataset, column_name,
-               CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
-                              WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-                              ELSE lower(data_type) END AS actual_type
+               CASE WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int'
+                    WHEN data_type = 'VARCHAR' THEN 'string' WHEN data_type = 'DOUBLE' THEN 'double'
+                    WHEN data_type LIKE 'TIMESTAMP%' AND data_type NOT LIKE '%TIME ZONE%' THEN 'timestamp_ntz'
+                    ELSE lower(data_type) END AS actual_type
         FROM information_schema.columns),
 nulls AS ({nulls})
 SELECT p.dataset, p.column_name, p.published_type, a.actual_type, p.published_nullable, n.null_rows,
