@@ -25,12 +25,27 @@ from pyspark.sql import types as T
 from tidemark.contracts import CDC_SEQ, DELETED, LAKE_SCHEMA, Contract
 from tidemark.sources import fs
 
-# The catalog's required dataset fields, column attributes and
-# allowed layers (the catalog format the reference publishes).
+# The catalog's required dataset fields, column attributes,
+# allowed layers and validation messages (the catalog format and message
+# texts the reference publishes; {d} dataset, {c} column, {f} field, {x} value).
 DATASET_FIELDS = ["name", "layer", "table_name", "owner", "intended_audience", "update_cadence",
                   "description", "schema"]
 COLUMN_FIELDS = ["name", "type", "description", "nullable"]
 LAYERS = ["lake", "warehouse"]
+MSG = {
+    "not_found": "Catalog file not found at path: {x}",
+    "unparsable": "Failed to parse JSON catalog file: {x}",
+    "no_version": "Catalog missing root field: 'version'",
+    "no_datasets": "Catalog missing root list field: 'datasets'",
+    "empty": "Catalog 'datasets' list is empty.",
+    "missing_field": "Dataset '{d}' missing required field: '{f}'",
+    "bad_layer": "Dataset '{d}' has invalid layer '{x}'. Must be one of: ['lake', 'warehouse']",
+    "empty_schema": "Dataset '{d}' schema column list is empty.",
+    "missing_attr": "Dataset '{d}' column '{c}' missing required attribute: '{f}'",
+    "schema_not_list": "Dataset '{d}' field 'schema' must be a list of columns.",
+    "no_lake": "Catalog contains no 'lake' datasets.",
+    "no_warehouse": "Catalog contains no 'warehouse' datasets.",
+}
 
 ENTRY_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()), T.StructField("layer", T.StringType()),
@@ -107,6 +122,21 @@ def discover(entries_df: DataFrame, layer: str | None = None, owner: str | None
 
 
 # --------------------------------------------------------------- M2, M3 ----
+def _msg(key: str, **parts: Column | str) -> Column:
+    """Message column from a MSG template; placeholders filled with columns."""
+    pieces: list[Column] = []
+    for tok in re.split(r"(\{[a-z]\})", MSG[key]):
+        if not tok:
+            continue
+        name = tok[1:-1] if re.fullmatch(r"\{[a-z]\}", tok) else None
+        if name is None:
+            pieces.append(F.lit(tok))
+        else:
+            v = parts[name]
+            pieces.append(F.lit(v) if isinstance(v, str) else v)
+    return F.concat(*pieces)
+
+
 def _jstr(doc: Column, path: str) -> Column:
     return F.get_json_object(doc, path)
 
@@ -120,7 +150,7 @@ def validate(spark: SparkSession, path: str) -> DataFrame:
     Empty result = valid."""
     schema = "ordinal bigint, message string"
     if not fs.exists(spark, path):
-        return spark.createDataFrame([(0, f"Catalog file not found at path: {path}")], schema)
+        return spark.createDataFrame([(0, MSG["not_found"].format(x=path))], schema)
     doc = spark.read.text(path, wholetext=True).select(F.col("value").alias("doc"))
     keys = F.json_object_keys("doc")
     root = doc.select("doc", keys.alias("k"))
@@ -136,12 +166,12 @@ def validate(spark: SparkSession, path: str) -> DataFrame:
         errors.append(df.select(ordinal.cast("bigint").alias("ordinal"), message.alias("message")))
 
     bad = root.where(~F.col("ok"))
-    err(bad, F.lit(0), F.lit("Failed to parse JSON catalog file: not a JSON object"))
+    err(bad, F.lit(0), _msg("unparsable", x="not a JSON object"))
     good = root.where(F.col("ok"))
-    err(good.where(~_present(F.col("k"), "version")), F.lit(1), F.lit("Catalog missing root field: 'version'"))
-    err(good.where(~F.col("is_list")), F.lit(2), F.lit("Catalog missing root list field: 'datasets'"))
+    err(good.where(~_present(F.col("k"), "version")), F.lit(1), _msg("no_version"))
+    err(good.where(~F.col("is_list")), F.lit(2), _msg("no_datasets"))
     listed = good.where(F.col("is_list"))
-    err(listed.where(F.size("ds") == 0), F.lit(3), F.lit("Catalog 'datasets' list is empty."))
+    err(listed.where(F.size("ds") == 0), F.lit(3), _msg("empty"))
 
     ds = listed.select(F.posexplode("ds").alias("i", "d")).select(
         "i", "d", F.json_object_keys("d").alias("dk"))
@@ -151,31 +181,26 @@ def validate(spark: SparkSession, path: str) -> DataFrame:
     for j, f in enumerate(DATASET_FIELDS):
         v = _jstr(F.col("d"), f"$.{f}")
         missing = ~_present(F.col("dk"), f) | v.isNull() | (v == "")
-        err(ds.where(missing), base + j,
-            F.concat(F.lit("Dataset '"), F.col("dn"), F.lit(f"' missing required field: '{f}'")))
+        err(ds.where(missing), base + j, _msg("missing_field", d=F.col("dn"), f=f))
     layer = _jstr(F.col("d"), "$.layer")
     err(ds.where(~F.coalesce(layer.isin(*LAYERS), F.lit(False))), base + 100,
-        F.concat(F.lit("Dataset '"), F.col("dn"), F.lit("' has invalid layer '"), F.coalesce(layer, F.lit("None")),
-                 F.lit(f"'. Must be one of: {LAYERS!r}")))
+        _msg("bad_layer", d=F.col("dn"), x=F.coalesce(layer, F.lit("None"))))
     sraw = _jstr(F.col("d"), "$.schema")
     s_list = F.coalesce(F.ltrim(sraw).startswith("["), F.lit(False))
-    err(ds.where(~s_list), base + 900,
-        F.concat(F.lit("Dataset '"), F.col("dn"), F.lit("' field 'schema' must be a list of columns.")))
+    err(ds.where(~s_list), base + 900, _msg("schema_not_list", d=F.col("dn")))
     sc = ds.where(s_list).select("i", "dn", F.from_json(sraw, "array<string>").alias("cols"))
-    err(sc.where(F.size("cols") == 0), base + 200,
-        F.concat(F.lit("Dataset '"), F.col("dn"), F.lit("' schema column list is empty.")))
+    err(sc.where(F.size("cols") == 0), base + 200, _msg("empty_schema", d=F.col("dn")))
     cols = sc.select("i", "dn", F.posexplode("cols").alias("ci", "c")).select(
         "i", "dn", "ci", "c", F.json_object_keys("c").alias("ck"))
     col_name = F.coalesce(_jstr(F.col("c"), "$.name"), F.concat(F.lit("col["), F.col("ci"), F.lit("]")))
     for j, f in enumerate(COLUMN_FIELDS):
         err(cols.where(~_present(F.col("ck"), f)), base + 300 + F.col("ci") * 10 + j,
-            F.concat(F.lit("Dataset '"), F.col("dn"), F.lit("' column '"), col_name,
-                     F.lit(f"' missing required attribute: '{f}'")))
+            _msg("missing_attr", d=F.col("dn"), c=col_name, f=f))
     counts = listed.select(F.col("ds")).select(
         F.size(F.filter("ds", lambda d: F.get_json_object(d, "$.layer") == "lake")).alias("lake"),
         F.size(F.filter("ds", lambda d: F.get_json_object(d, "$.layer") == "warehouse")).alias("wh"))
-    err(counts.where(F.col("lake") == 0), F.lit(10 ** 12), F.lit("Catalog contains no 'lake' datasets."))
-    err(counts.where(F.col("wh") == 0), F.lit(10 ** 12 + 1), F.lit("Catalog contains no 'warehouse' datasets."))
+    err(counts.where(F.col("lake") == 0), F.lit(10 ** 12), _msg("no_lake"))
+    err(counts.where(F.col("wh") == 0), F.lit(10 ** 12 + 1), _msg("no_warehouse"))
     out = errors[0]
     for e in errors[1:]:
         out = out.unionByName(e)

@@ -34,6 +34,9 @@ STORED_SCHEMA = T.StructType(
 STORED_COLUMNS = [f.name for f in STORED_SCHEMA.fields]
 COMMITS = "_commits"
 
+# Fixed value: the rejection message for an operation code outside the domain.
+INVALID_OPERATION = "Invalid CDC operation {what}. Must be one of: {allowed}"
+
 
 class InvalidOperationError(ValueError):
     pass
@@ -123,8 +126,8 @@ def door_stats(batch: DataFrame, extra: list[F.Column] = (), prepare=None) -> Do
 
 def require_clean_door(stats: DoorStats) -> None:
     if stats.bad_ops:
-        raise InvalidOperationError(
-            f"Invalid CDC operation in {stats.bad_ops} event(s). Must be one of: {sorted(OPERATIONS)}")
+        raise InvalidOperationError(INVALID_OPERATION.format(
+            what=f"in {stats.bad_ops} event(s)", allowed=sorted(OPERATIONS)))
     nulls = {c: n for c, n in stats.nulls.items() if n}
     if nulls:
         raise LakeDoorError(f"lake columns must not be NULL: {nulls}")

@@ -91,7 +91,8 @@ def contract_rules(contract: Contract, layer: str = "source") -> list[Rule]:
 # --------------------------------------------------------------------------
 # The reference's suite, rule for rule ("reference" profile).
 # The 49 checks, their order, tables, columns, enum domains and
-# message texts are those of the reference's validation suite.
+# message texts ({table} {column} {n} {parent} {allowed} are placeholders)
+# are those of the reference's validation suite.
 # --------------------------------------------------------------------------
 _PK = [("customers", "customer_id"), ("wallets", "wallet_id"), ("merchants", "merchant_id"),
        ("transactions", "transaction_id"), ("ledger_entries", "entry_id")]
@@ -107,12 +108,21 @@ _NOT_NULL = [("customers", ["customer_id", "name", "email", "status", "created_a
              ("wallets", ["wallet_id", "customer_id", "balance", "currency", "status"]),
              ("transactions", ["transaction_id", "wallet_id", "amount", "direction", "status"]),
              ("ledger_entries", ["entry_id", "transaction_id", "wallet_id", "entry_type", "amount"])]
+REF_MSG = {
+    "pk_unique": "{table}: primary key {column} non-uniqueness detected ({n} duplicate keys)",
+    "pk_unique_active": "{table}: primary key {column} non-uniqueness detected in active warehouse rows",
+    "fk": "{table}.{column} -> {parent}: {n} orphaned record(s) violate foreign key constraint",
+    "fk_active": "{table}.{column} -> {parent}: {n} active warehouse row(s) violate referential integrity",
+    "not_null": "{table}.{column}: {n} null value(s) violate NOT NULL constraint",
+    "nonnegative": "{table}: {n} row(s) have negative wallet balance",
+    "amount_fee": "{table}: {n} row(s) have invalid transaction amount or fee",
+    "time_order": "{table}: {n} row(s) have settled_at timestamp preceding created_at",
+    "enum": "{table}.{column}: {n} row(s) contain invalid enum value outside allowed domain ({allowed})",
+}
 _BUSINESS = [
-    ("wallets", "balance", "nonnegative", "balance < 0", "{table}: {n} row(s) have negative wallet balance"),
-    ("transactions", "amount", "amount_fee", "amount <= 0 OR fee < 0",
-     "{table}: {n} row(s) have invalid transaction amount or fee"),
-    ("transactions", "settled_at", "time_order", "settled_at IS NOT NULL AND settled_at < created_at",
-     "{table}: {n} row(s) have settled_at timestamp preceding created_at"),
+    ("wallets", "balance", "nonnegative", "balance < 0"),
+    ("transactions", "amount", "amount_fee", "amount <= 0 OR fee < 0"),
+    ("transactions", "settled_at", "time_order", "settled_at IS NOT NULL AND settled_at < created_at"),
 ]
 _ENUM = [("customers", "status", ["active", "suspended", "closed"]),
          ("wallets", "status", ["active", "frozen", "closed"]),
@@ -122,40 +132,37 @@ _ENUM = [("customers", "status", ["active", "suspended", "closed"]),
 
 
 def reference_rules() -> list[Rule]:
+    """The reference's 49 checks, in its order, as rule objects."""
     rules: list[Rule] = []
 
     def add(**kw):
         rules.append(Rule(rule_id=f"V{len(rules) + 1:02d}", **kw))
     for t, pk in _PK:
         add(layer="source", table=t, column=pk, rule_type="pk_unique", kind="pk", keys=(pk,),
-            message="{table}: primary key {column} non-uniqueness detected ({n} duplicate keys)")
+            message=REF_MSG["pk_unique"])
     for t, pk in _PK:
         add(layer="warehouse", table=f"wh_{t}", column=pk, rule_type="pk_unique_active", kind="pk",
-            keys=(pk,), active_only=True,
-            message="{table}: primary key {column} non-uniqueness detected in active warehouse rows")
+            keys=(pk,), active_only=True, message=REF_MSG["pk_unique_active"])
     for c, fk, p, pk in _FK:
         add(layer="source", table=c, column=fk, rule_type="fk", kind="fk", keys=(fk,), parent=p,
-            parent_key=pk,
-            message="{table}.{column} -> " + f"{p}.{pk}" + ": {n} orphaned record(s) violate foreign key constraint")
+            parent_key=pk, message=REF_MSG["fk"].replace("{parent}", f"{p}.{pk}"))
     for c, fk, p, pk in _WH_FK:
         add(layer="warehouse", table=c, column=fk, rule_type="fk_active", kind="fk", keys=(fk,), parent=p,
             parent_key=pk, active_only=True, parent_active_only=True,
-            message="{table}.{column} -> " + f"{p}.{pk}" +
-                    ": {n} active warehouse row(s) violate referential integrity")
+            message=REF_MSG["fk_active"].replace("{parent}", f"{p}.{pk}"))
     for t, cols in _NOT_NULL:
         for col in cols:
             add(layer="source", table=t, column=col, rule_type="not_null", kind="row",
-                predicate=f"`{col}` IS NULL", columns_needed=(col,),
-                message="{table}.{column}: {n} null value(s) violate NOT NULL constraint")
-    for t, col, rtype, pred, msg in _BUSINESS:
+                predicate=f"`{col}` IS NULL", columns_needed=(col,), message=REF_MSG["not_null"])
+    for t, col, rtype, pred in _BUSINESS:
         for layer, name in (("source", t), ("warehouse", f"wh_{t}")):
-            add(layer=layer, table=name, column=col, rule_type=rtype, kind="row", predicate=pred, message=msg)
+            add(layer=layer, table=name, column=col, rule_type=rtype, kind="row", predicate=pred,
+                message=REF_MSG[rtype])
     for t, col, allowed in _ENUM:
         dom = ", ".join("'" + v + "'" for v in allowed)
         add(layer="source", table=t, column=col, rule_type="enum", kind="row",
             predicate=f"`{col}` NOT IN ({dom})", columns_needed=(col,),
-            message="{table}.{column}: {n} row(s) contain invalid enum value outside allowed domain (" +
-                    repr(allowed).replace("{", "{{").replace("}", "}}") + ")")
+            message=REF_MSG["enum"].replace("{allowed}", repr(allowed)))
     return rules
 
 

@@ -23,6 +23,14 @@ from tidemark.functions import payload
 logger = logging.getLogger(__name__)
 
 
+# Message formats of the schema contract check and the
+# stop-the-line error (tests and log consumers match on them).
+MISSING_TABLE = "{table}: table missing or describe failed — {reason}"
+MISSING_COLUMN = "{table}.{column}: required column missing from source table (dropped or renamed)"
+STOP_HEADER = "STOP-THE-LINE: Incompatible source schema changes detected!"
+STOP_ITEM = "  ✗ {problem}"
+
+
 class SchemaIncompatibilityError(Exception):
     """Source or payload shape breaks the declared contract."""
 
@@ -35,19 +43,17 @@ def check_schema(tables: dict[str, DataFrame | None], contract: Contract) -> lis
     for t in contract.tables:
         df = tables.get(t.name)
         if df is None:
-            problems.append(f"{t.name}: table missing or describe failed — no such table")
+            problems.append(MISSING_TABLE.format(table=t.name, reason="no such table"))
             continue
         actual = set(df.columns)
         for col in t.column_names:
             if col not in actual:
-                problems.append(
-                    f"{t.name}.{col}: required column missing from source table (dropped or renamed)")
+                problems.append(MISSING_COLUMN.format(table=t.name, column=col))
     return problems
 
 
 def stop_message(problems: list[str]) -> str:
-    return "STOP-THE-LINE: Incompatible source schema changes detected!\n" + "\n".join(
-        f"  ✗ {p}" for p in problems)
+    return "\n".join([STOP_HEADER] + [STOP_ITEM.format(problem=p) for p in problems])
 
 
 def assert_schema_compatible(tables: dict[str, DataFrame | None], contract: Contract) -> None:
