@@ -69,3 +69,21 @@ def test_hot_key_is_spread_over_tasks(spark):
         assert sorted(r.version_no for r in out.where("k = 0").collect()) == list(range(1, 3001))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_capture_snapshots_continue_lake_sequence(spark, work):
+    from tidemark.contracts import LONG, STR, Contract, TableContract, _c
+    from tidemark.operators import fold as fm
+    from tidemark.operators import lake as lm
+    c = Contract(name="snap", tables=(TableContract("items", (_c("id", LONG, False), _c("a", STR)), pk=("id",)),))
+    lake = f"{work}/lake"
+    s0 = {"items": spark.createDataFrame([(1, "x"), (2, "y")], "id long, a string")}
+    s1 = {"items": spark.createDataFrame([(1, "x2"), (3, "z")], "id long, a string")}
+    r0 = capture.capture_snapshots(spark, lake, {}, s0, c)
+    r1 = capture.capture_snapshots(spark, lake, s0, s1, c)
+    assert (r0.written, r1.written) == (2, 3)
+    assert lm.lake_max(spark, lake) == 5
+    seqs = sorted(r.sequence for r in lm.read_lake(spark, lake).collect())
+    assert seqs == [1, 2, 3, 4, 5]
+    state = {r.id: (r.a, r._deleted) for r in fm.fold(lm.read_lake(spark, lake), c.table("items")).collect()}
+    assert state == {1: ("x2", False), 2: ("y", True), 3: ("z", False)}

@@ -75,3 +75,22 @@ def incremental_extract(df: DataFrame, version_col: str, watermark) -> DataFrame
     # Scalar subquery (a global max is a partial + final aggregate), not an
     # unpartitioned window that would pull every row into one task.
     return rows.withColumn("new_watermark", rows.select(F.max(version_col)).scalar())
+
+
+def capture_snapshots(spark, lake_path: str, before: dict[str, DataFrame], after: dict[str, DataFrame],
+                      contract, captured_at=None):
+    """B1+B2 into the lake: diff every contract table's two snapshots, number
+    the events after the lake's highest sequence (gapless, by table and key)
+    and append them.  Returns the append result."""
+    from tidemark.operators import lake as lm
+    events = None
+    for t in contract.tables:
+        if t.name not in before and t.name not in after:
+            continue
+        empty = spark.createDataFrame([], t.struct)
+        d = capture_diff(before.get(t.name, empty), after.get(t.name, empty), t)
+        events = d if events is None else events.unionByName(d)
+    if events is None:
+        return None
+    feed = to_feed(events, start=lm.lake_max(spark, lake_path) + 1, captured_at=captured_at)
+    return lm.append(spark, lake_path, feed)

@@ -158,6 +158,20 @@ def committed_batches(spark: SparkSession, path: str) -> list[int]:
                   if n.endswith(".json") and not n.startswith("."))
 
 
+def latest_commit(spark: SparkSession, path: str) -> dict | None:
+    names = [n for n in fs.list_names(spark, f"{path}/{COMMITS}") if n.endswith(".json") and not n.startswith(".")]
+    return fs.read_json(spark, f"{path}/{COMMITS}/{max(names)}") if names else None
+
+
+def lake_max(spark: SparkSession, path: str) -> int:
+    """A5 for a stored lake: highest sequence committed so far (0 if none),
+    read from the newest commit marker (each carries the running maximum)."""
+    last = latest_commit(spark, path)
+    if last is None:
+        return 0
+    return int(last.get("lake_max") or last.get("hi") or 0)
+
+
 def next_batch_id(spark: SparkSession, path: str) -> int:
     done = committed_batches(spark, path)
     return (done[-1] + 1) if done else 1
@@ -220,9 +234,11 @@ def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None
                  .where(F.col("_h_lake").isNull()))
     written, per_table = write_rows(fresh, path, [t for t in stats.tables if t is not None], marks)
     s = seen.get
+    written_hi = max((v[2] for v in per_table.values()), default=0)
     fs.write_json_atomic(spark, f"{path}/{COMMITS}/{batch_id:020d}.json",
                          {"batch_id": batch_id, "written": written, "received": stats.n,
                           "lo": stats.lo, "hi": stats.hi, "restore_no": restore_no,
+                          "lake_max": max(lake_max(spark, path), written_hi),
                           "tables": {t: list(v) for t, v in per_table.items()}})
     res = AppendResult(batch_id, stats.n, written, stats.n - int(s["unique"]), int(s["already"]),
                        int(s["conflicts"]))
