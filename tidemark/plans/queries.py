@@ -779,3 +779,19 @@ def catalog_profile(spark, sf_dir):
     datasets = {"lake_cdc_events": ("lake", feed)}
     datasets.update({FEED.table(n).wh_name: ("warehouse", df) for n, df in folded.items()})
     return catalog.profile(datasets)
+
+
+@query("restore_roundtrip", f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE sequence <= {O.half_sequence()})
+SELECT table_name, user_id, event_type, value, k
+FROM ({O.fold_select('patch', source='cut', keep_deleted=False)}) AS x""")
+def restore_roundtrip(spark, sf_dir):
+    """K6 end to end: lake and warehouse from the whole feed, restore to the
+    middle of history with compensating events, read the active warehouse."""
+    from tidemark.operators import history
+    from tidemark.operators.ingest import ingest
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, wh = _store(spark, "restore")
+    ingest(spark, lake_path, wh, feed)
+    history.restore(spark, lake_path, wh, half_sequence(feed))
+    return fold_mod.active(_wh_union(wh)).select("table_name", "user_id", "event_type", "value", "k")
