@@ -41,7 +41,7 @@ def source_tables(spark, **rows):
     out = {}
     for t in PAYMENTS.tables:
         data = rows.get(t.name, [])
-        out[t.name] = spark.createDataFrame(data, t.struct.fields and _nullable(t.struct))
+        out[t.name] = spark.createDataFrame(data, _nullable(t.struct))
     return out
 
 
