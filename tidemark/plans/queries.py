@@ -795,3 +795,19 @@ def restore_roundtrip(spark, sf_dir):
     ingest(spark, lake_path, wh, feed)
     history.restore(spark, lake_path, wh, half_sequence(feed))
     return fold_mod.active(_wh_union(wh)).select("table_name", "user_id", "event_type", "value", "k")
+
+
+@query("lake_sql_scan", f"""
+WITH {O.FEED}
+SELECT sequence, operation, table_name, primary_key, {O.json_payload('patch')} AS data, captured_at, _ingest_batch
+FROM (SELECT *, CAST(1 AS BIGINT) AS _ingest_batch FROM feed) AS f""")
+def lake_sql_scan(spark, sf_dir):
+    """The lake registered as a partitioned catalog table and read
+    back through Spark SQL."""
+    import uuid
+    lake_path, _ = _store(spark, "lake_sql")
+    lake_mod.append(spark, lake_path, td.events_feed(spark, sf_dir, "patch"))
+    name = lake_mod.register_table(spark, lake_path, f"lake_cdc_events_{uuid.uuid4().hex[:8]}")
+    assert spark.catalog.tableExists(name)
+    return spark.sql(f"SELECT sequence, operation, table_name, primary_key, data, captured_at, _ingest_batch "
+                     f"FROM `{name}`")
