@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import decontaminate, exact_dedup
 
 QUERIES = {
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
