@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup
+from tidemark.llm import decontaminate, exact_dedup, token_planes
 
 QUERIES = {
+    "op4_token_planes": token_planes.op4_token_planes,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
