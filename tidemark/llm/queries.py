@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, token_planes
+from tidemark.llm import decontaminate, exact_dedup, packing, secrets, token_planes
 
 QUERIES = {
+    "op2_secret_scan": secrets.op2_secret_scan,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op4_token_planes": token_planes.op4_token_planes,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
