@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, packing, secrets, token_planes
+from tidemark.llm import decontaminate, exact_dedup, html_text, language, packing, secrets, token_planes
 
 QUERIES = {
+    "op6_language_id": language.op6_language_id,
+    "op7_html_text": html_text.op7_html_text,
+    "language_id_pages": language.language_id_pages,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op4_token_planes": token_planes.op4_token_planes,
