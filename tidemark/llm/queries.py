@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, html_text, language, packing, secrets, token_planes
+from tidemark.llm import decontaminate, exact_dedup, html_text, language, near_dedup, packing, secrets, token_planes
 
 QUERIES = {
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_language_id": language.op6_language_id,
     "op7_html_text": html_text.op7_html_text,
     "language_id_pages": language.language_id_pages,
