@@ -1,22 +1,70 @@
-"""Corpus preparation: each stage reads what the one before it kept."""
+"""Corpus preparation: each stage reads what the one before it kept.
+
+Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
+returns a DataFrame with the columns of documents; the last one returns the
+packed pieces.  A stage reads doc_id, text, lang and source and passes other
+columns on untouched.  Defined results: an empty table passes every stage;
+rows with a null doc_id pass the filters unless their text decides otherwise
+(exact copies lose to a row with a doc_id).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import decontaminate, exact_dedup, language, near_dedup, packing
 from tidemark.llm.common import documents, stored
 
 
+def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id (null included) is in ``ids``."""
+    found = ids.select(F.col("doc_id").cast("long").alias("kept_id")).distinct()
+    return docs.join(found, docs.doc_id.eqNullSafe(found.kept_id), "left_semi")
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the known languages stay, with the language found."""
+    model = language.train(docs.select("doc_id", "lang", "text"))
+    found = language.identify(language.of_documents(docs), model)
+    verdict = found.where("accepted").select(F.col("id").alias("kept_id"), F.col("lang").alias("found_lang")).distinct()
+    # of rows that repeat a doc_id with different texts, each language found keeps them
+    one = verdict.groupBy("kept_id").agg(F.min("found_lang").alias("found_lang"))
+    return (docs.join(one, docs.doc_id.eqNullSafe(one.kept_id))
+            .select(*[F.col("found_lang").alias("lang") if c == "lang" else docs[c] for c in docs.columns]))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
-    kept = exact_dedup.exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return _keep(docs, exact_dedup.exact_dedup(docs).where("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, the one with the smallest doc_id."""
+    return _keep(docs, near_dedup.near_duplicates(docs).where("kept"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _keep(docs, found.where("n_hit = 0"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their bin, offset and bin size."""
+    return packing.pack(packing.token_lengths(docs))
 
 
-STAGES = [("exact dedup", drop_copies)]
+STAGES = [
+    ("language", identify_language),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
 
+# language models, signatures and the packing have no SQL form; the stages are
+# tested against brute force instead
 ORACLE_SQL = None
 
 
