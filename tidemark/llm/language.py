@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ UNDETERMINED = "und"
 TEMPER, ENOUGH = 0.5, 200
 SUFFIX_WEIGHT, HOST_WEIGHT, DECLARED_WEIGHT = 50.0, 20.0, 5.0
 UNDETERMINED_PRIOR = 0.01
+ACCEPT = 0.5
 
 _CODE = np.zeros(256, np.uint32)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
@@ -88,7 +90,17 @@ def train(labelled: DataFrame, *, rows: int = TRAIN_ROWS) -> tuple[list[str], np
     return names, np.log(table / table.sum(axis=1, keepdims=True)) if names else table
 
 
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    """Rows of log weights (classes x rows) as shares."""
+    e = np.exp(logs - logs.max(axis=0, keepdims=True))
+    return e / e.sum(axis=0, keepdims=True)
+
+
 def _score(names: list[str], model: np.ndarray):
+    """Text evidence: ll (log likelihood) and p (share by text alone) of each class."""
+    k = len(names) + 1
+    flat = np.append(np.full(k - 1, np.log((1 - UNDETERMINED_PRIOR) / max(1, k - 1))), np.log(UNDETERMINED_PRIOR))
+
     def score(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -97,24 +109,58 @@ def _score(names: list[str], model: np.ndarray):
                 n = np.bincount(row, minlength=len(part))
                 weight = TEMPER * np.minimum(n, ENOUGH) / np.maximum(n, 1)
                 ll = [weight * np.bincount(row, weights=m[bucket], minlength=len(part)) for m in model]
-                ll.append(-np.log(BUCKETS) * weight * n)
+                ll = np.stack(ll + [-np.log(BUCKETS) * weight * n])
+                p = _softmax(ll + flat[:, None]) * (n > 0)
                 yield pa.RecordBatch.from_arrays(
-                    list(part.columns[:-1]) + [pa.array(n, pa.int64())] + [pa.array(x, pa.float64()) for x in ll],
-                    names=list(part.schema.names[:-1]) + ["n_letters"] + [f"ll{k}" for k in range(len(ll))])
+                    list(part.columns[:-1]) + [pa.array(n, pa.int64())] + [pa.array(x) for x in (*ll, *p)],
+                    names=list(part.schema.names[:-1]) + ["n_letters"] + _columns("l", k) + _columns("p", k))
     return score
 
 
-def _softmax(logs: list) -> list:
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    parts = [F.exp(x - top) for x in logs]
-    total = sum(parts[1:], parts[0])
-    return [p / total for p in parts]
+def _columns(name: str, k: int) -> list[str]:
+    return [f"{name}{i}" for i in range(k)]
+
+
+def _fuse(classes: list[str], overall: np.ndarray, claimed: np.ndarray, kinds: int):
+    """Posterior from text, declaration and smoothed host prior, a row's own share
+    taken out of the counts it is judged by."""
+    k = len(classes)
+
+    def fuse(batches):
+        for batch in batches:
+            table = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            known = lambda c: pc.is_valid(table[c]).to_numpy(zero_copy_only=False)
+            take = lambda name: np.stack([
+                pc.fill_null(table[c], 0.0).to_numpy(zero_copy_only=False) for c in _columns(name, k)])
+            count = lambda c: pc.fill_null(table[c], 0).to_numpy(zero_copy_only=False)
+            n, mine = count("n_letters"), take("p")
+            own = (n > 0).astype(float)
+            suffix = (np.maximum(take("s") - mine, 0) + SUFFIX_WEIGHT * overall[:, None]) / (
+                np.maximum(count("s_n") - own, 0) + SUFFIX_WEIGHT)
+            suffix = np.where(known("suffix") & known("s_n"), suffix, overall[:, None])
+            host = (np.maximum(take("h") - mine, 0) + HOST_WEIGHT * suffix) / (
+                np.maximum(count("h_n") - own, 0) + HOST_WEIGHT)
+            prior = np.where(known("host") & known("h_n"), host, suffix)
+            claim = np.log((np.maximum(take("c") - mine, 0) + DECLARED_WEIGHT / kinds)
+                           / (np.maximum(claimed[:, None] - mine, 0) + DECLARED_WEIGHT))
+            claim = np.where(known("declared") & known("c0"), claim, 0.0)
+            q = _softmax(take("l") + np.log(prior) + claim)
+            best, top = q.argmax(axis=0), np.round(q.max(axis=0), 6)
+            text = mine.argmax(axis=0)
+            lang = np.where(n > 0, best, k - 1)
+            top = np.where(n > 0, top, 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [table["id"], pa.array([classes[i] for i in lang]), pa.array(top),
+                 pa.array([classes[i] for i in np.where(n > 0, text, k - 1)]), table["declared"], table["n_letters"],
+                 pa.array((lang < k - 1) & (top >= ACCEPT))],
+                names=["id", "lang", "posterior", "text_lang", "declared", "n_letters", "accepted"])
+    return fuse
 
 
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     """Fuse the evidence of rows (id, declared, suffix, host, text).
 
-    Returns id, lang, posterior, accepted, text_lang, declared, n_letters."""
+    Returns id, lang, posterior, text_lang, declared, n_letters, accepted."""
     names, table = model
     classes = names + [UNDETERMINED]
     k = len(classes)
@@ -122,50 +168,26 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     rows = rows.select("id", F.when(declared != "", declared).alias("declared"),
                        F.lower(F.col("suffix")).alias("suffix"), F.lower(F.col("host")).alias("host"), "text")
     schema = "id long, declared string, suffix string, host string, n_letters long, " + \
-        ", ".join(f"ll{i} double" for i in range(k))
+        ", ".join(f"{c} double" for c in _columns("l", k) + _columns("p", k))
     scored = stored(rows.mapInArrow(_score(names, table), schema), "language")
-    flat = [F.col(f"ll{i}") + (np.log(UNDETERMINED_PRIOR) if i == k - 1 else np.log((1 - UNDETERMINED_PRIOR) / max(1, k - 1)))
-            for i in range(k)]
-    alone = scored.select("*", *[p.alias(f"p{i}") for i, p in enumerate(_softmax(flat))])
-    sums = lambda prefix: [F.sum(f"p{i}").alias(f"{prefix}{i}") for i in range(k)]
-    seen = alone.where("n_letters > 0")
+    seen = scored.where("n_letters > 0")
+    sums = lambda name: [F.sum(p).alias(c) for p, c in zip(_columns("p", k), _columns(name, k))]
 
-    whole = seen.agg(F.count("*").alias("n"), *sums("g")).first()
-    overall = [((whole[f"g{i}"] or 0.0) + 1.0) / (whole["n"] + k) for i in range(k)]
     hosts = seen.groupBy("suffix", "host").agg(F.count("*").alias("h_n"), *sums("h"))
     suffixes = hosts.groupBy("suffix").agg(F.sum("h_n").alias("s_n"), *[F.sum(f"h{i}").alias(f"s{i}") for i in range(k)])
     claims = seen.where("declared is not null").groupBy("declared").agg(*sums("c"))
+    whole = seen.agg(F.count("*").alias("n"), *sums("g")).first()
+    overall = np.array([((whole[f"g{i}"] or 0.0) + 1.0) / (whole["n"] + k) for i in range(k)])
     claimed = claims.agg(F.count("*").alias("kinds"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(k)]).first()
-
-    joined = (alone.join(hosts, [alone.suffix.eqNullSafe(hosts.suffix), alone.host.eqNullSafe(hosts.host)], "left")
-              .drop(hosts.suffix).drop(hosts.host))
-    joined = joined.join(suffixes.withColumnRenamed("suffix", "s_suffix"),
-                         F.col("suffix").eqNullSafe(F.col("s_suffix")), "left").join(claims, "declared", "left")
-    own = (F.col("n_letters") > 0).cast("int")
-    logs = []
-    for i in range(k):
-        mine = F.when(own == 1, F.col(f"p{i}")).otherwise(0.0)
-        suffix = (F.greatest(F.coalesce(f"s{i}", F.lit(0.0)) - mine, F.lit(0.0)) + SUFFIX_WEIGHT * overall[i]) / (
-            F.coalesce("s_n", F.lit(0)) - F.when(F.col("s_n").isNull(), 0).otherwise(own) + SUFFIX_WEIGHT)
-        suffix = F.when(F.col("suffix").isNull(), F.lit(overall[i])).otherwise(suffix)
-        host = (F.greatest(F.coalesce(f"h{i}", F.lit(0.0)) - mine, F.lit(0.0)) + HOST_WEIGHT * suffix) / (
-            F.coalesce("h_n", F.lit(0)) - F.when(F.col("h_n").isNull(), 0).otherwise(own) + HOST_WEIGHT)
-        prior = F.when(F.col("host").isNull(), suffix).otherwise(host)
-        kinds = (claimed["kinds"] or 0) + 1
-        claim = F.when(F.col(f"c{i}").isNull(), F.lit(0.0)).otherwise(F.log(
-            (F.greatest(F.col(f"c{i}") - mine, F.lit(0.0)) + DECLARED_WEIGHT / kinds)
-            / F.greatest(F.lit(claimed[f"t{i}"] or 0.0) - mine + DECLARED_WEIGHT, F.lit(DECLARED_WEIGHT))))
-        logs.append(F.col(f"ll{i}") + F.log(prior) + claim)
-    fused = joined.select("id", "declared", "n_letters", F.array(*[f"p{i}" for i in range(k)]).alias("p"),
-                          F.array(*_softmax(logs)).alias("q"))
-    labels = F.array(*[F.lit(c) for c in classes])
-    best = lambda a: F.element_at(labels, F.array_position(a, F.array_max(a)).cast("int"))
-    found = F.col("n_letters") > 0
-    lang = F.when(found, best(F.col("q"))).otherwise(UNDETERMINED)
-    return (fused.select(
-        "id", lang.alias("lang"), F.when(found, F.round(F.array_max("q"), 6)).otherwise(0.0).alias("posterior"),
-        F.when(found, best(F.col("p"))).otherwise(UNDETERMINED).alias("text_lang"), "declared", "n_letters")
-        .withColumn("accepted", (F.col("lang") != UNDETERMINED) & (F.col("posterior") >= 0.5)))
+    claimed, kinds = np.array([claimed[f"t{i}"] or 0.0 for i in range(k)]), claimed["kinds"] + 1
+
+    joined = (scored.join(hosts.where("host is not null").select(F.col("suffix").alias("h_suffix"), F.col("host").alias("h_host"),
+                                                                 "h_n", *_columns("h", k)),
+                          F.col("suffix").eqNullSafe(F.col("h_suffix")) & (F.col("host") == F.col("h_host")), "left")
+              .join(suffixes.where("suffix is not null"), "suffix", "left").join(claims, "declared", "left"))
+    return joined.mapInArrow(
+        _fuse(classes, overall, claimed, kinds),
+        "id long, lang string, posterior double, text_lang string, declared string, n_letters long, accepted boolean")
 
 
 def of_documents(docs: DataFrame) -> DataFrame:
