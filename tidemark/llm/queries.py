@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, secrets, token_planes
+from tidemark.llm import decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, secrets, suffix_dedup, token_planes
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op10_pii": pii.op10_pii,
     "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_language_id": language.op6_language_id,
