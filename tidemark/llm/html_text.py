@@ -108,7 +108,7 @@ def blocks(page: str) -> list[Block]:
     out, parts, linked, links = [], [], 0, 0
     stack: list[tuple] = []           # (tag, container number, hint)
     numbers, n, at = 0, len(page), 0
-    lowered = None
+    lowered, own = None, False         # own: the open block itself is marked as boilerplate
 
     def flush():
         nonlocal linked
@@ -117,6 +117,8 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
             if text:
                 _, number, hint = stack[-1] if stack else ("", 0, OPEN)
+                if own:                    # in no container: its neighbours don't follow it
+                    number, hint = -1 - len(out), BAD
                 out.append(Block(text, linked / len(text), number, hint))
         linked = 0
 
@@ -160,6 +162,7 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK:
             flush()
             links = 0
+            own = not closing and tag not in CONTAINER and any(_marked(page[m.end():at]))
         if tag in CONTAINER:
             if closing:
                 for k in range(len(stack) - 1, -1, -1):

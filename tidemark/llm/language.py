@@ -34,6 +34,8 @@ UNDETERMINED = "und"
 # neighbouring trigrams repeat each other's evidence, and long texts need no more
 TEMPER, ENOUGH = 0.5, 200
 SUFFIX_WEIGHT, HOST_WEIGHT, DECLARED_WEIGHT = 50.0, 20.0, 5.0
+# share of a trigram model that is uniform, and how far below uniform "no language" lies
+UNSEEN, MARGIN = 0.1, 1.0
 UNDETERMINED_PRIOR = 0.01
 ACCEPT = 0.5
 
@@ -84,10 +86,11 @@ def train(labelled: DataFrame, *, rows: int = TRAIN_ROWS) -> tuple[list[str], np
     counts = (sample.select("lang", "text").mapInArrow(_count, "lang string, bucket long, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect())
     names = sorted({r[0] for r in counts})
-    table = np.full((len(names), BUCKETS), 0.1)
+    table = np.zeros((len(names), BUCKETS))
     for lang, bucket, n in counts:
         table[names.index(lang), bucket] += n
-    return names, np.log(table / table.sum(axis=1, keepdims=True)) if names else table
+    seen = table / np.maximum(table.sum(axis=1, keepdims=True), 1)
+    return names, np.log((1 - UNSEEN) * seen + UNSEEN / BUCKETS)
 
 
 def _softmax(logs: np.ndarray) -> np.ndarray:
@@ -109,7 +112,7 @@ def _score(names: list[str], model: np.ndarray):
                 n = np.bincount(row, minlength=len(part))
                 weight = TEMPER * np.minimum(n, ENOUGH) / np.maximum(n, 1)
                 ll = [weight * np.bincount(row, weights=m[bucket], minlength=len(part)) for m in model]
-                ll = np.stack(ll + [-np.log(BUCKETS) * weight * n])
+                ll = np.stack(ll + [-(np.log(BUCKETS) + MARGIN) * weight * n])
                 p = _softmax(ll + flat[:, None]) * (n > 0)
                 yield pa.RecordBatch.from_arrays(
                     list(part.columns[:-1]) + [pa.array(n, pa.int64())] + [pa.array(x) for x in (*ll, *p)],

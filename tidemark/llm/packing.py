@@ -156,10 +156,12 @@ def _seat(plan: Plan):
 
 
 def pack(lengths: DataFrame, *, capacities=CAPACITIES, cost=cost) -> DataFrame:
-    """Pack rows of (doc_id, n_tokens >= 1); one row per piece with its bin."""
+    """Pack rows of (doc_id, n_tokens); one row per piece with its bin.
+
+    A length that is null or below 1 counts as 1."""
     spark = lengths.sparkSession
     top, slots = max(capacities), shuffle_width(spark)
-    n = F.col("n_tokens").cast("long")
+    n = F.greatest(F.col("n_tokens").cast("long"), F.lit(1).cast("long"))
     items = stored(
         lengths.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("total"),
                        F.xxhash64(*lengths.columns).alias("salt"))
