@@ -16,10 +16,10 @@ overlap, without pairing up whole buckets:
 2. each bucket takes its most connected member as pivot, and every member is
    compared with the pivot (linear in the bucket);
 3. connected components of the links found;
-4. only buckets that still hold several components go on, and there only pairs
-   of different components that the sizes and the triangle inequality through
-   the pivot leave possible.  1 - weighted Jaccard is a metric, so no link of a
-   candidate pair is lost.
+4. only pivots whose texts still form several components go on, and there only
+   pairs of different components that can be links at all: they share a shingle
+   beyond the pivot, or their overlaps with the pivot are large enough (see
+   ``_possible``).  No link of a candidate pair is lost.
 
 With 32 bands of 4 a pair of similarity 0.8 is missed with probability 5e-8.
 
@@ -33,10 +33,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (documents, lower_ascii, mix, prefix_hash, slices, span_hash, stored, utf8,
+from tidemark.llm.common import (documents, lower_ascii, mix, prefix_hash, ragged, slices, span_hash, stored, utf8,
                                  word_bounds)
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -164,24 +164,46 @@ def _alike(batches):
             yield batch.select([0, 1]).filter(pa.array(ok))
 
 
+def _sides(part: pa.RecordBatch):
+    """Bags of the texts in columns 2 and 3, merged: (row, shingle, weight, side), ordered,
+    and the sizes of either side."""
+    rows, sides, sizes = len(part), [], []
+    for k in (2, 3):
+        data, off = utf8(part.column(k))
+        row, h, weight = bags(*shingles(lower_ascii(data), off)[:2])
+        sides.append((row, h, weight, np.full(len(row), k - 2)))
+        sizes.append(np.bincount(row, weights=weight, minlength=rows).astype(np.int64))
+    row, h, weight, side = (np.concatenate(x) for x in zip(*sides))
+    order = np.lexsort((side, h, row))
+    return row[order], h[order], weight[order], side[order], sizes
+
+
 def _overlap(batches):
-    """Exact weighted Jaccard similarity of pairs of texts."""
+    """Exact multiset overlap of pairs of texts, and the sizes of both."""
     for batch in batches:
         for part in slices(batch, "text_a", 1 << 20):
-            rows, sides, sizes = len(part), [], []
-            for k in (2, 3):
-                data, off = utf8(part.column(k))
-                row, h, weight = bags(*shingles(lower_ascii(data), off)[:2])
-                sides.append((row, h, weight))
-                sizes.append(np.bincount(row, weights=weight, minlength=rows))
-            row, h, weight = (np.concatenate(x) for x in zip(*sides))
-            order = np.lexsort((h, row))
-            row, h, weight = row[order], h[order], weight[order]
+            row, h, weight, _, sizes = _sides(part)
             same = np.flatnonzero((row[1:] == row[:-1]) & (h[1:] == h[:-1]))
-            both = np.bincount(row[same], weights=np.minimum(weight[same], weight[same + 1]), minlength=rows)
-            either = sizes[0] + sizes[1] - both
+            both = np.bincount(row[same], weights=np.minimum(weight[same], weight[same + 1]), minlength=len(part))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(both / np.maximum(either, 1))], names=["a", "b", "sim"])
+                [part.column(0), part.column(1), pa.array(both.astype(np.int64)), *map(pa.array, sizes)],
+                names=["a", "b", "both", "size_a", "size_b"])
+
+
+def _extras(batches):
+    """Shingles that text a has more often than text b, once for each time more."""
+    for batch in batches:
+        for part in slices(batch, "text_a", 1 << 20):
+            row, h, weight, side, _ = _sides(part)
+            other = np.zeros(len(row), weight.dtype)
+            same = np.flatnonzero((row[1:] == row[:-1]) & (h[1:] == h[:-1]))      # a's entry, then b's
+            other[same] = weight[same + 1]
+            more = np.where(side == 0, np.maximum(weight - other, 0), 0)
+            take = pa.array(np.repeat(row, more))
+            token = mix(np.repeat(h, more) + ragged(np.zeros(len(more), np.int64), more).astype(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(take), part.column(1).take(take), pa.array(token.astype(np.int64))],
+                names=["a", "b", "token"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -205,16 +227,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, prefilter: bool) -> DataFrame:
-    """(a, b, sim) of pairs, on the exact multiset overlap."""
-    if prefilter:
-        info = nodes.select("node", "sig")
-        pairs = (pairs.join(info.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-                 .join(info.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-                 .select("a", "b", "sig_a", "sig_b").mapInArrow(_alike, "a long, b long"))
-    return (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b").mapInArrow(_overlap, "a long, b long, sim double"))
+_OVERLAP = "a long, b long, both long, size_a long, size_b long"
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) with both texts.  Merge joins at every size: a pivot that very
+    many texts are compared with is then split by the engine, not broadcast."""
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")).hint("merge")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
 
 
 def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
@@ -231,36 +251,23 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY) -> DataF
     bucket = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     member = stored(member.join(bucket, "bucket"), "members")
     score = member.groupBy("node").agg(F.sum("n").alias("score"))
-    member = member.select("bucket", "node").join(score, "node")
-    pivot = member.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("p")).select(
+    scored = member.select("bucket", "node").join(score, "node")
+    pivot = scored.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("node")).alias("m"))).alias("p")).select(
         "bucket", (-F.col("p.m")).alias("pivot"))
-    member = stored(member.join(pivot, "bucket").join(nodes.select("node", "size"), "node")
-                    .select("bucket", "node", "pivot", "size"), "pivots")
-
-    wanted = member.select("node").distinct()
-    texts = stored(docs.join(wanted, docs.doc_id == wanted.node).select("node", "text"), "texts")
-    pairs = member.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    tested = stored(_verify(pairs, nodes, texts, False).groupBy("a", "b").agg(F.max("sim").alias("sim")), "tested")
-    links = tested.where(F.col("sim") >= similarity)
+    pairs = stored(member.join(pivot, "bucket").where("node <> pivot")
+                   .select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = stored(docs.hint("merge").join(wanted, docs.doc_id == wanted.node).select("node", "text"), "texts")
+
+    share = F.col("both") / (F.col("size_a") + F.col("size_b") - F.col("both"))
+    tested = stored(_with_texts(pairs, texts).mapInArrow(_overlap, _OVERLAP), "tested")
+    links = tested.where(share >= similarity).select("a", "b")
     labels = components(links)
 
-    # buckets that still hold several components
-    placed = (member.join(labels, "node", "left").join(
-        tested.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "sim"), ["node", "pivot"], "left")
-        .select("bucket", "node", "size", F.coalesce("comp", "node").alias("comp"),
-                F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("sim")).alias("d")))
-    placed = stored(placed, "placed")
-    live = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    placed = placed.join(live, "bucket", "left_semi")
-    x, y = placed.alias("x"), placed.alias("y")
-    far = 1 - similarity + 1e-9
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp"))
-                  & (F.abs(F.col("x.d") - F.col("y.d")) <= far) & (F.col("x.d") > 0) & (F.col("y.d") > 0)
-                  & (F.least("x.size", "y.size") >= similarity * F.greatest("x.size", "y.size") - 1e-9)
-                  ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    found = stored(_verify(rest, nodes, texts, True).where(F.col("sim") >= similarity), "rest")
+    rest = stored(_possible(tested, labels, texts, nodes, similarity), "rest")
+    found = stored(_with_texts(rest, texts).mapInArrow(_overlap, _OVERLAP).where(share >= similarity), "found")
     if found.limit(1).count():
-        labels = components(links.select("a", "b").unionByName(found.select("a", "b")))
+        labels = components(links.unionByName(found.select("a", "b")))
 
     classes = nodes.select("k1", "k2", "node").join(labels, "node", "left").select(
         "k1", "k2", F.coalesce("comp", "node").alias("class_id"))
@@ -271,5 +278,53 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY) -> DataF
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
 
+def _possible(tested: DataFrame, labels: DataFrame, texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different components that were compared with the same pivot and can be links.
+
+    Let x and y be bags and C their pivot.  What x and y share is either in C,
+    which is at most min(|x & C|, |y & C|), or it is beyond C in both.  So a
+    link needs a shingle that both have beyond C, which an equality join finds,
+    or min(|x & C|, |y & C|) >= s / (1 + s) * (|x| + |y|), which holds for few:
+    for a text that is no link of C only where y is shorter than C."""
+    placed = (tested.join(labels.select(F.col("node").alias("a"), "comp"), "a", "left")
+              .withColumn("comp", F.coalesce("comp", "a")))
+    of_pivot = labels.select(F.col("node").alias("b"), F.col("comp").alias("c_pivot"))
+    placed = placed.join(of_pivot, "b", "left").withColumn("c_pivot", F.coalesce("c_pivot", "b"))
+    # a pivot whose texts are all in its component has nothing left to find
+    live = placed.groupBy("b").agg(F.max((F.col("comp") != F.col("c_pivot")).cast("int")).alias("open"),
+                                   F.count("*").alias("n"), F.min("size_a").alias("least")).where("open = 1 and n > 1")
+    placed = stored(placed.join(live.select("b", "least"), "b"), "placed")
+    fits = F.least("x.size_a", "y.size_a") >= similarity * F.greatest("x.size_a", "y.size_a") - 1e-9
+    apart = (F.col("x.comp") < F.col("y.comp")) & fits
+    need = similarity / (1 + similarity) - 1e-9
+
+    near = placed.where(F.col("both") >= need * (F.col("size_a") + F.col("least")))
+    x, y = near.alias("x"), near.alias("y")
+    by_size = x.join(y, (F.col("x.b") == F.col("y.b")) & apart & (
+        F.least("x.both", "y.both") >= need * (F.col("x.size_a") + F.col("y.size_a"))))
+
+    # so many shingles beyond the pivot must be shared at least; of two such sets in
+    # one order, rare shingles first, parts of this length meet
+    beyond = F.col("size_a") - F.col("both")
+    shared = F.greatest(F.lit(1), F.ceil(need * (F.col("size_a") + F.greatest("least", similarity * F.col("size_a")))
+                                         - F.col("both") - 1e-6))
+    placed = placed.withColumn("part", beyond - shared + 1).where("part > 0")
+    token = stored(_with_texts(placed.select("a", "b"), texts).mapInArrow(_extras, "a long, b long, token long")
+                   .join(placed.select("a", "b", "comp", "size_a", "part"), ["a", "b"]), "tokens")
+    often = token.groupBy("b", "token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    order = Window.partitionBy("a", "b").orderBy("n", "token")
+    token = stored(token.join(often, ["b", "token"]).withColumn("at", F.row_number().over(order))
+                   .where("at <= part and lo <> hi").select("a", "b", "comp", "size_a", "token"), "parts")
+    x, y = token.alias("x"), token.alias("y")
+    by_token = x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.token") == F.col("y.token")) & apart)
+
+    pair = [F.col("x.a").alias("a"), F.col("y.a").alias("b")]
+    pairs = by_size.select(*pair).unionByName(by_token.select(*pair)).distinct()
+    info = nodes.select("node", "sig")
+    return (pairs.join(info.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+            .join(info.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
+            .select("a", "b", "sig_a", "sig_b").mapInArrow(_alike, "a long, b long"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
