@@ -3,9 +3,10 @@
 Every stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and
 returns a DataFrame with the columns of documents; the last one returns the
 packed pieces.  A stage reads doc_id, text, lang and source and passes other
-columns on untouched.  Defined results: an empty table passes every stage;
-rows with a null doc_id pass the filters unless their text decides otherwise
-(exact copies lose to a row with a doc_id).
+columns on untouched.  Defined results: an empty table passes every stage; of
+rows with equal texts one stays; rows of different texts that share a doc_id
+(null included) share the other stages' verdicts: they stay if one of them is
+in a known language, and go if one of them holds a benchmark window.
 """
 
 from __future__ import annotations
@@ -31,12 +32,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     # of rows that repeat a doc_id with different texts, each language found keeps them
     one = verdict.groupBy("kept_id").agg(F.min("found_lang").alias("found_lang"))
     return (docs.join(one, docs.doc_id.eqNullSafe(one.kept_id))
-            .select(*[F.col("found_lang").alias("lang") if c == "lang" else docs[c] for c in docs.columns]))
+            .select(*[one.found_lang.alias("lang") if c == "lang" else docs[c] for c in docs.columns]))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
-    return _keep(docs, exact_dedup.exact_dedup(docs).where("kept"))
+    """Of equal texts the row with the largest doc_id stays, and one of rows that repeat it."""
+    kept = exact_dedup.exact_dedup(docs).where("kept").select(
+        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct()
+    sha = "sha"
+    while sha in docs.columns:
+        sha += "_"
+    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), decontaminate.UPPER, decontaminate.LOWER)
+    signed = docs.withColumn(sha, F.sha2(text, 256))
+    return (signed.join(kept, signed.doc_id.eqNullSafe(kept.kept_id) & (signed[sha] == kept.kept_sha), "left_semi")
+            .dropDuplicates(["doc_id", sha]).select(docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +56,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _keep(docs, found.where("n_hit = 0"))
+    leaks = found.where("n_hit > 0").select(F.col("doc_id").alias("leak_id")).distinct()
+    return docs.join(leaks, docs.doc_id.eqNullSafe(leaks.leak_id), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
