@@ -9,11 +9,11 @@ this *anchor*, and two windows can be equal only if their anchors are.
 1. Every run of windows becomes one small row: anchor hash, digest of the bytes
    the run covers, document, first start, number of starts.
 2. Rows whose anchor hash occurs once cannot repeat and go.
-3. Rows with equal digests are one class of their anchor's group; a class of
-   several rows is represented by two, which is enough to see it repeat.
-4. The classes of a group form one text.  Suffix arrays by linear grouping
-   (``gsaca``) and common prefixes with suffix-array neighbours tell which of
-   its windows repeat.
+3. Rows with equal digests are one class of their anchor's group.  A class of
+   several rows repeats as a whole; it needs no sorting for itself.
+4. The classes of a group, each once, form one text.  Suffix arrays by linear
+   grouping (``gsaca``) and common prefixes with suffix-array neighbours tell
+   which windows of the classes of one row repeat.
 5. The windows found go back to all rows of the class and become byte spans.
 
 A group of many classes (a passage that very many documents quote in different
@@ -44,8 +44,8 @@ from tidemark.llm.gsaca import repeated_windows, suffix_arrays
 LENGTH, GRAM = 400, 32
 # ranges of starts by which large groups are dealt again
 FINER = (48, 6, 1)
-CLASSES = 8                  # classes that one text may hold
-BUNDLE = 1 << 20             # bytes of texts that one lockstep run handles
+CLASSES = 4                  # classes that one text may hold
+BUNDLE = 2 << 20             # bytes of texts that one lockstep run handles
 
 # a longer document is read in tiles; places in a tile fit the low bits of a key
 TILE, PLACE_BITS = 2 << 20, np.uint64(22)
@@ -181,16 +181,14 @@ _FIRST = 64           # symbols below are the separators of a text, all differen
 
 
 def _group_text(classes: dict) -> tuple[np.ndarray, list]:
-    """One text of a group's classes, those of several rows twice, and where each class starts."""
-    parts, places, at = [], [], 0
-    left = sum(min(c[0], 2) for c in classes.values())
+    """One text of a group's classes, and where each class of one row starts."""
+    parts, places, at, left = [], [], 0, len(classes)
     for dg, (copies, n, data) in classes.items():
-        raw = np.frombuffer(data, np.uint8).astype(np.uint16) + np.uint16(_FIRST)
-        places.append((dg, at, n))
-        for _ in range(min(copies, 2)):
-            left -= 1
-            parts += [raw, np.array([left], np.uint16)]
-            at += len(raw) + 1
+        left -= 1
+        parts += [np.frombuffer(data, np.uint8).astype(np.uint16) + np.uint16(_FIRST), np.array([left], np.uint16)]
+        if copies == 1:
+            places.append((dg, at, n))
+        at += len(data) + 1
     return np.concatenate(parts), places
 
 
@@ -296,7 +294,8 @@ def repeated_bytes(docs: DataFrame, *, with_bytes: bool = False) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    rows = stored(_recurring(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, _ROW)), "anchors")
+    anchors = stored(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, _ROW), "anchors")
+    rows = stored(_recurring(anchors), "recurring")
     texts = stored(_same(docs, rows.select("doc_id", "mark").distinct()), "texts")
 
     ready = None
@@ -313,15 +312,21 @@ def repeated_bytes(docs: DataFrame, *, with_bytes: bool = False) -> DataFrame:
                                  .select("doc_id", "mark", "text", "runs").mapInArrow(_finer(step), _ROW)), f"finer{step}")
     ready = rows if ready is None else ready.unionByName(rows)
 
-    classes = ready.groupBy("h", "dg").agg(
+    classes = stored(ready.groupBy("h", "dg").agg(
         F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"),
-        F.min(F.struct("doc_id", "mark", "lo", "n")).alias("at"))
-    by_doc = classes.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.mark").alias("mark")).agg(
+        F.min(F.struct("doc_id", "mark", "lo", "n")).alias("at")), "classes")
+    mixed = classes.groupBy("h").agg(F.count("*").alias("k"), F.min("copies").alias("fewest")).where(
+        "k > 1 and fewest = 1").select("h")
+    by_doc = classes.join(mixed, "h", "left_semi").groupBy(
+        F.col("at.doc_id").alias("doc_id"), F.col("at.mark").alias("mark")).agg(
         F.collect_list(F.struct("h", "dg", "copies", F.col("at.lo").alias("lo"), F.col("at.n").alias("n"))).alias("classes"))
     segments = _same(texts, by_doc).select("doc_id", "mark", "text", "classes").mapInArrow(
         _segments, "h long, dg long, copies int, n int, bytes binary")
-    found = stored(segments.repartition(shuffle_width(docs.sparkSession), "h").sortWithinPartitions("h")
-                   .mapInArrow(_repeats, _REPEATS), "repeats")
+    partly = stored(segments.repartition(shuffle_width(docs.sparkSession), "h").sortWithinPartitions("h")
+                    .mapInArrow(_repeats, _REPEATS), "repeats")
+    whole = classes.where("copies > 1").select("h", "dg", F.array(F.struct(
+        F.lit(0).alias("a"), (F.col("at.n") - 1).cast("int").alias("b"))).alias("runs"))
+    found = partly.unionByName(whole)
 
     spans = (ready.join(found, ["h", "dg"]).select("doc_id", "mark", "lo", F.explode("runs").alias("run"))
              .groupBy("doc_id", "mark").agg(F.collect_set(F.struct(
