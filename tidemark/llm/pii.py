@@ -46,7 +46,7 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 # whole runs of 16 to 19 digits with single separators
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-NUMBER = r"(?<![0-9])[(0-9][0-9 ().-]{5,24}+(?<=[0-9])"
+NUMBER = r"(?<![0-9])[(0-9][0-9 ().-]{5,24}[0-9]"
 ADDRESS = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,40}+ ?(?:\(at\)|\[at\]|at) ?[A-Za-z0-9-]{2,40}+"
            r"(?: ?(?:\(dot\)|\[dot\]|dot) ?|\.)[A-Za-z]{2,10}+")
 WRITTEN_OUT = r"(?i)[\[( ]dot[\]) ]|[\[(]at[\])]"
