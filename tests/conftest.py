@@ -1,5 +1,4 @@
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,9 +11,6 @@ from tidemark.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", shuffle_partitions=4, app_name="tidemark-tests")
-    # Tests run locally: give the session its own work folder when unset.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-tests-"))
     yield s
     s.stop()
 

@@ -6,7 +6,9 @@ whose payload is the new row image.  ``assign_sequence`` numbers events
 1, 2, 3... with no gaps, in a given order, without moving all rows into one
 partition: rows are range-partitioned and sorted by the order, each row
 gets its position inside its partition, and per-partition counts (one row
-per partition) give the offsets.
+per partition) give the offsets.  The placed rows are written once and both
+the rows and the counts are read from there: range boundaries come from a
+sample, so two runs of the same plan may place rows differently.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import LAKE_COLUMNS, TableContract
 from tidemark.functions import payload
 from tidemark.operators import fold as fm
+from tidemark.session import new_work_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id(): partition id << 33 | row index
 
@@ -29,6 +32,9 @@ def assign_sequence(df: DataFrame, order: list[str], start: int = 1, out: str =
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = (ranged.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
               .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+    path = new_work_dir(df.sparkSession, "numbering")
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = F.broadcast(counts.withColumn("_off", F.coalesce(F.sum("_n").over(
@@ -78,11 +84,16 @@ def incremental_extract(df: DataFrame, version_col: str, watermark) -> DataFrame
 
 
 def capture_snapshots(spark, lake_path: str, before: dict[str, DataFrame], after: dict[str, DataFrame],
-                      contract, captured_at=None):
+                      contract, captured_at=None, gate: bool = True):
     """B1+B2 into the lake: diff every contract table's two snapshots, number
     the events after the lake's highest sequence (gapless, by table and key)
-    and append them.  Returns the append result."""
+    and append them.  Returns the append result.  Sources that break the
+    contract stop the capture before anything is written (``gate``)."""
     from tidemark.operators import lake as lm
+    from tidemark.operators import schema_gate
+    if gate:
+        for side in (before, after):
+            schema_gate.assert_source_compatible(side, contract, names=[n for n in contract.names if n in side])
     events = None
     for t in contract.tables:
         if t.name not in before and t.name not in after:

@@ -148,9 +148,15 @@ def restore_events(current: DataFrame, target: DataFrame, table: TableContract,
 
 def restore(spark: SparkSession, lake_path: str, warehouse, target_sequence: int) -> dict:
     """K6 end to end: cut compensating events for every table, append them to
-    the lake as one restore, apply them.  History is never rewritten."""
+    the lake as one restore, apply them.  History is never rewritten.
+
+    Batches that are in the lake but not applied yet are applied first, so the
+    events are cut from the state that the lake stands for and no batch can
+    undo the restore afterwards."""
     from tidemark.operators import lake as lm
+    from tidemark.operators.ingest import apply_pending
 
+    apply_pending(spark, lake_path, warehouse)
     lake = lm.read_lake(spark, lake_path)
     stats = lake.agg(F.max(F.when(F.col(RESTORE_NO) == 0, F.col("sequence"))).alias("m"),
                      F.max(RESTORE_NO).alias("r")).first()
@@ -163,8 +169,7 @@ def restore(spark: SparkSession, lake_path: str, warehouse, target_sequence: int
         ev = restore_events(current, target, table, at_seq, restore_no)
         rows = ev if rows is None else rows.unionByName(ev)
     res = lm.append_restore(spark, lake_path, rows, restore_no)
-    reports = warehouse.apply(lake_path, lm.batch_rows(lm.read_lake(spark, lake_path), res.batch_id),
-                              res.batch_id)
+    reports = apply_pending(spark, lake_path, warehouse, res)
     return {"restore_no": restore_no, "sequence": at_seq, "events": res.written, "reports": reports}
 
 

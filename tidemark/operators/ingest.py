@@ -1,8 +1,9 @@
 """Batch ingestion: gate -> lake -> warehouse, in that order.
 
-A failure after the lake write leaves the warehouse on its previous version;
-running the same input again writes nothing new to the lake and applies the
-batch that is still pending, so a rerun converges to the same state.
+A failure after the lake write leaves the warehouse on its previous version.
+The batch id was taken before the first row was written, so the batch is
+pending whether or not its commit marker exists: the next run, of the same or
+of any other input, applies it first and converges to the same state.
 """
 
 from __future__ import annotations
@@ -22,9 +23,21 @@ class IngestReport:
 
 
 def pending_batches(spark: SparkSession, lake_path: str, warehouse: Warehouse) -> list[int]:
-    """Lake batches written but not yet applied to every touched table."""
+    """Lake batches begun but not yet applied to every touched table, in order."""
     done = set(warehouse.applied_batches())
-    return [b for b in lm.committed_batches(spark, lake_path) if b not in done]
+    return [b for b in lm.started_batches(spark, lake_path) if b not in done]
+
+
+def apply_pending(spark: SparkSession, lake_path: str, warehouse: Warehouse,
+                  res: lm.AppendResult | None = None) -> list[ApplyReport]:
+    """Apply what is pending.  ``res``: an append that has just run; its observed
+    counts describe its whole batch, others are counted from the lake."""
+    lake = lm.read_lake(spark, lake_path)
+    reports = []
+    for b in pending_batches(spark, lake_path, warehouse):
+        known = res.tables if res is not None and b == res.batch_id else None
+        reports += warehouse.apply(lake_path, lm.batch_rows(lake, b), b, known)
+    return reports
 
 
 def ingest(spark: SparkSession, lake_path: str, warehouse: Warehouse, feed: DataFrame,
@@ -37,9 +50,4 @@ def ingest(spark: SparkSession, lake_path: str, warehouse: Warehouse, feed: Data
     if gate:
         schema_gate.raise_if_gate_failed(stats.extra)
     res = lm.append(spark, lake_path, batch, batch_id, stats=stats, marks=warehouse.marks())
-    report = IngestReport(res)
-    lake = lm.read_lake(spark, lake_path)
-    for b in pending_batches(spark, lake_path, warehouse):
-        known = res.tables if (b == res.batch_id and res.tables is not None) else None
-        report.applied += warehouse.apply(lake_path, lm.batch_rows(lake, b), b, known)
-    return report
+    return IngestReport(res, apply_pending(spark, lake_path, warehouse, res))

@@ -1,4 +1,4 @@
-"""Append-only change lake (Parquet, partitioned by ``table_name``).
+"""Append-only change lake (Parquet, partitioned by ``table_name`` and ingest batch).
 
 Stored row = the six lake columns + ``_ingest_batch`` (which append wrote it)
 + ``_restore_no`` (0 for source events, >0 for compensating restore events).
@@ -153,9 +153,29 @@ def _stored_range(lake: DataFrame, lo, hi) -> DataFrame:
             .select("sequence", content_hash(lake).alias("_h_lake")))
 
 
+def _marked(spark: SparkSession, path: str, kinds: tuple[str, ...]) -> list[int]:
+    return sorted({int(n.split(".")[0]) for n in fs.list_names(spark, f"{path}/{COMMITS}")
+                   if n.endswith(kinds) and not n.startswith(".")})
+
+
 def committed_batches(spark: SparkSession, path: str) -> list[int]:
-    return sorted(int(n.split(".")[0]) for n in fs.list_names(spark, f"{path}/{COMMITS}")
-                  if n.endswith(".json") and not n.startswith("."))
+    return _marked(spark, path, (".json",))
+
+
+def started_batches(spark: SparkSession, path: str) -> list[int]:
+    """Every batch id ever taken: its rows may be in the lake, whether or not
+    the append lived to write its commit marker."""
+    return _marked(spark, path, (".json", ".open"))
+
+
+def reserve_batch(spark: SparkSession, path: str, batch_id: int | None = None) -> int:
+    """Take a batch id before any row is written.  An id is taken once, so rows
+    of a crashed append never share their id with another batch."""
+    taken = started_batches(spark, path)
+    if batch_id is None or batch_id in taken:
+        batch_id = (taken[-1] + 1) if taken else 1
+    fs.write_json_atomic(spark, f"{path}/{COMMITS}/{batch_id:020d}.open", {"batch_id": batch_id})
+    return batch_id
 
 
 def latest_commit(spark: SparkSession, path: str) -> dict | None:
@@ -164,17 +184,16 @@ def latest_commit(spark: SparkSession, path: str) -> dict | None:
 
 
 def lake_max(spark: SparkSession, path: str) -> int:
-    """A5 for a stored lake: highest sequence committed so far (0 if none),
-    read from the newest commit marker (each carries the running maximum)."""
+    """A5 for a stored lake: highest sequence stored so far (0 if none), from the
+    newest commit marker (each carries the running maximum) and the rows of
+    batches that have no marker."""
     last = latest_commit(spark, path)
-    if last is None:
-        return 0
-    return int(last.get("lake_max") or last.get("hi") or 0)
-
-
-def next_batch_id(spark: SparkSession, path: str) -> int:
-    done = committed_batches(spark, path)
-    return (done[-1] + 1) if done else 1
+    top = int(last.get("lake_max") or last.get("hi") or 0) if last else 0
+    unmarked = sorted(set(started_batches(spark, path)) - set(committed_batches(spark, path)))
+    if unmarked:
+        rows = read_lake(spark, path).where(F.col(INGEST_BATCH).isin(unmarked))
+        top = max(top, rows.agg(F.max("sequence")).first()[0] or 0)
+    return top
 
 
 def write_rows(rows: DataFrame, path: str, tables: list[str] = (),
@@ -195,7 +214,7 @@ def write_rows(rows: DataFrame, path: str, tables: list[str] = (),
     # No repartition by table: one hot table would become one task.  Each
     # task writes its rows per table, sorted by sequence (tight min/max).
     (out.sortWithinPartitions("table_name", "sequence")
-        .write.mode("append").partitionBy("table_name").parquet(path))
+        .write.mode("append").partitionBy("table_name", INGEST_BATCH).parquet(path))
     got = obs.get
     per = {t: (int(got[f"n{i}"]), got[f"lo{i}"], got[f"hi{i}"], int(got[f"late{i}"]))
            for i, t in enumerate(tables) if got[f"n{i}"]}
@@ -204,19 +223,22 @@ def write_rows(rows: DataFrame, path: str, tables: list[str] = (),
 
 def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None = None,
            restore_no: int = 0, stats: DoorStats | None = None,
-           marks: dict[str, int] | None = None) -> AppendResult:
+           marks: dict[str, int] | None = None, info: dict | None = None) -> AppendResult:
     """Idempotent append of change events; returns what was written.
 
+    Idempotence rests on the sequence dedup alone: every attempt gets a batch
+    id of its own and never skips.  ``info`` (such as stream and epoch) goes
+    into the commit marker for readers, not for decisions.
+
     Jobs: the door pass (skipped when ``stats`` is given) and one write job
     (dedup window, left join with the lake's sequence range, filter, write),
     whose counts come from observations on the way."""
-    if batch_id is None:
-        batch_id = next_batch_id(spark, path)
     batch = feed.select(*LAKE_COLUMNS)
     stats = stats or door_stats(batch)
     if not stats.n:
-        return AppendResult(batch_id, 0, 0, 0, 0, 0)
+        return AppendResult(0, 0, 0, 0, 0, 0)
     require_clean_door(stats)
+    batch_id = reserve_batch(spark, path, batch_id)
     batch = (batch.withColumn(INGEST_BATCH, F.lit(batch_id).cast("long"))
              .withColumn(RESTORE_NO, F.lit(restore_no).cast("int")))
     unique = dedup_batch(batch, restore=bool(restore_no))
@@ -235,10 +257,11 @@ def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None
     written, per_table = write_rows(fresh, path, [t for t in stats.tables if t is not None], marks)
     s = seen.get
     written_hi = max((v[2] for v in per_table.values()), default=0)
+    top = max(lake_max(spark, path), written_hi)
     fs.write_json_atomic(spark, f"{path}/{COMMITS}/{batch_id:020d}.json",
                          {"batch_id": batch_id, "written": written, "received": stats.n,
                           "lo": stats.lo, "hi": stats.hi, "restore_no": restore_no,
-                          "lake_max": max(lake_max(spark, path), written_hi),
+                          "lake_max": top, "info": info or {},
                           "tables": {t: list(v) for t, v in per_table.items()}})
     res = AppendResult(batch_id, stats.n, written, stats.n - int(s["unique"]), int(s["already"]),
                        int(s["conflicts"]))
@@ -277,9 +300,10 @@ def append_restore(spark: SparkSession, path: str, rows: DataFrame, restore_no:
 
 def register_table(spark: SparkSession, path: str, name: str = "lake_cdc_events") -> str:
     """Idempotent catalog table over the lake folder, partitioned by table."""
+    parts = ("table_name", INGEST_BATCH)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in STORED_SCHEMA.fields
-                     if f.name != "table_name")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}, `table_name` string) USING parquet "
-              f"PARTITIONED BY (`table_name`) LOCATION '{path}'")
+                     if f.name not in parts)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}, `table_name` string, `{INGEST_BATCH}` bigint) "
+              f"USING parquet PARTITIONED BY (`table_name`, `{INGEST_BATCH}`) LOCATION '{path}'")
     spark.sql(f"MSCK REPAIR TABLE `{name}`")
     return name

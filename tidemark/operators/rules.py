@@ -17,6 +17,7 @@ that is missing gives status ``not_evaluated`` (``strict=True``: ``fail``).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,17 @@ RESULT_SCHEMA = ("rule_id string, layer string, table_name string, column_name s
                  "rule_type string, violations bigint, status string, message string")
 
 
+# SQL words that a check predicate may hold beside its columns
+_SQL_WORDS = {"and", "or", "not", "is", "null", "in", "between", "like", "true", "false", "case", "when", "then",
+              "else", "end", "cast", "as", "decimal", "date", "timestamp", "abs", "coalesce"}
+
+
+def _columns_in(predicate: str) -> tuple[str, ...]:
+    """Column names a check predicate reads, so that a missing one is reported."""
+    bare = re.sub(r"'[^']*'", "", predicate)
+    return tuple(sorted({w for w in re.findall(r"[A-Za-z_]\w*", bare) if w.lower() not in _SQL_WORDS}))
+
+
 @dataclass(frozen=True)
 class Rule:
     rule_id: str
@@ -84,7 +96,7 @@ def contract_rules(contract: Contract, layer: str = "source") -> list[Rule]:
         for ck in t.checks:
             out.append(Rule(rid(ck.rule_type, ck.rule_id), layer, name, ck.column, ck.rule_type, "row",
                             "{table}: {n} " + (ck.message or "row(s) violate " + ck.rule_id),
-                            predicate=ck.violation, active_only=wh))
+                            predicate=ck.violation, active_only=wh, columns_needed=_columns_in(ck.violation)))
     return out
 
 
@@ -157,7 +169,7 @@ def reference_rules() -> list[Rule]:
     for t, col, rtype, pred in _BUSINESS:
         for layer, name in (("source", t), ("warehouse", f"wh_{t}")):
             add(layer=layer, table=name, column=col, rule_type=rtype, kind="row", predicate=pred,
-                message=REF_MSG[rtype])
+                columns_needed=_columns_in(pred), message=REF_MSG[rtype])
     for t, col, allowed in _ENUM:
         dom = ", ".join("'" + v + "'" for v in allowed)
         add(layer="source", table=t, column=col, rule_type="enum", kind="row",
@@ -320,24 +332,32 @@ def freshness(events: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def completeness(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """L4: both-way key coverage between a source and its copy.  Keys are
-    reduced to distinct values (partial aggregation) before the anti joins."""
-    s = source.select(*keys).distinct()
-    t = target.select(*keys).distinct()
-    missing = s.join(t, keys, "left_anti").agg(F.count(F.lit(1)).alias("missing_in_target"))
-    extra = t.join(s, keys, "left_anti").agg(F.count(F.lit(1)).alias("extra_in_target"))
-    counts = (source.agg(F.count(F.lit(1)).alias("source_rows"))
-              .join(target.agg(F.count(F.lit(1)).alias("target_rows")), how="inner"))
-    return counts.join(missing, how="inner").join(extra, how="inner")
+    """L4: both-way key coverage between a source and its copy, in one grouping
+    of both sides' keys (partial aggregation collapses repeated keys)."""
+    both = source.select(*keys, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
+        target.select(*keys, F.lit(0).alias("_s"), F.lit(1).alias("_t")))
+    per = both.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"))
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return per.agg(F.coalesce(F.sum("_s"), F.lit(0)).alias("source_rows"),
+                   F.coalesce(F.sum("_t"), F.lit(0)).alias("target_rows"),
+                   # a NULL key equals nothing: it is missing on the other side
+                   F.count_if((F.col("_s") > 0) & ((F.col("_t") == 0) | ~known)).alias("missing_in_target"),
+                   F.count_if((F.col("_t") > 0) & ((F.col("_s") == 0) | ~known)).alias("extra_in_target"))
 
 
 def consistency(warehouse: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """Warehouse must equal the fold of the lake, row for row."""
-    only_wh = warehouse.exceptAll(rebuilt).agg(F.count(F.lit(1)).alias("only_in_warehouse"))
-    only_rb = rebuilt.exceptAll(warehouse).agg(F.count(F.lit(1)).alias("only_in_rebuild"))
-    sizes = (warehouse.agg(F.count(F.lit(1)).alias("warehouse_rows"))
-             .join(rebuilt.agg(F.count(F.lit(1)).alias("rebuild_rows")), how="inner"))
-    return sizes.join(only_wh, how="inner").join(only_rb, how="inner")
+    """Warehouse must equal the fold of the lake, row for row (as multisets),
+    in one grouping of both sides' rows."""
+    cols = warehouse.columns
+    both = warehouse.select(*cols, F.lit(1).alias("_w"), F.lit(0).alias("_r")).unionByName(
+        rebuilt.select(*cols, F.lit(0).alias("_w"), F.lit(1).alias("_r")))
+    per = both.groupBy(*cols).agg(F.sum("_w").alias("_w"), F.sum("_r").alias("_r"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per.agg(total(F.col("_w")).alias("warehouse_rows"), total(F.col("_r")).alias("rebuild_rows"),
+                   total(F.greatest(F.col("_w") - F.col("_r"), F.lit(0))).alias("only_in_warehouse"),
+                   total(F.greatest(F.col("_r") - F.col("_w"), F.lit(0))).alias("only_in_rebuild"))
 
 
 def quarantine(df: DataFrame, table: TableContract, parents: dict[str, DataFrame] | None = None) -> DataFrame:

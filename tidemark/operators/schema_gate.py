@@ -3,7 +3,8 @@ stop ingestion before anything is written when they break it.
 
 * ``check_schema`` (G1) keeps the reference's message formats.
 * ``assert_schema_compatible`` (G2) raises with a ``STOP-THE-LINE`` message.
-* ``schema_report`` (G3) adds type, nullability-by-data and domain checks.
+* ``schema_report`` (G3) adds type and domain checks as rows, and
+  ``assert_source_compatible`` stops on type, nullability, domain and key changes.
 * ``payload_key_drift`` / ``payload_type_drift`` / ``key_agreement``
   (G4-G6) look inside JSON payloads of a feed.
 * ``assert_payloads_compatible`` runs G4-G6 as ONE aggregate over a batch
@@ -78,7 +79,7 @@ def schema_report(tables: dict[str, DataFrame | None], contract: Contract) -> Da
     the count of values outside the declared domain (one scan per table,
     all columns in one aggregate).  Columns: table_name, column_name,
     problem, expected, actual, rows."""
-    spark = SparkSession.getActiveSession()
+    spark = next((df.sparkSession for df in tables.values() if df is not None), SparkSession.getActiveSession())
     rows: list[tuple] = []
     scans: list[DataFrame] = []
     for t in contract.tables:
@@ -113,6 +114,59 @@ def schema_report(tables: dict[str, DataFrame | None], contract: Contract) -> Da
     return out
 
 
+def source_problems(tables: dict[str, DataFrame | None], contract: Contract,
+                    names: list[str] | None = None) -> list[str]:
+    """Every incompatible change of the sources: columns gone or retyped, NULL in
+    a required column, values outside a domain, keys that repeat, references
+    without a parent.  One aggregate per table for its rows, one grouping per
+    key and reference."""
+    wanted = [t for t in contract.tables if names is None or t.name in names]
+    problems = check_schema({t.name: tables.get(t.name) for t in wanted}, Contract(tuple(wanted), contract.name))
+    for t in wanted:
+        df = tables.get(t.name)
+        if df is None:
+            continue
+        actual = {f.name: f.dataType for f in df.schema.fields}
+        counts = []
+        for c in t.columns:
+            if c.name not in actual:
+                continue
+            if actual[c.name] != c.dtype:
+                problems.append(f"{t.name}.{c.name}: type {actual[c.name].simpleString()}, "
+                                f"contract {c.dtype.simpleString()}")
+            if not c.nullable or c.name in t.pk:
+                counts.append((f"{t.name}.{c.name}: null value(s) in a required column", F.col(c.name).isNull()))
+            if c.domain:
+                counts.append((f"{t.name}.{c.name}: value(s) outside the domain", ~F.col(c.name).isin(*c.domain)))
+        if counts:
+            got = df.agg(*[F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}")
+                           for i, (_, cond) in enumerate(counts)]).first()
+            problems += [f"{what} ({got[i]} row(s))" for i, (what, _) in enumerate(counts) if got[i]]
+        if all(k in actual for k in t.pk):
+            repeated = df.groupBy(*t.pk).count().where("count > 1").agg(F.count(F.lit(1))).first()[0]
+            if repeated:
+                problems.append(f"{t.name}: primary key {'+'.join(t.pk)} repeats ({repeated} key(s))")
+        for fk in t.fks:
+            parent = tables.get(fk.parent)
+            if parent is None or fk.column not in actual or fk.parent_column not in parent.columns:
+                continue
+            keys = df.select(F.col(fk.column).alias("_k")).where("_k is not null").distinct()
+            orphans = keys.join(parent.select(F.col(fk.parent_column).alias("_k")), "_k", "left_anti").count()
+            if orphans:
+                problems.append(f"{t.name}.{fk.column}: {orphans} value(s) without a row in {fk.parent}")
+    return problems
+
+
+def assert_source_compatible(tables: dict[str, DataFrame | None], contract: Contract,
+                             names: list[str] | None = None) -> None:
+    """G2 + G3: stop the line on any incompatible change of the sources."""
+    problems = source_problems(tables, contract, names)
+    if problems:
+        msg = stop_message(problems)
+        logger.error(msg)
+        raise SchemaIncompatibilityError(msg)
+
+
 # ------------------------------------------------------------------ G4-G6 ---
 def _per_table(contract: Contract, fn) -> Column:
     """CASE table_name WHEN t THEN fn(t) ... END (only the row's own table
@@ -183,7 +237,7 @@ def key_agreement(feed: DataFrame, contract: Contract) -> DataFrame:
         F.count_if(payload_pk.isNull()).alias("missing_key"))
 
 
-GATE_CHECKS = ("gate_unknown_keys", "gate_bad_types", "gate_pk_mismatch")
+GATE_CHECKS = ("gate_unknown_keys", "gate_bad_types", "gate_pk_mismatch", "gate_malformed", "gate_missing_pk")
 RAW_MAP = "map<string,string>"
 
 
@@ -201,7 +255,8 @@ def gate_prepare(contract: Contract):
 def gate_aggs(contract: Contract) -> list[Column]:
     """G4-G6 as count aggregates over ``gate_prepare`` output: unknown
     payload keys, values unusable as the contract type, payload key !=
-    primary_key.  The raw-text map is lossy for big numbers, which does not
+    primary_key, upserts whose payload is no JSON object, inserts without
+    their key.  The raw-text map is lossy for big numbers, which does not
     matter here: it is only used for presence and number-format checks."""
     keys = F.map_keys("_gm")
     by_table = {t.name: i for i, t in enumerate(contract.tables)}
@@ -223,8 +278,14 @@ def gate_aggs(contract: Contract) -> list[Column]:
         v = typed(t).getField(t.single_pk).cast("string")
         return (F.col("operation") != "delete") & v.isNotNull() & (v != F.col("primary_key"))
 
+    def malformed(t):
+        return (F.col("operation") != "delete") & payload.keys("data").isNull()
+
+    def missing_pk(t):
+        return (F.col("operation") == "insert") & typed(t).getField(t.single_pk).isNull()
+
     return [F.count_if(F.coalesce(_per_table(contract, fn), F.lit(False))).alias(name)
-            for name, fn in zip(GATE_CHECKS, (unknown, bad_type, pk_mismatch))]
+            for name, fn in zip(GATE_CHECKS, (unknown, bad_type, pk_mismatch, malformed, missing_pk))]
 
 
 def raise_if_gate_failed(counts: dict[str, int]) -> None:

@@ -804,10 +804,11 @@ FROM (SELECT *, CAST(1 AS BIGINT) AS _ingest_batch FROM feed) AS f""")
 def lake_sql_scan(spark, sf_dir):
     """The lake registered as a partitioned catalog table and read
     back through Spark SQL."""
-    import uuid
     lake_path, _ = _store(spark, "lake_sql")
     lake_mod.append(spark, lake_path, td.events_feed(spark, sf_dir, "patch"))
-    name = lake_mod.register_table(spark, lake_path, f"lake_cdc_events_{uuid.uuid4().hex[:8]}")
+    # one name: a run takes the place of the one before
+    spark.sql("DROP TABLE IF EXISTS lake_cdc_events_query")
+    name = lake_mod.register_table(spark, lake_path, "lake_cdc_events_query")
     assert spark.catalog.tableExists(name)
     return spark.sql(f"SELECT sequence, operation, table_name, primary_key, data, captured_at, _ingest_batch "
                      f"FROM `{name}`")

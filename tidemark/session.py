@@ -47,10 +47,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library depends on to an existing session."""
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
     return spark
 
 
@@ -58,8 +56,8 @@ def work_root(spark: SparkSession) -> str:
     """Shared folder for lake / warehouse / checkpoints.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one.  Only a local
-    session with no setting gets a fresh private folder (and the setting is
-    filled in, so ``DataFrame.checkpoint()`` uses the same place).
+    session with no setting gets a fresh private folder, which becomes the
+    checkpoint folder and so is found again.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -72,7 +70,6 @@ def work_root(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster run needs a shared folder for the lake")
         root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(root.rstrip("/") + "/rdd-checkpoints")
     return root.rstrip("/")

@@ -4,16 +4,16 @@
 
 1. payload gate (stop-the-line): raising here fails the query before any
    write, and the offsets of that batch are not committed;
-2. lake append with ``batch_id = epoch_id + 1``: a replayed epoch (same id,
-   same input after a restart) finds its rows already stored and writes
-   nothing; a missing commit marker is completed;
+2. lake append, always: a replayed epoch finds its sequences already stored
+   and writes nothing.  Batch ids are the lake's own, so restores, batch
+   ingests, other streams and new checkpoints share a lake safely; stream and
+   epoch are noted in the commit marker for information only;
 3. warehouse apply of every lake batch not applied yet (the one just
    written, and any left over by a crash between lake and warehouse).
 
 Spark commits the source offsets only after ``foreachBatch`` returns, so a
 crash at any step replays the batch, and every step is idempotent.  Late
 and out-of-order events are handled by the warehouse apply (general path).
-A dedicated lake per stream keeps the epoch-based batch ids unique.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.contracts import LAKE_COLUMNS, LAKE_SCHEMA
+from tidemark.contracts import LAKE_COLUMNS, LAKE_SCHEMA, Contract
 from tidemark.operators import lake as lm
 from tidemark.operators import schema_gate
-from tidemark.operators.ingest import pending_batches
+from tidemark.operators.ingest import apply_pending
 from tidemark.operators.warehouse import Warehouse
 
 logger = logging.getLogger(__name__)
@@ -43,28 +43,25 @@ def read_feed_files(spark: SparkSession, landing: str, fmt: str = "parquet",
     return reader.load(landing)
 
 
-def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool = True, metrics: list | None = None):
+def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool = True, metrics: list | None = None,
+                       contract: Contract | None = None, stream: str = "stream"):
+    """``contract``: what the payload gate checks, the warehouse's by default; a
+    stream into the lake alone is gated if it names one."""
+    contract = contract or (warehouse.contract if warehouse is not None else None)
+
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch_id = int(epoch_id) + 1
         feed = batch.select(*LAKE_COLUMNS).persist()
         try:
-            check = gate and warehouse is not None
-            stats = lm.door_stats(feed, schema_gate.gate_aggs(warehouse.contract) if check else [],
-                                  schema_gate.gate_prepare(warehouse.contract) if check else None)
+            check = gate and contract is not None
+            stats = lm.door_stats(feed, schema_gate.gate_aggs(contract) if check else [],
+                                  schema_gate.gate_prepare(contract) if check else None)
             if check:
                 schema_gate.raise_if_gate_failed(stats.extra)
-            if batch_id in lm.committed_batches(spark, lake_path):
-                res = None  # replayed epoch: its lake write is complete
-            else:
-                res = lm.append(spark, lake_path, feed, batch_id, stats=stats,
-                                marks=warehouse.marks() if warehouse is not None else None)
-            reports = []
-            if warehouse is not None:
-                lake = lm.read_lake(spark, lake_path)
-                for b in pending_batches(spark, lake_path, warehouse):
-                    known = res.tables if (res is not None and b == res.batch_id) else None
-                    reports += warehouse.apply(lake_path, lm.batch_rows(lake, b), b, known)
+            res = lm.append(spark, lake_path, feed, stats=stats,
+                            marks=warehouse.marks() if warehouse is not None else None,
+                            info={"stream": stream, "epoch": int(epoch_id)})
+            reports = apply_pending(spark, lake_path, warehouse, res) if warehouse is not None else []
             if metrics is not None:
                 metrics.append({"epoch": int(epoch_id), "append": res, "apply": reports})
         finally:
@@ -74,7 +71,8 @@ def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool =
 
 def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoint: str,
           available_now: bool = False, processing_time: str | None = None, gate: bool = True,
-          dedup_watermark: str | None = None, metrics: list | None = None) -> StreamingQuery:
+          dedup_watermark: str | None = None, metrics: list | None = None,
+          contract: Contract | None = None) -> StreamingQuery:
     """Run the ingestion stream.  ``dedup_watermark`` (e.g. "1 hour")
     adds ``dropDuplicatesWithinWatermark`` on sequence as a cheap pre-filter;
     exact dedup always happens against the lake."""
@@ -85,7 +83,7 @@ def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoi
                 .withWatermark("_event_time", dedup_watermark)
                 .dropDuplicatesWithinWatermark(["sequence"])
                 .drop("_event_time"))
-    writer = (feed.writeStream.foreachBatch(make_batch_handler(lake_path, warehouse, gate, metrics))
+    writer = (feed.writeStream.foreachBatch(make_batch_handler(lake_path, warehouse, gate, metrics, contract, checkpoint))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -95,10 +93,11 @@ def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoi
 
 
 def run_available(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoint: str,
-                  gate: bool = True, metrics: list | None = None, dedup_watermark: str | None = None) -> None:
+                  gate: bool = True, metrics: list | None = None, dedup_watermark: str | None = None,
+                  contract: Contract | None = None) -> None:
     """Process everything available now, then stop (batch-style stream run)."""
     q = start(feed, lake_path, warehouse, checkpoint, available_now=True, gate=gate, metrics=metrics,
-              dedup_watermark=dedup_watermark)
+              dedup_watermark=dedup_watermark, contract=contract)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
