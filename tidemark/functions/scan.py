@@ -92,3 +92,17 @@ def running_last(df: DataFrame, keys: list[str], order: list[str],
         out = out.withColumn(n, F.coalesce(f"_l_{n}", f"_c_{n}").getField("v"))
     drop = [CHUNK] + [f"_{p}_{n}" for n in values for p in ("b", "l", "c")]
     return out.drop(*drop)
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], amount: Column, out: str,
+                span: int = DEFAULT_SPAN) -> DataFrame:
+    """For each row the sum of ``amount`` over the rows of its key up to it (NULL adds nothing)."""
+    d = _with_chunk(df, order[0], span).withColumn("_amount", amount)
+    w = (Window.partitionBy(*keys, CHUNK).orderBy(*_order(order))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = d.withColumn("_run", F.coalesce(F.sum("_amount").over(w), F.lit(0)))
+    ws = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    summ = d.groupBy(*keys, CHUNK).agg(F.sum("_amount").alias("_total")).select(
+        *keys, CHUNK, F.coalesce(F.sum("_total").over(ws), F.lit(0)).alias("_before"))
+    return (local.join(summ, [*keys, CHUNK]).withColumn(out, F.col("_before") + F.col("_run"))
+            .drop("_amount", "_run", "_before", CHUNK))

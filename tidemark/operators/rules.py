@@ -320,6 +320,23 @@ def totals_mismatch(parent: DataFrame, parent_key: str, parent_total: Column,
                  F.count_if(F.col("_lines").isNull()).alias("without_lines"))
 
 
+def running_balance(entries: DataFrame, key: str, order: str, amount: Column,
+                    recorded: Column | None = None) -> DataFrame:
+    """Per key the number of entries, the final and the lowest running
+    balance, the entries at which it was below zero and, with ``recorded`` (the
+    balance stored on each entry), the entries where it differs."""
+    from tidemark.functions import scan
+    rows = entries.select(F.col(key).alias("_k"), F.col(order).alias("_o"), amount.alias("_a"),
+                          (recorded if recorded is not None else F.lit(None).cast("decimal(18,2)")).alias("_r"))
+    run = scan.running_sum(rows, ["_k"], ["_o"], F.col("_a"), "_balance")
+    return run.groupBy(F.col("_k").alias(key)).agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.max_by("_balance", "_o").cast("decimal(18,2)").alias("final_balance"),
+        F.min("_balance").cast("decimal(18,2)").alias("lowest_balance"),
+        F.count_if(F.col("_balance") < 0).alias("below_zero"),
+        F.count_if(F.col("_r").isNotNull() & (F.col("_r") != F.col("_balance"))).alias("differs"))
+
+
 def freshness(events: DataFrame, now: Column | None = None) -> DataFrame:
     """L4: per table, newest capture time and its lag (seconds) behind ``now``
     (default: the newest capture time of the whole feed)."""

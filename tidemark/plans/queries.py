@@ -544,6 +544,26 @@ def check_totals(spark, sf_dir):
                              td.read(spark, sf_dir, "lineitem"), "l_orderkey", amount)
 
 
+@query("check_running_balance", """
+WITH e AS (SELECT user_id, event_id,
+  CASE WHEN event_type IN ('purchase', 'error') THEN -1 ELSE 1 END * CAST(value AS DECIMAL(18,2)) AS amount,
+  CASE WHEN event_id % 7 = 0 THEN CAST(0 AS DECIMAL(18,2)) END AS recorded FROM events),
+r AS (SELECT *, sum(amount) OVER (PARTITION BY user_id ORDER BY event_id) AS balance FROM e)
+SELECT user_id, count(*) AS entries, CAST(arg_max(balance, event_id) AS DECIMAL(18,2)) AS final_balance,
+       CAST(min(balance) AS DECIMAL(18,2)) AS lowest_balance, count(*) FILTER (WHERE balance < 0) AS below_zero,
+       count(*) FILTER (WHERE recorded IS NOT NULL AND recorded <> balance) AS differs
+FROM r GROUP BY user_id""")
+def check_running_balance(spark, sf_dir):
+    """Running balance per user, purchases and errors as debits; every
+    seventh entry records a balance of zero, which nearly always differs."""
+    from tidemark.operators import rules as R
+    dec = "decimal(18,2)"
+    sign = F.when(F.col("event_type").isin("purchase", "error"), -1).otherwise(1)
+    return R.running_balance(td.read(spark, sf_dir, "events"), "user_id", "event_id",
+                             sign * F.col("value").cast(dec),
+                             F.when(F.col("event_id") % 7 == 0, F.lit(0).cast(dec)))
+
+
 @query("check_freshness", f"""
 WITH {O.FEED}
 SELECT table_name, count(*) AS events, max(captured_at) AS max_captured_at,
@@ -726,6 +746,33 @@ def stream_warehouse(spark, sf_dir):
     return _wh_union(wh)
 
 
+@query("stream_restore_stream", f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed
+  WHERE sequence <= (SELECT max(sequence) // 4 FROM feed) OR sequence > {O.half_sequence()})
+SELECT table_name, user_id, event_type, value, k
+FROM ({O.fold_select('image', source='cut', keep_deleted=False)}) AS x""")
+def stream_restore_stream(spark, sf_dir):
+    """A stream brings the first half, a restore goes back to the
+    first quarter, the same stream brings the second half."""
+    from tidemark.operators import history
+    from tidemark.operators.warehouse import Warehouse
+    from tidemark.session import new_work_dir
+    from tidemark.streaming import pipeline
+    root = new_work_dir(spark, "stream_restore")
+    feed = td.events_feed(spark, sf_dir, "image")
+    half = half_sequence(feed)
+    quarter = int(feed.agg(F.floor(F.max("sequence") / 4)).first()[0] or 0)
+    wh = Warehouse(spark, f"{root}/warehouse", FEED)
+    for part in (feed.where(F.col("sequence") <= half), feed.where(F.col("sequence") > half)):
+        part.write.mode("append").parquet(f"{root}/landing")
+        pipeline.run_available(pipeline.read_feed_files(spark, f"{root}/landing"), f"{root}/lake", wh,
+                               f"{root}/checkpoint")
+        if quarter is not None:
+            history.restore(spark, f"{root}/lake", wh, quarter)
+            quarter = None
+    return fold_mod.active(_wh_union(wh)).select("table_name", "user_id", "event_type", "value", "k")
+
+
 # --- M4, M6: catalog ---------------------------------------------------------------------
 def _catalog_drift_sql() -> str:
     from tidemark.contracts import TESTDATA, TPCH_STANDARD
