@@ -285,4 +285,30 @@ def report(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "spans")
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE = r"""
+with lowered as (
+  select 'd' as kind, doc_id as id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents
+  union all
+  select 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') from benchmark),
+words as (select kind, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from lowered),
+windows as (
+  select id as item_id, least(len(w), 10) as size, array_to_string(w[k:k + 9], ' ') as win
+  from words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as r(k) where kind = 'b' and len(w) > 0),
+sizes as (select distinct size from windows),
+places as (
+  select id as doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') as win
+  from words, sizes, unnest(range(1, len(w) - size + 2)) as r(k) where kind = 'd' and len(w) >= size),
+hits as (select distinct p.doc_id, p.k, p.size, x.item_id from places p join windows x on p.win = x.win and p.size = x.size),
+hit_words as (select doc_id, count(distinct u) as n_hit from hits, unnest(range(k, k + size)) as r(u) group by doc_id),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select d.id as doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(i.n_items, 0) as bigint) as n_items, sha256(coalesce(i.list, '')) as items_sha256,
+       coalesce(h.n_hit, 0) > 0 as contaminated
+from words d left join hit_words h on d.id = h.doc_id left join items i on d.id = i.doc_id
+where d.kind = 'd'
+"""

@@ -19,5 +19,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_decontaminate": decontaminate.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
