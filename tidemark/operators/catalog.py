@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contracts import CDC_SEQ, DELETED, LAKE_SCHEMA, Contract
+from tidemark.contracts import INGEST_BATCH, CDC_SEQ, DELETED, LAKE_SCHEMA, Contract
 from tidemark.sources import fs
 
 # The catalog's required dataset fields, column attributes,
@@ -303,9 +303,9 @@ def register(spark: SparkSession, doc: dict, locations: dict[str, str], database
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         cols = ", ".join(f"`{c['name']}` {c['type']} COMMENT {json.dumps(c['description'])}"
                          for c in d["schema"] if d["layer"] != "lake" or c["name"] != "table_name")
-        part = " PARTITIONED BY (`table_name`)" if d["layer"] == "lake" else ""
+        part = f" PARTITIONED BY (`table_name`, `{INGEST_BATCH}`)" if d["layer"] == "lake" else ""
         if part:
-            cols += ", `table_name` string COMMENT 'source table'"
+            cols += f", `table_name` string COMMENT 'source table', `{INGEST_BATCH}` bigint COMMENT 'append that wrote it'"
         # "owner" is a reserved Spark table property, so the catalog owner is
         # stored as data_owner.
         props = ", ".join(f"{json.dumps(prop)} = {json.dumps(str(d[k]))}" for prop, k in (
