@@ -169,3 +169,11 @@ def test_any_missing_column_leaves_all_rules_reported(spark):
         one = {**tables, table: tables[table].drop(column)}
         got = rules.evaluate(spark, rules.reference_rules(), one).collect()
         assert len(got) == 49 and any(r["status"] == "not_evaluated" for r in got), (table, column)
+
+
+def test_unknown_tables_are_one_group(spark, work):
+    lake, wh = f"{work}/lake", Warehouse(spark, f"{work}/wh", FEED)
+    rows = [(k, "insert", f"other_{k}", str(k), {"x": k}) for k in range(2, 60)]
+    report = ingest(spark, lake, wh, events(spark, [_row(1, "insert", 1, 1), *rows]))
+    assert report.append.written == 59 and set(report.append.tables) == {"accounts"}
+    assert lm.lake_max(spark, lake) == 59 and _agrees(spark, lake, wh)[1][0] == 1.0

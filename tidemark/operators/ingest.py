@@ -46,7 +46,8 @@ def ingest(spark: SparkSession, lake_path: str, warehouse: Warehouse, feed: Data
     batch = feed.select(*lm.LAKE_COLUMNS)
     # One pass over the input: lake door checks and the payload gate together.
     stats = lm.door_stats(batch, schema_gate.gate_aggs(warehouse.contract) if gate else [],
-                          schema_gate.gate_prepare(warehouse.contract) if gate else None)
+                          schema_gate.gate_prepare(warehouse.contract) if gate else None,
+                          known=warehouse.contract.names)
     if gate:
         schema_gate.raise_if_gate_failed(stats.extra)
     res = lm.append(spark, lake_path, batch, batch_id, stats=stats, marks=warehouse.marks())

@@ -101,17 +101,25 @@ class DoorStats:
     extra: dict[str, int]  # sums of caller-supplied count aggregates (e.g. the payload gate)
 
 
-def door_stats(batch: DataFrame, extra: list[F.Column] = (), prepare=None) -> DoorStats:
+OTHER_TABLES = "*"
+
+
+def door_stats(batch: DataFrame, extra: list[F.Column] = (), prepare=None,
+               known: list[str] | None = None) -> DoorStats:
     """One aggregate over the batch, grouped by table (few groups, partial
-    aggregation): size, sequence bounds, NULL lake columns, bad operation
+    aggregation; with ``known``, all other tables are one group, so what is
+    collected does not grow with the names found in the data): size, sequence bounds, NULL lake columns, bad operation
     codes, plus any extra count aggregates the caller wants in the same scan
     (``prepare`` adds the columns those aggregates read)."""
     if prepare is not None:
         batch = prepare(batch)
     aggs = [F.count(F.lit(1)).alias("n"), F.min("sequence").alias("lo"), F.max("sequence").alias("hi"),
             F.count_if(~F.col("operation").isin(*OPERATIONS)).alias("bad_ops")]
-    aggs += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in LAKE_COLUMNS]
-    rows = batch.groupBy("table_name").agg(*aggs, *extra).collect()
+    aggs += [F.count_if(batch[c].isNull()).alias(f"null_{c}") for c in LAKE_COLUMNS]
+    name = F.col("table_name")
+    if known is not None:
+        name = F.when(name.isin(*known), name).otherwise(OTHER_TABLES)
+    rows = batch.groupBy(name.alias("table_name")).agg(*aggs, *extra).collect()
     extra_names = [f for f in (rows[0].asDict().keys() if rows else []) if f not in
                    {"table_name", "n", "lo", "hi", "bad_ops"} and not f.startswith("null_")]
     los = [r["lo"] for r in rows if r["lo"] is not None]
@@ -254,10 +262,9 @@ def append(spark: SparkSession, path: str, feed: DataFrame, batch_id: int | None
                            F.count_if(F.col("_h_lake").isNotNull() & (F.col("_h") != F.col("_h_lake")))
                            .alias("conflicts"))
                  .where(F.col("_h_lake").isNull()))
-    written, per_table = write_rows(fresh, path, [t for t in stats.tables if t is not None], marks)
+    written, per_table = write_rows(fresh, path, [t for t in stats.tables if t not in (None, OTHER_TABLES)], marks)
     s = seen.get
-    written_hi = max((v[2] for v in per_table.values()), default=0)
-    top = max(lake_max(spark, path), written_hi)
+    top = max([lake_max(spark, path), stats.hi or 0] if written else [lake_max(spark, path)])
     fs.write_json_atomic(spark, f"{path}/{COMMITS}/{batch_id:020d}.json",
                          {"batch_id": batch_id, "written": written, "received": stats.n,
                           "lo": stats.lo, "hi": stats.hi, "restore_no": restore_no,

@@ -55,7 +55,8 @@ def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool =
         try:
             check = gate and contract is not None
             stats = lm.door_stats(feed, schema_gate.gate_aggs(contract) if check else [],
-                                  schema_gate.gate_prepare(contract) if check else None)
+                                  schema_gate.gate_prepare(contract) if check else None,
+                                  known=contract.names if contract is not None else None)
             if check:
                 schema_gate.raise_if_gate_failed(stats.extra)
             res = lm.append(spark, lake_path, feed, stats=stats,
