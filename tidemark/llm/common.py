@@ -44,12 +44,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Bytes of an Arrow batch while a stage is written: either side of the pipe to
+# Python holds a few batches per running task.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back: a lineage cut that
     outlives executors and that several consumers can read without recomputing."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
