@@ -52,6 +52,7 @@ def test_passage_in_many_surroundings(spark):
     rows = [(k, letters(int(rng.integers(0, 600))) + passage[int(rng.integers(0, 200)):int(rng.integers(450, 900))]
              + letters(int(rng.integers(0, 600)))) for k in range(60)]
     rows += [(100, "xyz " * 400), (101, "yz x" * 300), (102, "a" * 1500), (103, "b" + "a" * 450), (103, passage)]
+    rows += [(200, letters(500) + passage[100:700] + letters(500))] * 2 + [(None, passage[5:800])] * 2
     df = D.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"), with_bytes=True)
     assert found(df) == expected(rows)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in df.collect())

@@ -8,6 +8,7 @@ over a few megabytes instead of Python calls per row.
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import uuid
 
@@ -64,6 +65,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished stages now.  It does so when
+    their plans are collected as garbage, which a driver with a roomy heap may
+    put off until the disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

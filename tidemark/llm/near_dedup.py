@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (documents, lower_ascii, mix, prefix_hash, ragged, slices, span_hash, stored, utf8,
+from tidemark.llm.common import (documents, lower_ascii, mix, prefix_hash, ragged, release, slices, span_hash, stored, utf8,
                                  word_bounds)
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -259,6 +259,7 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY) -> DataF
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     texts = stored(docs.hint("merge").join(wanted, docs.doc_id == wanted.node).select("node", "text"), "texts")
 
+    release(docs.sparkSession)
     share = F.col("both") / (F.col("size_a") + F.col("size_b") - F.col("both"))
     tested = stored(_with_texts(pairs, texts).mapInArrow(_overlap, _OVERLAP), "tested")
     links = tested.where(share >= similarity).select("a", "b")

@@ -38,13 +38,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (documents, mix, prefix_hash, ragged, shuffle_width, slices, span_hash, stored, utf8)
+from tidemark.llm.common import (documents, mix, prefix_hash, ragged, release, shuffle_width, slices, span_hash, stored, utf8)
 from tidemark.llm.gsaca import repeated_windows, suffix_arrays
 
 LENGTH, GRAM = 400, 32
 # ranges of starts by which large groups are dealt again
 FINER = (48, 6, 1)
-CLASSES = 4                  # classes that one text may hold
+CLASSES = 6                  # classes that one text may hold
 BUNDLE = 2 << 20             # bytes of texts that one lockstep run handles
 
 # a longer document is read in tiles; places in a tile fit the low bits of a key
@@ -240,20 +240,16 @@ def _repeats(batches):
         yield solve()
 
 
-def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[list, bytes]:
-    """(maximal removed runs, what is left)."""
-    runs: list[list[int]] = []
-    for a, b in sorted(spans):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
-    kept, at = [], 0
-    for a, b in runs:
-        kept.append(data[at:a])
-        at = b
-    kept.append(data[at:])
-    return runs, b"".join(kept)
+def cut(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """(starts and ends of the maximal removed runs, what is left)."""
+    order = np.argsort(a)
+    a, b = a[order], np.maximum.accumulate(b[order])
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] > b[:-1]
+    starts = a[new]
+    ends = b[np.append(np.flatnonzero(new)[1:] - 1, len(a) - 1)]
+    left = zip(np.append(0, ends).tolist(), np.append(starts, len(data)).tolist())
+    return starts, ends, b"".join(data[x:y].tobytes() for x, y in left)
 
 
 _CUT = "doc_id long, mark long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -263,11 +259,13 @@ def _remove(with_bytes: bool):
     def remove(batches):
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
-                out = []
-                for r, spans in enumerate(part.column(3).to_pylist()):
-                    data = part.column(2)[r].as_buffer().to_pybytes()
-                    runs, kept = cut(data, [(s["a"], s["b"]) for s in spans])
-                    out.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept).hexdigest(),
+                out, (data, off) = [], utf8(part.column(2))
+                spans = part.column(3)
+                at = np.append(0, np.cumsum(pc.list_value_length(spans).to_numpy()))
+                a, b = (spans.flatten().field(c).to_numpy().astype(np.int64) for c in ("a", "b"))
+                for r in range(len(part)):
+                    starts, ends, kept = cut(data[off[r]:off[r + 1]], a[at[r]:at[r + 1]], b[at[r]:at[r + 1]])
+                    out.append((int((ends - starts).sum()), len(starts), hashlib.sha256(kept).hexdigest(),
                                 kept if with_bytes else None))
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
@@ -283,6 +281,12 @@ def _same(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, a.mark.eqNullSafe(b.b_mark) & a.doc_id.eqNullSafe(b.b_doc_id), how).drop("b_doc_id", "b_mark")
 
 
+def _classes(rows: DataFrame) -> DataFrame:
+    """One row per class: how many rows it has (two stand for more), and one of them."""
+    return rows.groupBy("h", "dg").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"),
+                                       *[F.first(c).alias(c) for c in ("doc_id", "mark", "lo", "n")])
+
+
 def _recurring(rows: DataFrame) -> DataFrame:
     """Rows whose group has more than one row."""
     again = rows.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1").select("h")
@@ -293,43 +297,45 @@ def repeated_bytes(docs: DataFrame, *, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept) for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    docs, spark = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), docs.sparkSession
     anchors = stored(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, _ROW), "anchors")
     rows = stored(_recurring(anchors), "recurring")
+    release(spark)
     texts = stored(_same(docs, rows.select("doc_id", "mark").distinct()), "texts")
-
-    ready = None
-    for step in FINER:
-        large = stored(rows.select("h", "dg").distinct().groupBy("h").agg(F.count("*").alias("classes"))
-                       .where(F.col("classes") > CLASSES).select("h"), "large")
-        if not large.limit(1).count():
+    release(spark)
+
+    ready, classes = rows, None
+    for step in (*FINER, None):
+        own = stored(_classes(rows), "classes")
+        large = stored(own.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > CLASSES).select("h"), "large")
+        small = own.join(large, "h", "left_anti")
+        classes = small if classes is None else classes.unionByName(small)
+        if step is None or not large.limit(1).count():
             break
-        small = rows.join(large, "h", "left_anti")
-        ready = small if ready is None else ready.unionByName(small)
         again = (rows.join(large, "h", "left_semi").groupBy("doc_id", "mark")
-                 .agg(F.collect_set(F.struct("lo", "n", "anchor")).alias("runs")))
+                 .agg(F.collect_list(F.struct("lo", "n", "anchor")).alias("runs")))      # rows that repeat count
         rows = stored(_recurring(_same(texts, again).dropDuplicates(["doc_id", "mark"])
                                  .select("doc_id", "mark", "text", "runs").mapInArrow(_finer(step), _ROW)), f"finer{step}")
-    ready = rows if ready is None else ready.unionByName(rows)
+        release(spark)
+        # rows of large groups have no class of their own and so find no runs below
+        ready = ready.unionByName(rows)
 
-    classes = stored(ready.groupBy("h", "dg").agg(
-        F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"),
-        F.min(F.struct("doc_id", "mark", "lo", "n")).alias("at")), "classes")
+    classes = stored(classes, "all-classes")
     mixed = classes.groupBy("h").agg(F.count("*").alias("k"), F.min("copies").alias("fewest")).where(
         "k > 1 and fewest = 1").select("h")
     by_doc = classes.join(mixed, "h", "left_semi").groupBy(
-        F.col("at.doc_id").alias("doc_id"), F.col("at.mark").alias("mark")).agg(
-        F.collect_list(F.struct("h", "dg", "copies", F.col("at.lo").alias("lo"), F.col("at.n").alias("n"))).alias("classes"))
+        "doc_id", "mark").agg(F.collect_list(F.struct("h", "dg", "copies", "lo", "n")).alias("classes"))
     segments = _same(texts, by_doc).select("doc_id", "mark", "text", "classes").mapInArrow(
         _segments, "h long, dg long, copies int, n int, bytes binary")
-    partly = stored(segments.repartition(shuffle_width(docs.sparkSession), "h").sortWithinPartitions("h")
+    partly = stored(segments.repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
                     .mapInArrow(_repeats, _REPEATS), "repeats")
+    release(spark)
     whole = classes.where("copies > 1").select("h", "dg", F.array(F.struct(
-        F.lit(0).alias("a"), (F.col("at.n") - 1).cast("int").alias("b"))).alias("runs"))
+        F.lit(0).alias("a"), (F.col("n") - 1).cast("int").alias("b"))).alias("runs"))
     found = partly.unionByName(whole)
 
     spans = (ready.join(found, ["h", "dg"]).select("doc_id", "mark", "lo", F.explode("runs").alias("run"))
-             .groupBy("doc_id", "mark").agg(F.collect_set(F.struct(
+             .groupBy("doc_id", "mark").agg(F.collect_list(F.struct(
                  (F.col("lo") + F.col("run.a")).alias("a"),
                  (F.col("lo") + F.col("run.b") + LENGTH).alias("b"))).alias("spans")))
     removed = (_same(texts, spans).select("doc_id", "mark", "text", "spans").mapInArrow(_remove(with_bytes), _CUT)
