@@ -71,6 +71,34 @@ def test_boosted_trees_add_spans_like_the_labelled_ones(spark):
     assert sum(r.n_added for r in got.values()) == 1
 
 
+def spans_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.spans for r in sorted(D.find_personal(df).collect(), key=lambda r: r.doc_id)]
+
+
+def test_certain_proposals_of_each_generator(spark):
+    """On a table too small for the trees as well."""
+    assert spans_of(spark, [
+        "write to john (at) host dot org soon", "jane[AT]mail[dot]host.co[dot]uk", "mail: bo at host dot com",
+        "tel. 555-123-4567 now", "call me at (030) 1234567", "my account number is 1234 567 890",
+        "look at host dot com", "john (at) host dot nothing", "hotel 5551234567", "call 2019-12-11", "contact 2018-2020",
+        "the order 555-123-4567", "jo@host.org tel 555-123-4567"]) == [
+        "address:9:31", "address:0:31", "address:6:24", "number:5:17", "number:11:24", "number:21:33",
+        "", "", "", "", "", "", "email:0:11,number:16:28"]
+
+
+def test_boosted_trees_select_written_out_addresses(spark):
+    """Generator 1 gets a threshold by addresses alone, none of them near an e-mail."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghik") for _ in range(rng.randint(4, 9)))
+    texts = [t for _ in range(600) for t in (f"say {word()} (at) {word()} dot org to", f"so {word()} at {word()} dot zzq to")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, limits = D.fit(D.proposals(df))
+    assert 1 in limits
+    got = {r.doc_id: r for r in D.find_personal(df).collect()}
+    assert all(r.n_added == (k % 2 == 0) for k, r in got.items())
+
+
 def test_main_path_has_no_python(spark, capsys):
     D.proposals(spark.read.parquet(f"{SF}/documents.parquet")).explain()
     plan = capsys.readouterr().out

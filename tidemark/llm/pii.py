@@ -3,12 +3,16 @@
 Base kinds (email, ip, card, phone) have fixed formats.  Beside them,
 high-recall generators propose spans that may overlap: runs of digits with
 separators, and written-out addresses ("name (at) host dot org").  Boosted
-trees score a proposal by its format and context.  They are fitted on a bounded
-sample of proposals (``TRAIN_ROWS``), labelled by whether a base span overlaps
-them, and a threshold per generator is calibrated on held-out proposals so that
-at least ``PRECISION`` of what it selects is personal data.  The trees become
-one SQL expression, so scoring stays inside the scan of the stored proposals:
-no shuffle, no join.
+trees score a proposal by its format and context.  A number is labelled as
+personal if a base span overlaps it or it is certain by itself: right behind a
+word such as "tel" or "IBAN", of fitting length and no date.  An address is
+labelled if it ends in a known top-level domain and brackets its at or its dot,
+or stands behind a word such as "mail".  The trees are fitted on a bounded
+sample of proposals (``TRAIN_ROWS``), and a threshold per generator is
+calibrated on held-out proposals so that at least ``PRECISION`` of what it
+selects is personal data.  Certain proposals are reported without the trees,
+which add those like them.  The trees become one SQL expression, so scoring
+stays inside the scan of the stored proposals: no shuffle, no join.
 
 The patterns are written for the JVM's regex engine on texts of any length:
 loops run over single character classes (which do not recurse), runs are
@@ -17,8 +21,8 @@ whose repeated group is not bounded, are cut by plain string functions.
 
 Defined results: null is the empty text, without spans; offsets are code
 points, ends exclusive; repeated rows are answered each; with too few
-proposals to learn from, only base spans are reported; extra columns are not
-read.
+proposals to learn from, only base spans and certain proposals are reported;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -47,11 +51,24 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 NUMBER = r"(?<![0-9])[(0-9][0-9 ().-]{5,24}[0-9]"
+DOT = r"(?: ?(?:\(dot\)|\[dot\]|dot) ?|\.)"
 ADDRESS = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,40}+ ?(?:\(at\)|\[at\]|at) ?[A-Za-z0-9-]{2,40}+"
-           r"(?: ?(?:\(dot\)|\[dot\]|dot) ?|\.)[A-Za-z]{2,10}+")
+           rf"(?:{DOT}[A-Za-z0-9-]{{2,40}}+){{0,3}}{DOT}[A-Za-z]{{2,10}}+")
 WRITTEN_OUT = r"(?i)[\[( ]dot[\]) ]|[\[(]at[\])]"
 KEYWORDS = (r"(tel|phone|call|fax|mobile|mobil|card|carte|karte|tarjeta|ssn|social|iban|konto|account|passport|"
             r"mail|contact|kontakt|llame|appel)[^a-z]*$")
+# what makes a proposal certain: the words before it, and what it may not be
+FILLER = r"[^a-z0-9]*(?:(?:number|numero|nummer|num|no|nr|is|me|us|at)[^a-z0-9]+){0,3}$"
+CALLED = (r"(?<![a-z])(?:tel|telefono?|telefone|(?:tele|cell|mobile)?phone|cell|call|fax|telefax|mobile?|handy|"
+          r"contact|kontakt|llame|appel|appelez)" + FILLER)
+NUMBERED = (r"(?<![a-z])(?:card|carte|karte|kreditkarte|tarjeta|ssn|social security|iban|konto|kontonummer|account|"
+            r"passport)" + FILLER)
+MAILED = r"(?<![a-z])(?:e-?mail|mail|contact|kontakt)[^a-z0-9]*(?:(?:address|me|us|is|at)[^a-z0-9]+){0,3}$"
+YEAR = "(?:19|20)[0-9]{2}"
+DATE = (rf"^\(?(?:{YEAR}[-./ ][0-9]{{1,2}}[-./ ][0-9]{{1,2}}|[0-9]{{1,2}}[-./ ][0-9]{{1,2}}[-./ ]{YEAR}|"
+        rf"{YEAR} ?- ?{YEAR})(?![0-9])")
+TOP_LEVEL = (r"(?:com|org|net|edu|gov|mil|int|info|biz|name|io|co|me|tv|eu|uk|us|ca|au|nz|ie|de|at|ch|fr|be|nl|lu|es|"
+             r"pt|it|dk|se|no|fi|pl|cz|gr|ro|hu|ru|ua|tr|il|in|cn|jp|kr|br|mx|ar|cl|pe|za|example|test)$")
 BLOCK = 256
 
 SPAN = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
@@ -154,7 +171,7 @@ def octets(value: Column) -> Column:
 
 
 FEATURES = ("length", "digits", "groups", "longest", "spaces", "dots", "dashes", "brackets", "plus", "letter_before",
-            "letter_after", "keyword", "written")
+            "letter_after", "keyword", "written", "at_marked", "dot_marked", "known_end")
 
 
 def features(s: Column, generator: int) -> Column:
@@ -162,6 +179,16 @@ def features(s: Column, generator: int) -> Column:
     groups = F.regexp_extract_all(v, F.lit("([0-9]++)"), F.lit(1))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
     count = lambda chars: F.length(F.regexp_replace(v, f"[^{chars}]", "")).cast("double")
+    has = lambda c, pattern: F.coalesce(F.rlike(F.lower(c), F.lit(pattern)), F.lit(False))
+    if generator:
+        at, dot, end = has(v, r"[\[(]at[\])]"), has(v, r"[\[(]dot[\])]"), has(v, r"[^a-z]" + TOP_LEVEL)
+        end = end | has(v, r"[^a-z]dot" + TOP_LEVEL)
+        certain = end & (at | dot | has(s["before"], MAILED))
+    else:
+        at = dot = end = F.lit(False)
+        n = F.length(digits(v))
+        certain = (~has(v, DATE) & ~has(s["after"], "^[a-z0-9]")
+                   & (n.between(7, 15) & has(s["before"], CALLED) | n.between(8, 19) & has(s["before"], NUMBERED)))
     return F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.lit(generator).alias("generator"),
         F.length(v).cast("double").alias("length"), count("0-9").alias("digits"),
@@ -172,7 +199,8 @@ def features(s: Column, generator: int) -> Column:
         flag(F.rlike(s["before"], F.lit("[A-Za-z]$"))).alias("letter_before"),
         flag(F.rlike(s["after"], F.lit("^[A-Za-z]"))).alias("letter_after"),
         flag(F.rlike(F.lower(s["before"]), F.lit(KEYWORDS))).alias("keyword"),
-        F.lit(float(generator)).alias("written"))
+        F.lit(float(generator)).alias("written"), flag(at).alias("at_marked"), flag(dot).alias("dot_marked"),
+        flag(end).alias("known_end"), certain.alias("certain"))
 
 
 def proposals(docs: DataFrame) -> DataFrame:
@@ -194,8 +222,11 @@ def proposals(docs: DataFrame) -> DataFrame:
                         lambda s: features(s, 1))).alias("proposed"))
     base = F.concat(*[F.col(k) for k in BASE_KINDS])
     hit = lambda held, p: F.exists(held, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
-    return found.withColumn("proposed", let(base, lambda held: F.transform(
-        F.col("proposed"), lambda p: p.withField("label", hit(held, p).cast("double")))))
+    found = found.withColumn("proposed", let(base, lambda held: F.transform(
+        F.col("proposed"), lambda p: p.withField("held", hit(held, p)))))
+    # a base span beside a written-out address says nothing about it
+    return found.withColumn("proposed", F.transform("proposed", lambda p: p.withField(
+        "label", (p["certain"] | (p["held"] & (p["generator"] == 0))).cast("double"))))
 
 
 def tree_expression(node, value) -> Column:
@@ -244,16 +275,20 @@ def fit(found: DataFrame):
 def find_personal(docs: DataFrame) -> DataFrame:
     found = stored(proposals(docs), "pii")
     fitted = fit(found)
-    added = {0: empty("array<struct<start:int,end:int>>"), 1: empty("array<struct<start:int,end:int>>")}
-    if fitted:
-        score, limits = fitted
-        for generator, limit in limits.items():
+    score, limits = fitted or (None, {})
+
+    def added(generator: int) -> Column:
+        def chosen(p: Column) -> Column:
+            like = F.lit(False)
+            if generator in limits:
+                like = score(lambda name: p[name]) >= limits[generator]
             # what a base span holds already is not reported twice
-            added[generator] = plain(F.filter("proposed", lambda p: (p["generator"] == generator) & (p["label"] == 0)
-                                              & (score(lambda name: p[name]) >= limit)))
-    written = added[1]
+            return (p["generator"] == generator) & ~p["held"] & (p["certain"] | like)
+        return plain(F.filter("proposed", chosen))
+
+    written = added(1)
     numbers = let(written, lambda held: F.filter(
-        added[0], lambda p: ~F.exists(held, lambda w: (w["start"] < p["end"]) & (p["start"] < w["end"]))))
+        added(0), lambda p: ~F.exists(held, lambda w: (w["start"] < p["end"]) & (p["start"] < w["end"]))))
     listed = {**{k: F.col(k) for k in BASE_KINDS}, "number": numbers, "address": written}
     as_text = lambda kind: F.transform(F.array_sort(listed[kind]), lambda s: F.concat_ws(
         ":", F.lit(kind), s["start"].cast("string"), s["end"].cast("string")))
