@@ -99,6 +99,16 @@ def test_boosted_trees_select_written_out_addresses(spark):
     assert all(r.n_added == (k % 2 == 0) for k, r in got.items())
 
 
+def test_a_rare_generator_keeps_its_threshold(spark, monkeypatch):
+    """However many numbers there are, addresses are sampled and calibrated by themselves."""
+    monkeypatch.setattr(D, "CELL_ROWS", 100)
+    texts = [f"mail to {'abcdefgh'[k % 8] * (3 + k % 7)}{k} (at) host dot org" for k in range(80)]
+    texts += [f"+49 {k:04d} 5550{k % 10} and {k:05d}-{k % 9}{k % 7} so" for k in range(4000)]
+    df = spark.createDataFrame([(None if k % 3 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    _, limits = D.fit(D.proposals(df))
+    assert 1 in limits
+
+
 def test_main_path_has_no_python(spark, capsys):
     D.proposals(spark.read.parquet(f"{SF}/documents.parquet")).explain()
     plan = capsys.readouterr().out

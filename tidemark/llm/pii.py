@@ -8,11 +8,12 @@ personal if a base span overlaps it or it is certain by itself: right behind a
 word such as "tel" or "IBAN", of fitting length and no date.  An address is
 labelled if it ends in a known top-level domain and brackets its at or its dot,
 or stands behind a word such as "mail".  The trees are fitted on a bounded
-sample of proposals (``TRAIN_ROWS``), and a threshold per generator is
-calibrated on held-out proposals so that at least ``PRECISION`` of what it
-selects is personal data.  Certain proposals are reported without the trees,
-which add those like them.  The trees become one SQL expression, so scoring
-stays inside the scan of the stored proposals: no shuffle, no join.
+sample of each generator's proposals of either label (``CELL_ROWS``), so a rare
+kind is learned at every size of table.  A threshold per generator is
+calibrated on all proposals outside that sample, so that at least ``PRECISION``
+of what it selects is personal data.  Certain proposals are reported without
+the trees, which add those like them.  The trees become one SQL expression, so
+scoring stays inside the scan of the stored proposals: no shuffle, no join.
 
 The patterns are written for the JVM's regex engine on texts of any length:
 loops run over single character classes (which do not recurse), runs are
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents, stored
 
-TRAIN_ROWS = 20_000
+CELL_ROWS = 5_000         # for fitting, of each generator and label
 LEAST_ROWS = 50           # of either label
+LEAST_HELD = 10           # of a generator, outside the sample
 PRECISION = 0.95
 TREES, DEPTH = 20, 3
 CONTEXT = 24
@@ -211,7 +213,7 @@ def proposals(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = rows.select(
-        "doc_id", emails(text).alias("email"),
+        "doc_id", F.xxhash64("doc_id", "text").alias("key"), emails(text).alias("email"),
         plain(F.filter(F.when(numeric, located(text, IP)).otherwise(none), lambda s: octets(s["value"]))).alias("ip"),
         plain(F.filter(F.when(numeric, located(text, CARD)).otherwise(none), lambda s: luhn(s["value"]))).alias("card"),
         plain(F.filter(F.when(F.instr(text, "+") > 0, located(text, PHONE)).otherwise(none),
@@ -240,19 +242,19 @@ def tree_expression(node, value) -> Column:
 
 def fit(found: DataFrame):
     """(score of a proposal as a function to a Column, {generator: threshold}), or None."""
-    rows = found.select(F.explode("proposed").alias("p"), "doc_id").select("p.*", "doc_id")
-    total = rows.count()
-    every = max(1, total // TRAIN_ROWS)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", "start"), F.lit(every)) == 0).withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)))
-    sample = stored(sample.coalesce(4), "pii-sample")
+    rows = found.select("key", F.explode("proposed").alias("p")).select("key", "p.*")
+    every = F.lit(1).cast("long")
+    for r in rows.groupBy("generator", "label").count().collect():
+        every = F.when((F.col("generator") == r["generator"]) & (F.col("label") == r["label"]),
+                       F.lit(max(1, r["count"] // CELL_ROWS)).cast("long")).otherwise(every)
+    # a quarter of the texts is never fitted on, so small tables have rows to calibrate on as well
+    drawn = (F.pmod(F.xxhash64("key", F.lit(7)), F.lit(4)) > 0) & (F.pmod(F.xxhash64("key", "start"), every) == 0)
+    # rows that repeat a text count once, so they don't break the bound
+    sample = stored(rows.where(drawn).dropDuplicates(["key", "generator", "start"]).coalesce(4), "pii-sample")
     seen = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if min(seen.get(0.0, 0), seen.get(1.0, 0)) < LEAST_ROWS:
         return None
-    data = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    learn = data.where("part > 0")
-    if learn.select("label").distinct().count() < 2:
-        return None
+    learn = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(learn)
     roots = [t._java_obj.rootNode() if hasattr(t, "_java_obj") else t._call_java("rootNode") for t in model.trees]
 
@@ -260,14 +262,14 @@ def fit(found: DataFrame):
         trees = [F.lit(float(w)) * tree_expression(r, value) for w, r in zip(model.treeWeights, roots)]
         return 1 / (1 + F.exp(-2 * sum(trees[1:], trees[0])))
 
-    held = sample.where("part = 0").select("generator", "label", F.floor(score(F.col) * 100).alias("bin"))
+    held = rows.where(~drawn).select("generator", "label", F.floor(score(F.col) * 100).alias("bin"))
     bins = held.groupBy("generator", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()
     limits = {}
     for generator in (0, 1):
         good = n = 0
         for row in sorted((r for r in bins if r["generator"] == generator), key=lambda r: -r["bin"]):
             good, n = good + row["good"], n + row["n"]
-            if (good + 1) / (n + 1) >= PRECISION and n >= 10:
+            if (good + 1) / (n + 1) >= PRECISION and n >= LEAST_HELD:
                 limits[generator] = row["bin"] / 100
     return score, limits
 
