@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.cases import SF, empty_documents, odd_documents, table
 from tidemark.llm import language as L
@@ -57,6 +58,19 @@ def test_pages(spark):
     assert np.mean([got[p["page_id"]].lang == got[p["page_id"]].declared for p in pages]) > 0.95
 
 
+def test_a_rare_language_is_a_class_at_every_size(spark):
+    """Whatever the ids: shared, null, or few rows among very many."""
+    ids = lambda k: (None, 7, k)[k % 3]
+    rows = [(ids(k), "en", f"the house number {k} is on the hill and it was sold") for k in range(4000)]
+    rows += [(5, "xx", f"zyxo wuvi qruz {k} vyx zoqu") for k in range(3)] + [(None, "yy", "ðæþ ðæþø")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    names, table = L.train(df, rows=20)
+    assert names == ["en", "xx", "yy"]
+    got = L.identify(L.of_documents(df.where("lang = 'xx'").withColumn("lang", F.lit(None).cast("string"))
+                                    .withColumn("source", F.lit(None).cast("string"))), (names, table)).collect()
+    assert [r.lang for r in got] == ["xx"] * 3
+
+
 def test_own_evidence_does_not_count_twice(spark):
     """A host's only page is judged by the suffix, not by itself."""
     model = model_of(spark)

@@ -9,8 +9,10 @@ behind the priors, and a row's own share is taken out of its host's counts
 before they are used on it.  The class ``und`` (no language) competes with a
 uniform trigram model.
 
-The trigram models are fitted on about ``TRAIN_ROWS`` labelled rows, chosen by
-a hash of the id; everything else is computed over all rows.
+The languages are those of all labelled rows with letters.  The trigram models
+are fitted on about ``TRAIN_ROWS`` different texts, as many of each language if
+there are, chosen by a hash of the text; everything else is computed over all
+rows.
 
 Defined results: null and empty texts, and texts without letters, have no text
 evidence and are ``und``, not accepted; a missing or malformed declaration, host
@@ -30,6 +32,7 @@ from tidemark.llm.common import documents, slices, stored, utf8, with_missing_co
 
 BUCKETS = 1 << 14
 TRAIN_ROWS = 8000
+LEAST_OF_EACH = 50
 UNDETERMINED = "und"
 # neighbouring trigrams repeat each other's evidence, and long texts need no more
 TEMPER, ENOUGH = 0.5, 200
@@ -80,10 +83,16 @@ def _count(batches):
 def train(labelled: DataFrame, *, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """(languages, log probability of each bucket) from rows of (doc_id, lang, text)."""
     labelled = labelled.where("lang is not null")
-    total = labelled.count()
-    every = max(1, total // rows)
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
-    counts = (sample.select("lang", "text").mapInArrow(_count, "lang string, bucket long, n long")
+    # different texts of each language: rows that repeat each other count once
+    totals = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.approx_count_distinct("text")).collect()}
+    each = max(LEAST_OF_EACH, rows // max(1, len(totals)))
+    crowded = {x: n // each for x, n in totals.items() if n >= 2 * each}
+    every = F.lit(1)
+    if crowded:
+        rate = F.create_map(*[F.lit(y) for pair in crowded.items() for y in pair])
+        every = F.coalesce(F.try_element_at(rate, F.col("lang")), every)
+    sample = labelled.where(F.pmod(F.xxhash64("text"), every) == 0).select("lang", "text").distinct()
+    counts = (sample.mapInArrow(_count, "lang string, bucket long, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect())
     names = sorted({r[0] for r in counts})
     table = np.zeros((len(names), BUCKETS))
