@@ -39,3 +39,23 @@ def test_odd_and_empty_documents(spark):
             if name == "exact dedup":
                 ids = [r.doc_id for r in docs.collect()]
                 assert len(ids) == len(set(ids))
+
+
+def test_rows_that_share_an_id_are_judged_by_themselves(spark):
+    leak = max((r["text"] for r in table(SF, "benchmark")), key=len)
+    texts = [r["text"] for r in table(SF, "documents") if r["lang"] == "en" and len(r["text"].split()) > 60][:3]
+    near = texts[0] + " end"
+    kind = "doc_id long, text string, lang string, source string"
+
+    def left(name, rows):
+        docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], kind)
+        return sorted((r.doc_id or 0, r.text) for r in dict(P.STAGES)[name](spark, docs, SF).collect())
+
+    for i in (None, 7):
+        clean = [(i, texts[1]), (i, texts[2])]
+        kept = sorted((i or 0, t) for t in texts[1:])
+        assert left("decontamination", clean + [(i, leak)]) == kept
+        assert left("language", clean + [(i, "12 34 56")]) == kept
+        assert len(left("near dedup", clean + [(i, texts[0]), (i, near)])) == 3
+        # a row with an id of its own stays before the others
+        assert left("near dedup", clean + [(i, near), (9, texts[0])]) == sorted(kept + [(9, texts[0])])
