@@ -34,6 +34,15 @@ def test_pages(raw, want):
     assert H.main_text(raw) == want
 
 
+def test_a_small_article_does_not_replace_the_text_outside():
+    body = "".join(f"<p>{LONG} {k}</p>" for k in range(4))
+    want = "\n\n".join(f"{LONG} {k}" for k in range(4))
+    card = "<article class=card><p>Next story</p></article>"
+    assert H.main_text(page(f"<div class=post>{body}</div>{card}")).startswith(want)
+    assert H.main_text(page(f"<main><p>{LONG}</p></main><div class=post>{body}</div>")) == f"{LONG}\n\n{want}"
+    assert H.main_text(page(f"<article>{body}</article><div><p>{LONG}</p></div>")) == want
+
+
 def test_long_and_deep_pages_are_linear():
     assert H.main_text("<div>" * 50_000 + LONG) == LONG
     assert H.main_text("<" * 200_000) == ""

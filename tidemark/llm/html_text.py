@@ -5,7 +5,8 @@ density, length and stop-word density, and by the container a block stands in:
 navigation, forms, adverts and the like are boilerplate, article and main are
 content.  Short blocks and long ones without stop words stay undecided.  In
 pass two an undecided block inherits the label of its nearest decided
-neighbours, those in its own container first.
+neighbours, those in its own container first.  If article and main hold most
+of the text found, what stands outside them is dropped; else both stay.
 
 Scripts, styles, comments in markup and hidden text never become blocks.
 Every step is linear in the page.
@@ -231,11 +232,16 @@ def second_pass(found: list[Block], label: list[int]) -> list[int]:
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    if any(b.hint == GOOD for b in found):           # a marked article is the whole of the main text
+    label = second_pass(found, [first_pass(b) for b in found])
+    size = {True: 0, False: 0}
+    for b, x in zip(found, label):
+        if x == GOOD:
+            size[b.hint == GOOD] += len(b.text)
+    if size[True] > size[False] > 0:       # a marked article that holds most of it is the whole of the main text
         for b in found:
             if b.hint == OPEN:
                 b.hint = BAD
-    label = second_pass(found, [first_pass(b) for b in found])
+        label = second_pass(found, [first_pass(b) for b in found])
     return "\n\n".join(b.text for b, x in zip(found, label) if x == GOOD)
 
 
