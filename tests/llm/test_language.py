@@ -71,6 +71,13 @@ def test_a_rare_language_is_a_class_at_every_size(spark):
     assert [r.lang for r in got] == ["xx"] * 3
 
 
+def test_markup_language_far_down_the_page(spark):
+    pages = ["<!-- " + "licence " * 400 + "--><html lang=de><p>x", " " * 5000 + "<!DOCTYPE html>\n<HTML class=a lang='fr-CA'>",
+             "<!-- <html lang=en> --><html lang=es>", "<html><script>'<html lang=en>'</script>", "<!-- <html lang=en>", None]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string")
+    assert [r.declared for r in sorted(L.of_pages(df).collect(), key=lambda r: r.id)] == ["de", "fr-CA", "es", None, None, None]
+
+
 def test_own_evidence_does_not_count_twice(spark):
     """A host's only page is judged by the suffix, not by itself."""
     model = model_of(spark)

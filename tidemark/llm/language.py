@@ -213,8 +213,10 @@ def of_pages(pages: DataFrame) -> DataFrame:
     """Pages as evidence rows: the markup's language, host and suffix of the address."""
     page = with_missing_columns(pages, page_id="long", url="string", html="string")
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z]+://(?:[^/@]*@)?([^/:?#]+)", 1)
-    markup = F.regexp_extract(F.substring(F.coalesce("html", F.lit("")), 1, 2000),
-                              r"(?i)<html[^>]*\slang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
+    # the first html tag outside comments, however far down it stands
+    tag = F.regexp_extract(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<!--.*?(?:-->|\z)", " "),
+                           r"(?i)<html\b[^>]*+", 0)
+    markup = F.regexp_extract(tag, r"(?i)\slang\s*=\s*[\"']?([A-Za-z_-]+)", 1)
     text = F.regexp_replace(F.coalesce("html", F.lit("")),
                             r"(?is)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>|&[a-z]{2,8};", " ")
     return page.select(F.col("page_id").alias("id"), F.when(markup != "", markup).alias("declared"),
