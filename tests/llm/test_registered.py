@@ -8,7 +8,7 @@ from tidemark.llm import queries as Q
 
 def test_one_query_for_each_operator():
     names = [n for n in Q.QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries()) and set(Q.ORACLE) <= set(E.oracle_sql())
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import alignment, decontaminate, exact_dedup, html_text, language, near_dedup, packing, pii, secrets, suffix_dedup, token_planes
+from tidemark.llm import (alignment, decontaminate, embedding_dedup, exact_dedup, html_text, language, merkle, near_dedup, packing,
+                          pii, secrets, suffix_dedup, token_planes)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -16,10 +17,13 @@ QUERIES = {
     "op4_token_planes": token_planes.op4_token_planes,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_embedding_dedup": embedding_dedup.op12_embedding_dedup,
     "op13_token_alignment": alignment.op13_token_alignment,
 }
 
 ORACLE = {
     "op3_decontaminate": decontaminate.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
