@@ -3,6 +3,8 @@ from collections import Counter
 
 import public_tokenizers as P
 import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import __spark_entry__ as E
 from tests.llm.cases import ODD, SF, empty_documents, odd_documents, table
@@ -76,17 +78,34 @@ def test_rows_equal_brute_force(spark, monkeypatch):
     assert answer(A.alignment(docs, byte_tokenizer=FILES[0], piece_tokenizer=FILES[1])) == want
 
 
-def test_small_blocks_and_cut_texts_change_nothing():
-    texts = [r["text"] for r in table(SF, "documents") if r["text"] and len(r["text"]) > 3000][:4]
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" ab.,'1é\n\t▁<>日\u3000\u1680\x1c\x85\xa0²"), st.characters(codec="utf-8")),
+                        max_size=40), max_size=6))
+def test_ids_of_units_are_those_of_the_whole_text(texts):
     pair = A.pair_of(*FILES)
     assert pair.cuts
-    whole = [x.to_pylist() for x in pair.encode(texts)]
-    before, A.CUT_CHARS = A.CUT_CHARS, 200
-    try:
-        assert max(len(pair.parts(t)) for t in texts) > 5
-        assert [x.to_pylist() for x in pair.encode(texts)] == whole
-    finally:
-        A.CUT_CHARS = before
+    for _ in range(2):          # learned, then remembered
+        got = [x.to_pylist() for x in pair.encode(texts)]
+        assert got[0] == [pair.first.encode(" " + t, add_special_tokens=False).ids if t else [] for t in texts]
+        assert got[1] == [pair.second.encode(t) if t else [] for t in texts]
+
+
+def test_units_with_white_space_at_their_ends():
+    texts = ["abc\n", "\n\ndef", " \t x", "abc  ", "  def", "a \n", "\n b c \n\n", "x\u3000", "\u3000y"]
+    pair = A.Pair(*FILES)
+    assert pair.encode(texts)[0].to_pylist() == [pair.first.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert pair.encode(texts)[1].to_pylist() == [pair.second.encode(t) for t in texts]
+
+
+def test_documents_are_encoded_as_whole_texts(monkeypatch):
+    monkeypatch.setattr(A, "JOIN_CHARS", 300)
+    monkeypatch.setattr(A, "CACHE_UNITS", 500)
+    texts = [r["text"] for r in table(SF, "documents") if r["text"]]
+    pair = A.Pair(*FILES)
+    for lo in range(0, len(texts), 25):
+        got = [x.to_pylist() for x in pair.encode(texts[lo:lo + 25])]
+        assert got[0] == [e.ids for e in pair.first.encode_batch([" " + t for t in texts[lo:lo + 25]], add_special_tokens=False)]
+        assert got[1] == pair.second.encode(texts[lo:lo + 25])
 
 
 def test_links_are_the_overlaps_of_one_text():

@@ -19,9 +19,11 @@ blocks (a pair is one row per block, however many documents hold it), finds the
 best partner of every id, and joins the counts back to the blocks, where they
 are spread over the documents by position.
 
-Texts are cut for the tokenizers where a single space stands between two ASCII
-letters: one tokenizer starts a new word there, the other has no entry with a
-space behind a letter, so the ids are those of the whole text.
+Texts are cut for the tokenizers at every single space between two visible
+characters: one tokenizer starts a new piece there, the other has no entry with
+a space behind a character, so the ids are those of the whole text.  A worker
+remembers the ids of the units between cuts, and new units are tokenized joined
+by spaces again; the byte ends of the tokens tell the units' ids apart.
 
 Defined results: a null or empty text, and one whose tokens do not spell it
 byte for byte, has no tokens: zeros and an empty group string.  A row is a
@@ -44,13 +46,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, slices, stored
+from tidemark.llm.common import documents, ragged, slices, stored
 
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20       # text in one block
 STEP_BYTES = 512 << 10      # text that is tokenized and joined at a time
-CUT_CHARS = 1 << 16         # longer texts reach the tokenizers in parts
-_CUT = re.compile("[A-Za-z](?= [A-Za-z])")
+JOIN_CHARS = 1 << 15        # new units reach the tokenizers in strings of about this length
+CACHE_UNITS = 400_000       # units that a worker remembers; it starts anew beyond
+# characters that no tokenizer takes for white space: ASCII, then letters of most scripts
+_VISIBLE = "[!-~\u00c0-\u02af\u0370-\u167f\u3041-\ud7ff]"
+_CUT = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})")
+_EDGE = re.compile(_VISIBLE)
 _SPACE = "▁"
 
 
@@ -82,33 +88,90 @@ class Pair:
         self.sizes = [pc.binary_length(e).cast(pa.int64()) for e in self.entries]
         self.names = [pa.array([str(k) for k in range(len(e))], pa.large_string()) for e in self.entries]
         self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
-
-    def parts(self, text: str) -> list[str]:
-        """The text cut at single spaces, which are left out."""
-        out, at = [], 0
-        while self.cuts and len(text) - at > CUT_CHARS:
-            found = _CUT.search(text, at + CUT_CHARS - 1)
-            if not found:
-                break
-            out.append(text[at:found.end()])
-            at = found.end() + 1
-        return [*out, text[at:]]
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.units = [Ragged(), Ragged()]
+
+    def _ids(self, side: int, strings: list[str]) -> list[list[int]]:
+        if side:
+            return self.second.encode(strings, num_threads=1)
+        return [e.ids for e in self.first.encode_batch_fast([" " + x for x in strings], add_special_tokens=False)]
+
+    def _learn(self, units: list[str]) -> None:
+        joined, some, size = [], [], 0
+        for u in units:
+            # a unit from the start or end of a text may begin or end in white space
+            inner = _EDGE.match(u[0]) and _EDGE.match(u[-1])
+            if some and (size >= JOIN_CHARS or not inner):
+                joined.append(" ".join(some))
+                some, size = [], 0
+            if inner:
+                some.append(u)
+                size += len(u) + 1
+            else:
+                joined.append(u)
+        if some:
+            joined.append(" ".join(some))
+        want = np.cumsum([len(u.encode()) + 1 for u in units])
+        for side, known in enumerate(self.units):
+            ids = np.fromiter(itertools.chain.from_iterable(self._ids(side, joined)), np.int32)
+            ends = np.cumsum(self.sizes[side].to_numpy()[ids])
+            at = np.searchsorted(ends, want)
+            if len(ends) and ends[-1] == want[-1] and (ends[at] == want).all():
+                known.extend(ids, np.diff(at + 1, prepend=0))
+            else:       # a unit that its tokens do not spell: each by itself
+                each = self._ids(side, units)
+                known.extend(np.fromiter(itertools.chain.from_iterable(each), np.int32), np.array([len(x) for x in each]))
 
     def encode(self, texts: list[str]) -> list[pa.LargeListArray]:
         """Id lists of both tokenizers; an empty text has none."""
-        parts = [self.parts(t) if t else [] for t in texts]
-        flat = [*itertools.chain.from_iterable(parts)]
-        first = [e.ids for e in self.first.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
-        second = self.second.encode(flat, num_threads=1)
-        per_text = np.cumsum([0, *map(len, parts)])
+        if len(self.number) > CACHE_UNITS:
+            self.forget()
+        number, known = self.number, len(self.number)
+        units, counts = [], []
+        for text in texts:
+            split = (_CUT.split(text) if self.cuts else [text]) if text else []
+            units += [number.setdefault(u, len(number)) for u in split]
+            counts.append(len(split))
+        if len(number) > known:
+            new = list(itertools.islice(reversed(number), len(number) - known))
+            self._learn(new[::-1])
+        units, bounds = np.array(units, np.int64), np.cumsum([0, *counts])
         out = []
-        for ids in (first, second):
-            ends = np.cumsum([0, *map(len, ids)])
-            values = pa.array(itertools.chain.from_iterable(ids), pa.int32(), size=int(ends[-1]))
-            out.append(pa.LargeListArray.from_arrays(pa.array(ends[per_text], pa.int64()), values))
+        for have in self.units:
+            ids, size = have.take(units)
+            ends = np.append(0, np.cumsum(size))
+            out.append(pa.LargeListArray.from_arrays(pa.array(ends[bounds], pa.int64()), pa.array(ids)))
         return out
 
 
+class Ragged:
+    """Growing rows of ids."""
+
+    def __init__(self):
+        self.ids, self.starts, self.sizes, self.used, self.rows = np.zeros(1 << 16, np.int32), *(
+            np.zeros(1 << 14, np.int64) for _ in range(2)), 0, 0
+
+    @staticmethod
+    def _room(x: np.ndarray, need: int) -> np.ndarray:
+        return x if need <= len(x) else np.append(x, np.zeros(max(len(x), need - len(x)), x.dtype))
+
+    def extend(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids = self._room(self.ids, self.used + len(ids))
+        self.starts, self.sizes = (self._room(x, self.rows + len(sizes)) for x in (self.starts, self.sizes))
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.starts[self.rows:self.rows + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[self.rows:self.rows + len(sizes)] = sizes
+        self.used += len(ids)
+        self.rows += len(sizes)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.sizes[rows]
+        return self.ids[ragged(self.starts[rows], size)], size
+
+
 _PAIRS: dict[tuple, Pair] = {}
 
 
