@@ -16,34 +16,36 @@ overlap, without pairing up whole buckets:
 2. each bucket takes its most connected member as pivot, and every member is
    compared with the pivot (linear in the bucket);
 3. connected components of the links found;
-4. only pivots whose texts still form several components go on, and there only
-   pairs of different components that can be links at all: they share a shingle
-   beyond the pivot, or their overlaps with the pivot are large enough (see
-   ``_possible``).  No link of a candidate pair is lost.
+4. only pivots whose texts still form several components go on.  There a text is
+   known by what it has more or less than the pivot, which is little, and the
+   texts outside the pivot's component meet all others in blocks, as one matrix
+   product of these differences a block (see ``_between``).  A block reports the
+   components it joins, not its pairs, and no link of a candidate pair is lost.
 
 With 32 bands of 4 a pair of similarity 0.8 is missed with probability 5e-8.
 
 Defined results: a text without words is a class of its own; fewer than five
-words are one shingle; class_id is the smallest doc_id of the class; rows that
-repeat a doc_id are one node; rows with a null doc_id are answered with a null
-class; an empty table gives an empty result; extra columns are not read.
+words are one shingle; every row is judged by its own text, whatever rows share
+its doc_id; class_id is the smallest doc_id of the class, null if no row of the
+class has one (all such rows are kept); an empty table gives an empty result;
+extra columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (documents, lower_ascii, mix, prefix_hash, ragged, release, slices, span_hash, stored, utf8,
-                                 word_bounds)
+from tidemark.llm.common import (documents, lower_ascii, mix, prefix_hash, ragged, release, shuffle_width, slices, span_hash, stored,
+                                 utf8, word_bounds)
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-# a pair of similarity 0.8 agrees in this share of registers but for 1 in 1e8
-FLOOR = 0.57
+# members and difference tokens in a block of texts of one pivot, about
+BLOCK_MEMBERS, BLOCK_TOKENS = 512, 1 << 19
 POINTS = 8            # points drawn of a process at a time
 
 _G = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -130,7 +132,7 @@ def signatures(row: np.ndarray, h: np.ndarray, weight: np.ndarray, rows: int,
     return out.view(np.uint64).reshape(rows, registers)
 
 
-_SIGNED = "doc_id long, k1 long, k2 long, size long, sig binary, bands array<long>"
+_SIGNED = "doc_id long, th binary, k1 long, k2 long, size long, sig binary, bands array<long>"
 
 
 def _sign(batches):
@@ -150,18 +152,9 @@ def _sign(batches):
             offsets = np.concatenate(([0], np.cumsum(np.where(size > 0, BANDS, 0))))
             bands = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(key[size > 0].reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)),
+                [part.column(0), part.column(2), pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)),
                  pa.array(size), pa.array([x.tobytes() for x in sig], pa.binary()), bands],
-                names=["doc_id", "k1", "k2", "size", "sig", "bands"])
-
-
-def _alike(batches):
-    """Pairs whose signatures allow the similarity."""
-    for batch in batches:
-        if len(batch):
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(len(batch), -1) for k in (2, 3))
-            ok = (a == b).mean(axis=1) >= FLOOR
-            yield batch.select([0, 1]).filter(pa.array(ok))
+                names=["doc_id", "th", "k1", "k2", "size", "sig", "bands"])
 
 
 def _sides(part: pa.RecordBatch):
@@ -190,20 +183,95 @@ def _overlap(batches):
                 names=["a", "b", "both", "size_a", "size_b"])
 
 
-def _extras(batches):
-    """Shingles that text a has more often than text b, once for each time more."""
+def _differences(batches):
+    """What text a has more or less often than text b: one token for each time."""
     for batch in batches:
         for part in slices(batch, "text_a", 1 << 20):
             row, h, weight, side, _ = _sides(part)
-            other = np.zeros(len(row), weight.dtype)
-            same = np.flatnonzero((row[1:] == row[:-1]) & (h[1:] == h[:-1]))      # a's entry, then b's
-            other[same] = weight[same + 1]
-            more = np.where(side == 0, np.maximum(weight - other, 0), 0)
-            take = pa.array(np.repeat(row, more))
-            token = mix(np.repeat(h, more) + ragged(np.zeros(len(more), np.int64), more).astype(np.uint64))
+            # the entry of the other side, if any, is next to it
+            pair = np.flatnonzero((row[1:] == row[:-1]) & (h[1:] == h[:-1]))
+            low, high = weight.copy(), weight.copy()
+            low[pair] = np.minimum(weight[pair], weight[pair + 1])
+            high[pair] = np.maximum(weight[pair], weight[pair + 1])
+            single = np.ones(len(row), bool)
+            single[pair] = single[pair + 1] = False
+            low[single] = 0
+            high[pair + 1] = low[pair + 1] = 0
+            # the k-th occurrence of a shingle, for the k that one side alone has
+            more = high - low
+            token = mix(np.repeat(h, more) + ragged(low, more).astype(np.uint64)).astype(np.int64)
+            count = np.bincount(row, weights=more, minlength=len(part)).astype(np.int64)
+            offsets = pa.array(np.append(0, np.cumsum(count)), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(take), part.column(1).take(take), pa.array(token.astype(np.int64))],
-                names=["a", "b", "token"])
+                [part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pa.array(token))], names=["a", "b", "tokens"])
+
+
+def _joined(comp: np.ndarray, links: np.ndarray) -> list[int]:
+    """For each component that ``links`` (members x members) connects with another
+    one, a member of it and a member of the smallest one reached."""
+    label = comp.copy()
+    while True:
+        least = np.where(links, label[None, :], np.iinfo(np.int64).max).min(axis=1)
+        least = np.minimum(label, least)
+        group = np.unique(comp, return_inverse=True)[1]
+        low = np.full(group.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(low, group, least)
+        after = low[group]
+        if (after == label).all():
+            break
+        label = after
+    first = {c: k for k, c in reversed(list(enumerate(comp.tolist())))}
+    return [(k, first[label[k]]) for c, k in first.items() if label[k] != c]
+
+
+def _between(similarity: float):
+    """Components joined by links between the texts of a block.
+
+    Let x, y be bags, C their pivot, D(x) the difference of x and C.  Then
+    |x & y| = |x & C| + |y & C| - |C| + |D(x) & D(y)|, all counted with multiplicity,
+    so the overlaps of all pairs follow from one product of the differences, in
+    which only tokens of several texts matter."""
+    need = similarity / (1 + similarity)
+
+    def block(rows):
+        node, comp, size, base = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
+        count = np.array([len(r[4]) for r in rows])
+        token = np.concatenate([np.asarray(r[4], np.int64) for r in rows])
+        row = np.repeat(np.arange(len(rows)), count)
+        values, at, often = np.unique(token, return_inverse=True, return_counts=True)
+        keep = np.cumsum(often > 1) - 1
+        ok = (often > 1)[at]
+        row, at, width = row[ok], keep[at[ok]], int((often > 1).sum())
+        shared = np.zeros((len(rows), len(rows)), np.float32)
+        order = np.argsort(at, kind="stable")
+        row, at = row[order], at[order]
+        for lo in range(0, width, 4096):
+            a, b = np.searchsorted(at, [lo, lo + 4096])
+            some = np.zeros((len(rows), min(4096, width - lo)), np.float32)
+            some[row[a:b], at[a:b] - lo] = 1
+            shared += some @ some.T
+        both = (base[:, None] + base[None, :]) / 2 + shared
+        links = both >= need * (size[:, None] + size[None, :]) - 1e-9
+        return [(node[i], node[j]) for i, j in _joined(comp, links)]
+
+    def run(batches):
+        key, rows = None, []
+
+        def out(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([int(x[k]) for x in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        for batch in batches:
+            keys = list(zip(*[batch.column(k).to_pylist() for k in range(3)]))
+            plain = [batch.column(k).to_pylist() for k in range(3, 7)]
+            lists = batch.column(7)
+            for k, this in enumerate(keys):
+                if this != key:
+                    if len(rows) > 1 and (found := block(rows)):
+                        yield out(found)
+                    key, rows = this, []
+                rows.append((*[c[k] for c in plain], lists[k].values.to_numpy()))
+        if len(rows) > 1 and (found := block(rows)):
+            yield out(found)
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -240,11 +308,12 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, kept (one document of each class) for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("th", F.unhex(F.md5("text")))
     signed = stored(docs.mapInArrow(_sign, _SIGNED), "signed")
     nodes = stored(
-        signed.where("size > 0 and doc_id is not null").groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("node"), F.first("size").alias("size"), F.first("sig").alias("sig"),
-             F.first("bands").alias("bands")), "nodes")
+        signed.where("size > 0").groupBy("k1", "k2")
+        .agg(F.min("doc_id").alias("least"), F.min("th").alias("th"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # buckets of several nodes, and how connected each node is
     member = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -257,74 +326,65 @@ def near_duplicates(docs: DataFrame, *, similarity: float = SIMILARITY) -> DataF
     pairs = stored(member.join(pivot, "bucket").where("node <> pivot")
                    .select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = stored(docs.hint("merge").join(wanted, docs.doc_id == wanted.node).select("node", "text"), "texts")
+    wanted = wanted.join(nodes.select("node", "th"), "node")
+    # equal texts become one before they are joined
+    texts = docs.groupBy("th").agg(F.first("text").alias("text")).hint("merge").join(wanted, "th")
+    texts = stored(texts.select("node", "text"), "texts")
 
     release(docs.sparkSession)
     share = F.col("both") / (F.col("size_a") + F.col("size_b") - F.col("both"))
     tested = stored(_with_texts(pairs, texts).mapInArrow(_overlap, _OVERLAP), "tested")
     links = tested.where(share >= similarity).select("a", "b")
     labels = components(links)
-
-    rest = stored(_possible(tested, labels, texts, nodes, similarity), "rest")
-    found = stored(_with_texts(rest, texts).mapInArrow(_overlap, _OVERLAP).where(share >= similarity), "found")
+    found = stored(_beyond(tested, labels, texts, similarity), "found")
     if found.limit(1).count():
-        labels = components(links.unionByName(found.select("a", "b")))
+        labels = components(links.unionByName(found))
 
-    classes = nodes.select("k1", "k2", "node").join(labels, "node", "left").select(
-        "k1", "k2", F.coalesce("comp", "node").alias("class_id"))
+    placed = nodes.select("k1", "k2", "node", "least").join(labels, "node", "left").select(
+        "k1", "k2", "least", F.coalesce("comp", "node").alias("comp"))
+    least = placed.groupBy("comp").agg(F.min("least").alias("class_id"))
+    classes = placed.join(least, "comp").select("k1", "k2", "class_id")
     rows = signed.select("doc_id", "k1", "k2", "size")
-    class_id = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("class_id", "doc_id"))
     return (rows.join(classes, ["k1", "k2"], "left")
-            .select("doc_id", F.when(F.col("size") > 0, class_id).otherwise(F.col("doc_id")).alias("class_id"))
+            .select("doc_id", F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
 
-def _possible(tested: DataFrame, labels: DataFrame, texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of different components that were compared with the same pivot and can be links.
+def _beyond(tested: DataFrame, labels: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Edges between components whose texts were compared with the same pivot and are links.
 
-    Let x and y be bags and C their pivot.  What x and y share is either in C,
-    which is at most min(|x & C|, |y & C|), or it is beyond C in both.  So a
-    link needs a shingle that both have beyond C, which an equality join finds,
-    or min(|x & C|, |y & C|) >= s / (1 + s) * (|x| + |y|), which holds for few:
-    for a text that is no link of C only where y is shorter than C."""
+    The texts outside the pivot's component are dealt into blocks, and all texts
+    of the pivot into others; every block of the first meets every block of the
+    second (and the first their own) in one task."""
     placed = (tested.join(labels.select(F.col("node").alias("a"), "comp"), "a", "left")
               .withColumn("comp", F.coalesce("comp", "a")))
     of_pivot = labels.select(F.col("node").alias("b"), F.col("comp").alias("c_pivot"))
     placed = placed.join(of_pivot, "b", "left").withColumn("c_pivot", F.coalesce("c_pivot", "b"))
+    placed = placed.withColumn("outside", F.col("comp") != F.col("c_pivot"))
+    # tokens that two bags differ in
+    length = F.col("size_a") + F.col("size_b") - 2 * F.col("both")
+    blocks = lambda count, total: F.ceil(F.greatest(count / BLOCK_MEMBERS, total / BLOCK_TOKENS, F.lit(1.0)))
+    out = F.when(F.col("outside"), 1).otherwise(0)
     # a pivot whose texts are all in its component has nothing left to find
-    live = placed.groupBy("b").agg(F.max((F.col("comp") != F.col("c_pivot")).cast("int")).alias("open"),
-                                   F.count("*").alias("n"), F.min("size_a").alias("least")).where("open = 1 and n > 1")
-    placed = stored(placed.join(live.select("b", "least"), "b"), "placed")
-    fits = F.least("x.size_a", "y.size_a") >= similarity * F.greatest("x.size_a", "y.size_a") - 1e-9
-    apart = (F.col("x.comp") < F.col("y.comp")) & fits
-    need = similarity / (1 + similarity) - 1e-9
-
-    near = placed.where(F.col("both") >= need * (F.col("size_a") + F.col("least")))
-    x, y = near.alias("x"), near.alias("y")
-    by_size = x.join(y, (F.col("x.b") == F.col("y.b")) & apart & (
-        F.least("x.both", "y.both") >= need * (F.col("x.size_a") + F.col("y.size_a"))))
-
-    # so many shingles beyond the pivot must be shared at least; of two such sets in
-    # one order, rare shingles first, parts of this length meet
-    beyond = F.col("size_a") - F.col("both")
-    shared = F.greatest(F.lit(1), F.ceil(need * (F.col("size_a") + F.greatest("least", similarity * F.col("size_a")))
-                                         - F.col("both") - 1e-6))
-    placed = placed.withColumn("part", beyond - shared + 1).where("part > 0")
-    token = stored(_with_texts(placed.select("a", "b"), texts).mapInArrow(_extras, "a long, b long, token long")
-                   .join(placed.select("a", "b", "comp", "size_a", "part"), ["a", "b"]), "tokens")
-    often = token.groupBy("b", "token").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    order = Window.partitionBy("a", "b").orderBy("n", "token")
-    token = stored(token.join(often, ["b", "token"]).withColumn("at", F.row_number().over(order))
-                   .where("at <= part and lo <> hi").select("a", "b", "comp", "size_a", "token"), "parts")
-    x, y = token.alias("x"), token.alias("y")
-    by_token = x.join(y, (F.col("x.b") == F.col("y.b")) & (F.col("x.token") == F.col("y.token")) & apart)
-
-    pair = [F.col("x.a").alias("a"), F.col("y.a").alias("b")]
-    pairs = by_size.select(*pair).unionByName(by_token.select(*pair)).distinct()
-    info = nodes.select("node", "sig")
-    return (pairs.join(info.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
-            .join(info.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b")
-            .select("a", "b", "sig_a", "sig_b").mapInArrow(_alike, "a long, b long"))
+    live = (placed.groupBy("b").agg(F.sum(out).alias("n_out"), F.sum(out * length).alias("t_out"),
+                                    F.count("*").alias("n"), F.sum(length).alias("t")).where("n_out > 0 and n > 1")
+            .select("b", blocks(F.col("n_out"), F.col("t_out")).alias("x_blocks"), blocks(F.col("n"), F.col("t")).alias("y_blocks")))
+    placed = placed.join(live, "b")
+    tokens = _with_texts(placed.select("a", "b"), texts).mapInArrow(_differences, "a long, b long, tokens array<long>")
+    base = 2 * F.col("both") - F.col("size_b")
+    placed = stored(tokens.join(placed, ["a", "b"]).select(
+        "a", "b", "comp", "outside", F.col("size_a").alias("size"), base.alias("base"), "tokens", "x_blocks", "y_blocks"), "placed")
+    mine = F.pmod(F.xxhash64("a"), F.col("x_blocks"))
+    other = F.pmod(F.xxhash64("a", F.lit(1)), F.col("y_blocks"))
+    columns = [F.col("a").alias("node"), "comp", "size", "base", "tokens"]
+    # a block of the first kind goes to every block of the second kind and back
+    x = placed.where("outside").select("b", mine.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("y_blocks") - 1)).alias("j"),
+                                       *columns)
+    y = (placed.select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("x_blocks") - 1)).alias("i"), other.alias("j"),
+                       *columns, F.when(F.col("outside"), mine).alias("own"))
+         .where("own is null or own <> i").drop("own"))
+    return (x.unionByName(y).repartition(shuffle_width(tested.sparkSession), "b", "i", "j").sortWithinPartitions("b", "i", "j")
+            .select("b", "i", "j", "node", "comp", "size", "base", "tokens").mapInArrow(_between(similarity), "a long, b long").distinct())
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
