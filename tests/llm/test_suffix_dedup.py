@@ -63,7 +63,7 @@ def test_long_documents_are_read_in_tiles(monkeypatch):
     rng = np.random.default_rng(2)
     text = bytes(rng.integers(97, 123, 30_000).astype(np.uint8)).decode()
     batch = pa.RecordBatch.from_arrays([pa.array([5, 6], pa.int64()), pa.array([1, 2], pa.int64()), pa.array(["x", text])],
-                                       names=["doc_id", "mark", "text"])
+                                       names=["d1", "d2", "text"])
     windows = lambda: sorted((d, lo + k, an) for b in D._anchors(iter([batch]))
                              for d, lo, n, an in zip(*(b.column(c).to_pylist() for c in (2, 4, 5, 6))) for k in range(n))
     whole = windows()
@@ -71,6 +71,40 @@ def test_long_documents_are_read_in_tiles(monkeypatch):
     assert windows() == whole and [w[1] for w in whole] == list(range(30_000 - D.LENGTH + 1))
 
 
+def test_equal_rows_cost_one_text(spark, monkeypatch):
+    """Rows and spans stored on the way do not grow with the number of equal rows."""
+    rng = np.random.default_rng(9)
+    text = bytes(rng.integers(97, 123, 1900).astype(np.uint8)).decode()
+    sizes, real = {}, D.stored
+
+    def counting(df, name):
+        out = real(df, name)
+        sizes[n] = sizes.get(n, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(D, "stored", counting)
+    for n in (20, 2000):
+        rows = [(None, text)] * n + [(1, text[300:900] + "!" * 100), (2, "nothing to see")]
+        got = found(D.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string")))
+        empty = hashlib.sha256(b"").hexdigest()
+        assert Counter(got) == Counter({(None, 1900, 1900, 1, empty): n,
+                                        (1, 700, 600, 1, hashlib.sha256(b"!" * 100).hexdigest()): 1,
+                                        (2, 14, 0, 0, hashlib.sha256(b"nothing to see").hexdigest()): 1})
+    assert sizes[2000] == sizes[20]
+
+
+def test_bytes_decide_and_not_digests():
+    """Two rows that share their digests by accident share only what their bytes share."""
+    import pyarrow as pa
+    rng = np.random.default_rng(1)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    same, a, b, c = letters(450), letters(300), letters(300), letters(200)
+    rows = [(1, 7, 351, a + same), (1, 7, 351, b + same), (2, 8, 101, c + same[:300]), (2, 8, 101, c + same[:300]), (3, 9, 1, letters(400))]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows]) for k in range(4)], names=["h", "dg", "n", "bytes"])
+    got = {(r["h"], r["dg"]): r["runs"] for out in D._repeats(iter([batch])) for r in out.to_pylist()}
+    assert got == {(1, 7): [{"a": 300, "b": 350}], (2, 8): [{"a": 0, "b": 100}]}
+
+
 texts = st.lists(st.lists(st.integers(1, 3), max_size=40), min_size=1, max_size=6)
 
 

@@ -6,15 +6,17 @@ equal contents, so they hold the same smallest gram (of ``GRAM`` bytes, by
 hash) at the same place.  A document's window starts fall into runs that share
 this *anchor*, and two windows can be equal only if their anchors are.
 
-1. Every run of windows becomes one small row: anchor hash, digest of the bytes
+1. Rows of one text are one text; a text of ``LENGTH`` bytes that several rows
+   hold is covered by itself and goes as a whole.  It still counts for others.
+2. Every run of windows becomes one small row: anchor hash, digest of the bytes
    the run covers, document, first start, number of starts.
-2. Rows whose anchor hash occurs once cannot repeat and go.
-3. Rows with equal digests are one class of their anchor's group.  A class of
-   several rows repeats as a whole; it needs no sorting for itself.
-4. The classes of a group, each once, form one text.  Suffix arrays by linear
-   grouping (``gsaca``) and common prefixes with suffix-array neighbours tell
-   which windows of the classes of one row repeat.
-5. The windows found go back to all rows of the class and become byte spans.
+3. Rows whose anchor hash occurs once cannot repeat and go.
+4. Rows with equal digests are one class of their anchor's group.
+5. The classes of a group form one text, each with the bytes of one of its rows,
+   or of two of them if it has several.  Suffix arrays by linear grouping
+   (``gsaca``) and common prefixes with suffix-array neighbours tell which windows
+   repeat: digests only bring rows together, bytes decide.
+6. The windows found go back to all rows of the class and become byte spans.
 
 A group of many classes (a passage that very many documents quote in different
 surroundings) is cut finer before step 4: its rows are dealt again by the bytes
@@ -23,9 +25,9 @@ shared drops out and what is shared collapses.  At a range of one start a group
 has one class, so group size is bounded without leaving anything out.
 
 Defined results: null is the empty text; texts shorter than ``LENGTH`` lose
-nothing; repeated rows repeat each other's strings; rows are told apart by
-doc_id (null allowed) and text; an empty table gives an empty result; extra
-columns are not read.
+nothing; repeated rows repeat each other's strings, however many they are (the
+work is that of one text); rows without an id or with the id of another are rows
+of their own; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -50,8 +52,10 @@ BUNDLE = 2 << 20             # bytes of texts that one lockstep run handles
 # a longer document is read in tiles; places in a tile fit the low bits of a key
 TILE, PLACE_BITS = 2 << 20, np.uint64(22)
 
-_ROW = "h long, dg long, doc_id long, mark long, lo int, n int, anchor int"
-_NAMES = ["h", "dg", "doc_id", "mark", "lo", "n", "anchor"]
+# a text is known by the two halves of its 128-bit digest
+_ROW = "h long, dg long, d1 long, d2 long, lo int, n int, anchor int"
+_NAMES = ["h", "dg", "d1", "d2", "lo", "n", "anchor"]
+DOC = ["d1", "d2"]
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -155,7 +159,7 @@ def _finer(step: int):
 
 
 def _segments(batches):
-    """The bytes of each class, from the document that stands for it."""
+    """The bytes of each class, from a document that stands for it."""
     for batch in batches:
         for part in slices(batch, "text", 4 << 20):
             texts, lists = part.column(2), part.column(3).to_pylist()
@@ -163,7 +167,7 @@ def _segments(batches):
             for r, classes in enumerate(lists):
                 text = texts[r].as_buffer()
                 for c in classes:
-                    out.append((c["h"], c["dg"], c["copies"], c["n"], text[c["lo"]:c["lo"] + c["n"] - 1 + LENGTH].to_pybytes()))
+                    out.append((c["h"], c["dg"], c["n"], text[c["lo"]:c["lo"] + c["n"] - 1 + LENGTH].to_pybytes()))
                     if len(out) == 4000:
                         yield _class_batch(out)
                         out = []
@@ -172,23 +176,23 @@ def _segments(batches):
 
 
 def _class_batch(rows: list) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                      names=["h", "dg", "copies", "n", "bytes"])
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["h", "dg", "n", "bytes"])
 
 
-_FIRST = 64           # symbols below are the separators of a text, all different
+_FIRST = 64           # symbols below are the separators of a text's segments, all different
 
 
 def _group_text(classes: dict) -> tuple[np.ndarray, list]:
-    """One text of a group's classes, and where each class of one row starts."""
-    parts, places, at, left = [], [], 0, len(classes)
-    for dg, (copies, n, data) in classes.items():
-        left -= 1
-        parts += [np.frombuffer(data, np.uint8).astype(np.uint16) + np.uint16(_FIRST), np.array([left], np.uint16)]
-        if copies == 1:
-            places.append((dg, at, n))
-        at += len(data) + 1
+    """One text of a group's segments, and where the first segment of each class starts."""
+    parts, places, at = [], [], 0
+    left = sum(len(segments) for _, segments in classes.values())
+    for dg, (n, segments) in classes.items():
+        places.append((dg, at, n))
+        for data in segments:
+            left -= 1
+            parts += [np.frombuffer(data, np.uint8).astype(np.uint16) + np.uint16(_FIRST), np.array([left], np.uint16)]
+            at += len(data) + 1
     return np.concatenate(parts), places
 
 
@@ -219,14 +223,14 @@ def _repeats(batches):
 
     def close():
         nonlocal size
-        if classes:
+        if sum(len(segments) for _, segments in classes.values()) > 1:
             text, places = _group_text(classes)
             bundle.append((h, text, places))
             size += len(text)
 
     for batch in batches:
         cols = [c.to_pylist() for c in batch.columns]
-        for group, dg, copies, n, data in zip(*cols):
+        for group, dg, n, data in zip(*cols):
             if group != h:
                 close()
                 classes = {}
@@ -234,7 +238,7 @@ def _repeats(batches):
                 if size >= BUNDLE:
                     yield solve()
                     bundle, size = [], 0
-            classes[dg] = (copies, n, data)
+            classes.setdefault(dg, (n, []))[1].append(data)
     close()
     if bundle:
         yield solve()
@@ -252,7 +256,7 @@ def cut(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.
     return starts, ends, b"".join(data[x:y].tobytes() for x, y in left)
 
 
-_CUT = "doc_id long, mark long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+_CUT = "d1 long, d2 long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def _remove(with_bytes: bool):
@@ -271,20 +275,15 @@ def _remove(with_bytes: bool):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                      pa.array(cols[2], pa.string()), pa.array(cols[3], pa.binary())],
-                    names=["doc_id", "mark", "n_removed", "n_spans", "kept_sha256", "kept"])
+                    names=["d1", "d2", "n_removed", "n_spans", "kept_sha256", "kept"])
     return remove
 
 
-def _same(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on the document (doc_id may be null), b's key dropped."""
-    b = b.withColumnsRenamed({"doc_id": "b_doc_id", "mark": "b_mark"})
-    return a.join(b, a.mark.eqNullSafe(b.b_mark) & a.doc_id.eqNullSafe(b.b_doc_id), how).drop("b_doc_id", "b_mark")
-
-
 def _classes(rows: DataFrame) -> DataFrame:
-    """One row per class: how many rows it has (two stand for more), and one of them."""
-    return rows.groupBy("h", "dg").agg(F.least(F.count("*"), F.lit(2)).cast("int").alias("copies"),
-                                       *[F.first(c).alias(c) for c in ("doc_id", "mark", "lo", "n")])
+    """One row per class, with a row of it and, if it has several, another one."""
+    row = F.struct("d1", "d2", "lo")
+    return (rows.groupBy("h", "dg").agg(F.first("n").alias("n"), F.min(row).alias("one"), F.max(row).alias("other"),
+                                        F.count("*").alias("rows")))
 
 
 def _recurring(rows: DataFrame) -> DataFrame:
@@ -293,15 +292,21 @@ def _recurring(rows: DataFrame) -> DataFrame:
     return rows.join(again, "h", "left_semi")
 
 
+def _digest(text) -> list:
+    hexed = F.md5(text)
+    return [F.conv(F.substring(hexed, at, 16), 16, -10).cast("long").alias(name) for at, name in ((1, "d1"), (17, "d2"))]
+
+
 def repeated_bytes(docs: DataFrame, *, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept) for every row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs, spark = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), docs.sparkSession
-    anchors = stored(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, _ROW), "anchors")
-    rows = stored(_recurring(anchors), "recurring")
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = docs.select("doc_id", *_digest("text"), "text")
+    # each text once, whatever rows hold it
+    single = docs.where(F.octet_length("text") >= LENGTH).groupBy(*DOC).agg(F.first("text").alias("text"))
+    rows = stored(_recurring(stored(single.mapInArrow(_anchors, _ROW), "anchors")), "recurring")
     release(spark)
-    texts = stored(_same(docs, rows.select("doc_id", "mark").distinct()), "texts")
+    texts = stored(single.join(rows.select(*DOC).distinct(), DOC), "texts")
     release(spark)
 
     ready, classes = rows, None
@@ -312,38 +317,40 @@ def repeated_bytes(docs: DataFrame, *, with_bytes: bool = False) -> DataFrame:
         classes = small if classes is None else classes.unionByName(small)
         if step is None or not large.limit(1).count():
             break
-        again = (rows.join(large, "h", "left_semi").groupBy("doc_id", "mark")
-                 .agg(F.collect_list(F.struct("lo", "n", "anchor")).alias("runs")))      # rows that repeat count
-        rows = stored(_recurring(_same(texts, again).dropDuplicates(["doc_id", "mark"])
-                                 .select("doc_id", "mark", "text", "runs").mapInArrow(_finer(step), _ROW)), f"finer{step}")
+        again = (rows.join(large, "h", "left_semi").groupBy(*DOC)
+                 .agg(F.collect_list(F.struct("lo", "n", "anchor")).alias("runs")))      # of one text: bounded by it
+        rows = stored(_recurring(texts.join(again, DOC).select(*DOC, "text", "runs").mapInArrow(_finer(step), _ROW)), f"finer{step}")
         release(spark)
         # rows of large groups have no class of their own and so find no runs below
         ready = ready.unionByName(rows)
 
     classes = stored(classes, "all-classes")
-    mixed = classes.groupBy("h").agg(F.count("*").alias("k"), F.min("copies").alias("fewest")).where(
-        "k > 1 and fewest = 1").select("h")
-    by_doc = classes.join(mixed, "h", "left_semi").groupBy(
-        "doc_id", "mark").agg(F.collect_list(F.struct("h", "dg", "copies", "lo", "n")).alias("classes"))
-    segments = _same(texts, by_doc).select("doc_id", "mark", "text", "classes").mapInArrow(
-        _segments, "h long, dg long, copies int, n int, bytes binary")
-    partly = stored(segments.repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
-                    .mapInArrow(_repeats, _REPEATS), "repeats")
+    # a group of one row has nothing to repeat
+    groups = classes.groupBy("h").agg(F.sum("rows").alias("all")).where("all > 1").select("h")
+    held = classes.join(groups, "h", "left_semi").select("h", "dg", "n", F.explode(F.when(
+        F.col("rows") > 1, F.array("one", "other")).otherwise(F.array("one"))).alias("at"))
+    by_doc = held.groupBy("at.d1", "at.d2").agg(F.collect_list(F.struct("h", "dg", "n", F.col("at.lo").alias("lo"))).alias("classes"))
+    segments = texts.join(by_doc, DOC).select(*DOC, "text", "classes").mapInArrow(
+        _segments, "h long, dg long, n int, bytes binary")
+    found = stored(segments.repartition(shuffle_width(spark), "h").sortWithinPartitions("h")
+                   .mapInArrow(_repeats, _REPEATS), "repeats")
     release(spark)
-    whole = classes.where("copies > 1").select("h", "dg", F.array(F.struct(
-        F.lit(0).alias("a"), (F.col("n") - 1).cast("int").alias("b"))).alias("runs"))
-    found = partly.unionByName(whole)
 
-    spans = (ready.join(found, ["h", "dg"]).select("doc_id", "mark", "lo", F.explode("runs").alias("run"))
-             .groupBy("doc_id", "mark").agg(F.collect_list(F.struct(
+    # a text that several rows hold goes as a whole
+    size = F.octet_length("text").cast("long")
+    whole = docs.select("doc_id", *DOC, size.alias("n_bytes"), F.sha2("text", 256).alias("whole_sha256"),
+                        *([F.encode("text", "UTF-8").alias("whole")] if with_bytes else []))
+    copies = stored(docs.where(size >= LENGTH).groupBy(*DOC).agg(F.count("*").alias("k"), F.first(size).alias("n_bytes"))
+                    .where("k > 1").select(*DOC, "n_bytes"), "copies")
+    spans = (ready.join(copies, DOC, "left_anti").join(found, ["h", "dg"]).select(*DOC, "lo", F.explode("runs").alias("run"))
+             .groupBy(*DOC).agg(F.collect_list(F.struct(
                  (F.col("lo") + F.col("run.a")).alias("a"),
                  (F.col("lo") + F.col("run.b") + LENGTH).alias("b"))).alias("spans")))
-    removed = (_same(texts, spans).select("doc_id", "mark", "text", "spans").mapInArrow(_remove(with_bytes), _CUT)
-               .dropDuplicates(["doc_id", "mark"]))
-    whole = docs.select("doc_id", "mark", F.octet_length("text").cast("long").alias("n_bytes"),
-                        F.sha2(F.encode("text", "UTF-8"), 256).alias("whole_sha256"),
-                        *([F.encode("text", "UTF-8").alias("whole")] if with_bytes else []))
-    out = _same(whole, removed, "left")
+    removed = texts.join(spans, DOC).select(*DOC, "text", "spans").mapInArrow(_remove(with_bytes), _CUT)
+    nothing = F.lit(b"")
+    removed = removed.unionByName(copies.select(*DOC, F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+                                                F.sha2(nothing, 256).alias("kept_sha256"), nothing.alias("kept")))
+    out = whole.join(removed, DOC, "left")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
                       F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
                       F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"),
