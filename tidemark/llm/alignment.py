@@ -37,7 +37,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -46,17 +45,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, ragged, slices, stored
+from tidemark.llm.common import EDGE, WORD_CUT, documents, ragged, slices, stored
 
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20       # text in one block
 STEP_BYTES = 512 << 10      # text that is tokenized and joined at a time
 JOIN_CHARS = 1 << 15        # new units reach the tokenizers in strings of about this length
 CACHE_UNITS = 400_000       # units that a worker remembers; it starts anew beyond
-# characters that no tokenizer takes for white space: ASCII, then letters of most scripts
-_VISIBLE = "[!-~\u00c0-\u02af\u0370-\u167f\u3041-\ud7ff]"
-_CUT = re.compile(f"(?<={_VISIBLE}) (?={_VISIBLE})")
-_EDGE = re.compile(_VISIBLE)
 _SPACE = "▁"
 
 
@@ -103,7 +98,7 @@ class Pair:
         joined, some, size = [], [], 0
         for u in units:
             # a unit from the start or end of a text may begin or end in white space
-            inner = _EDGE.match(u[0]) and _EDGE.match(u[-1])
+            inner = EDGE.match(u[0]) and EDGE.match(u[-1])
             if some and (size >= JOIN_CHARS or not inner):
                 joined.append(" ".join(some))
                 some, size = [], 0
@@ -132,7 +127,7 @@ class Pair:
         number, known = self.number, len(self.number)
         units, counts = [], []
         for text in texts:
-            split = (_CUT.split(text) if self.cuts else [text]) if text else []
+            split = (WORD_CUT.split(text) if self.cuts else [text]) if text else []
             units += [number.setdefault(u, len(number)) for u in split]
             counts.append(len(split))
         if len(number) > known:

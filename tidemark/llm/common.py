@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import gc
+import re
 import tempfile
 import uuid
 
@@ -32,6 +33,13 @@ _BYTE_VALUE = _RNG.integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) | np.uin
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
 
+# A single space between two of these characters separates words for every
+# tokenizer here: ASCII, then letters of most scripts, none of them white space.
+VISIBLE = "[!-~\u00c0-\u02af\u0370-\u167f\u3041-\ud7ff]"
+WORD_CUT = re.compile(f"(?<={VISIBLE}) (?={VISIBLE})")
+EDGE = re.compile(VISIBLE)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder that all executors see, below ``spark.checkpoint.dir``.
 
