@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -19,30 +20,35 @@ def ids_of(text):
     return REAL.encode(text or "", add_special_tokens=False).ids
 
 
-def expected(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
-    out, start = [], 0
+def check(df, rows):
+    """Ids of every row, in ascending doc_id order without gaps (rows of one id in any order)."""
+    got = sorted(map(tuple, df.select("start", "doc_id", "n_tokens", "ids_crc32").collect()))
+    want = []
     for doc_id, text in rows:
         ids = ids_of(text) + [1]
-        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        start += len(ids)
-    return sorted(out, key=str)
-
-
-def found(df):
-    return sorted(map(tuple, df.select("doc_id", "start", "n_tokens", "ids_crc32").collect()), key=str)
+        want.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted((r[1:] for r in got), key=str) == sorted(want, key=str)
+    assert [r[0] for r in got] == [sum(r[2] for r in got[:k]) for k in range(len(got))]
+    order = [(r[1] is not None, r[1] or 0) for r in got]
+    assert order == sorted(order)
 
 
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 def test_odd_rows(spark, planes):
     manifest = T.write_ids(odd_documents(spark), tokenizer=PATH, planes=planes)
-    assert found(T.read_back(manifest)) == expected(ODD)
+    check(T.read_back(manifest), ODD)
 
 
 def test_empty_and_whole_table(spark):
-    assert found(T.read_back(T.write_ids(empty_documents(spark), tokenizer=PATH))) == []
-    rows = [(r["doc_id"], r["text"]) for r in table(SF, "documents")]
-    assert found(T.op4_token_planes(spark, SF)) == expected(rows)
+    check(T.read_back(T.write_ids(empty_documents(spark), tokenizer=PATH)), [])
+    check(T.op4_token_planes(spark, SF), [(r["doc_id"], r["text"]) for r in table(SF, "documents")])
+
+
+def test_an_id_of_many_rows_fills_several_shards(spark):
+    rows = [(None if k % 3 else 7, f"text number {k}") for k in range(3000)] + [(k, "one") for k in range(20)]
+    manifest = T.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer=PATH)
+    assert manifest.agg({"n_docs": "max"}).first()[0] < 1500
+    check(T.read_back(manifest), rows)
 
 
 @settings(max_examples=200, deadline=None)
@@ -50,7 +56,7 @@ def test_empty_and_whole_table(spark):
        st.sampled_from(["", "<|endoftext|>", "it's we'll", "a,b.c...", " \n "]))
 def test_words_are_tokenized_as_in_the_text(text, more):
     code = T.encoder(PATH)
-    got, sizes = code.encode([text + more, more + text])
+    got, sizes = code.encode(pa.array([text + more, more + text]))
     assert got.tolist() == ids_of(text + more) + ids_of(more + text) and sizes.sum() == len(got)
 
 

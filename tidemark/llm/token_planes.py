@@ -15,17 +15,20 @@ Each attempt of a task writes a file of its own name; only the files named in
 the manifest, which Spark commits, count, so a lost executor leaves no wrong
 data.  The folder is the shared one of ``spark.checkpoint.dir`` unless given.
 
-Words recur, so a worker keeps the ids of words it has seen.  Splitting a text
+Words recur, so a worker keeps the ids of words it has seen; Arrow splits a
+slice of texts and numbers its distinct words, so Python sees each of them once.  Splitting a text
 at spaces and newlines is exact for the tokenizer used here: its first step
 turns white space into single spaces that belong to no token.
 
 Defined results: null text is empty and gets the end id only; null doc_ids
-come first; rows that repeat a doc_id stand next to each other, ordered by
-text; an empty table writes no shard; extra columns are not read.
+come first; rows that repeat a doc_id, or have none, stand next to each other,
+ordered by a hash of the text, and may fill several shards; an empty table writes
+no shard; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import struct
@@ -37,6 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -96,35 +100,21 @@ class _Encoder:
             return ids
         return self._whole(word)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         if len(self.number) > CACHE_WORDS:
             self.clear()
         number, known = self.number, len(self.number)
-        words, per_text = [], []
-        for text in texts:
-            split = text.replace("\n", " ").split(" ")
-            words += [number.setdefault(w, len(number)) for w in split]
-            per_text.append(len(split))
-        if len(number) > known:
-            for w in list(number)[known:] if known < 1000 else _tail(number, known):
-                self._keep(number[w], self._word(w))
-        words = np.array(words, np.int64)
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = pc.list_flatten(split).dictionary_encode()
+        place = np.array([number.setdefault(w, len(number)) for w in coded.dictionary.to_pylist()], np.int64)
+        for w in list(itertools.islice(reversed(number), len(number) - known))[::-1]:
+            self._keep(number[w], self._word(w))
+        words = place[coded.indices.to_numpy()]
         size = self.size[words].astype(np.int64)
         ids = self.ids[ragged(self.start[words], size)]
-        ends = np.cumsum(np.append(0, size))
-        bounds = np.cumsum(np.append(0, per_text))
-        return ids, np.diff(ends[bounds])
-
-
-def _tail(number: dict, known: int) -> list[str]:
-    """Keys added after the first ``known`` ones."""
-    out = []
-    for w in reversed(number):
-        if number[w] < known:
-            break
-        out.append(w)
-    return out[::-1]
+        ends = np.append(0, np.cumsum(size))
+        return ids, np.diff(ends[split.offsets.to_numpy()])
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -226,7 +216,7 @@ def _open(uri: str):
     return system, path
 
 
-_MANIFEST = "file string, first_doc long, n_docs long, n_ids long"
+_MANIFEST = "file string, part int, n_docs long, n_ids long"
 
 
 def _write(folder: str, tokenizer: str, planes: str):
@@ -235,8 +225,7 @@ def _write(folder: str, tokenizer: str, planes: str):
         code = encoder(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = pc.fill_null(part.column(1), "").to_pylist()
-                ids, sizes = code.encode(texts)
+                ids, sizes = code.encode(pc.fill_null(part.column(1), ""))
                 ends = np.cumsum(sizes)
                 ids = np.insert(ids, ends, END_ID)
                 if writer is None:
@@ -246,11 +235,10 @@ def _write(folder: str, tokenizer: str, planes: str):
                 n_ids += len(ids)
         if writer is not None:
             writer.close()
-            first = next((x for x in writer.doc_ids if x is not None), None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([first], pa.int64()),
+                [pa.array([name]), pa.array([TaskContext.get().partitionId()], pa.int32()),
                  pa.array([len(writer.doc_ids)], pa.int64()), pa.array([n_ids], pa.int64())],
-                names=["file", "first_doc", "n_docs", "n_ids"])
+                names=["file", "part", "n_docs", "n_ids"])
     return shard
 
 
@@ -260,8 +248,10 @@ def write_ids(docs: DataFrame, *, tokenizer: str, folder: str | None = None, pla
     folder = folder or shared_dir(spark, "ids")
     system, path = _open(folder)
     system.create_dir(path, recursive=True)
+    # an id that very many rows share is spread by their texts
+    order = ["doc_id", F.xxhash64("text")]
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-               .repartitionByRange(shuffle_width(spark), "doc_id").sortWithinPartitions("doc_id", "text"))
+               .repartitionByRange(shuffle_width(spark), *order).sortWithinPartitions(*order))
     return stored(ordered.mapInArrow(_write(folder, tokenizer, planes), _MANIFEST), "manifest")
 
 
@@ -281,9 +271,8 @@ def _read(batches):
 
 def read_back(manifest: DataFrame) -> DataFrame:
     """Per document: start, n_tokens and checksum, from the files alone."""
-    # one row per shard file
-    before = F.sum("n_ids").over(Window.orderBy(F.col("first_doc").asc_nulls_first(), "file")
-                                 .rowsBetween(Window.unboundedPreceding, -1))
+    # one row per shard file; shards follow their partitions, which are ranges of ids
+    before = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     shards = manifest.select("file", F.coalesce(before, F.lit(0)).alias("base"))
     return (shards.repartition(shuffle_width(manifest.sparkSession))
             .mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
