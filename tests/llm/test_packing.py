@@ -28,14 +28,32 @@ def check(rows, lengths, capacities):
     return bins
 
 
-def words(rows):
-    return [(d, len((t or "").split()) + 1) for d, t in rows]
+def tokens(rows):
+    import public_tokenizers
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path(P.TOKENIZER)))
+    return [(d, len(model.encode(t or "")) + 1) for d, t in rows]
+
+
+def test_lengths_are_token_counts(spark, monkeypatch):
+    """Whole texts, also without white space, and long ones cut at words."""
+    monkeypatch.setattr(P, "PART_CHARS", 100)
+    rows = [*ODD, (20, "abcdefghij" * 900), (21, "日本語のテキスト" * 300), (22, "a,b;c" * 500), (23, "It's  two  spaces\n\nand\ttabs " * 50)]
+    rows += [(100 + r["doc_id"], r["text"]) for r in table(SF, "documents")[:40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in P.token_lengths(docs).collect()) == Counter(tokens(rows))
+    assert any(len(P._parts(t or "")) > 3 for _, t in rows)
+
+
+def test_equal_rows_spread_over_slots(spark):
+    df = spark.createDataFrame([(None, 5)] * 4000, "doc_id long, n_tokens long").repartition(4)
+    check(P.pack(df, capacities=(16,)).collect(), [(None, 5)] * 4000, (16,))
 
 
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     lengths = [(r[0], r[1]) for r in P.token_lengths(docs).collect()]
-    assert max(n for _, n in lengths) == 30_001 and min(n for _, n in lengths) == 1
+    assert max(n for _, n in lengths) > 30_000 and min(n for _, n in lengths) == 1
     check(P.pack(P.token_lengths(docs)).collect(), lengths, P.CAPACITIES)
     check(P.pack(P.token_lengths(docs), capacities=(7, 3)).collect(), lengths, (7, 3))
     assert P.pack(P.token_lengths(empty_documents(spark))).collect() == []

@@ -26,7 +26,7 @@ def test_stages_against_brute_force(spark):
             have = {i: t for i, t in have.items() if i not in bad}
         assert {r.doc_id: r.text for r in docs.collect()} == have, name
     packed = P.STAGES[-1][1](spark, docs, SF).collect()
-    test_packing.check(packed, test_packing.words(have.items()), packing.CAPACITIES)
+    test_packing.check(packed, test_packing.tokens(have.items()), packing.CAPACITIES)
     assert sorted(map(tuple, P.run(spark, SF).collect())) == sorted(map(tuple, packed))
 
 

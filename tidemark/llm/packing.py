@@ -18,6 +18,9 @@ documents share is spread over all tasks.
 A document longer than the largest capacity is cut into pieces; nothing is
 dropped or shortened.
 
+Lengths are token counts of a sentence-piece model over whole texts, and an end
+token.  Any other count column can be packed.
+
 Defined results: null and empty texts count as the end token alone; repeated
 rows are packed each; an empty table gives an empty result; extra columns are
 not read.
@@ -29,11 +32,14 @@ from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, shuffle_width, stored
+from tidemark.llm.common import WORD_CUT, documents, shuffle_width, slices, stored
 
+TOKENIZER = "piece_bpe_32k.model"
+PART_CHARS = 1 << 16        # longer texts reach the tokenizer in parts
 CAPACITIES = (1024, 2048, 4096, 8192)
 # a sequence of c tokens costs c plus its attention, c^2 over this many tokens
 ATTENTION = 1 << 16
@@ -164,7 +170,8 @@ def pack(lengths: DataFrame, *, capacities=CAPACITIES, cost=cost) -> DataFrame:
     n = F.greatest(F.col("n_tokens").cast("long"), F.lit(1).cast("long"))
     items = stored(
         lengths.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("total"),
-                       F.xxhash64(*lengths.columns).alias("salt"))
+                       # rows alike in every column part ways here; the id is stored with the row
+                F.monotonically_increasing_id().alias("salt"))
         .select("doc_id", "total", "salt",
                 F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / top))).alias("piece"))
         .select("doc_id", "piece", (F.col("piece") * top).alias("start"),
@@ -182,10 +189,40 @@ def pack(lengths: DataFrame, *, capacities=CAPACITIES, cost=cost) -> DataFrame:
     return ranked.mapInArrow(_seat(plan), _PACKED)
 
 
-def token_lengths(docs: DataFrame) -> DataFrame:
-    """Words of each text and the end token."""
-    words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"\S+"))
-    return docs.select("doc_id", (words + 1).cast("long").alias("n_tokens"))
+_MODELS: dict[str, object] = {}
+
+
+def _parts(text: str) -> list[str]:
+    """A long text in parts, cut at spaces between words, which are left out."""
+    out, at = [], 0
+    while len(text) - at > PART_CHARS and (cut := WORD_CUT.search(text, at + PART_CHARS)):
+        out.append(text[at:cut.start()])
+        at = cut.end()
+    return [*out, text[at:]]
+
+
+def _tokens(path: str):
+    def count(batches):
+        import sentencepiece
+        if path not in _MODELS:
+            _MODELS[path] = sentencepiece.SentencePieceProcessor(model_file=path)
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                parts = [_parts(t) for t in pc.fill_null(part.column(1), "").to_pylist()]
+                size = [len(x) for x in _MODELS[path].encode([p for ps in parts for p in ps], num_threads=1)]
+                ends = np.cumsum([0, *size])[np.cumsum([0, *map(len, parts)])]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends) + 1, pa.int64())],
+                                                 names=["doc_id", "n_tokens"])
+    return count
+
+
+def token_lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Tokens of each whole text by a sentence-piece model, and the end token."""
+    if tokenizer is None:
+        import public_tokenizers
+        tokenizer = str(public_tokenizers.path(TOKENIZER))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.mapInArrow(_tokens(tokenizer), "doc_id long, n_tokens long")
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
