@@ -86,3 +86,14 @@ def test_own_evidence_does_not_count_twice(spark):
                                 "id long, declared string, suffix string, host string, text string")
     a, b = sorted(L.identify(one, model).collect(), key=lambda r: r.id)
     assert a.lang == b.lang == "es" and abs(a.posterior - b.posterior) < 1e-3
+
+
+def test_many_labels_are_rows_not_columns(spark):
+    """Labels are data: their number makes no plan wider."""
+    rows = [(k, f"l{k % 150}", f"s{k % 7}", f"word{k % 150} other{k % 150} third{k % 150} " * 3) for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    model = L.train(df)
+    assert len(model[0]) == 150
+    got = L.identify(L.of_documents(df), model)
+    assert len(got.columns) == 7 and got.count() == 900
+    assert L.train(df.where("false"))[0] == []

@@ -123,16 +123,13 @@ def _score(names: list[str], model: np.ndarray):
                 ll = [weight * np.bincount(row, weights=m[bucket], minlength=len(part)) for m in model]
                 ll = np.stack(ll + [-(np.log(BUCKETS) + MARGIN) * weight * n])
                 p = _softmax(ll + flat[:, None]) * (n > 0)
-                yield pa.RecordBatch.from_arrays(
-                    list(part.columns[:-1]) + [pa.array(n, pa.int64())] + [pa.array(x) for x in (*ll, *p)],
-                    names=list(part.schema.names[:-1]) + ["n_letters"] + _columns("l", k) + _columns("p", k))
+                ends = pa.array(np.arange(len(part) + 1) * k, pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x.T.reshape(-1))) for x in (ll, p)]
+                yield pa.RecordBatch.from_arrays(list(part.columns[:-1]) + [pa.array(n, pa.int64()), *lists],
+                                                 names=list(part.schema.names[:-1]) + ["n_letters", "l", "p"])
     return score
 
 
-def _columns(name: str, k: int) -> list[str]:
-    return [f"{name}{i}" for i in range(k)]
-
-
 def _fuse(classes: list[str], overall: np.ndarray, claimed: np.ndarray, kinds: int):
     """Posterior from text, declaration and smoothed host prior, a row's own share
     taken out of the counts it is judged by."""
@@ -142,8 +139,12 @@ def _fuse(classes: list[str], overall: np.ndarray, claimed: np.ndarray, kinds: i
         for batch in batches:
             table = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             known = lambda c: pc.is_valid(table[c]).to_numpy(zero_copy_only=False)
-            take = lambda name: np.stack([
-                pc.fill_null(table[c], 0.0).to_numpy(zero_copy_only=False) for c in _columns(name, k)])
+
+            def take(name):
+                """A list column as classes x rows, zero where it is null."""
+                out = np.zeros((len(batch), k))
+                out[known(name)] = pc.list_flatten(table[name]).to_numpy().reshape(-1, k)
+                return out.T
             count = lambda c: pc.fill_null(table[c], 0).to_numpy(zero_copy_only=False)
             n, mine = count("n_letters"), take("p")
             own = (n > 0).astype(float)
@@ -155,7 +156,7 @@ def _fuse(classes: list[str], overall: np.ndarray, claimed: np.ndarray, kinds: i
             prior = np.where(known("host") & known("h_n"), host, suffix)
             claim = np.log((np.maximum(take("c") - mine, 0) + DECLARED_WEIGHT / kinds)
                            / (np.maximum(claimed[:, None] - mine, 0) + DECLARED_WEIGHT))
-            claim = np.where(known("declared") & known("c0"), claim, 0.0)
+            claim = np.where(known("declared") & known("c"), claim, 0.0)
             q = _softmax(take("l") + np.log(prior) + claim)
             best, top = q.argmax(axis=0), np.round(q.max(axis=0), 6)
             text = mine.argmax(axis=0)
@@ -176,25 +177,30 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     names, table = model
     classes = names + [UNDETERMINED]
     k = len(classes)
-    declared = F.regexp_extract(F.lower(F.trim(F.coalesce("declared", F.lit("")))), r"^([a-z]{2,3})(?:[-_].*)?$", 1)
+    declared = F.regexp_extract(F.lower(F.trim(F.coalesce("declared", F.lit("")))), r"^([a-z]{2,3})(?:[-_][a-z0-9]{1,8})*$", 1)
     rows = rows.select("id", F.when(declared != "", declared).alias("declared"),
                        F.lower(F.col("suffix")).alias("suffix"), F.lower(F.col("host")).alias("host"), "text")
-    schema = "id long, declared string, suffix string, host string, n_letters long, " + \
-        ", ".join(f"{c} double" for c in _columns("l", k) + _columns("p", k))
+    schema = "id long, declared string, suffix string, host string, n_letters long, l array<double>, p array<double>"
     scored = stored(rows.mapInArrow(_score(names, table), schema), "language")
-    seen = scored.where("n_letters > 0")
-    sums = lambda name: [F.sum(p).alias(c) for p, c in zip(_columns("p", k), _columns(name, k))]
-
-    hosts = seen.groupBy("suffix", "host").agg(F.count("*").alias("h_n"), *sums("h"))
-    suffixes = hosts.groupBy("suffix").agg(F.sum("h_n").alias("s_n"), *[F.sum(f"h{i}").alias(f"s{i}") for i in range(k)])
-    claims = seen.where("declared is not null").groupBy("declared").agg(*sums("c"))
-    whole = seen.agg(F.count("*").alias("n"), *sums("g")).first()
-    overall = np.array([((whole[f"g{i}"] or 0.0) + 1.0) / (whole["n"] + k) for i in range(k)])
-    claimed = claims.agg(F.count("*").alias("kinds"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(k)]).first()
-    claimed, kinds = np.array([claimed[f"t{i}"] or 0.0 for i in range(k)]), claimed["kinds"] + 1
+    # one row per class: labels are data, so they are no columns
+    shares = scored.where("n_letters > 0").select("suffix", "host", "declared", F.posexplode("p").alias("class", "x"))
+    by_host = stored(shares.groupBy("suffix", "host", "class").agg(F.sum("x").alias("x"), F.count("*").alias("n")), "hosts")
+    vector = F.transform(F.array_sort(F.collect_list(F.struct("class", "x"))), lambda s: s["x"])
+    total = [F.sum("x").alias("x"), F.sum("n").alias("n")]
+    hosts = by_host.groupBy("suffix", "host").agg(F.max("n").alias("h_n"), vector.alias("h"))
+    suffixes = by_host.groupBy("suffix", "class").agg(*total).groupBy("suffix").agg(F.max("n").alias("s_n"), vector.alias("s"))
+    claims = (shares.where("declared is not null").groupBy("declared", "class").agg(F.sum("x").alias("x"))
+              .groupBy("declared").agg(vector.alias("c")))
+    # one row per class, as the model has
+    whole = {r["class"]: (r["x"], r["n"]) for r in by_host.groupBy("class").agg(*total).collect()}
+    overall = np.array([((whole[i][0] if i in whole else 0.0) + 1.0) / ((whole[i][1] if i in whole else 0) + k) for i in range(k)])
+    claimed_by = {r[0]: r[1:] for r in claims.select(F.posexplode("c").alias("class", "x")).groupBy("class").agg(
+        F.sum("x"), F.count("*")).collect()}
+    claimed = np.array([claimed_by[i][0] if i in claimed_by else 0.0 for i in range(k)])
+    kinds = (claimed_by[0][1] if claimed_by else 0) + 1
 
     joined = (scored.join(hosts.where("host is not null").select(F.col("suffix").alias("h_suffix"), F.col("host").alias("h_host"),
-                                                                 "h_n", *_columns("h", k)),
+                                                                 "h_n", "h"),
                           F.col("suffix").eqNullSafe(F.col("h_suffix")) & (F.col("host") == F.col("h_host")), "left")
               .join(suffixes.where("suffix is not null"), "suffix", "left").join(claims, "declared", "left"))
     return joined.mapInArrow(
