@@ -67,3 +67,12 @@ def test_fm_index_finds_all(text, phrase):
     lo, hi = index.search(np.array([phrase]), np.array([len(phrase)]))
     at = sorted(index.locate(np.arange(lo[0], hi[0])).tolist()) if hi[0] > lo[0] else []
     assert at == [k for k in range(len(text) - len(phrase) + 1) if text[k:k + len(phrase)] == phrase]
+
+
+def test_items_without_an_id(spark):
+    """Their windows are hits; they are not counted or named as items."""
+    items = spark.createDataFrame([(None, "one two three"), (4, "one two three"), (None, "only here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "zero one two three four"), (2, "only here"), (3, "nothing")], "doc_id long, text string")
+    for blocks in (100_000, 1):
+        got = {r.doc_id: (r.n_hit, r.items) for r in D.decontaminate(docs, items, block_windows=blocks).collect()}
+        assert got == {1: (3, ["4"]), 2: (2, []), 3: (0, [])}

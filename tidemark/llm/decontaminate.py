@@ -204,7 +204,7 @@ def find(block: Windows, low: np.ndarray, off: np.ndarray):
     pair = np.unique(row[first] * len(block.length) + phrase)
     for r, p in zip((pair // len(block.length)).tolist(), (pair % len(block.length)).tolist()):
         items[r].extend(block.items[block.item_start[p]:block.item_start[p + 1]])
-    return n_words, n_hit, [sorted(set(x)) for x in items], spans
+    return n_words, n_hit, [sorted({i for i in x if isinstance(i, str)}) for x in items], spans
 
 
 _SPAN = "array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>"
@@ -240,17 +240,28 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             .select(F.array_join(F.slice("w", F.col("k") + 1, window), " ").alias("window"), "item_id"))
 
 
-def _merge_spans(spans):
-    """Union of the word spans that several blocks found in one text."""
-    last = lambda acc: F.element_at(acc, -1)
-    return F.aggregate(
-        F.array_sort(spans), F.array().cast(_SPAN),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (last(acc)["last"] + 1 >= x["first"]),
-            F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
-                last(acc)["first"].alias("first"), F.greatest(last(acc)["last"], x["last"]).alias("last"),
-                last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], x["end"]).alias("end")))))
-        .otherwise(F.concat(acc, F.array(x))))
+_MERGED = f"doc_id long, n_words long, n_hit long, items array<string>, spans {_SPAN}"
+
+
+def _merge(batches):
+    """Union of the word spans that several blocks found in one text, once per row that has the text."""
+    for batch in batches:
+        rows = []
+        for doc_id, n_words, copies, items, spans in zip(*[c.to_pylist() for c in batch.columns]):
+            out = []
+            for x in sorted(spans, key=lambda x: (x["first"], x["last"])):
+                if out and out[-1]["last"] + 1 >= x["first"]:
+                    if x["last"] > out[-1]["last"]:
+                        out[-1] |= {"last": x["last"], "end": x["end"]}
+                else:
+                    out.append(dict(x))
+            hit = sum(x["last"] - x["first"] + 1 for x in out)
+            rows += [(doc_id, n_words, hit, items, out)] * copies
+        if rows:
+            span = batch.schema.field("spans").type
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.string()), span]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                             names=["doc_id", "n_words", "n_hit", "items", "spans"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW,
@@ -271,10 +282,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     merged = hits.groupBy("doc_id", "mark").agg(
         F.max("n_words").alias("n_words"), (F.count("*") / blocks).cast("int").alias("copies"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        _merge_spans(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"))
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["last"] - x["first"] + 1)
-    return (merged.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-            .select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans"))
+        F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"))
+    return merged.select("doc_id", "n_words", "copies", "items", "spans").mapInArrow(_merge, _MERGED)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +314,7 @@ hits as (select distinct p.doc_id, p.k, p.size, x.item_id from places p join win
 hit_words as (select doc_id, count(distinct u) as n_hit from hits, unnest(range(k, k + size)) as r(u) group by doc_id),
 items as (
   select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as list
-  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits where item_id is not null) group by doc_id)
 select d.id as doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0) as bigint) as n_hit,
        cast(coalesce(i.n_items, 0) as bigint) as n_items, sha256(coalesce(i.list, '')) as items_sha256,
        coalesce(h.n_hit, 0) > 0 as contaminated
