@@ -41,3 +41,13 @@ def test_table_compares_contents():
     assert len(table.rows) == 1500 and all(r[3] == 2 for r in table.rows)
     small = exact_dedup.ContentTable(10)
     assert small.add(1, b"longer than the limit", 1, 1) and not small.add(2, b"x", 1, 1)
+
+
+def test_bounded_fan_out(spark, monkeypatch):
+    """Many more buckets than one shuffle makes: inner buckets, each with its own table."""
+    monkeypatch.setattr(exact_dedup, "FAN_OUT", 3)
+    rows = [(k, f"Text {k % 400} " + "x" * (k % 50)) for k in range(1200)] + [(None, "text 1 x")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, exact_dedup.exact_dedup(docs, bucket_bytes=2000).select("doc_id", "keep_id", "group_size", "kept").collect()), key=str)
+    whole = sorted(map(tuple, exact_dedup.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept").collect()), key=str)
+    assert got == whole

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, lower_ascii, slices, stored, utf8
 
 TABLE_BYTES = 24 << 20
+FAN_OUT = 4096               # buckets of one shuffle; more are made inside each of them
 
 
 class ContentTable:
@@ -139,13 +140,17 @@ def _digests(batches):
 
 def _resolve(limit: int):
     def bucket(batches):
-        table, over, size = ContentTable(limit), [], 0
+        table, over, size, inner = ContentTable(limit), [], 0, None
         for batch in batches:
             hashes = batch.column(0).to_numpy().astype(np.uint64).tolist()
             ids, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            contents = batch.column(3)
+            contents, parts = batch.column(3), batch.column(4).to_pylist()
             for k, h in enumerate(hashes):
                 content = contents[k].as_py()
+                if parts[k] != inner:           # the records come ordered by inner bucket
+                    for run in _parts(table.rows):
+                        yield _batch(run, True)
+                    table, inner = ContentTable(limit), parts[k]
                 if not table.add(h, content, ids[k], counts[k]):
                     over.append([h, content, ids[k], counts[k]])
                     size += len(content)
@@ -166,7 +171,13 @@ def groups(docs: DataFrame, *, bucket_bytes: int = TABLE_BYTES) -> DataFrame:
     records = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_combine, _RECORD)
     done, level = None, 0
     while True:
-        dealt = records.repartition(int(buckets), F.xxhash64(F.lit(level), "hash"))
+        # a shuffle of at most FAN_OUT buckets; each is ordered by its inner buckets, which
+        # Spark's sort spills, and every inner bucket gets a table of its own
+        outer = int(min(buckets, FAN_OUT))
+        inner = -(-int(buckets) // outer)
+        place = F.xxhash64(F.lit(level), "hash")
+        dealt = records.select(*records.columns, F.pmod(F.xxhash64(place, F.lit(1)), F.lit(inner)).alias("inner")).repartition(outer, place)
+        dealt = dealt.sortWithinPartitions("inner") if inner > 1 else dealt
         out = stored(dealt.mapInArrow(_resolve(bucket_bytes), _LEVEL), f"grace{level}")
         final = out.where("sha is not null").select("sha", F.col("doc_id").alias("keep_id"),
                                                     F.col("n").alias("group_size"))
