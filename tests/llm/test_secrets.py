@@ -92,3 +92,23 @@ def test_base_spans(spark):
 def test_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in table(SF, "documents")]
     assert found(S.op2_secret_scan(spark, SF)) == expected(rows)
+
+
+def test_heads_with_white_space_and_before_other_words():
+    code = lambda x: base64.urlsafe_b64encode(x.encode()).decode().rstrip("=")
+    token = f"{code('{ \"alg\": \"HS256\" }')}.{code('{\"sub\": 1}')}.{'c2lnbmF0dXJl' * 3}"
+    assert not token.startswith("eyJ")
+    for before in ("", "Authorization.", "see example-host.longer-name.", "a" * 50 + "."):
+        assert [("jwt", len(before), len(before) + len(token))] == [s for s in S.confirmed_spans(before + token) if s[0] == "jwt"]
+
+
+def test_thousands_of_tokens_take_linear_time():
+    import time
+    code = lambda x: base64.urlsafe_b64encode(x.encode()).decode().rstrip("=")
+    token = f"{code('{\"alg\":\"HS256\"}')}.{code('{\"sub\":1}')}.c2lnbmF0dXJlc2lnbmF0dXJlc2lnbmF0dXJlc2lnbmF0dXJl"
+    times = []
+    for n in (3000, 24_000):
+        text, began = f"{token} " * n, time.perf_counter()
+        assert len(S.confirmed_spans(text)) == n
+        times.append(time.perf_counter() - began)
+    assert times[1] < 30 * times[0]

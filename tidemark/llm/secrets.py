@@ -19,6 +19,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,7 +37,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")   # a run of 32 or more is what [0-9a-f]+ fin
 KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+# any coded head: whether it is the header of a token is for the decoder to say
+JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,}+)\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++")
 CODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEXES = re.compile(r"(?:[0-9a-fA-F]{2}){32,}")
 
@@ -147,9 +149,27 @@ def base_spans(text: str) -> list[tuple]:
     return out
 
 
+class Taken:
+    """Places that confirmed spans hold.  A span that starts in another is not added,
+    so the spans' ends ascend with their starts."""
+
+    def __init__(self):
+        self.starts, self.ends = [], []
+
+    def holds(self, at: int) -> bool:
+        k = bisect_right(self.starts, at) - 1
+        return k >= 0 and at < self.ends[k]
+
+    def add(self, start: int, end: int) -> None:
+        if not self.holds(start):
+            k = bisect_right(self.starts, start)
+            self.starts.insert(k, start)
+            self.ends.insert(k, end)
+
+
 def confirmed_spans(text: str) -> list[tuple]:
     """Spans whose decoded bytes have the structure of a key or signed token."""
-    out, done = [], []
+    out, done = [], Taken()
     if "-----BEGIN " in text:
         at, endless = 0, set()
         while m := PEM.search(text, at):
@@ -166,20 +186,22 @@ def confirmed_spans(text: str) -> list[tuple]:
             sealed = "PRIVATE" in m[1] and data is not None and len(data) >= 32 and "ENCRYPTED" in text[m.start():end]
             if key_kind(data) or sealed:
                 out.append(("pem", m.start(), end + len(mark)))
-                done.append((m.start(), end + len(mark)))
+                done.add(m.start(), end + len(mark))
                 at = end + len(mark)
-    inside = lambda s: any(a <= s < b for a, b in done)
-    if "eyJ" in text:
-        for m in JWT.finditer(text):
-            if signed_token(m[0]):
-                out.append(("jwt", m.start(), m.end()))
-                done.append(m.span())
+    at = 0
+    while m := JWT.search(text, at):
+        if signed_token(m[0]):
+            out.append(("jwt", m.start(), m.end()))
+            done.add(*m.span())
+            at = m.end()
+        else:                   # what follows the first dot may be a token
+            at = m.end(1) + 1
     for m in CODED.finditer(text):
-        if not inside(m.start()) and (kind := key_kind(unbase64(m[0]))):
+        if not done.holds(m.start()) and (kind := key_kind(unbase64(m[0]))):
             out.append((kind, m.start(), m.end()))
-            done.append(m.span())
+            done.add(*m.span())
     for m in HEXES.finditer(text):
-        if m[0][:2] in ("30", "6f", "6F") and not inside(m.start()) and (kind := key_kind(bytes.fromhex(m[0]))):
+        if m[0][:2] in ("30", "6f", "6F") and not done.holds(m.start()) and (kind := key_kind(bytes.fromhex(m[0]))):
             out.append((kind, m.start(), m.end()))
     return out
 
