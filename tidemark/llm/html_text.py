@@ -8,6 +8,13 @@ pass two an undecided block inherits the label of its nearest decided
 neighbours, those in its own container first.  If article and main hold most
 of the text found, what stands outside them is dropped; else both stay.
 
+The headings of an article that stand in its own header are its title and belong
+to it; the rest of such a header does not.  A class or id marks boilerplate only if
+every part of the name says so ("cookie-notice", "site-header"), not one part of a
+longer name ("legal-history").  Where less than a quarter of a page's long text is
+dense in stop words of the list, its language is none of the list's: then length,
+letters and links decide, in any script.
+
 Scripts, styles, comments in markup and hidden text never become blocks.
 Every step is linear in the page.
 
@@ -41,7 +48,10 @@ para pero por que se ser si sin sobre su sus tiene todo un una y ya
 """.split())
 
 # fixed values: element and attribute names
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "math", "object", "canvas"}
+RAW = {"script", "style", "textarea", "title"}
+# skipped up to their end tag; without one they are ordinary tags
+SKIPPED = {"noscript", "template", "svg", "iframe", "object", "canvas"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCK = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "div", "section", "article", "main", "nav", "aside", "header",
          "footer", "form", "ul", "ol", "li", "dl", "dt", "dd", "table", "tr", "td", "th", "thead", "tbody", "tfoot",
          "caption", "blockquote", "pre", "figure", "figcaption", "hr", "address", "fieldset", "details", "summary",
@@ -58,11 +68,17 @@ BOILER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "newsletter", "subscribe", "subscription", "signup", "login", "search", "related", "recommended",
                 "widget", "toolbar", "pagination", "pager", "copyright", "contentinfo", "complementary", "legal",
                 "disclaimer", "teaser", "skip"}
+# parts of names that say where or what kind of box something is, not what is in it
+NEUTRAL_WORDS = {"site", "page", "top", "bottom", "left", "right", "global", "primary", "secondary", "main", "article",
+                 "post", "posts", "story", "entry", "box", "block", "bar", "list", "item", "items", "area", "wrap",
+                 "wrapper", "container", "inner", "outer", "section", "content", "button", "buttons", "btn", "link",
+                 "links", "icon", "icons", "form", "col", "column", "row", "panel", "slot", "unit", "group", "text",
+                 "message", "policy", "js", "the", "mobile", "desktop", "sticky", "fixed", "mini", "small", "large"}
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 ATTRIBUTES = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-LONG, LINKED, DENSE = 70, 0.33, 0.2
+LONG, LINKED, DENSE, LISTED = 70, 0.33, 0.2, 0.25
 GOOD, BAD, OPEN = 1, -1, 0
 
 
@@ -93,7 +109,9 @@ def _marked(attributes: str) -> tuple[bool, bool]:
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
         else:
-            boiler |= any(x.lower() in BOILER_WORDS for x in NAME_PARTS.findall(value))
+            for word in value.split():
+                parts = [x.lower() for x in NAME_PARTS.findall(word)]
+                boiler |= any(x in BOILER_WORDS for x in parts) and all(x in BOILER_WORDS or x in NEUTRAL_WORDS for x in parts)
     return boiler, hidden
 
 
@@ -107,9 +125,10 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Blocks in page order; hint: boilerplate container, content container, or neither."""
     out, parts, linked, links = [], [], 0, 0
-    stack: list[tuple] = []           # (tag, container number, hint)
+    stack: list[tuple] = []           # (tag, container number, hint, place of titles in an article's header)
     numbers, n, at = 0, len(page), 0
     lowered, own = None, False         # own: the open block itself is marked as boilerplate
+    heading, endless = False, set()
 
     def flush():
         nonlocal linked
@@ -117,7 +136,9 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                _, number, hint = stack[-1] if stack else ("", 0, OPEN)
+                _, number, hint, title = stack[-1] if stack else ("", 0, OPEN, None)
+                if heading and title:
+                    number, hint = title
                 if own:                    # in no container: its neighbours don't follow it
                     number, hint = -1 - len(out), BAD
                 out.append(Block(text, linked / len(text), number, hint))
@@ -149,13 +170,16 @@ def blocks(page: str) -> list[Block]:
             continue
         closing, tag = bool(m[1]), m[2].lower()
         at = _tag_end(page, m.end())
-        if tag in RAW and not closing:
-            if page[at - 2:at] != "/>":
-                if lowered is None:
-                    lowered = page.lower() if len(page.lower()) == n else page
-                end = lowered.find(f"</{tag}", at)
+        if (tag in RAW or tag in SKIPPED and tag not in endless) and not closing:
+            if page[at - 2:at] == "/>":
+                continue
+            if lowered is None:
+                lowered = page.lower() if len(page.lower()) == n else page
+            end = lowered.find(f"</{tag}", at)
+            if end >= 0 or tag in RAW:
                 at = n if end < 0 else _tag_end(page, end)
-            continue
+                continue
+            endless.add(tag)
         if tag == "a":
             links = 0 if closing else 1
         if tag == "br":
@@ -164,6 +188,7 @@ def blocks(page: str) -> list[Block]:
             flush()
             links = 0
             own = not closing and tag not in CONTAINER and any(_marked(page[m.end():at]))
+            heading = not closing and tag in HEADINGS
         if tag in CONTAINER:
             if closing:
                 for k in range(len(stack) - 1, -1, -1):
@@ -178,24 +203,53 @@ def blocks(page: str) -> list[Block]:
                 elif tag in CONTENT_TAGS and hint != BAD:
                     hint = GOOD
                 inside = stack[-1] if stack else None
+                title = None
+                if not hidden and hint == BAD and inside:
+                    if tag == "header" and inside[2] == GOOD:
+                        title = inside[1:3]
+                    elif not boiler and tag not in BOILER_TAGS:
+                        title = inside[3]
                 # lists, tables and quotes in content count as part of it
                 if hint == GOOD and inside and inside[2] == GOOD:
-                    stack.append((tag, inside[1], hint))
+                    stack.append((tag, inside[1], hint, None))
                 else:
                     numbers += 1
-                    stack.append((tag, numbers, hint))
+                    stack.append((tag, numbers, hint, title))
     flush()
     return out
 
 
-def first_pass(block: Block) -> int:
+def _stop_words(block: Block) -> tuple[int, int]:
+    """(stop words, words)"""
+    words = block.text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words), len(words)
+
+
+def listed_language(found: list[Block]) -> bool:
+    """Whether enough of the page's long, unlinked text is dense in stop words of the list."""
+    dense = whole = 0
+    for b in found:
+        size = len(b.text.encode())
+        if b.hint != BAD and b.linked <= LINKED and size >= LONG:
+            stops, words = _stop_words(b)
+            dense += size * (stops >= DENSE * words)
+            whole += size
+    return dense >= LISTED * whole
+
+
+def first_pass(block: Block, listed: bool = True) -> int:
     if block.hint == BAD or block.linked > LINKED and block.hint != GOOD:
         return BAD
-    words = block.text.lower().split()
-    density = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-    if len(block.text) >= LONG and density >= DENSE and block.linked <= LINKED:
+    if not listed:
+        letters = sum(c.isalpha() for c in block.text)
+        # characters outside ASCII say more than one letter does
+        if len(block.text.encode()) >= LONG and 2 * letters >= len(block.text) and block.linked <= LINKED:
+            return GOOD
+        return OPEN
+    stops, words = _stop_words(block)
+    if len(block.text) >= LONG and stops >= DENSE * words and block.linked <= LINKED:
         return GOOD
-    if block.hint == OPEN and len(block.text) >= LONG and density == 0:
+    if block.hint == OPEN and len(block.text) >= LONG and not stops:
         return BAD
     return OPEN
 
@@ -232,7 +286,8 @@ def second_pass(found: list[Block], label: list[int]) -> list[int]:
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
-    label = second_pass(found, [first_pass(b) for b in found])
+    listed = listed_language(found)
+    label = second_pass(found, [first_pass(b, listed) for b in found])
     size = {True: 0, False: 0}
     for b, x in zip(found, label):
         if x == GOOD:
@@ -241,7 +296,7 @@ def main_text(page: str | None) -> str:
         for b in found:
             if b.hint == OPEN:
                 b.hint = BAD
-        label = second_pass(found, [first_pass(b) for b in found])
+        label = second_pass(found, [first_pass(b, listed) for b in found])
     return "\n\n".join(b.text for b, x in zip(found, label) if x == GOOD)
 
 
