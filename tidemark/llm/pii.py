@@ -10,8 +10,9 @@ labelled if it ends in a known top-level domain and brackets its at or its dot,
 or stands behind a word such as "mail".  The trees are fitted on a bounded
 sample of each generator's proposals of either label (``CELL_ROWS``), so a rare
 kind is learned at every size of table.  A threshold per generator is
-calibrated on all proposals outside that sample, so that at least ``PRECISION``
-of what it selects is personal data.  Certain proposals are reported without
+calibrated on all proposals outside that sample, so that the expected share of
+personal data in what it selects is at least ``PRECISION``, by the rule of
+succession: few proposals prove little, and no table size is a case of its own.  Certain proposals are reported without
 the trees, which add those like them.  The trees become one SQL expression, so
 scoring stays inside the scan of the stored proposals: no shuffle, no join.
 
@@ -21,8 +22,8 @@ entered at their start only, and repeated groups are bounded.  E-mail domains,
 whose repeated group is not bounded, are cut by plain string functions.
 
 Defined results: null is the empty text, without spans; offsets are code
-points, ends exclusive; repeated rows are answered each; with too few
-proposals to learn from, only base spans and certain proposals are reported;
+points, ends exclusive; repeated rows are answered each; without proposals of
+both labels, only base spans and certain proposals are reported;
 extra columns are not read.
 """
 
@@ -36,8 +37,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents, stored
 
 CELL_ROWS = 5_000         # for fitting, of each generator and label
-LEAST_ROWS = 50           # of either label
-LEAST_HELD = 10           # of a generator, outside the sample
 PRECISION = 0.95
 TREES, DEPTH = 20, 3
 CONTEXT = 24
@@ -252,7 +251,7 @@ def fit(found: DataFrame):
     # rows that repeat a text count once, so they don't break the bound
     sample = stored(rows.where(drawn).dropDuplicates(["key", "generator", "start"]).coalesce(4), "pii-sample")
     seen = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
-    if min(seen.get(0.0, 0), seen.get(1.0, 0)) < LEAST_ROWS:
+    if len(seen) < 2:           # one label alone says nothing about the other
         return None
     learn = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(learn)
@@ -269,7 +268,8 @@ def fit(found: DataFrame):
         good = n = 0
         for row in sorted((r for r in bins if r["generator"] == generator), key=lambda r: -r["bin"]):
             good, n = good + row["good"], n + row["n"]
-            if (good + 1) / (n + 1) >= PRECISION and n >= LEAST_HELD:
+            # the expected share of good ones after what was seen (rule of succession)
+            if (good + 1) / (n + 2) >= PRECISION:
                 limits[generator] = row["bin"] / 100
     return score, limits
 
