@@ -86,7 +86,7 @@ def test_register_in_spark_catalog(spark, work):
         (1, "insert", "accounts", "1", {"user_id": 1, "event_type": "signup", "value": 2.5, "k": 1})]))
     doc = C.build_document(FEED)
     t = FEED.table("accounts")
-    loc = f"{wh.table_dir(t)}/v={wh.current_meta(t)['version']}"
+    loc = wh.location(t)
     made = C.register(spark, doc, {"lake_cdc_events": f"{work}/lake", "wh_accounts": loc}, database="tm_test")
     assert len(made) == 2
     assert spark.table("tm_test.wh_accounts").count() == 1

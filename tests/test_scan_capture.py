@@ -7,7 +7,7 @@ from tidemark.operators import capture
 
 
 def _skewed(spark):
-    # key 0 holds most rows; a tiny span forces many chunks per key.
+    # key 0 holds most rows; many chunks force several per key.
     rows = [(0 if i % 3 else i % 7, i, (i * 7) % 5 if i % 4 else None) for i in range(1, 400)]
     return spark.createDataFrame(rows, "k long, seq long, v long")
 
@@ -18,9 +18,9 @@ def test_row_number_and_neighbours_match_windows(spark):
     ref = {r.seq: (r.rn, r.p, r.n) for r in df.select(
         "seq", F.row_number().over(w).alias("rn"), F.lag("seq").over(w).alias("p"),
         F.lead("seq").over(w).alias("n")).collect()}
-    rn = {r.seq: r.version_no for r in scan.row_number(df, ["k"], ["seq"], span=16).collect()}
+    rn = {r.seq: r.version_no for r in scan.row_number(df, ["k"], ["seq"], chunks=25).collect()}
     nb = {r.seq: (r._prev.seq if r._prev else None, r._next.seq if r._next else None)
-          for r in scan.neighbours(df, ["k"], ["seq"], ["seq"], span=16).collect()}
+          for r in scan.neighbours(df, ["k"], ["seq"], ["seq"], chunks=25).collect()}
     assert all(rn[s] == ref[s][0] and nb[s] == (ref[s][1], ref[s][2]) for s in ref)
 
 
@@ -30,7 +30,7 @@ def test_running_last_keeps_explicit_null(spark):
     ref = {r.seq: r.last for r in df.select(
         "seq", F.last(F.when(F.col("present"), F.struct("v")), ignorenulls=True).over(w).alias("last")).collect()}
     got = {r.seq: r.v for r in scan.running_last(df, ["k"], ["seq"], {"v": (F.col("v"), F.col("present"))},
-                                                 span=16).collect()}
+                                                 chunks=25).collect()}
     assert all(got[s] == (ref[s].v if ref[s] is not None else None) for s in ref)
 
 
@@ -60,7 +60,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     try:
         rows = [(0 if i % 4 else i, i) for i in range(1, 4001)]  # key 0: 75% of rows
         df = spark.createDataFrame(rows, "k long, seq long")
-        out = scan.row_number(df, ["k"], ["seq"], span=100).withColumn("_task", F.spark_partition_id())
+        out = scan.row_number(df, ["k"], ["seq"], chunks=40).withColumn("_task", F.spark_partition_id())
         hot = out.where("k = 0").groupBy("_task").count().collect()
         total = sum(r["count"] for r in hot)
         assert total == 3000

@@ -12,7 +12,7 @@ from tidemark.plans import queries as Q
 from tidemark.sources import testdata as td
 
 SF = "/root/testdata/sf0.001"
-SPAN = 64  # sequence numbers per chunk: the hot key spans ~16 chunks
+CHUNKS = 48  # the hot key spans about a third of them
 
 
 def _hot_feed(spark):
@@ -36,7 +36,7 @@ def _rows(df, cols):
 def test_scd2_and_asof_join_on_hot_key(spark):
     feed = _hot_feed(spark)
     cols = ["table_name", "user_id", "event_type", "value", "k", "valid_from_seq", "valid_to_seq", "is_current"]
-    got = Q._per_feed_table(feed, lambda ev, t: history.scd2(ev, t, span=SPAN))
+    got = Q._per_feed_table(feed, lambda ev, t: history.scd2(ev, t, chunks=CHUNKS))
     sql = (f"WITH {O.FEED}, {O.states_cte('patch')} SELECT table_name, user_id, s_event_type, "
            f"CAST(s_value AS DOUBLE), s_k, sequence, next_seq, next_seq IS NULL FROM st WHERE operation <> 'delete'")
     want = sorted((tuple(r) for r in _duck().execute(sql).fetchall()), key=repr)
@@ -48,10 +48,10 @@ def test_scd2_and_asof_join_on_hot_key(spark):
                                          .otherwise(F.col("user_id"))))
              .where(F.col("event_type") == "purchase")
              .select(F.col("sequence").alias("fact_sequence"), "table_name", "primary_key"))
-    states = Q._per_feed_table(feed, lambda ev, t: history.event_states(ev, t, span=SPAN)).withColumnRenamed(
+    states = Q._per_feed_table(feed, lambda ev, t: history.event_states(ev, t, chunks=CHUNKS)).withColumnRenamed(
         fm.PK, "primary_key")
     j = history.asof_join(facts, states, ["table_name", "primary_key"], "fact_sequence", fm.SEQ,
-                          [fm.SEQ, fm.UP, "k"], span=SPAN)
+                          [fm.SEQ, fm.UP, "k"], chunks=CHUNKS)
     got_j = sorted(((r.fact_sequence, r.primary_key, r["asof_" + fm.SEQ] if r["asof_" + fm.UP] else None,
                     r.asof_k if r["asof_" + fm.UP] else None) for r in j.collect()), key=repr)
     sql_j = (f"WITH {O.FEED}, {O.states_cte('patch')}, facts AS (SELECT sequence AS fs, table_name, primary_key "

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import INGEST_BATCH, CDC_SEQ, DELETED, LAKE_SCHEMA, Contract
+from tidemark.operators import lake
 from tidemark.sources import fs
 
 # The catalog's required dataset fields, column attributes,
@@ -303,15 +304,19 @@ def register(spark: SparkSession, doc: dict, locations: dict[str, str], database
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
         cols = ", ".join(f"`{c['name']}` {c['type']} COMMENT {json.dumps(c['description'])}"
                          for c in d["schema"] if d["layer"] != "lake" or c["name"] != "table_name")
-        part = f" PARTITIONED BY (`table_name`, `{INGEST_BATCH}`)" if d["layer"] == "lake" else ""
+        part = f" PARTITIONED BY (`{INGEST_BATCH}`, `table_name`)" if d["layer"] == "lake" else ""
         if part:
-            cols += f", `table_name` string COMMENT 'source table', `{INGEST_BATCH}` bigint COMMENT 'append that wrote it'"
+            cols += f", `{INGEST_BATCH}` bigint COMMENT 'append that wrote it', `table_name` string COMMENT 'source table'"
         # "owner" is a reserved Spark table property, so the catalog owner is
         # stored as data_owner.
         props = ", ".join(f"{json.dumps(prop)} = {json.dumps(str(d[k]))}" for prop, k in (
             ("layer", "layer"), ("data_owner", "owner"), ("intended_audience", "intended_audience"),
             ("update_cadence", "update_cadence")))
         table = f"`{db}`.`{d['name']}`"
+        if part and lake.read_log(spark, loc).compactions:      # a view over the compacted folders and the rest
+            lake.register_table(spark, loc, f"{db}.{d['name']}")
+            made.append(table)
+            continue
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet{part} LOCATION '{loc}' "
                   f"COMMENT {json.dumps(d['description'])} TBLPROPERTIES ({props})")

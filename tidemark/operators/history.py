@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import CDC_SEQ, DELETED, RESTORE_NO, TableContract
 from tidemark.functions import payload, scan
+from tidemark.functions.joins import left_spread
 from tidemark.operators import fold as fm
 
 
@@ -49,20 +50,24 @@ def asof_time(events: DataFrame, table: TableContract, ts, mode: str = "patch")
     return fm.active(fm.fold(events.where(F.col("captured_at") <= ts), table, mode)).drop(DELETED)
 
 
-def key_history(events: DataFrame, span: int = scan.DEFAULT_SPAN) -> DataFrame:
+def key_history(events: DataFrame, chunks: int | None = None) -> DataFrame:
     """K3: every event of every key, numbered in sequence order per key."""
     ev = events.select("table_name", "primary_key", "sequence", "operation", "captured_at")
-    return scan.row_number(ev, ["table_name", "primary_key"], ["sequence"], "version_no", span)
+    return scan.row_number(ev, ["table_name", "primary_key"], ["sequence"], "version_no", chunks)
 
 
-def event_states(events: DataFrame, table: TableContract, span: int = scan.DEFAULT_SPAN) -> DataFrame:
+def _states(events: DataFrame, table: TableContract, nxt=None, chunks: int | None = None) -> DataFrame:
+    ev = fm.event_form(events, table, keep=("captured_at",))
+    values = {n: (F.col(n), F.col(fm.UP) & F.col(fm.has(n))) for n in fm.value_columns(table)}
+    return scan.over(ev, [fm.PK], [fm.SEQ, fm.RNO], last=values, nxt=nxt, chunks=chunks)
+
+
+def event_states(events: DataFrame, table: TableContract, chunks: int | None = None) -> DataFrame:
     """Per event: the row state right after it (patch semantics: running last
     present value per column, carried across deletes) and whether the row is
     alive.  Columns: _pk, _seq, _rno, _up, captured_at, <value columns>."""
-    ev = fm.event_form(events, table, keep=("captured_at",))
-    values = {n: (F.col(n), F.col(fm.UP) & F.col(fm.has(n))) for n in fm.value_columns(table)}
-    st = scan.running_last(ev, [fm.PK], [fm.SEQ, fm.RNO], values, span)
-    return st.select(fm.PK, fm.SEQ, fm.RNO, fm.UP, "captured_at", *fm.value_columns(table))
+    return _states(events, table, chunks=chunks).select(
+        fm.PK, fm.SEQ, fm.RNO, fm.UP, "captured_at", *fm.value_columns(table))
 
 
 def _typed_pk(table: TableContract) -> Column:
@@ -70,12 +75,11 @@ def _typed_pk(table: TableContract) -> Column:
     return F.col(fm.PK).cast(table.column(pk).dtype).alias(pk)
 
 
-def scd2(events: DataFrame, table: TableContract, span: int = scan.DEFAULT_SPAN) -> DataFrame:
+def scd2(events: DataFrame, table: TableContract, chunks: int | None = None) -> DataFrame:
     """K4: one row per version.  A version starts at each upsert and ends at
-    the key's next event (update or delete); the open version is current."""
-    st = event_states(events, table, span)
-    nb = scan.neighbours(st, [fm.PK], [fm.SEQ, fm.RNO], [fm.SEQ, "captured_at"], prev=None, nxt="_nx",
-                         span=span)
+    the key's next event (update or delete); the open version is current.
+    States and next events come from one scan."""
+    nb = _states(events, table, ("_nx", [fm.SEQ, "captured_at"]), chunks)
     return nb.where(F.col(fm.UP)).select(
         _typed_pk(table),
         *fm.value_columns(table),
@@ -89,7 +93,7 @@ def scd2(events: DataFrame, table: TableContract, span: int = scan.DEFAULT_SPAN)
 
 def asof_join(facts: DataFrame, states: DataFrame, keys: list[str], fact_seq: str, state_seq: str,
               state_cols: list[str], strict: bool = True, prefix: str = "asof_",
-              span: int = scan.DEFAULT_SPAN) -> DataFrame:
+              chunks: int | None = None) -> DataFrame:
     """Each fact row with the latest state row of the same key at or
     before it (``strict``: strictly before).  Implemented as one ordered
     scan over facts and states together, so the key equality never pairs
@@ -102,11 +106,33 @@ def asof_join(facts: DataFrame, states: DataFrame, keys: list[str], fact_seq: st
                       F.lit(1 if strict else 0).alias("_tie"), state_struct.alias("_state"))
     u = f.unionByName(s, allowMissingColumns=True)
     r = scan.running_last(u, keys, ["_aseq", "_tie"],
-                          {"_match": (F.col("_state"), F.col("_state").isNotNull())}, span)
+                          {"_match": (F.col("_state"), F.col("_state").isNotNull())}, chunks)
     return r.where(F.col("_fact").isNotNull()).select(
         "_fact.*", *[F.col("_match").getField(c).alias(prefix + c) for c in state_cols])
 
 
+def asof_events(facts: DataFrame, events: DataFrame, table: TableContract, key: str, fact_seq: str,
+                strict: bool = True, prefix: str = "asof_", chunks: int | None = None) -> DataFrame:
+    """D7 against a table's change events: each fact with the state of its key (lake
+    form, column ``key``) that the events up to it (``strict``: before it) make.
+    Facts and events are dealt together, so states and matches come from one scan.
+    Adds the state's sequence, whether the row is alive, and the value columns."""
+    values = fm.value_columns(table)
+    ev = fm.event_form(events, table).select(
+        fm.PK, F.col(fm.SEQ).alias("_aseq"), F.lit(1 if strict else 0).alias("_tie"), F.col(fm.RNO).alias("_ano"),
+        fm.UP, *[F.col(n) for n in values], *[fm.has(n) for n in values])
+    fact = facts.select(F.col(key).alias(fm.PK), F.col(fact_seq).alias("_aseq"), F.lit(0 if strict else 1).alias("_tie"),
+                        F.lit(0).alias("_ano"), F.struct(*[F.col(c) for c in facts.columns]).alias("_fact"))
+    both = ev.unionByName(fact, allowMissingColumns=True)
+    event = F.col("_fact").isNull()
+    last = {n: (F.col(n), event & F.col(fm.UP) & F.col(fm.has(n))) for n in values}
+    last |= {"_mseq": (F.col("_aseq"), event), "_malive": (F.col(fm.UP), event)}
+    r = scan.over(both, [fm.PK], ["_aseq", "_tie", "_ano"], last=last, chunks=chunks)
+    return r.where(F.col("_fact").isNotNull()).select(
+        "_fact.*", F.col("_mseq").alias(prefix + "sequence"), F.coalesce("_malive", F.lit(False)).alias(prefix + "alive"),
+        *[F.col(n).alias(prefix + n) for n in values])
+
+
 def diff(before: DataFrame, after: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     """K5: keys added, removed or changed (null-safe) between two states."""
     b = before.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
@@ -158,15 +184,17 @@ def restore(spark: SparkSession, lake_path: str, warehouse, target_sequence: int
 
     apply_pending(spark, lake_path, warehouse)
     lake = lm.read_lake(spark, lake_path)
-    stats = lake.agg(F.max(F.when(F.col(RESTORE_NO) == 0, F.col("sequence"))).alias("m"),
-                     F.max(RESTORE_NO).alias("r")).first()
-    at_seq, restore_no = int(stats["m"] or 0), int(stats["r"] or 0) + 1
+    at_seq = lm.lake_max(spark, lake_path)
+    # compensating rows share the sequence they were cut at
+    restore_no = int(lake.agg(F.max(RESTORE_NO)).first()[0] or 0) + 1
     rows = None
     for table in warehouse.contract.tables:
-        events = lake.where(F.col("table_name") == table.name)
-        target = asof_sequence(events, table, target_sequence, mode="patch").drop(CDC_SEQ)
-        current = fm.active(warehouse.read(table)).drop(CDC_SEQ, DELETED)
-        ev = restore_events(current, target, table, at_seq, restore_no)
+        # keys without an event since the target are as they were
+        keys = warehouse.touched(table, lake_path, target_sequence)
+        target = warehouse.state_from(table, lake_path, warehouse.version_below(table, target_sequence), keys, target_sequence)
+        current = warehouse.read(table).join(warehouse.typed_keys(table, keys), table.single_pk, "left_semi")
+        ev = restore_events(fm.active(current).drop(CDC_SEQ, DELETED), fm.active(target).drop(CDC_SEQ, DELETED),
+                            table, at_seq, restore_no)
         rows = ev if rows is None else rows.unionByName(ev)
     res = lm.append_restore(spark, lake_path, rows, restore_no)
     reports = apply_pending(spark, lake_path, warehouse, res)
@@ -176,8 +204,9 @@ def restore(spark: SparkSession, lake_path: str, warehouse, target_sequence: int
 def star_view(fact: DataFrame, dims: list[tuple[DataFrame, str, str]]) -> DataFrame:
     """K9: current-state fact view: the fact joined (left) to each dimension's
     active rows.  ``dims``: (active dimension rows, fact column, dim column).
-    Each dimension join is an equi join that AQE plans by runtime size."""
+    Each dimension join is an equi join that AQE plans by runtime size; facts
+    without a key do not meet in one task."""
     out = fact
     for dim, fact_col, dim_col in dims:
-        out = out.join(dim, out[fact_col] == dim[dim_col], "left")
+        out = left_spread(out, dim, fact_col, dim_col)
     return out

@@ -1,9 +1,11 @@
 """Batch ingestion: gate -> lake -> warehouse, in that order.
 
 A failure after the lake write leaves the warehouse on its previous version.
-The batch id was taken before the first row was written, so the batch is
-pending whether or not its commit marker exists: the next run, of the same or
-of any other input, applies it first and converges to the same state.
+The batch id was taken before the first row was written, and its lease is
+renewed while the append runs.  A batch is *pending* once its append ended or
+died: the next run, of the same or of any other input, applies it first and
+converges to the same state.  A batch that is still being written is left to its
+writer, whatever other ids are applied meanwhile.
 """
 
 from __future__ import annotations
@@ -23,20 +25,22 @@ class IngestReport:
 
 
 def pending_batches(spark: SparkSession, lake_path: str, warehouse: Warehouse) -> list[int]:
-    """Lake batches begun but not yet applied to every touched table, in order."""
+    """Lake batches that ended or died and are not yet applied to every touched table, in order."""
     done = set(warehouse.applied_batches())
-    return [b for b in lm.started_batches(spark, lake_path) if b not in done]
+    return [b for b in lm.settled_batches(spark, lake_path) if b not in done]
 
 
 def apply_pending(spark: SparkSession, lake_path: str, warehouse: Warehouse,
                   res: lm.AppendResult | None = None) -> list[ApplyReport]:
     """Apply what is pending.  ``res``: an append that has just run; its observed
     counts describe its whole batch, others are counted from the lake."""
-    lake = lm.read_lake(spark, lake_path)
     reports = []
     for b in pending_batches(spark, lake_path, warehouse):
+        log = lm.read_log(spark, lake_path)
+        if b in log.open:
+            lm.declare_dead(spark, lake_path, b)
         known = res.tables if res is not None and b == res.batch_id else None
-        reports += warehouse.apply(lake_path, lm.batch_rows(lake, b), b, known)
+        reports += warehouse.apply(lake_path, lm.read_batches(spark, lake_path, [b], log), b, known)
     return reports
 
 

@@ -4,11 +4,14 @@ Rule kinds and how they run:
 
 * ``row``  - a violation predicate; all row rules of one dataset are fused
   into ONE aggregate (one scan, ``count_if`` per rule);
-* ``pk``   - duplicate keys: ``groupBy(key).count() > 1`` (partial
-  aggregation first, so a hot key is collapsed map-side);
-* ``fk``   - orphans: child keys are pre-aggregated to (fk, rows) before the
-  anti join with the parent keys, so a child key holding a large share of
-  rows is one row in the join, not millions.
+* ``pk`` and ``fk`` - all keyed rules of all datasets in ONE grouping: a scan of a
+  dataset emits (rule, key) for every keyed rule it takes part in, as the table
+  checked, as a child or as a parent, and one aggregation by (rule, key) counts
+  child and parent rows.  A primary key with more than one row is a duplicate, a
+  child key without a parent row is an orphan.  Partial aggregation collapses a
+  hot key map-side.
+
+So a suite scans a dataset at most twice, however many rules it has.
 
 The result of a suite is a DataFrame (rule_id, layer, table_name,
 column_name, rule_type, violations, status, message).  A dataset or column
@@ -22,8 +25,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contracts import DELETED, Contract, TableContract
+from tidemark.functions.joins import left_spread
 
 RESULT_SCHEMA = ("rule_id string, layer string, table_name string, column_name string, "
                  "rule_type string, violations bigint, status string, message string")
@@ -200,12 +205,6 @@ def _result(rule: Rule, n: Column) -> list[Column]:
             F.when(n > 0, _message(rule, n)).alias("message")]
 
 
-def _scope(df: DataFrame, active_only: bool) -> DataFrame:
-    if active_only and DELETED in df.columns:
-        return df.where(~F.col(DELETED))
-    return df
-
-
 def _missing(rule: Rule, tables: dict[str, DataFrame | None]) -> str | None:
     df = tables.get(rule.table)
     if df is None:
@@ -226,33 +225,76 @@ def _missing(rule: Rule, tables: dict[str, DataFrame | None]) -> str | None:
 
 
 def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All row rules of one dataset and scope in one aggregate."""
-    counts = df.agg(*[F.count_if(F.coalesce(F.expr(r.predicate), F.lit(False))).alias(f"c{i}")
-                      for i, r in enumerate(rules)])
+    """All row rules of one dataset in one aggregate."""
+    counts = []
+    for i, r in enumerate(rules):
+        broken = F.coalesce(F.expr(r.predicate), F.lit(False))
+        if r.active_only and DELETED in df.columns:
+            broken = broken & F.coalesce(~F.col(DELETED), F.lit(False))
+        counts.append(F.count_if(broken).alias(f"c{i}"))
     rows = [F.struct(*_result(r, F.col(f"c{i}"))) for i, r in enumerate(rules)]
-    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def _pk_rule(df: DataFrame, rule: Rule) -> DataFrame:
-    dup = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return dup.agg(F.count(F.lit(1)).alias("n")).select(*_result(rule, F.col("n")))
-
-
-def _fk_rule(child: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
-    fk = rule.keys[0]
-    child_keys = (child.where(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k"))
-                  .agg(F.count(F.lit(1)).alias("_rows")))
-    parent_keys = parent.select(F.col(rule.parent_key).alias("_k")).where(F.col("_k").isNotNull())
-    orphans = child_keys.join(parent_keys, "_k", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).select(*_result(rule, F.col("n")))
+    return df.agg(*counts).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _key_text(cols: list[Column]) -> Column:
+    """One text per key; NULL parts are kept apart from any value, and parts cannot run together."""
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-"))
+             for c in cols]
+    return F.concat(*parts)
+
+
+def _comparable(child: DataFrame, fk: str, parent: DataFrame, key: str) -> tuple[Column, Column]:
+    """Both key columns in one type, so that equal keys have equal texts."""
+    kinds = [child.schema[fk].dataType, parent.schema[key].dataType]
+    columns = [F.col(fk), F.col(key)]
+    same = kinds[0] == kinds[1] or all(isinstance(k, _INTEGRAL) for k in kinds)
+    if not same and all(isinstance(k, T.NumericType) for k in kinds):
+        columns = [c.cast("decimal(38,10)") for c in columns]
+    return columns[0], columns[1]
+
+
+def _keyed_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """All primary and foreign key rules in one grouping (see the module's text)."""
+    entries: dict[str, list[Column]] = {}
+
+    def add(table: str, rule: int, key: Column, present: Column, active_only: bool, role: str) -> None:
+        if active_only and DELETED in tables[table].columns:
+            present = present & ~F.col(DELETED)
+        one = F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(int(role == "child")).cast("long").alias("child"),
+                       F.lit(int(role == "parent")).cast("long").alias("parent"))
+        entries.setdefault(table, []).append(F.when(present, one))
+
+    for i, r in enumerate(rules):
+        if r.kind == "pk":
+            add(r.table, i, _key_text([F.col(k) for k in r.keys]), F.lit(True), r.active_only, "child")
+        else:
+            child, parent = _comparable(tables[r.table], r.keys[0], tables[r.parent], r.parent_key)
+            add(r.table, i, _key_text([child]), F.col(r.keys[0]).isNotNull(), r.active_only, "child")
+            add(r.parent, i, _key_text([parent]), F.col(r.parent_key).isNotNull(), r.parent_active_only, "parent")
+    rows = None
+    for table, found in entries.items():
+        one = tables[table].select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")
+        rows = one if rows is None else rows.unionByName(one)
+    per_key = rows.groupBy("rule", "key").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+    counts = []
+    for i, r in enumerate(rules):
+        mine = F.col("rule") == i
+        counts.append(F.count_if(mine & (F.col("child") > 1)) if r.kind == "pk" else F.coalesce(
+            F.sum(F.when(mine & (F.col("parent") == 0), F.col("child"))), F.lit(0)))
+    found = per_key.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)])
+    results = [F.struct(*_result(r, F.col(f"c{i}"))) for i, r in enumerate(rules)]
+    return found.select(F.explode(F.array(*results)).alias("r")).select("r.*")
 
 
 def evaluate(spark: SparkSession, rules: list[Rule], tables: dict[str, DataFrame | None],
              strict: bool = False) -> DataFrame:
     """Run a rule suite; one result row per rule (lazy DataFrame)."""
     parts: list[DataFrame] = []
-    skipped = []
-    row_groups: dict[tuple[str, bool], list[Rule]] = {}
+    skipped, keyed = [], []
+    row_groups: dict[str, list[Rule]] = {}
     for r in rules:
         why = _missing(r, tables)
         if why is not None:
@@ -260,14 +302,13 @@ def evaluate(spark: SparkSession, rules: list[Rule], tables: dict[str, DataFrame
                             "fail" if strict else "not_evaluated", why))
             continue
         if r.kind == "row":
-            row_groups.setdefault((r.table, r.active_only), []).append(r)
-        elif r.kind == "pk":
-            parts.append(_pk_rule(_scope(tables[r.table], r.active_only), r))
-        elif r.kind == "fk":
-            parts.append(_fk_rule(_scope(tables[r.table], r.active_only),
-                                  _scope(tables[r.parent], r.parent_active_only), r))
-    for (table, active_only), group in row_groups.items():
-        parts.append(_row_rules(_scope(tables[table], active_only), group))
+            row_groups.setdefault(r.table, []).append(r)
+        else:
+            keyed.append(r)
+    if keyed:
+        parts.append(_keyed_rules(tables, keyed))
+    for table, group in row_groups.items():
+        parts.append(_row_rules(tables[table], group))
     out = spark.createDataFrame(skipped, RESULT_SCHEMA)
     for p in parts:
         out = out.unionByName(p)
@@ -320,18 +361,21 @@ def totals_mismatch(parent: DataFrame, parent_key: str, parent_total: Column,
                  F.count_if(F.col("_lines").isNull()).alias("without_lines"))
 
 
-def running_balance(entries: DataFrame, key: str, order: str, amount: Column,
+def running_balance(entries: DataFrame, key: str, order: str | list[str], amount: Column,
                     recorded: Column | None = None) -> DataFrame:
     """Per key the number of entries, the final and the lowest running
     balance, the entries at which it was below zero and, with ``recorded`` (the
-    balance stored on each entry), the entries where it differs."""
+    balance stored on each entry), the entries where it differs.  ``order``: columns
+    of any orderable type, such as a time and, for entries of one time, an id."""
     from tidemark.functions import scan
-    rows = entries.select(F.col(key).alias("_k"), F.col(order).alias("_o"), amount.alias("_a"),
+    order = [order] if isinstance(order, str) else order
+    names = [f"_o{i}" for i in range(len(order))]
+    rows = entries.select(F.col(key).alias("_k"), *[F.col(c).alias(n) for c, n in zip(order, names)], amount.alias("_a"),
                           (recorded if recorded is not None else F.lit(None).cast("decimal(18,2)")).alias("_r"))
-    run = scan.running_sum(rows, ["_k"], ["_o"], F.col("_a"), "_balance")
+    run = scan.running_sum(rows, ["_k"], names, F.col("_a"), "_balance")
     return run.groupBy(F.col("_k").alias(key)).agg(
         F.count(F.lit(1)).alias("entries"),
-        F.max_by("_balance", "_o").cast("decimal(18,2)").alias("final_balance"),
+        F.max_by("_balance", F.struct(*names)).cast("decimal(18,2)").alias("final_balance"),
         F.min("_balance").cast("decimal(18,2)").alias("lowest_balance"),
         F.count_if(F.col("_balance") < 0).alias("below_zero"),
         F.count_if(F.col("_r").isNotNull() & (F.col("_r") != F.col("_balance"))).alias("differs"))
@@ -377,6 +421,33 @@ def consistency(warehouse: DataFrame, rebuilt: DataFrame) -> DataFrame:
                    total(F.greatest(F.col("_r") - F.col("_w"), F.lit(0))).alias("only_in_rebuild"))
 
 
+def differing_rows(left: DataFrame, right: DataFrame, keys: list[str], parts: int = 4096) -> DataFrame:
+    """L5 with little data moved: rows that only one of two tables of equal columns has.
+
+    Keys are dealt into ``parts`` ranges of their hash.  Each side reduces a range to
+    its row count and two order-independent sums of row hashes (map-side, so ``parts``
+    rows a task are shuffled), and only rows of ranges whose sums differ are compared.
+    Columns: those of the tables, ``side`` ('left' or 'right') and ``copies``: how many
+    more times the row stands on that side."""
+    cols = left.columns
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+
+    def sums(df: DataFrame, sign: int) -> DataFrame:
+        row = F.xxhash64(*cols)
+        return df.groupBy(part.alias("_part")).agg(
+            (F.count(F.lit(1)) * sign).alias("_n"), (F.sum(row.cast("decimal(20,0)")) * sign).alias("_s"),
+            (F.sum(F.xxhash64(row, F.lit(1)).cast("decimal(20,0)")) * sign).alias("_t"))
+
+    both = sums(left, 1).unionByName(sums(right.select(cols), -1)).groupBy("_part").agg(
+        *[F.sum(c).alias(c) for c in ("_n", "_s", "_t")])
+    # at most ``parts`` numbers
+    unequal = F.broadcast(both.where("_n <> 0 or _s <> 0 or _t <> 0").select("_part"))
+    pick = lambda df, n: df.select(*cols, part.alias("_part")).join(unequal, "_part", "left_semi").select(
+        *cols, F.lit(n).cast("long").alias("_n"))
+    per = pick(left, 1).unionByName(pick(right, -1)).groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return per.select(*cols, F.when(F.col("_n") > 0, "left").otherwise("right").alias("side"), F.abs("_n").alias("copies"))
+
+
 def quarantine(df: DataFrame, table: TableContract, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every row with ``_reasons`` (array of failed rule ids, empty =
     good).  Row rules come from the contract (NOT NULL, domains, checks);
@@ -395,8 +466,8 @@ def quarantine(df: DataFrame, table: TableContract, parents: dict[str, DataFrame
         if p is None:
             continue
         flag = f"_has_{fk.column}"
-        keys = p.select(F.col(fk.parent_column).alias(fk.column)).distinct().withColumn(flag, F.lit(True))
-        out = out.join(keys, fk.column, "left")
+        keys = p.select(F.col(fk.parent_column).alias("_parent")).distinct().withColumn(flag, F.lit(True))
+        out = left_spread(out, keys, fk.column, "_parent").drop("_parent")
         reasons.append(F.when(F.col(fk.column).isNotNull() & F.col(flag).isNull(), F.lit(f"fk:{fk.column}")))
     arr = F.filter(F.array(*reasons), lambda x: x.isNotNull()) if reasons else F.array().cast("array<string>")
     cols = [c for c in out.columns if not c.startswith("_has_")]

@@ -252,8 +252,8 @@ def gate_prepare(contract: Contract):
     return prepare
 
 
-def gate_aggs(contract: Contract) -> list[Column]:
-    """G4-G6 as count aggregates over ``gate_prepare`` output: unknown
+def gate_conditions(contract: Contract) -> dict[str, Column]:
+    """G4-G6 as one condition per check over ``gate_prepare`` output: unknown
     payload keys, values unusable as the contract type, payload key !=
     primary_key, upserts whose payload is no JSON object, inserts without
     their key.  The raw-text map is lossy for big numbers, which does not
@@ -284,8 +284,13 @@ def gate_aggs(contract: Contract) -> list[Column]:
     def missing_pk(t):
         return (F.col("operation") == "insert") & typed(t).getField(t.single_pk).isNull()
 
-    return [F.count_if(F.coalesce(_per_table(contract, fn), F.lit(False))).alias(name)
-            for name, fn in zip(GATE_CHECKS, (unknown, bad_type, pk_mismatch, malformed, missing_pk))]
+    return {name: F.coalesce(_per_table(contract, fn), F.lit(False))
+            for name, fn in zip(GATE_CHECKS, (unknown, bad_type, pk_mismatch, malformed, missing_pk))}
+
+
+def gate_aggs(contract: Contract) -> list[Column]:
+    """The gate's conditions as counts, for one aggregate over a batch."""
+    return [F.count_if(cond).alias(name) for name, cond in gate_conditions(contract).items()]
 
 
 def raise_if_gate_failed(counts: dict[str, int]) -> None:

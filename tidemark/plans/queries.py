@@ -195,6 +195,70 @@ def snapshot_version_read(spark, sf_dir):
     return wh_mod.union_tables({t.name: wh.read(t, version=2) for t in FEED.tables})
 
 
+@query("batch_metrics", f"""
+WITH {O.FEED}, top AS (SELECT max(sequence) AS m FROM feed), cuts(batch_id, lo, hi, again) AS (VALUES
+  (1, 1, 2, 0), (2, 0, 1, 0), (3, 0, 2, 1), (4, 2, 4, 0)),
+r AS (SELECT c.batch_id, c.again, f.table_name FROM cuts c, top, feed f
+  WHERE f.sequence > top.m * c.lo // 4 AND f.sequence <= top.m * c.hi // 4)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, table_name, count(*) AS received,
+       count(*) FILTER (WHERE again = 0) AS written, CASE WHEN batch_id = 2 THEN count(*) ELSE 0 END AS late
+FROM r GROUP BY batch_id, table_name""")
+def batch_metrics(spark, sf_dir):
+    """Rows received, written and late per batch and table, for a batch,
+    an older (late) one, both again, and the rest."""
+    from tidemark.operators.ingest import ingest
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, wh = _store(spark, "metrics")
+    top = int(feed.agg(F.max("sequence")).first()[0] or 0)
+    out = []
+    for lo, hi in ((1, 2), (0, 1), (0, 2), (2, 4)):
+        part = _slice(feed, top * lo // 4, top * hi // 4)
+        rep = ingest(spark, lake_path, wh, part)
+        late = {a.table: a.late for a in rep.applied}
+        written = {t: v[0] for t, v in rep.append.tables.items()}
+        known = spark.createDataFrame([(t.name, written.get(t.name, 0), late.get(t.name, 0)) for t in FEED.tables],
+                                      "table_name string, written long, late long")
+        out.append(part.groupBy("table_name").agg(F.count(F.lit(1)).alias("received")).join(known, "table_name")
+                   .select(F.lit(rep.append.batch_id).cast("long").alias("batch_id"), "table_name", "received", "written", "late"))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query("lake_compaction", f"""
+WITH {O.FEED}
+SELECT sequence, operation, table_name, primary_key, {O.json_payload('patch')} AS data, captured_at,
+       (SELECT count(*) FROM feed WHERE sequence % 5 < 3) AS tail_rows
+FROM feed""")
+def lake_compaction(spark, sf_dir):
+    """Five interleaved batches, two compactions with appends and a replay
+    between them, old folders removed: every event is there once, and batches are
+    still found by their id (rows of batches 1 to 3)."""
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, _ = _store(spark, "compaction")
+    for k in range(3):
+        lake_mod.append(spark, lake_path, feed.where(F.col("sequence") % 5 == k))
+    first = lake_mod.compact(spark, lake_path)
+    lake_mod.append(spark, lake_path, feed.where(F.col("sequence") % 5 >= 2))
+    lake_mod.append(spark, lake_path, feed)
+    second = lake_mod.compact(spark, lake_path)
+    lake_mod.vacuum(spark, lake_path)
+    assert first == 1 and second == 2 and len(lake_mod.segments(spark, lake_path)) == 1
+    tail = lake_mod.read_batches(spark, lake_path, [1, 2, 3]).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return lake_mod.read_lake(spark, lake_path).select(*lake_mod.LAKE_COLUMNS, tail.alias("tail_rows"))
+
+
+@query("lake_range_read", f"""
+WITH {O.FEED}
+SELECT table_name, count(*) AS events, min(sequence) AS lo, max(sequence) AS hi FROM feed
+WHERE sequence > {O.half_sequence()} AND sequence <= (SELECT max(sequence) * 3 // 4 FROM feed) GROUP BY table_name""")
+def lake_range_read(spark, sf_dir):
+    """A sequence range of a lake of four batches, from the folders it needs."""
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, _, bounds = _run_batches(spark, "range", feed, [0, 1, 2, 3])
+    rows = lake_mod.read_lake(spark, lake_path, lo=bounds[2][0] + 1, hi=bounds[2][1])
+    return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("events"), F.min("sequence").alias("lo"),
+                                          F.max("sequence").alias("hi"))
+
+
 # --- K1-K6, K9, D7: history ----------------------------------------------------
 def _per_feed_table(feed: DataFrame, fn) -> DataFrame:
     return wh_mod.union_tables({t.name: fn(feed.where(F.col("table_name") == t.name), t)
@@ -274,18 +338,15 @@ FROM facts f ASOF LEFT JOIN st s
 def asof_join(spark, sf_dir):
     """Every purchase with the state of its key just before it
     (NULL when the key did not exist or was deleted at that point)."""
-    from tidemark.operators import fold as fm
     from tidemark.operators import history
     feed = td.events_feed(spark, sf_dir, "patch")
     facts = (td.feed_columns(td.read(spark, sf_dir, "events")).where(F.col("event_type") == "purchase")
              .select(F.col("sequence").alias("fact_sequence"), "table_name", "primary_key"))
-    states = _per_feed_table(feed, lambda ev, t: history.event_states(ev, t)).withColumnRenamed(
-        fm.PK, "primary_key")
-    j = history.asof_join(facts, states, ["table_name", "primary_key"], "fact_sequence", fm.SEQ,
-                          [fm.SEQ, fm.UP, "event_type", "value", "k"])
-    alive = F.col("asof_" + fm.UP)
-    return j.select("fact_sequence", "table_name", "primary_key",
-                    F.when(alive, F.col("asof_" + fm.SEQ)).alias("asof_sequence"),
+    j = wh_mod.union_tables({t.name: history.asof_events(
+        facts.where(F.col("table_name") == t.name).drop("table_name"), feed.where(F.col("table_name") == t.name), t,
+        "primary_key", "fact_sequence") for t in FEED.tables})
+    alive = F.col("asof_alive")
+    return j.select("fact_sequence", "table_name", "primary_key", F.when(alive, F.col("asof_sequence")).alias("asof_sequence"),
                     *[F.when(alive, F.col("asof_" + c)).alias("asof_" + c) for c in ("event_type", "value", "k")])
 
 
@@ -323,6 +384,31 @@ def snapshot_diff(spark, sf_dir):
         "table_name", "user_id", "change_type")
 
 
+_ASOF_ORDER = [0, 2, 1, 3]          # the second range arrives after the third
+
+
+@query("asof_from_version", f"""
+WITH {O.FEED}, cut AS (SELECT * FROM feed WHERE sequence <= (SELECT max(sequence) * 7 // 8 FROM feed))
+SELECT {_ASOF_COLS} FROM ({O.fold_select('patch', source='cut', keep_deleted=False)}) AS x""")
+def asof_from_version(spark, sf_dir):
+    """K1 from the nearest warehouse version and the batches after it, after a late batch."""
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, wh, bounds = _run_batches(spark, "asof_version", feed, _ASOF_ORDER)
+    target = bounds[3][1] * 7 // 8
+    out = wh_mod.union_tables({t.name: wh.asof(t, lake_path, target) for t in FEED.tables})
+    return out.select(*_ASOF_COLS.split(", "))
+
+
+@query("diff_from_versions", _DIFF.format(before="tgt", after="cur") +
+       " SELECT table_name, user_id, change_type FROM d")
+def diff_from_versions(spark, sf_dir):
+    """K5 by touched keys: both states are built for the keys with events in between only."""
+    feed = td.events_feed(spark, sf_dir, "patch")
+    lake_path, wh, bounds = _run_batches(spark, "diff_versions", feed, _ASOF_ORDER)
+    parts = {t.name: wh.diff(t, lake_path, bounds[1][1], bounds[3][1]) for t in FEED.tables}
+    return wh_mod.union_tables(parts).select("table_name", "user_id", "change_type")
+
+
 @query("restore_events", _DIFF.format(before="cur", after="tgt") + f"""
 SELECT table_name, CAST(user_id AS VARCHAR) AS primary_key,
        CASE change_type WHEN 'removed' THEN 'delete' WHEN 'added' THEN 'insert' ELSE 'update' END AS operation,
@@ -564,6 +650,24 @@ def check_running_balance(spark, sf_dir):
                              F.when(F.col("event_id") % 7 == 0, F.lit(0).cast(dec)))
 
 
+@query("check_balance_by_time", """
+WITH e AS (SELECT user_id, event_id, date_trunc('day', ts) AS day,
+  CASE WHEN event_type IN ('purchase', 'error') THEN -1 ELSE 1 END * CAST(value AS DECIMAL(18,2)) AS amount FROM events),
+r AS (SELECT *, sum(amount) OVER (PARTITION BY user_id ORDER BY day, event_id ROWS UNBOUNDED PRECEDING) AS balance,
+             row_number() OVER (PARTITION BY user_id ORDER BY day DESC, event_id DESC) AS place FROM e)
+SELECT user_id, count(*) AS entries, CAST(max(balance) FILTER (WHERE place = 1) AS DECIMAL(18,2)) AS final_balance,
+       CAST(min(balance) AS DECIMAL(18,2)) AS lowest_balance, count(*) FILTER (WHERE balance < 0) AS below_zero,
+       CAST(0 AS BIGINT) AS differs
+FROM r GROUP BY user_id""")
+def check_balance_by_time(spark, sf_dir):
+    """Running balance in time order, where entries of one day tie and
+    their ids decide."""
+    from tidemark.operators import rules as R
+    sign = F.when(F.col("event_type").isin("purchase", "error"), -1).otherwise(1)
+    events = td.read(spark, sf_dir, "events").withColumn("day", F.date_trunc("day", "ts"))
+    return R.running_balance(events, "user_id", ["day", "event_id"], sign * F.col("value").cast("decimal(18,2)"))
+
+
 @query("check_freshness", f"""
 WITH {O.FEED}
 SELECT table_name, count(*) AS events, max(captured_at) AS max_captured_at,
@@ -602,6 +706,28 @@ def check_lake_consistency(spark, sf_dir):
     return R.consistency(_wh_union(wh), rebuilt)
 
 
+@query("check_consistency_ranges", f"""
+WITH {O.FEED}, w AS ({O.fold_select('patch')}),
+c AS (SELECT * REPLACE (CASE WHEN user_id % 17 = 3 THEN coalesce(k, 0) + 1 ELSE k END AS k) FROM w WHERE user_id % 13 <> 5
+      UNION ALL SELECT * FROM w WHERE user_id % 19 = 2 AND user_id % 13 <> 5 AND user_id % 17 <> 3),
+l AS (SELECT table_name, user_id, k, count(*) AS n FROM w GROUP BY ALL),
+r AS (SELECT table_name, user_id, k, count(*) AS n FROM c GROUP BY ALL),
+d AS (SELECT coalesce(l.table_name, r.table_name) AS table_name, coalesce(l.user_id, r.user_id) AS user_id,
+             coalesce(l.n, 0) - coalesce(r.n, 0) AS more
+      FROM l FULL JOIN r ON l.table_name = r.table_name AND l.user_id = r.user_id AND l.k IS NOT DISTINCT FROM r.k)
+SELECT table_name, user_id, CASE WHEN more > 0 THEN 'left' ELSE 'right' END AS side, CAST(abs(more) AS BIGINT) AS copies
+FROM d WHERE more <> 0""")
+def check_consistency_ranges(spark, sf_dir):
+    """The warehouse against a copy with rows lost, changed and doubled; only
+    ranges of keys whose checksums differ are compared row by row."""
+    from tidemark.operators import rules as R
+    w = fold_feed(td.events_feed(spark, sf_dir, "patch"))
+    u = F.col("user_id")
+    copy = w.where(u % 13 != 5).withColumn("k", F.when(u % 17 == 3, F.coalesce("k", F.lit(0)) + 1).otherwise(F.col("k")).cast(w.schema["k"].dataType))
+    copy = copy.unionByName(w.where((u % 19 == 2) & (u % 13 != 5) & (u % 17 != 3)))
+    return R.differing_rows(w, copy, ["table_name", "user_id"]).select("table_name", "user_id", "side", "copies")
+
+
 @query("quarantine_split", """
 WITH r AS (
   SELECT list_filter([
@@ -773,6 +899,63 @@ def stream_restore_stream(spark, sf_dir):
     return fold_mod.active(_wh_union(wh)).select("table_name", "user_id", "event_type", "value", "k")
 
 
+_BAD_FEED = f"""
+WITH {O.FEED}, b AS (SELECT *, CASE WHEN operation = 'delete' THEN NULL WHEN sequence % 10 = 3 THEN 'malformed'
+    WHEN sequence % 14 = 5 THEN 'operation' WHEN sequence % 22 = 7 THEN 'unknown_keys'
+    WHEN sequence % 26 = 9 THEN 'pk_mismatch' END AS reason FROM feed)"""
+
+
+def _bad_feed(feed: DataFrame) -> DataFrame:
+    """Upserts broken in four ways, by their sequence."""
+    seq, upsert = F.col("sequence"), F.col("operation") != "delete"
+    kind = (F.when(~upsert, None).when(seq % 10 == 3, "malformed").when(seq % 14 == 5, "operation")
+            .when(seq % 22 == 7, "unknown_keys").when(seq % 26 == 9, "pk_mismatch"))
+    rows = feed.withColumn("_kind", kind)
+    data = (F.when(F.col("_kind") == "malformed", F.concat(F.lit("broken "), "data"))
+            .when(F.col("_kind") == "unknown_keys", F.expr("concat('{\"colour\": 1, ', substring(data, 2))")).otherwise(F.col("data")))
+    return rows.select("sequence", F.when(F.col("_kind") == "operation", "upsert").otherwise(F.col("operation")).alias("operation"),
+                       "table_name", F.when(F.col("_kind") == "pk_mismatch", F.concat("primary_key", F.lit("0")))
+                       .otherwise(F.col("primary_key")).alias("primary_key"), data.alias("data"), "captured_at")
+
+
+def _quarantine_stream(spark, sf_dir, name: str):
+    from tidemark.operators.warehouse import Warehouse
+    from tidemark.session import new_work_dir
+    from tidemark.streaming import pipeline
+    root = new_work_dir(spark, name)
+    feed = td.events_feed(spark, sf_dir, "patch")
+    landing = _landing(spark, _bad_feed(feed), root, [1, 0, 2, 3], replay=1)
+    wh = Warehouse(spark, f"{root}/warehouse", FEED)
+    pipeline.run_available(pipeline.read_feed_files(spark, landing, max_files_per_trigger=4), f"{root}/lake", wh,
+                           f"{root}/checkpoint", quarantine=f"{root}/quarantine")
+    return root, feed, wh
+
+
+@query("stream_quarantine", _BAD_FEED + """
+SELECT reason, count(*) AS events FROM b GROUP BY reason""")
+def stream_quarantine(spark, sf_dir):
+    """A stream with broken events, one range delivered twice: good
+    events reach the lake (NULL reason), the others the quarantine, each once."""
+    from tidemark.operators import quarantine as q
+    root, _, _ = _quarantine_stream(spark, sf_dir, "quarantine")
+    held = q.read(spark, f"{root}/quarantine").select(F.element_at("reasons", 1).alias("reason"))
+    good = lake_mod.read_lake(spark, f"{root}/lake").select(F.lit(None).cast("string").alias("reason"))
+    return held.unionByName(good).groupBy("reason").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("stream_quarantine_release", f"WITH {O.FEED} {O.fold_select('patch')}")
+def stream_quarantine_release(spark, sf_dir):
+    """The events held back are repaired (from the clean feed) and replayed
+    late; the warehouse ends as if nothing had been broken."""
+    from tidemark.operators import quarantine as q
+    from tidemark.operators.ingest import ingest
+    root, feed, wh = _quarantine_stream(spark, sf_dir, "release")
+    repair = lambda bad: feed.join(bad.select("sequence"), "sequence", "left_semi")
+    q.release(spark, f"{root}/quarantine", repair, FEED, lambda rows: ingest(spark, f"{root}/lake", wh, rows), "repaired")
+    assert not q.read(spark, f"{root}/quarantine").limit(1).count()
+    return _wh_union(wh)
+
+
 # --- M4, M6: catalog ---------------------------------------------------------------------
 def _catalog_drift_sql() -> str:
     from tidemark.contracts import TESTDATA, TPCH_STANDARD

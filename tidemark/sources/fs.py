@@ -5,11 +5,15 @@ all data goes through DataFrame readers and writers."""
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+_RENAME = threading.Lock()
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -58,11 +62,40 @@ def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p) or not fs.rename(tmp, p):
+    with _RENAME:           # a local rename would replace a marker that another thread just wrote
+        done = not fs.exists(p) and fs.rename(tmp, p)
+    if not done:
         fs.delete(tmp, False)
         raise FileExistsError(f"commit marker already present: {path}")
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create or replace an empty file, which sets its modification time."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """Modification time in milliseconds by the store's clock; None if absent."""
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime()) if fs.exists(p) else None
+
+
+def store_time(spark: SparkSession, folder: str) -> int:
+    """The store's own time in milliseconds, so that ages do not depend on driver clocks."""
+    probe = f"{folder}/.time.{uuid.uuid4().hex}"
+    touch(spark, probe)
+    now = modified(spark, probe)
+    remove(spark, probe)
+    return now
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder that the library wrote; absent is fine."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def read_json(spark: SparkSession, path: str) -> dict | None:
     text = read_text(spark, path)
     return None if text is None else json.loads(text)

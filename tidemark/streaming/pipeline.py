@@ -3,7 +3,10 @@
 ``foreachBatch`` runs, per micro-batch and in this order:
 
 1. payload gate (stop-the-line): raising here fails the query before any
-   write, and the offsets of that batch are not committed;
+   write, and the offsets of that batch are not committed.  With a ``quarantine``
+   folder the gate holds back single events instead: they are stored there with
+   their reasons, under the stream's epoch (a replayed epoch replaces its own
+   folder), and the good events go on;
 2. lake append, always: a replayed epoch finds its sequences already stored
    and writes nothing.  Batch ids are the lake's own, so restores, batch
    ingests, other streams and new checkpoints share a lake safely; stream and
@@ -18,6 +21,7 @@ and out-of-order events are handled by the warehouse apply (general path).
 
 from __future__ import annotations
 
+import hashlib
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.contracts import LAKE_COLUMNS, LAKE_SCHEMA, Contract
 from tidemark.operators import lake as lm
+from tidemark.operators import quarantine as q
 from tidemark.operators import schema_gate
 from tidemark.operators.ingest import apply_pending
 from tidemark.operators.warehouse import Warehouse
@@ -44,16 +49,26 @@ def read_feed_files(spark: SparkSession, landing: str, fmt: str = "parquet",
 
 
 def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool = True, metrics: list | None = None,
-                       contract: Contract | None = None, stream: str = "stream"):
+                       contract: Contract | None = None, stream: str = "stream", quarantine: str | None = None):
     """``contract``: what the payload gate checks, the warehouse's by default; a
-    stream into the lake alone is gated if it names one."""
+    stream into the lake alone is gated if it names one.  ``quarantine``: folder for
+    events that the gate holds back instead of stopping the line."""
     contract = contract or (warehouse.contract if warehouse is not None else None)
+    if quarantine is not None and contract is None:
+        raise ValueError("a quarantine needs a contract to judge events by")
+    sink = hashlib.blake2b(stream.encode(), digest_size=6).hexdigest()
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        feed = batch.select(*LAKE_COLUMNS).persist()
+        feed = batch.select(*LAKE_COLUMNS)
+        if quarantine is not None:
+            rows = q.judged(feed, contract).persist()
+            q.store(rows.where(F.size(q.REASONS) > 0), quarantine, f"{sink}-{int(epoch_id)}")
+            feed = rows.where(F.size(q.REASONS) == 0).select(*LAKE_COLUMNS)
+        else:
+            rows = feed = feed.persist()
         try:
-            check = gate and contract is not None
+            check = gate and contract is not None and quarantine is None
             stats = lm.door_stats(feed, schema_gate.gate_aggs(contract) if check else [],
                                   schema_gate.gate_prepare(contract) if check else None,
                                   known=contract.names if contract is not None else None)
@@ -66,14 +81,14 @@ def make_batch_handler(lake_path: str, warehouse: Warehouse | None, gate: bool =
             if metrics is not None:
                 metrics.append({"epoch": int(epoch_id), "append": res, "apply": reports})
         finally:
-            feed.unpersist()
+            rows.unpersist()
     return handle
 
 
 def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoint: str,
           available_now: bool = False, processing_time: str | None = None, gate: bool = True,
           dedup_watermark: str | None = None, metrics: list | None = None,
-          contract: Contract | None = None) -> StreamingQuery:
+          contract: Contract | None = None, quarantine: str | None = None) -> StreamingQuery:
     """Run the ingestion stream.  ``dedup_watermark`` (e.g. "1 hour")
     adds ``dropDuplicatesWithinWatermark`` on sequence as a cheap pre-filter;
     exact dedup always happens against the lake."""
@@ -84,7 +99,7 @@ def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoi
                 .withWatermark("_event_time", dedup_watermark)
                 .dropDuplicatesWithinWatermark(["sequence"])
                 .drop("_event_time"))
-    writer = (feed.writeStream.foreachBatch(make_batch_handler(lake_path, warehouse, gate, metrics, contract, checkpoint))
+    writer = (feed.writeStream.foreachBatch(make_batch_handler(lake_path, warehouse, gate, metrics, contract, checkpoint, quarantine))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -95,10 +110,10 @@ def start(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoi
 
 def run_available(feed: DataFrame, lake_path: str, warehouse: Warehouse | None, checkpoint: str,
                   gate: bool = True, metrics: list | None = None, dedup_watermark: str | None = None,
-                  contract: Contract | None = None) -> None:
+                  contract: Contract | None = None, quarantine: str | None = None) -> None:
     """Process everything available now, then stop (batch-style stream run)."""
     q = start(feed, lake_path, warehouse, checkpoint, available_now=True, gate=gate, metrics=metrics,
-              dedup_watermark=dedup_watermark, contract=contract)
+              dedup_watermark=dedup_watermark, contract=contract, quarantine=quarantine)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

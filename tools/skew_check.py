@@ -50,9 +50,9 @@ def main() -> None:
     t = FEED.table("accounts")
     steps = {
         "fold": lambda: fm.fold(accounts, t),
-        "key_history": lambda: history.key_history(accounts, span=4096),
-        "scd2": lambda: history.scd2(accounts, t, span=4096),
-        "event_states": lambda: history.event_states(accounts, t, span=4096),
+        "key_history": lambda: history.key_history(accounts),
+        "scd2": lambda: history.scd2(accounts, t),
+        "event_states": lambda: history.event_states(accounts, t),
         # contrast: a plain per-key window, as the library does NOT do it
         "plain_window_baseline": lambda: accounts.withColumn("rn", F.row_number().over(
             Window.partitionBy("primary_key").orderBy("sequence"))),
