@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import EDGE, WORD_CUT, documents, ragged, slices, stored
+from tidemark.llm.common import EDGE, WORD_CUT, Ragged, documents, slices, stored
 
 BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20       # text in one block
@@ -142,31 +142,6 @@ class Pair:
         return out
 
 
-class Ragged:
-    """Growing rows of ids."""
-
-    def __init__(self):
-        self.ids, self.starts, self.sizes, self.used, self.rows = np.zeros(1 << 16, np.int32), *(
-            np.zeros(1 << 14, np.int64) for _ in range(2)), 0, 0
-
-    @staticmethod
-    def _room(x: np.ndarray, need: int) -> np.ndarray:
-        return x if need <= len(x) else np.append(x, np.zeros(max(len(x), need - len(x)), x.dtype))
-
-    def extend(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.ids = self._room(self.ids, self.used + len(ids))
-        self.starts, self.sizes = (self._room(x, self.rows + len(sizes)) for x in (self.starts, self.sizes))
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.starts[self.rows:self.rows + len(sizes)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[self.rows:self.rows + len(sizes)] = sizes
-        self.used += len(ids)
-        self.rows += len(sizes)
-
-    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = self.sizes[rows]
-        return self.ids[ragged(self.starts[rows], size)], size
-
-
 _PAIRS: dict[tuple, Pair] = {}
 
 

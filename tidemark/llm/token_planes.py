@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, ragged, shared_dir, shuffle_width, slices, stored
+from tidemark.llm.common import Ragged, documents, shared_dir, shuffle_width, slices, stored
 
 MAGIC = b"TIDP"
 BLOCK_IDS = 1 << 16
@@ -53,6 +53,7 @@ TOKENIZER = "word_bpe_49k.json"
 # words a worker remembers; it starts anew beyond
 CACHE_WORDS = 500_000
 TAIL = ".,;:!?|%&$#*"
+JOINED = 2000         # words tokenized in one string
 
 
 class _Encoder:
@@ -63,42 +64,41 @@ class _Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.tails: dict[str, list[int]] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {"": 0}
-        self.start = np.zeros(1 << 16, np.int64)
-        self.size = np.zeros(1 << 16, np.int32)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _keep(self, number: int, ids: list[int]) -> None:
-        if number >= len(self.start):
-            self.start = np.append(self.start, np.zeros_like(self.start))
-            self.size = np.append(self.size, np.zeros_like(self.size))
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.append(self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32))
-        self.start[number], self.size[number] = self.used, len(ids)
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _word(self, word: str) -> list[int]:
-        """ASCII letters with plain punctuation behind are two pieces to the
-        tokenizer and need no normalizer; any other word takes the whole way."""
-        letters = word.rstrip(TAIL)
-        if letters.isascii() and letters.isalpha():
-            ids = [t.id for t in self.model.tokenize(letters.lower())]
-            if len(letters) < len(word):
-                tail = word[len(letters):]
-                if tail not in self.tails:
-                    self.tails[tail] = self._whole(tail)
-                ids += self.tails[tail]
-            return ids
-        return self._whole(word)
+        self.number: dict[str, int] = {}
+        self.pieces: dict[str, list[int]] = {}
+        self.known = Ragged()
+
+    def _piece(self, text: str, letters: bool) -> list[int]:
+        found = self.pieces.get(text)
+        if found is None:
+            found = self.pieces[text] = [t.id for t in self.model.tokenize(text)] if letters else self.tokenizer.encode(
+                text, add_special_tokens=False).ids
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        """ASCII letters with plain punctuation behind are two pieces to the tokenizer and
+        need no normalizer.  All other words take the whole way, joined by spaces again;
+        the place of a token tells its word."""
+        ids, odd = [None] * len(words), []
+        for k, word in enumerate(words):
+            letters = word.rstrip(TAIL)
+            if letters.isascii() and letters.isalpha():
+                mine = self._piece(letters.lower(), True)
+                ids[k] = mine if len(letters) == len(word) else mine + self._piece(word[len(letters):], False)
+            else:
+                odd.append(k)
+        for lo in range(0, len(odd), JOINED):
+            some = odd[lo:lo + JOINED]
+            coded = self.tokenizer.encode(" ".join([words[k] for k in some]), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(words[k]) + 1 for k in some])
+            ends = np.searchsorted(np.array([o[0] for o in coded.offsets], np.int64), starts[1:]).tolist()
+            found = coded.ids
+            for k, a, b in zip(some, [0, *ends], ends):
+                ids[k] = found[a:b]
+        self.known.extend(np.fromiter(itertools.chain.from_iterable(ids), np.int32), np.array([len(x) for x in ids], np.int64))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
@@ -108,13 +108,11 @@ class _Encoder:
         split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
         coded = pc.list_flatten(split).dictionary_encode()
         place = np.array([number.setdefault(w, len(number)) for w in coded.dictionary.to_pylist()], np.int64)
-        for w in list(itertools.islice(reversed(number), len(number) - known))[::-1]:
-            self._keep(number[w], self._word(w))
-        words = place[coded.indices.to_numpy()]
-        size = self.size[words].astype(np.int64)
-        ids = self.ids[ragged(self.start[words], size)]
+        if len(number) > known:
+            self._learn(list(itertools.islice(reversed(number), len(number) - known))[::-1])
+        ids, size = self.known.take(place[coded.indices.to_numpy()])
         ends = np.append(0, np.cumsum(size))
-        return ids, np.diff(ends[split.offsets.to_numpy()])
+        return ids.astype(np.uint32), np.diff(ends[split.offsets.to_numpy()])
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -224,7 +222,7 @@ def _write(folder: str, tokenizer: str, planes: str):
         writer, n_ids, name = None, 0, f"{folder}/{uuid.uuid4().hex}.ids"
         code = encoder(tokenizer)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 ids, sizes = code.encode(pc.fill_null(part.column(1), ""))
                 ends = np.cumsum(sizes)
                 ids = np.insert(ids, ends, END_ID)
