@@ -12,10 +12,11 @@ this *anchor*, and two windows can be equal only if their anchors are.
    the run covers, document, first start, number of starts.
 3. Rows whose anchor hash occurs once cannot repeat and go.
 4. Rows with equal digests are one class of their anchor's group.
-5. The classes of a group form one text, each with the bytes of one of its rows,
-   or of two of them if it has several.  Suffix arrays by linear grouping
-   (``gsaca``) and common prefixes with suffix-array neighbours tell which windows
-   repeat: digests only bring rows together, bytes decide.
+5. The bytes of a class's row, or of two of its rows if it has several, come
+   together by group.  Two equal rows repeat as a whole.  The classes, each once,
+   form one text; suffix arrays by linear grouping (``gsaca``) and common prefixes
+   with suffix-array neighbours tell which windows of the others repeat.  Digests
+   only bring rows together, bytes decide.
 6. The windows found go back to all rows of the class and become byte spans.
 
 A group of many classes (a passage that very many documents quote in different
@@ -184,11 +185,12 @@ _FIRST = 64           # symbols below are the separators of a text's segments, a
 
 
 def _group_text(classes: dict) -> tuple[np.ndarray, list]:
-    """One text of a group's segments, and where the first segment of each class starts."""
+    """One text of a group's segments, and where the classes still open start in it."""
     parts, places, at = [], [], 0
-    left = sum(len(segments) for _, segments in classes.values())
-    for dg, (n, segments) in classes.items():
-        places.append((dg, at, n))
+    left = sum(len(segments) for _, segments, _ in classes.values())
+    for dg, (n, segments, whole) in classes.items():
+        if not whole:
+            places.append((dg, at, n))
         for data in segments:
             left -= 1
             parts += [np.frombuffer(data, np.uint8).astype(np.uint16) + np.uint16(_FIRST), np.array([left], np.uint16)]
@@ -201,29 +203,38 @@ _REPEATS = "h long, dg long, runs array<struct<a:int,b:int>>"
 
 def _repeats(batches):
     """Runs of repeated windows (first and last) of each class; rows come ordered by group."""
-    bundle, size, h, classes = [], 0, None, {}
+    bundle, size, h, classes, keys, runs = [], 0, None, {}, [], []
     span = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
     def solve():
         texts = sorted(bundle, key=lambda x: len(x[1]))
-        base = np.cumsum([0] + [len(x[1]) for x in texts])
-        symbols = np.concatenate([x[1] for x in texts])
-        flag = repeated_windows(symbols, base, suffix_arrays(symbols, base), LENGTH)
-        keys, runs = [], []
-        for (group, _, places), start in zip(texts, base):
-            for dg, at, n in places:
-                own = np.concatenate(([False], flag[start + at:start + at + n], [False]))
-                edge = np.flatnonzero(own[1:] != own[:-1])
-                if len(edge):
-                    keys.append((group, dg))
-                    runs.append([{"a": int(a), "b": int(b) - 1} for a, b in zip(edge[::2], edge[1::2])])
-        return pa.RecordBatch.from_arrays(
+        if texts:
+            base = np.cumsum([0] + [len(x[1]) for x in texts])
+            symbols = np.concatenate([x[1] for x in texts])
+            flag = repeated_windows(symbols, base, suffix_arrays(symbols, base), LENGTH)
+            for (group, _, places), start in zip(texts, base):
+                for dg, at, n in places:
+                    own = np.concatenate(([False], flag[start + at:start + at + n], [False]))
+                    edge = np.flatnonzero(own[1:] != own[:-1])
+                    if len(edge):
+                        keys.append((group, dg))
+                        runs.append([{"a": int(a), "b": int(b) - 1} for a, b in zip(edge[::2], edge[1::2])])
+        out = pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
              pa.array(runs, span)], names=["h", "dg", "runs"])
+        keys.clear()
+        runs.clear()
+        return out
 
     def close():
         nonlocal size
-        if sum(len(segments) for _, segments in classes.values()) > 1:
+        for dg, known in classes.items():
+            n, segments, _ = known
+            if len(segments) == 2 and segments[0] == segments[1]:
+                keys.append((h, dg))
+                runs.append([{"a": 0, "b": n - 1}])
+                known[1:] = segments[:1], True
+        if any(not whole for _, _, whole in classes.values()) and sum(len(x) for _, x, _ in classes.values()) > 1:
             text, places = _group_text(classes)
             bundle.append((h, text, places))
             size += len(text)
@@ -235,12 +246,12 @@ def _repeats(batches):
                 close()
                 classes = {}
                 h = group
-                if size >= BUNDLE:
+                if size >= BUNDLE or len(keys) >= 100_000:
                     yield solve()
                     bundle, size = [], 0
-            classes.setdefault(dg, (n, []))[1].append(data)
+            classes.setdefault(dg, [n, [], False])[1].append(data)
     close()
-    if bundle:
+    if bundle or keys:
         yield solve()
 
 
