@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contracts import DELETED, Contract, TableContract
+from tidemark.contracts import DELETED, PAYMENTS, Contract, TableContract
 from tidemark.functions.joins import left_spread
 
 RESULT_SCHEMA = ("rule_id string, layer string, table_name string, column_name string, "
@@ -107,20 +107,14 @@ def contract_rules(contract: Contract, layer: str = "source") -> list[Rule]:
 
 # --------------------------------------------------------------------------
 # The reference's suite, rule for rule ("reference" profile).
-# The 49 checks, their order, tables, columns, enum domains and
-# message texts ({table} {column} {n} {parent} {allowed} are placeholders)
-# are those of the reference's validation suite.
+# Keys, references and domains are those of the payments contract.
+# Which of them the suite checks, in which order, and the message
+# texts ({table} {column} {n} {parent} {allowed} are placeholders).
 # --------------------------------------------------------------------------
-_PK = [("customers", "customer_id"), ("wallets", "wallet_id"), ("merchants", "merchant_id"),
-       ("transactions", "transaction_id"), ("ledger_entries", "entry_id")]
-_FK = [("wallets", "customer_id", "customers", "customer_id"),
-       ("transactions", "wallet_id", "wallets", "wallet_id"),
-       ("transactions", "merchant_id", "merchants", "merchant_id"),
-       ("ledger_entries", "transaction_id", "transactions", "transaction_id"),
-       ("ledger_entries", "wallet_id", "wallets", "wallet_id")]
-_WH_FK = [("wh_wallets", "customer_id", "wh_customers", "customer_id"),
-          ("wh_transactions", "wallet_id", "wh_wallets", "wallet_id"),
-          ("wh_ledger_entries", "transaction_id", "wh_transactions", "transaction_id")]
+_PK = [(t.name, t.single_pk) for t in PAYMENTS.tables]
+_FK = [(t.name, fk.column, fk.parent, fk.parent_column) for t in PAYMENTS.tables for fk in t.fks]
+_WH_FK = [(f"wh_{c}", fk, f"wh_{p}", pk) for c, fk, p, pk in _FK
+          if (c, p) in (("wallets", "customers"), ("transactions", "wallets"), ("ledger_entries", "transactions"))]
 _NOT_NULL = [("customers", ["customer_id", "name", "email", "status", "created_at"]),
              ("wallets", ["wallet_id", "customer_id", "balance", "currency", "status"]),
              ("transactions", ["transaction_id", "wallet_id", "amount", "direction", "status"]),
@@ -141,11 +135,9 @@ _BUSINESS = [
     ("transactions", "amount", "amount_fee", "amount <= 0 OR fee < 0"),
     ("transactions", "settled_at", "time_order", "settled_at IS NOT NULL AND settled_at < created_at"),
 ]
-_ENUM = [("customers", "status", ["active", "suspended", "closed"]),
-         ("wallets", "status", ["active", "frozen", "closed"]),
-         ("transactions", "status", ["pending", "settled", "failed", "reversed"]),
-         ("transactions", "direction", ["credit", "debit"]),
-         ("ledger_entries", "entry_type", ["debit", "credit"])]
+_ENUM = [(t, c, list(PAYMENTS.table(t).column(c).domain)) for t, c in (
+    ("customers", "status"), ("wallets", "status"), ("transactions", "status"), ("transactions", "direction"),
+    ("ledger_entries", "entry_type"))]
 
 
 def reference_rules() -> list[Rule]:
