@@ -20,9 +20,9 @@ this *anchor*, and two windows can be equal only if their anchors are.
 6. The windows found go back to all rows of the class and become byte spans.
 
 A group of many classes (a passage that very many documents quote in different
-surroundings) is cut finer before step 4: its rows are dealt again by the bytes
-that all windows of a shorter range of starts have in common, so what is not
-shared drops out and what is shared collapses.  At a range of one start a group
+surroundings) is cut finer before step 5: one row of each class is dealt again by
+the bytes that all windows of a shorter range of starts have in common, so what is
+not shared drops out and what is shared collapses.  At a range of one start a group
 has one class, so group size is bounded without leaving anything out.
 
 Defined results: null is the empty text; texts shorter than ``LENGTH`` lose
@@ -292,7 +292,7 @@ def _remove(with_bytes: bool):
 
 def _classes(rows: DataFrame) -> DataFrame:
     """One row per class, with a row of it and, if it has several, another one."""
-    row = F.struct("d1", "d2", "lo")
+    row = F.struct("d1", "d2", "lo", "anchor")
     return (rows.groupBy("h", "dg").agg(F.first("n").alias("n"), F.min(row).alias("one"), F.max(row).alias("other"),
                                         F.count("*").alias("rows")))
 
@@ -324,15 +324,17 @@ def repeated_bytes(docs: DataFrame, *, with_bytes: bool = False) -> DataFrame:
     for step in (*FINER, None):
         own = stored(_classes(rows), "classes")
         large = stored(own.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > CLASSES).select("h"), "large")
-        small = own.join(large, "h", "left_anti")
-        classes = small if classes is None else classes.unionByName(small)
+        # a class of several rows repeats as a whole, in a large group too
+        decided = own.join(large, "h", "left_anti").unionByName(own.join(large, "h", "left_semi").where("rows > 1"))
+        classes = decided if classes is None else classes.unionByName(decided)
         if step is None or not large.limit(1).count():
             break
-        again = (rows.join(large, "h", "left_semi").groupBy(*DOC)
-                 .agg(F.collect_list(F.struct("lo", "n", "anchor")).alias("runs")))      # of one text: bounded by it
+        # one row stands for its class: what the others hold besides repeats already
+        again = (own.join(large, "h", "left_semi").groupBy("one.d1", "one.d2")
+                 .agg(F.collect_list(F.struct("one.lo", "n", "one.anchor")).alias("runs")))      # of one text: bounded by it
         rows = stored(_recurring(texts.join(again, DOC).select(*DOC, "text", "runs").mapInArrow(_finer(step), _ROW)), f"finer{step}")
         release(spark)
-        # rows of large groups have no class of their own and so find no runs below
+        # rows alone in their class in a large group find no runs there, their finer rows do
         ready = ready.unionByName(rows)
 
     classes = stored(classes, "all-classes")
