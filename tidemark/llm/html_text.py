@@ -15,13 +15,6 @@ longer name ("legal-history").  Where less than a quarter of a page's long text
 dense in stop words of the list, its language is none of the list's: then length,
 letters and links decide, in any script.
 
-The headings of an article that stand in its own header are its title and belong
-to it; the rest of such a header does not.  A class or id marks boilerplate only if
-every part of the name says so ("cookie-notice", "site-header"), not one part of a
-longer name ("legal-history").  Where hardly any stop word of the list stands in a
-page's long blocks, its language is none of the list's: then length, letters and
-links decide, in any script.
-
 Scripts, styles, comments in markup and hidden text never become blocks.
 Every step is linear in the page.
 
@@ -76,12 +69,6 @@ BOILER_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising"
                 "widget", "toolbar", "pagination", "pager", "copyright", "contentinfo", "complementary", "legal",
                 "disclaimer", "teaser", "skip"}
 # parts of names that say where or what kind of box something is, not what is in it
-NEUTRAL_WORDS = {"site", "page", "top", "bottom", "left", "right", "global", "primary", "secondary", "main", "article",
-                 "post", "posts", "story", "entry", "box", "block", "bar", "list", "item", "items", "area", "wrap",
-                 "wrapper", "container", "inner", "outer", "section", "content", "button", "buttons", "btn", "link",
-                 "links", "icon", "icons", "form", "col", "column", "row", "panel", "slot", "unit", "group", "text",
-                 "message", "policy", "js", "the", "mobile", "desktop", "sticky", "fixed", "mini", "small", "large"}
-# parts of names that say where or what kind of box something is, not what is in it
 NEUTRAL_WORDS = {"site", "page", "top", "bottom", "left", "right", "global", "primary", "secondary", "main", "article",
                  "post", "posts", "story", "entry", "box", "block", "bar", "list", "item", "items", "area", "wrap",
                  "wrapper", "container", "inner", "outer", "section", "content", "button", "buttons", "btn", "link",
@@ -202,7 +189,6 @@ def blocks(page: str) -> list[Block]:
             links = 0
             own = not closing and tag not in CONTAINER and any(_marked(page[m.end():at]))
             heading = not closing and tag in HEADINGS
-            heading = not closing and tag in HEADINGS
         if tag in CONTAINER:
             if closing:
                 for k in range(len(stack) - 1, -1, -1):
@@ -251,22 +237,6 @@ def listed_language(found: list[Block]) -> bool:
     return dense >= LISTED * whole
 
 
-def _stop_words(block: Block) -> tuple[int, int]:
-    """(stop words, words)"""
-    words = block.text.lower().split()
-    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words), len(words)
-
-
-def listed_language(found: list[Block]) -> bool:
-    """Whether stop words of the list stand in the page's long, unlinked blocks."""
-    stops = words = 0
-    for b in found:
-        if b.hint != BAD and b.linked <= LINKED and len(b.text) >= LONG:
-            s, w = _stop_words(b)
-            stops, words = stops + s, words + w
-    return stops >= LISTED * words
-
-
 def first_pass(block: Block, listed: bool = True) -> int:
     if block.hint == BAD or block.linked > LINKED and block.hint != GOOD:
         return BAD
