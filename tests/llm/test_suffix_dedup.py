@@ -105,6 +105,36 @@ def test_bytes_decide_and_not_digests():
     assert got == {(1, 7): [{"a": 300, "b": 350}], (2, 8): [{"a": 0, "b": 100}]}
 
 
+def _moved(plan, column):
+    """Exchanges of a plan that carry ``column``."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _moved(plan.initialPlan(), column)
+    mine = "Exchange" in plan.nodeName() and f"{column}#" in plan.output().mkString(",")
+    return int(mine) + sum(_moved(plan.children().apply(i), column) for i in range(plan.children().size()))
+
+
+def test_texts_are_moved_once(spark, monkeypatch):
+    """Texts go through one shuffle; runs, classes and spans come to them, also where no side is small."""
+    rng = np.random.default_rng(4)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    shared = letters(900)
+    rows = [(i, letters(300) + shared + letters(300)) for i in range(20)] + [(20, letters(800)), (21, shared), (22, shared), (23, None)]
+    plans, keep = [], D.stored
+    monkeypatch.setattr(D, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan()) or keep(df, name))
+    monkeypatch.setattr(D, "CLASSES", 2)        # several rounds of finer runs
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = D.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"))
+        plans.append(out._jdf.queryExecution().executedPlan())
+        got = found(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == expected(rows) and sum(r[2] >= 900 for r in got) == 22
+    assert len(plans) > 8 and sum(_moved(p, "text") for p in plans) == 0
+    assert spark.sql("SHOW TABLES LIKE 'llm_texts*'").count() == 0
+
+
 texts = st.lists(st.lists(st.integers(1, 3), max_size=40), min_size=1, max_size=6)
 
 
