@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -156,3 +157,33 @@ def test_suffix_arrays(parts, length):
 def test_sliding_min(width):
     x = np.random.default_rng(1).integers(0, 99, 50).astype(np.uint64)
     assert D.sliding_min(x, width).tolist() == [x[k:k + width].min() for k in range(len(x) - width + 1)]
+
+
+def _peak(run) -> int:
+    """Most bytes of arrays and objects held at once by ``run``, beyond those held before."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_workers_hold_little_memory():
+    """Two workers share an executor with its heap: reading a batch takes no more than some
+    slices of it, the lockstep texts no more than some 50 bytes a symbol."""
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    texts = [letters(2000).decode() for _ in range(4000)]
+    ids = pa.array(range(4000), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["d1", "d2", "text"])
+    assert _peak(lambda: [None for _ in D._anchors(iter([batch]))]) < 60 << 20
+    longest = pa.RecordBatch.from_arrays([ids[:1], ids[:1], pa.array([letters(3 << 20).decode()])], names=["d1", "d2", "text"])
+    assert _peak(lambda: [None for _ in D._anchors(iter([longest]))]) < 120 << 20
+
+    part = np.append(rng.integers(64, 320, 299), 0).astype(np.uint16)
+    symbols, base = np.tile(part, 4000), np.arange(4001) * 300
+    flags = []
+    assert _peak(lambda: flags.append(gsaca.repeated_windows(symbols, base, gsaca.suffix_arrays(symbols, base), 100))) < 50 * len(symbols)
+    assert not flags[0].any()
